@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ("simhash", "token_file")
+_MODULES = ("simhash", "token_file", "stream_bpe")
 
 
 def _modules():
