@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ("webp", "chat", "token_file", "piece_counts", "stream_bpe", "simhash")
+_MODULES = ("webp", "chat", "token_file", "piece_counts", "decontaminate", "stream_bpe", "simhash")
 
 
 def _modules():
