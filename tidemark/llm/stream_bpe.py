@@ -297,19 +297,22 @@ def digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col:
 
 
 def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids array<int>, decoded): the ids themselves and the text that they give back."""
+    """(doc_id, n_tokens, ids, decoded) for each row: the ids and the text that they give back."""
 
     def batch(b):
         enc = encoder(vocabulary)
         ids, texts = [], []
         for t in b.column(1).to_pylist():
-            got = [i for piece in enc.encode(t or "") for i in piece.split(" ")]
-            out = enc.decoder()
-            texts.append(out.push(got) + out.finish())
-            ids.append([int(i) for i in got])
-        return {"doc_id": b.column(0), "ids": ids, "decoded": texts}
-
-    return map_rows(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), batch, "doc_id long, ids array<int>, decoded string")
+            out, own, parts = enc.decoder(), [], []
+            for piece in enc.encode(t or ""):
+                got = piece.split(" ")
+                own += map(int, got)
+                parts.append(out.push(got))
+            ids.append(own)
+            texts.append("".join(parts) + out.finish())
+        return {"doc_id": b.column(0), "n_tokens": list(map(len, ids)), "ids": ids, "decoded": texts}
+
+    return map_rows(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), batch, "doc_id long, n_tokens long, ids array<int>, decoded string")
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
