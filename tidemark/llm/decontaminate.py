@@ -7,9 +7,9 @@ What stood in the slots is then compared along each alignment of an item with a
 item's values must have one value of the document's, wherever it occurs, or the alignment is dropped.
 A document holds an item if at least ``SHARE`` of the item's windows are left.
 
-A name is a word with a capital and a small letter after a lower-case letter, comma or semicolon and a blank. A number
-is a run of digits with marks between digits, or a number word; a unit is one of ``UNITS`` after a
-number. Words are compared in lower case.
+A name is a word with a capital and a small letter after a lower-case letter, comma or semicolon and
+a blank. A number is a word that starts with a digit, marks between digits included, or one of
+``NUMBER_WORDS``; a unit is one of ``UNITS``. Words are compared in lower case.
 
 Edge cases: a null or empty text, and an item of fewer than WINDOW words or with no telling window,
 match nothing; repeated rows and equal doc_ids give one row for each (doc_id, item_id); null ids are
@@ -27,44 +27,42 @@ QUERY = "op6_template_decontaminate"
 WINDOW, LITERALS, SHARE = 5, 2, 0.8
 #: The benchmark's windows are broadcast up to so many (of some 60 bytes each); beyond, both sides are shuffled.
 BROADCAST_WINDOWS = 200_000
-# Marks before the words that stand in slots, from the private use area.
-NUMBER, NAME, UNIT = "\ue000", "\ue001", "\ue002"
+# Put before a name, so that it is still told when all is in lower case; from the private use area.
+NAME_MARK = "\ue001"
+# Codes of the placeholders, where words have hashes.
+NUMBER, NAME, UNIT = 1, 2, 3
 NUMBER_WORDS = "two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million"
-UNITS = "kg g mg km m cm mm mi miles mile feet ft inches inch l ml liters litres hours hour minutes minute seconds second days day weeks week months month years year dollars euros pounds cents percent degrees"
+UNITS = "kg mg km cm mm mi mile miles feet ft inch inches ml liter liters litre litres hour hours minute minutes second seconds day days week weeks month months year years dollar dollars euro euros pound pounds cent cents percent degree degrees"
 
 
 def template_words(text: Column) -> Column:
-    """The text's words in lower case, those in slots with a mark before them."""
-    marked = F.regexp_replace(F.coalesce(text, F.lit("")), r"\p{Lu}(?<=[a-z,;] .)(?=\p{Ll})", NAME + "$0")
-    digits = rf"[0-9](?<![\p{{L}}\p{{N}}{NUMBER}].)(?<![0-9][^\p{{L}}\p{{N}}\s].)"
-    marked = F.when(marked.rlike("[0-9]"), F.regexp_replace(marked, digits, NUMBER + "$0")).otherwise(marked)
-    number_words = rf"\b(?:{NUMBER_WORDS.replace(' ', '|')})\b"
-    marked = F.when(marked.rlike(number_words), F.regexp_replace(marked, number_words, NUMBER + "$0")).otherwise(marked)
-    units = rf"({NUMBER}\S{{1,40}}\s{{1,4}})((?:{UNITS.replace(' ', '|')})\b)"
-    marked = F.when(F.instr(marked, NUMBER) > 0, F.regexp_replace(marked, units, f"$1{UNIT}$2")).otherwise(marked)
-    word = rf"[^\p{{L}}\p{{N}}{NUMBER}-{UNIT}]"
-    cut = F.split(F.lower(marked), rf"(?:{word}(?!(?<=[0-9].)[0-9]))+")
+    """The text's words in lower case, names with a mark before them."""
+    marked = F.regexp_replace(F.coalesce(text, F.lit("")), r"\p{Lu}(?<=[a-z,;] .)(?=\p{Ll})", NAME_MARK + "$0")
+    # a mark between digits belongs to the number
+    cut = F.split(F.lower(marked), rf"(?:[^\p{{L}}\p{{N}}{NAME_MARK}](?!(?<=[0-9].)[0-9]))+")
     return F.filter(cut, lambda w: w != "")
 
 
+def placeholder(word: Column) -> Column:
+    """The code of the placeholder that stands for a word, or null."""
+    first = F.ascii(word)
+    number = first.between(ord("0"), ord("9")) | word.isin(NUMBER_WORDS.split())
+    return F.when(first == ord(NAME_MARK), NAME).when(number, NUMBER).when(word.isin(UNITS.split()), UNIT)
+
+
 def windows(rows: DataFrame, id_col: str, text_col: str, names: tuple[str, ...], window: int = WINDOW) -> DataFrame:
     """(id, pos, key, first, last, literals): a row a window. key is a hash of its template; first and
     last are hashes of what stands in the slots at its ends, null where there is none."""
     words = rows.select(F.col(id_col).cast("long").alias(names[0]), template_words(F.col(text_col)).alias("w"))
-    slot = lambda w: F.ascii(w).between(ord(NUMBER), ord(UNIT))
-    hashed = words.select(
-        names[0],
-        F.transform("w", lambda w: F.when(slot(w), F.ascii(w).cast("long")).otherwise(F.xxhash64(w))).alias("h"),
-        F.when(F.exists("w", slot), F.transform("w", lambda w: F.when(slot(w), F.xxhash64(w)))).alias("v"),
-        F.size("w").alias("n"),
-    ).where(F.col("n") >= window)
+    hashed = words.select(names[0], "w", F.transform("w", lambda w: F.coalesce(placeholder(w).cast("long"), F.xxhash64(w))).alias("h"), F.size("w").alias("n")).where(F.col("n") >= window)
+    is_slot = lambda h: h.between(NUMBER, UNIT)
+    slots = F.when(F.exists("h", is_slot), F.transform("w", lambda w, i: F.when(is_slot(F.get("h", i)), F.xxhash64(w))))
+    hashed = hashed.select(names[0], "h", "n", F.coalesce(slots, F.array(F.lit(None).cast("long"))).alias("v"))
     at = lambda c, i: F.slice(c, i + 1, F.col("n"))
-    empty = F.array_repeat(F.lit(None).cast("long"), 1)
-    values = F.coalesce("v", empty)
-    zipped = F.arrays_zip(*[at(F.col("h"), i).alias(f"h{i}") for i in range(window)], values.alias("first"), F.slice(values, window, F.col("n")).alias("last"))
+    zipped = F.arrays_zip(*[(at(F.col("h"), i) if i else F.col("h")).alias(f"h{i}") for i in range(window)], F.col("v").alias("first"), F.slice("v", window, F.col("n")).alias("last"))
     out = hashed.select(names[0], F.posexplode(zipped).alias(names[1], "z"))
     parts = [F.col(f"z.h{i}") for i in range(window)]
-    literals = sum((F.when(p.between(ord(NUMBER), ord(UNIT)), 0).otherwise(1) for p in parts[1:]), F.when(parts[0].between(ord(NUMBER), ord(UNIT)), 0).otherwise(1))
+    literals = sum((F.when(is_slot(p), 0).otherwise(1) for p in parts[1:]), F.when(is_slot(parts[0]), 0).otherwise(1))
     return out.where(parts[-1].isNotNull()).select(*names[:2], F.xxhash64(*parts).alias("key"), F.col("z.first").alias(names[2]), F.col("z.last").alias(names[3]), literals.alias("literals"))
 
 
