@@ -8,6 +8,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # The scripts that language detection tells apart, and the share from which a text is mixed.
 ARABIC, LATIN = "[\\u0600-\\u06FF]", "[A-Za-z]"
@@ -100,12 +101,11 @@ def char_ngrams(c: Column, low: int = 2, high: int = 5) -> Column:
 def word_ngrams(c: Column, high: int = 2) -> Column:
     """Runs of 1 to ``high`` words of at least two letters or digits, in lower case."""
     words = F.regexp_extract_all(F.lower(c), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
-
-    def runs(n: int) -> Column:
-        at = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - n + 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(at, lambda i: F.array_join(F.slice(words, i, n), " "))
-
-    return F.concat(words, *map(runs, range(2, high + 1)))
+    runs = [words]
+    for n in range(2, high + 1):  # each run of n - 1 words with the word after it; past the end that is null
+        longer = F.zip_with(runs[-1], F.slice(words, n, F.size(words)), lambda run, word: F.concat(run, F.lit(" "), word))
+        runs.append(F.filter(longer, lambda run: run.isNotNull()))
+    return F.concat(*runs)
 
 
 def clean_markup(c: Column) -> Column:
@@ -133,7 +133,7 @@ class _Text(HTMLParser):
             self.parts.append(data)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def clean_html(texts: pd.Series) -> pd.Series:
     """The text of an HTML fragment with every entity resolved; null is ''."""
 

@@ -76,7 +76,7 @@ def train_imputer(df: DataFrame, target: Target, grams: str = "char", features:
         return None
     known = with_features(fold_rare(known, target.column, MIN_CLASS, OTHER), text_of(df, target.texts), grams)
     known = balanced(known.select(F.col(target.column).cast("string").alias("__label_in"), "__grams"), "__label_in")
-    fit = LogisticRegression(featuresCol="__x", labelCol="__y", weightCol="__weight", maxIter=40, regParam=1e-3, family="multinomial", probabilityCol="__prob", predictionCol="__pred", rawPredictionCol="__raw")
+    fit = LogisticRegression(featuresCol="__x", labelCol="__y", weightCol="__weight", maxIter=20, regParam=1e-3, family="multinomial", probabilityCol="__prob", predictionCol="__pred", rawPredictionCol="__raw")
     return Pipeline(stages=[*_stages("__label_in", features), fit]).fit(known)
 
 
@@ -119,19 +119,24 @@ def train_router(df: DataFrame, label: str, text: Column, folds: int = 3, featur
 
 
 def _machines(ready: DataFrame, classes: int) -> list:
-    """A linear support vector machine for each class against the rest."""
+    """A linear support vector machine for each class against the rest; None where the rows have only one side."""
+    there = {int(r["__y"]) for r in ready.select("__y").distinct().collect()}  # as many rows as classes
     out = []
     for i in range(classes):
-        svm = LinearSVC(featuresCol="__x", labelCol="__one", weightCol="__weight", rawPredictionCol=f"__raw{i}", predictionCol=f"__pred{i}", maxIter=30, regParam=1e-3)
+        if i not in there or len(there) < 2:
+            out.append(None)
+            continue
+        svm = LinearSVC(featuresCol="__x", labelCol="__one", weightCol="__weight", rawPredictionCol=f"__raw{i}", predictionCol=f"__pred{i}", maxIter=8, regParam=1e-3)
         out.append(svm.fit(ready.withColumn("__one", (F.col("__y") == i).cast("double"))))
     return out
 
 
 def _margins(df: DataFrame, machines: list) -> DataFrame:
-    """With ``__m``: the margins of all classes."""
+    """With ``__m``: the margins of all classes, -1 where there is no machine."""
     for m in machines:
-        df = m.transform(df)
-    return df.withColumn("__m", F.array(*[F.get(vector_to_array(m.getRawPredictionCol()), F.lit(1)) for m in machines]))
+        df = m.transform(df) if m is not None else df
+    margin = lambda m: F.lit(-1.0) if m is None else F.get(vector_to_array(m.getRawPredictionCol()), F.lit(1))
+    return df.withColumn("__m", F.array(*map(margin, machines)))
 
 
 def route(df: DataFrame, router: dict, text: Column) -> DataFrame:

@@ -24,6 +24,7 @@ def impute_quality(spark, sf):
 
 @query("route_language")
 def route_language(spark, sf):
-    rows = temporal_split(table(spark, sf, "benchmark").join(table(spark, sf, "documents").select(F.col("doc_id").alias("item_id"), "lang"), "item_id"), "item_id", "item_id")
-    router = M.train_router(rows.where(~F.col("is_test")), "lang", F.col("text"))
-    return M.route(rows.where("is_test"), router, F.col("text")).select("item_id", "lang", "predicted", "confidence")
+    pages = table(spark, sf, "pages").select("page_id", F.regexp_extract("html", '<html lang="([a-z]+)"', 1).alias("lang"), F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1).alias("title"))
+    rows = temporal_split(pages, "page_id", "page_id")
+    router = M.train_router(rows.where(~F.col("is_test")), "lang", F.col("title"))
+    return M.route(rows.where("is_test"), router, F.col("title")).select("page_id", "lang", "predicted", "confidence")
