@@ -26,13 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_arrow, map_rows, shared_path, table
+from tidemark.llm.common import Cache, map_arrow, map_rows, shared_path, table
 
 QUERY = "op3_simple8b_tokens"
 END_ID = 2
 BLOCK = 1024
 #: A file is closed once it holds this many ids.
-FILE_IDS = 1 << 19
+FILE_IDS = 1 << 18
 MAGIC = b"TMS8B001"
 #: Ids a word and bits an id, by selector; selector 1 marks an escape.
 COUNTS = np.array([240, 1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
@@ -46,26 +46,29 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.n
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint64)
+    # ranks: 0 for the id 0, then the first selector whose width holds the id; doubles round up to more bits at most
+    bits = np.frexp(ids.astype(np.float64))[1]
+    rank = np.append(0, np.searchsorted(WIDTHS[2:], np.arange(1, 66)) + 1).astype(np.int8)[bits]
+    rows = -(-n // block)
+    most = np.zeros((rows, block + int(COUNTS[0])), np.int8)  # what is past a block's end fits any selector
+    full = n // block
+    most[:full, :block] = rank[: full * block].reshape(full, block)
+    most[full:, : n - full * block] = rank[full * block :]
+    choice = np.full((rows, block), ESCAPE, np.int8)
+    span = 1  # most holds the largest rank of so many ids from each on
+    for s in range(15, -1, -1):  # ever more ids a word; the last that fits is the best
+        if s == ESCAPE:
+            continue
+        count = int(COUNTS[s])
+        while 2 * span <= count:
+            most = np.maximum(most[:, :-span], most[:, span:])
+            span *= 2
+        largest = np.maximum(most[:, :block], most[:, count - span : count - span + block])
+        np.copyto(choice, s, where=largest <= max(0, s - 1))
+    choice = choice.ravel()[:n]
     at = np.arange(n)
     ends = np.minimum((at // block + 1) * block, n)
     left = ends - at
-    choice = np.full(n, ESCAPE, np.int8)
-    # an id fits selector s if its rank is at most s - 2; doubles round up to more bits at most
-    bits = np.frexp(ids.astype(np.float64))[1]
-    reach = np.searchsorted(WIDTHS[2:], np.arange(66)).astype(np.int8)[bits]
-    for s in range(15, 1, -1):  # ever more ids a word; the last that fits is the best
-        wide = np.append(np.flatnonzero(reach > s - 2), n)
-        gaps = np.diff(wide, prepend=-1)
-        if gaps.max() > min(COUNTS[s], n):
-            run = np.repeat(wide, gaps)[:n] - at  # ids from here to the next that is too wide
-            choice[run >= np.minimum(COUNTS[s], left)] = s
-    if not ids.any():
-        choice[:] = 0
-    else:
-        wide = np.append(np.flatnonzero(ids), n)
-        gaps = np.diff(wide, prepend=-1)
-        if gaps.max() > COUNTS[0]:
-            choice[np.repeat(wide, gaps)[:n] - at >= COUNTS[0]] = 0
     step = np.minimum(COUNTS[choice], left)
     firsts = np.arange(0, n, block)
     pos, until, found = firsts.copy(), ends[firsts], []
@@ -144,53 +147,79 @@ _ENCODERS: dict[str, object] = {}
 
 
 class ByteLevelEncoder:
-    """Ids of the tokenizers library's byte-level BPE. Pieces that recur are looked up, not encoded anew.
+    """Ids of the tokenizers library's byte-level BPE. Runs between blanks that recur are looked up.
 
-    The pattern that cuts texts into pieces is applied here only to texts of characters whose classes
-    no Unicode version disputes; others, and those with a special token's string, go to the library whole.
+    The library cuts a text before every blank that something else than white space follows, so what
+    stands between two such blanks has ids of its own. Texts with other characters than those of
+    ``PLAIN``, with a blank before white space or at the end, or with a special token's string go to
+    the library whole.
     """
 
-    PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-    OTHER = r"[^\t\n\r -~¡-ɏ‐-‧€]"
-
-    def __init__(self, path: str, most: int = 600_000):
-        import regex
+    PLAIN = bytes([9, 10, 13, *range(32, 127), *range(161, 256)])  # in Latin-1
+    WIDE = ("  ", " \n", " \t", " \r")
+    MARKS = "!#$%&()*+,-./:;<=>?@[]^_`{|}~"
 
+    def __init__(self, path: str, most: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # else the library starts as many threads as the machine has cores
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.pieces, self.other = regex.compile(self.PIECES), regex.compile(self.OTHER)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.known, self.most = {}, most
-        size = self.library.get_vocab_size()
+        self.marks = Cache(lambda m: np.array(self.library.encode(m, add_special_tokens=False).ids, np.uint32).tobytes(), 10_000)
         #: Tokens that begin with a blank, in the library's alphabet for bytes.
-        self.blank = np.array([(self.library.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
-
-    def learn(self, pieces: list[str]) -> None:
-        """Encode pieces. Words after a blank go in one text, which the blanks cut again."""
-        lines, rest = [], []
-        for p in pieces:
-            (lines if len(p) > 1 and p[0] == " " and p[1:].isalpha() else rest).append(p)
-        groups = [lines[i : i + 64] for i in range(0, len(lines), 64)]
-        for group, got in zip(groups, self.library.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)):
+        self.blank = np.array([(self.library.id_to_token(i) or "").startswith("\u0120") for i in range(self.library.get_vocab_size())])
+
+    def plain(self, text: str) -> bool:
+        try:
+            if text.encode("latin-1").translate(None, self.PLAIN):
+                return False
+        except UnicodeEncodeError:
+            return False
+        return not (text.endswith(" ") or any(w in text for w in self.WIDE) or any(s in text for s in self.special))
+
+    def learn(self, runs: list[str]) -> None:
+        """Encode runs, 64 in one text; each token that begins with a blank begins a run.
+
+        Marks after a letter or digit are cut off by the library as well, so a word is encoded once
+        whatever marks follow it.
+        """
+        known, ends, bare = self.known, {}, {}
+        for run in runs:
+            if not run or run[-1].isalnum():
+                bare[run] = None
+                continue
+            word = run.rstrip(self.MARKS)
+            if word and word[-1].isalnum():
+                ends[run] = word
+                if word not in known:
+                    bare[word] = None
+            else:
+                bare[run] = None
+        bare = list(bare)
+        groups = [bare[i : i + 64] for i in range(0, len(bare), 64)]
+        for group, got in zip(groups, self.library.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False)):
             ids = np.array(got.ids, np.uint32)
             cuts = np.append(np.flatnonzero(self.blank[ids]), len(ids)) * 4
             raw = ids.tobytes()
-            for p, a, b in zip(group, cuts.tolist(), cuts[1:].tolist(), strict=False):
-                self.known[p] = raw[a:b]
-        for p, got in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False)):
-            self.known[p] = np.array(got.ids, np.uint32).tobytes()
+            for run, a, b in zip(group, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                known[run] = raw[a:b]
+        for run, word in ends.items():
+            known[run] = known[word] + self.marks[run[len(word) :]]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        plain = [not self.other.search(t) and not any(s in t for s in self.special) for t in texts]
-        cut = [self.pieces.findall(t) if p else () for t, p in zip(texts, plain)]
+        plain = [self.plain(t) for t in texts]
+        cut = [t.split(" ") if p else None for t, p in zip(texts, plain)]
+        first = [c[0] if c else t for c, t in zip(cut, texts)]
         if len(self.known) > self.most:
             self.known.clear()
         known = self.known
-        self.learn(list(set(chain.from_iterable(cut)).difference(known)))
-        whole = iter(self.library.encode_batch_fast([t for t, p in zip(texts, plain) if not p], add_special_tokens=False))
-        return [np.frombuffer(b"".join(map(known.__getitem__, c)), np.uint32) if p else np.array(next(whole).ids, np.uint32) for c, p in zip(cut, plain)]
+        self.learn(list(set(chain.from_iterable(c[1:] for c in cut if c)).difference(known)))
+        out = []
+        for c, got in zip(cut, self.library.encode_batch_fast(first, add_special_tokens=False)):
+            head = np.array(got.ids, np.uint32)
+            out.append(np.frombuffer(head.tobytes() + b"".join(map(known.__getitem__, c[1:])), np.uint32) if c else head)
+        return out
 
 
 def encoder(path: str) -> ByteLevelEncoder:
