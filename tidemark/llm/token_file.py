@@ -159,7 +159,7 @@ class ByteLevelEncoder:
     WIDE = ("  ", " \n", " \t", " \r")
     MARKS = "!#$%&()*+,-./:;<=>?@[]^_`{|}~"
 
-    def __init__(self, path: str, most: int = 700_000):
+    def __init__(self, path: str, most: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # else the library starts as many threads as the machine has cores
         from tokenizers import Tokenizer
 
