@@ -144,11 +144,7 @@ def cluster_terms(spark, sf):
     return A.cluster_labels(table(spark, sf, "documents"), "lang", X.tokens(F.col("text")))
 
 
-_GRAMS = r"""w AS (SELECT id, ' ' || unnest(list_filter(string_split_regex(lower(text), '\s+'), lambda x: x <> '')) || ' ' AS p FROM t),
-  g AS (SELECT id, substr(p, i, n) AS gram FROM w, range(2, 6) a(n), range(1, 64) b(i) WHERE n <= greatest(length(p), 2) AND i <= length(p) - n + 1)"""
-
-
-@query("char_ngrams", None)
+@query("char_ngrams")
 def char_ngrams(spark, sf):
     grams = F.explode(X.char_ngrams(F.col("text")))
     return table(spark, sf, "benchmark").select("item_id", grams.alias("gram")).groupBy("item_id", "gram").agg(F.count("*").alias("tf"))
