@@ -1,9 +1,9 @@
 """A corpus made ready for training: toxic texts out, copies out, benchmark leaks out, personal data
 masked, the rest encoded.
 
-Each stage takes (spark, docs, sf_dir) and keeps the columns of its documents but for the last. Rows
-without a doc_id can't be told apart by later joins: toxicity judges them by their text, near-dedup
-and decontamination keep them. An empty table passes through every stage.
+Each stage takes (spark, docs, sf_dir) and keeps the columns of its documents but for the last. Near-dedup
+judges rows by doc_id and text, those without a doc_id too; toxicity judges rows by their text;
+decontamination keeps rows without a doc_id. An empty table passes through every stage.
 """
 
 from __future__ import annotations
@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, pii, simhash, stream_bpe, toxicity
-from tidemark.llm.common import shared_path, table
+from tidemark.llm import copies, decontaminate, pii, stream_bpe, toxicity
+from tidemark.llm.common import checkpoint, shared_path, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,13 +23,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked texts the row with the smallest doc_id; of repeated rows, one."""
-    groups = simhash.near_duplicates(docs)
-    repeated = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    if not repeated.isEmpty():
-        docs = docs.dropDuplicates(["doc_id", "text"])
-    losers = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(losers, "doc_id", "left_anti").select(*docs.columns)
+    """Of each component of near copies (five-word shingles, similarity 0.8) the row with the smallest doc_id,
+    and of those with one doc_id, or with none, the row with the smallest key; of repeated rows, one."""
+    groups = checkpoint(copies.near_copies(docs))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k")
+    kept = groups.groupBy("root").agg(F.min(order).alias("least")).select(F.col("least.k").alias("__key"))
+    out = docs.withColumn("__key", copies.row_key()).join(kept, "__key", "left_semi")
+    if not groups.groupBy("k").count().where("count > 1").isEmpty():
+        out = out.dropDuplicates(["__key"])
+    return out.select(*docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

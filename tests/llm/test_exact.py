@@ -301,6 +301,48 @@ def test_simhash_rows(spark, odd, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_near_copies_are_all_pairs(spark, odd, empty):
+    import corpus_pipeline as pipe
+    from tidemark.llm import copies
+
+    r = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(400)]
+    common = [r.choice(vocabulary) for _ in range(30)]  # a passage that many texts hold
+    texts = []
+    for _ in range(25):
+        base = [r.choice(vocabulary) for _ in range(r.choice([3, 8, 60, 150]))] + common * r.randrange(2)
+        for _ in range(r.randrange(2, 9)):
+            w = list(base)
+            for _ in range(r.randrange(3)):
+                w[r.randrange(len(w))] = r.choice(vocabulary)
+            texts.append(" ".join(w) + r.choice(["", "\n"]))
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (None, "only here"), (None, "only here"), (3, "another text of the third id"), (7, None), (8, "")]
+    rows += [(0, texts[0])] * 2
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := (t or "").lower().split()) else set() for _, t in rows]
+    root = list(range(len(rows)))
+    near = 0
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] == sets[b] or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                near += sets[a] != sets[b]
+                x, y = root[a], root[b]
+                root = [min(x, y) if c in (x, y) else c for c in root]
+    assert near > 30
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {}
+    for x in copies.near_copies(df).join(df.withColumn("k", copies.row_key()).distinct().select("k", "text"), "k").collect():
+        got.setdefault(x.root, set()).add((x.doc_id, x.text))
+    want = {}
+    for row, c in zip(rows, root):
+        want.setdefault(c, set()).add(row)
+    assert sorted(map(repr, map(lambda g: sorted(g, key=repr), got.values()))) == sorted(map(repr, map(lambda g: sorted(g, key=repr), want.values())))
+    kept = [(x.doc_id, x.text) for x in pipe.drop_near_duplicates(spark, df, "").collect()]
+    assert len(kept) == len(want) and all(sum(k in g for k in kept) == 1 for g in want.values())
+    assert all(min((i is None, i or 0) for i, _ in g) in {(i is None, i or 0) for i, t in kept if (i, t) in g} for g in want.values())
+    assert pipe.drop_near_duplicates(spark, empty, "").count() == 0
+    assert pipe.drop_near_duplicates(spark, odd, "").count() == 6
+
+
 # ---- personal data
 
 
