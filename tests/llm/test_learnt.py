@@ -61,6 +61,15 @@ def test_scores_do_not_depend_on_company():
     assert high > 0.7 > low
 
 
+def test_scores_of_many_words_after_a_short_text():
+    net = toxicity.Network(["a", "b"], 3)
+    wide = lambda n, c: " ".join(c + "".join(chr(97 + int(d)) for d in str(i)) for i in range(n))
+    texts = ["a b", wide(500, "x"), "b a b", wide(101, "y"), wide(99, "z"), "a", wide(300, "q")]
+    assert len(set(toxicity.words(texts[1]))) == 500
+    alone = [toxicity.Scorer(net)([t])[0] for t in texts]
+    assert np.allclose(toxicity.Scorer(net, most=200)(texts), alone, atol=1e-6)
+
+
 @pytest.mark.parametrize("op", [quality, toxicity])
 def test_held_out_accuracy(spark, op):
     import tidemark.llm.common as common

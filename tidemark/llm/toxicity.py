@@ -253,12 +253,17 @@ class Scorer:
 
     def _runs(self, texts: list):
         """(first text, best logits) of runs of texts; a text with too many different words goes in parts."""
-        i = 0
+        i, ahead = 0, None
         while i < len(texts):
             held, size, j = [], 0, i
-            while j < len(texts) and (j == i or size < self.most // 2):
-                held.append(words(texts[j]))
-                size += len(held[-1])
+            while j < len(texts):
+                own = words(texts[j]) if ahead is None else ahead
+                if held and size + len(own) > self.most // 2:
+                    ahead = own  # opens the next run, so that a text beyond the bound stands alone
+                    break
+                ahead = None
+                held.append(own)
+                size += len(own)
                 j += 1
             if len(held) == 1 and size > self.most // 2:
                 n, best = self.most // 2 // STRIDE * STRIDE, -np.inf
