@@ -411,6 +411,23 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(d.where("false"), i).count() == 0 == decontaminate.contaminated(d, i.where("false")).count()
 
 
+def test_decontamination_tells_names_that_start_a_sentence(spark):
+    items = [
+        (1, "Tom has 5 apples. Tom gives 2 apples to Mary. Mary buys 3 more apples. How many apples does Mary have now?"),
+        (2, 'In 2009 Élodie sold 12 hats. "Élodie sold fewer," said the clerk (Karl). Karl counted 7 hats. Élodie then gave 4 hats to Karl. How many hats were left in the shop?'),
+    ]
+    docs = [
+        (1, "Intro.\nJohn has 7 apples. John gives 4 apples to Susan. Susan buys 9 more apples. How many apples does Susan have now? End."),
+        (2, "John has 7 apples. Peter gives 4 apples to Susan. Laura buys 9 more apples. How many apples does Emma have now?"),
+        (3, 'In 1999 Zoé sold 15 hats. "Zoé sold fewer," said the clerk (Udo). Udo counted 8 hats. Zoé then gave 6 hats to Udo. How many hats were left in the shop?'),
+        (5, "John has 7 pears. John eats 4 plums with Susan. Susan sells 9 more nuts. How many nuts does Susan want now?"),
+        (1, "Here is a clean text of the first id, about apples that nobody has."),
+    ]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = [(r.doc_id, r.item_id) for r in decontaminate.contaminated(d, i).collect()]
+    assert sorted(got) == [(1, 1), (3, 2)]
+
+
 def test_template_words(spark):
     text = "Then Alice bought 3.5 kg, and 12 apples for two dollars. Bob's a1 x\nThe end"
     got = spark.createDataFrame([(text,)], "t string").select(decontaminate.template_words(F.col("t"))).first()[0]

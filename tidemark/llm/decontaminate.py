@@ -8,7 +8,9 @@ item's values must have one value of the document's, wherever it occurs, or the
 A document holds an item if at least ``SHARE`` of the item's windows are left.
 
 A name is a word with a capital and a small letter after a lower-case letter, comma or semicolon and
-a blank. A number is a word that starts with a digit, marks between digits included, or one of
+a blank. That leaves out names that start a sentence or follow a figure, quote or bracket, so there is a
+second template, where every word that starts with a capital and a small letter is a name; an item is
+found by either, and the one that has more of its windows is reported. A number is a word that starts with a digit, marks between digits included, or one of
 ``NUMBER_WORDS``; a unit is one of ``UNITS``. Words are compared in lower case.
 
 Edge cases: a null or empty text, and an item of fewer than WINDOW words or with no telling window,
@@ -35,9 +37,10 @@ NUMBER_WORDS = "two three four five six seven eight nine ten eleven twelve twent
 UNITS = "kg mg km cm mm mi mile miles feet ft inch inches ml liter liters litre litres hour hours minute minutes second seconds day days week weeks month months year years dollar dollars euro euros pound pounds cent cents percent degree degrees"
 
 
-def template_words(text: Column) -> Column:
-    """The text's words in lower case, names with a mark before them."""
-    marked = F.regexp_replace(F.coalesce(text, F.lit("")), r"\p{Lu}(?<=[a-z,;] .)(?=\p{Ll})", NAME_MARK + "$0")
+def template_words(text: Column, capitals: bool = False) -> Column:
+    """The text's words in lower case, names (or all words with capitals) with a mark before them."""
+    before = r"(?<![\p{L}\p{N}].)" if capitals else r"(?<=[a-z,;] .)"
+    marked = F.regexp_replace(F.coalesce(text, F.lit("")), rf"\p{{Lu}}{before}(?=\p{{Ll}})", NAME_MARK + "$0")
     # a mark between digits belongs to the number
     cut = F.split(F.lower(marked), rf"(?:[^\p{{L}}\p{{N}}{NAME_MARK}](?!(?<=[0-9].)[0-9]))+")
     return F.filter(cut, lambda w: w != "")
@@ -50,10 +53,10 @@ def placeholder(word: Column) -> Column:
     return F.when(first == ord(NAME_MARK), NAME).when(number, NUMBER).when(word.isin(UNITS.split()), UNIT)
 
 
-def windows(rows: DataFrame, id_col: str, text_col: str, names: tuple[str, ...], window: int = WINDOW) -> DataFrame:
+def windows(rows: DataFrame, id_col: str, text_col: str, names: tuple[str, ...], window: int = WINDOW, capitals: bool = False) -> DataFrame:
     """(id, pos, key, first, last, literals): a row a window. key is a hash of its template; first and
     last are hashes of what stands in the slots at its ends, null where there is none."""
-    words = rows.select(F.col(id_col).cast("long").alias(names[0]), template_words(F.col(text_col)).alias("w"))
+    words = rows.select(F.col(id_col).cast("long").alias(names[0]), template_words(F.col(text_col), capitals).alias("w"))
     hashed = words.select(names[0], "w", F.transform("w", lambda w: F.coalesce(placeholder(w).cast("long"), F.xxhash64(w))).alias("h"), F.size("w").alias("n")).where(F.col("n") >= window)
     is_slot = lambda h: h.between(NUMBER, UNIT)
     slots = F.when(F.exists("h", is_slot), F.transform("w", lambda w, i: F.when(is_slot(F.get("h", i)), F.xxhash64(w))))
@@ -68,11 +71,19 @@ def windows(rows: DataFrame, id_col: str, text_col: str, names: tuple[str, ...],
 
 def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
     """(doc_id, item_id, n_windows, n_matched) for each document that holds a benchmark item."""
-    own = windows(items.dropDuplicates(["item_id", "text"]), "item_id", "text", ("item_id", "ipos", "ifirst", "ilast"), window)
+    found = _found(docs, items, window, share, False).unionByName(_found(docs, items, window, share, True))
+    # equal shares: the one of more windows
+    best = F.max(F.struct((F.col("n_matched") / F.col("n_windows")).alias("share"), "n_windows", "n_matched")).alias("best")
+    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.n_windows", "best.n_matched")
+
+
+def _found(docs: DataFrame, items: DataFrame, window: int, share: float, capitals: bool) -> DataFrame:
+    """``contaminated`` by one of the two templates."""
+    own = windows(items.dropDuplicates(["item_id", "text"]), "item_id", "text", ("item_id", "ipos", "ifirst", "ilast"), window, capitals)
     own = checkpoint(own.where(F.col("literals") >= LITERALS).drop("literals"))
     whole = own.groupBy("item_id").agg(F.count_distinct("ipos").alias("n_windows"))
     side = F.broadcast(own) if own.count() <= BROADCAST_WINDOWS else own
-    rows = windows(docs, "doc_id", "text", ("doc_id", "pos", "dfirst", "dlast"), window).drop("literals")
+    rows = windows(docs, "doc_id", "text", ("doc_id", "pos", "dfirst", "dlast"), window, capitals).drop("literals")
     found = rows.join(side, "key")
     pair = lambda i, d: F.collect_set(F.when(F.col(i).isNotNull(), F.struct(F.col(i).alias("i"), F.col(d).alias("d"))))
     # along one alignment a window of the item is met once at most, so these sets are no longer than an item
