@@ -1,9 +1,8 @@
 """A corpus made ready for training: toxic texts out, copies out, benchmark leaks out, personal data
 masked, the rest encoded.
 
-Each stage takes (spark, docs, sf_dir) and keeps the columns of its documents but for the last. Near-dedup
-judges rows by doc_id and text, those without a doc_id too; toxicity judges rows by their text;
-decontamination keeps rows without a doc_id. An empty table passes through every stage.
+Each stage takes (spark, docs, sf_dir) and keeps the columns of its documents but for the last. Each
+row is judged by its own text, whether its doc_id is null or repeated. An empty table passes through every stage.
 """
 
 from __future__ import annotations
@@ -35,9 +34,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that hold no benchmark item."""
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """Rows that hold no benchmark item; each row is judged by its own text."""
+    keyed = docs.withColumn("__key", copies.row_key())
+    texts = keyed.select(F.col("__key").alias("doc_id"), "text")
+    found = decontaminate.contaminated(texts, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("__key")).distinct()
+    return keyed.join(found, "__key", "left_anti").select(*docs.columns)
 
 
 def mask_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

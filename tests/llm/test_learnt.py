@@ -112,3 +112,18 @@ def test_pipeline_stages(spark, tmp_path):
         if name == "pii":
             assert docs.where(F.col("text").rlike(r"[A-Za-z0-9]@[a-z0-9-]+\.[a-z]")).count() == 0
     assert before == columns and docs.where("n_tokens <> size(ids)").count() == 0 and docs.count() > 800
+
+
+def test_pipeline_judges_each_row_by_its_text(spark, tmp_path):
+    import corpus_pipeline as pipe
+
+    leak, clean = "the small grey cat sat on the old mat in a warm room all day long", "a clean text about nothing that any question asks of anyone"
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(1, leak), (1, clean), (None, leak), (None, clean), (None, None), (2, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(x.doc_id, x.text) for x in pipe.drop_benchmark(spark, docs, str(tmp_path)).collect()}
+    assert got == set(rows) - {(1, leak), (None, leak)}
+    # of a doc_id's two texts, the copy of a smaller doc_id goes and the other stays; so do rows without a doc_id
+    rows = [(0, leak), (5, leak), (5, clean), (None, clean), (None, "alone"), (None, "alone"), (6, "once more"), (6, "ONCE  more")]
+    got = sorted(pipe.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect(), key=repr)
+    assert [(x.doc_id, x.text) for x in got if x.doc_id != 6] == [(0, leak), (5, clean), (None, "alone")] and len(got) == 4
