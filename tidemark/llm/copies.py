@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import Cache, checkpoint, map_arrow, map_rows
 from tidemark.llm.simhash import components
 
-WORDS, SIMILAR = 5, 0.8
+WORDS, SIMILAR, PARITIES = 5, 0.8, 512
+#: Keys of rows whose texts are to be compared are broadcast up to so many; beyond, both sides are shuffled.
+BROADCAST_ROWS = 500_000
 #: One document in SAMPLE tells which shingles are frequent: those in at least FREQUENT of them, MOST_FREQUENT at most.
 SAMPLE, FREQUENT, MOST_FREQUENT = 16, 4, 200_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -79,26 +81,28 @@ def _frequent(docs: DataFrame, id_col: str, text_col: str) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, id_col: str, text_col: str, frequent: np.ndarray) -> DataFrame:
-    """(k, doc_id, t, n, p): the row's key, a hash of its shingle set, the set's size and its first shingles."""
+    """(k, doc_id, t, n, p, x): the row's key, a hash of its shingle set, the set's size, first shingles and parities."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def batch(b):
         import xxhash
 
         hashes, late = word_hashes(), sent.value
-        t, n, p = [], [], []
+        t, n, p, x = [], [], [], []
         for text in b.column(1).to_pylist():
             s = shingles(text, hashes)
             t.append(xxhash.xxh64_intdigest(s.tobytes()))
             n.append(len(s))
+            odd = np.bincount((s % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+            x.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
             if len(late):
                 common = late[np.minimum(np.searchsorted(late, s), len(late) - 1)] == s
                 s = np.concatenate([s[~common], s[common]])
             p.append(s[: len(s) - needed(len(s)) + 1].view(np.int64))
-        return {"k": b.column(2), "doc_id": b.column(0), "t": pa.array(np.array(t, np.uint64).view(np.int64)), "n": n, "p": pa.array(p, pa.list_(pa.int64()))}
+        return {"k": b.column(2), "doc_id": b.column(0), "t": pa.array(np.array(t, np.uint64).view(np.int64)), "n": n, "p": pa.array(p, pa.list_(pa.int64())), "x": pa.array(x, pa.list_(pa.int64()))}
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("k"))
-    return map_rows(rows, batch, "k long, doc_id long, t long, n int, p array<long>")
+    return map_rows(rows, batch, "k long, doc_id long, t long, n int, p array<long>, x array<long>")
 
 
 def _groups(batches):
@@ -164,29 +168,40 @@ def _pairs(batches):
     yield from _batches(run(), ["u", "v"])
 
 
-def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose sets are as similar as SIMILAR."""
+def possible(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose parities leave them possible."""
+    side = rows.select("t", "n", "x").dropDuplicates(["t"])
+    joined = pairs.join(side.toDF("u", "m", "a"), "u").join(side.toDF("v", "n", "b"), "v")
+    differ = F.aggregate(F.zip_with("a", "b", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, c: s + c)
+    return joined.where(differ <= F.lit((1 - SIMILAR) / (1 + SIMILAR) + 1e-9) * (F.col("m") + F.col("n"))).select("u", "v")
+
+
+def similar(pairs: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose sets are as similar as SIMILAR; docs has (k, text)."""
+    pairs = checkpoint(possible(pairs, rows))
+    either = pairs.select(F.explode(F.array("u", "v")).alias("t")).distinct()
+    # of each set the text of one row
+    some = checkpoint(rows.select("t", "k").join(either, "t", "left_semi").groupBy("t").agg(F.min("k").alias("k")))
+    some = F.broadcast(some) if some.count() <= BROADCAST_ROWS else some
+    sets = _sets(docs.join(some, "k").select("t", "text")).dropDuplicates(["t"])
     both = F.size(F.array_intersect("a", "b"))
-    joined = pairs.join(sets.select(F.col("t").alias("u"), F.col("s").alias("a")), "u").join(sets.select(F.col("t").alias("v"), F.col("s").alias("b")), "v")
-    return joined.where(both >= F.lit(SIMILAR - 1e-12) * (F.size("a") + F.size("b") - both)).select("u", "v")
+    joined = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v")
+    return checkpoint(joined.where(both >= F.lit(SIMILAR - 1e-12) * (F.size("a") + F.size("b") - both)).select("u", "v"))
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(k, doc_id, root) for each row: its key, its id and its component of near copies."""
     rows = checkpoint(prefixes(docs, id_col, text_col, _frequent(docs, id_col, text_col)))
+    texts = docs.select(row_key(id_col, text_col).alias("k"), F.col(text_col).alias("text"))
     firsts = rows.select(F.explode("p").alias("h"), "t", "n")
     sort = lambda df: df.repartition("h").sortWithinPartitions("h")
     shared = checkpoint(map_arrow(sort(firsts), _shared, "h long, t long, n long, c long, cn long"))
     close = F.greatest("n", "cn") * F.lit(SIMILAR - 1e-12) <= F.least("n", "cn")
     star = shared.where(close & (F.col("t") != F.col("c"))).select(F.least("t", "c").alias("u"), F.greatest("t", "c").alias("v")).distinct()
-    # of each set that has a partner, the text of one row
-    some = rows.join(shared.select("t").distinct(), "t", "left_semi").groupBy("t").agg(F.min("k").alias("k"))
-    texts = docs.select(row_key(id_col, text_col).alias("k"), F.col(text_col).alias("text")).join(some, "k").select("t", "text")
-    sets = checkpoint(_sets(texts).dropDuplicates(["t"]))
-    first = checkpoint(similar(star, sets))
+    first = similar(star, rows, texts)
     roots = components(first)
     known = shared.join(roots.withColumnRenamed("node", "t"), "t", "left").select("h", "t", "n", F.coalesce("root", "t").alias("root"))
     rest = map_arrow(sort(known), _pairs, "u long, v long").distinct()
-    links = first.unionByName(similar(rest, sets))
+    links = first.unionByName(similar(rest, rows, texts))
     final = components(links).withColumnRenamed("node", "t")
     return rows.join(final, "t", "left").select("k", "doc_id", F.coalesce("root", "t").alias("root"))
