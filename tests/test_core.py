@@ -30,6 +30,13 @@ def test_junk_and_resolution(spark):
     assert values(spark, text.has_resolution, [None, "", "10", "Replaced cable"]) == [False, False, False, True]
 
 
+def test_coercions(spark):
+    given = ["2024-01-02 03:04:05", "02/01/2024 03:04", "2024/01/02", "nonsense", None]
+    assert values(spark, time.to_datetime, given) == [dt.datetime(2024, 1, 2, 3, 4, 5), dt.datetime(2024, 1, 2, 3, 4), dt.datetime(2024, 1, 2), None, None]
+    assert values(spark, text.not_blank, [" x ", " \u00a0", "", None]) == [True, False, False, False]
+    assert values(spark, lambda c: text.truncate(c, 2), ["abc", "a", None]) == ["ab", "a", None]
+
+
 def test_epoch_and_features(spark):
     assert values(spark, time.parse_epoch, [None, "", "abc", "0", "1700000000123"]) == [None, None, None, dt.datetime(1970, 1, 1), dt.datetime(2023, 11, 14, 22, 13, 20, 123000)]
     row = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-01 10:00:00' a, TIMESTAMP_NTZ '2024-01-01 11:30:00' b")
@@ -37,6 +44,39 @@ def test_epoch_and_features(spark):
     assert tuple(got) == (10, 0, 1, 1.5)
 
 
+def parsed_text(t):
+    """What the standard library's parser makes of a fragment."""
+    from html.parser import HTMLParser
+
+    class Text(HTMLParser):
+        parts, hidden = (), 0
+
+        def handle_starttag(self, tag, attrs):
+            self.hidden += tag in ("script", "style")
+
+        def handle_endtag(self, tag):
+            self.hidden -= tag in ("script", "style") and self.hidden > 0
+
+        def handle_data(self, data):
+            self.parts = (*self.parts, data) if not self.hidden else self.parts
+
+    p = Text()
+    p.feed(t or "")
+    p.close()
+    return " ".join(" ".join(p.parts).split())
+
+
+def test_html_as_parsed(spark):
+    given = [
+        "&lt;b&gt; &#65;&#x42; &eacute;&euro; &notanentity; &copy 2 &amp;lt; &#128; &#0; a&b a & b &ltx", '<a title="x > y">t</a>', "1 < 2 and 3 > 2", "<br/>a<br>b", "<style>p{}</style>x<script>a<b</script>y",
+        "<!-- <b> -->z", "<p>unclosed", "&#55296; &#1114112;", "<!DOCTYPE html><p>x</p>", None, "",
+    ]
+    assert values(spark, text.clean_html, given) == [parsed_text(t) for t in given]
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html")
+    got = pages.select("html", text.clean_html(F.col("html")).alias("t")).collect()
+    assert all(r.t == parsed_text(r.html) for r in got) and len(got) > 20
+
+
 def test_html(spark):
     given = [None, "<p>a&amp;b</p>", "d&nbsp;&nbsp;e", "<b>x</b><i>y</i>", "<script>no</script>z<!-- c -->"]
     assert values(spark, text.clean_html, given) == ["", "a&b", "d e", "x y", "z"]
@@ -122,6 +162,50 @@ def test_evaluation(spark):
     assert evaluation.confusion(both, "t", "p", ["a", "b", "c"]).groupBy().sum("a", "b", "c").first() == (1, 2, 0)
 
 
+def test_temporal_split_with_other_columns(spark):
+    rows = spark.range(40_000).selectExpr("(id * 7919) % 40000 as k", "if(id % 11 = 0, null, timestamp_millis(cast((id * 31) % 997 as bigint) * 86400000)) as ts", "repeat(cast(id as string), 5) as payload", "id % 3 as other").repartition(8)
+    got = evaluation.temporal_split(rows, "ts", "k", parts=8)
+    assert got.columns == ["k", "ts", "payload", "other", "is_test"]
+    pairs = [(r.k, r.is_test) for r in got.select("k", "ts", "is_test", "payload").orderBy(F.col("ts").asc_nulls_last(), "k").collect()]
+    assert [t for _, t in pairs] == [i >= 32_000 for i in range(40_000)]
+    assert evaluation.temporal_split(rows.where("false"), "ts", "k").count() == 0
+    # rows that are repeated in full stay together
+    same = spark.createDataFrame([(1, None, "x")] * 7 + [(0, None, "x")], "k int, ts timestamp_ntz, p string")
+    assert {r.is_test for r in evaluation.temporal_split(same, "ts", "k").where("k = 1").collect()} in ({True}, {False})
+
+
+def test_stratified_split_and_folds(spark):
+    rows = spark.range(10_000).selectExpr("id as k", "case when id % 100 = 0 then 'c' when id % 3 = 0 then null else 'a' end as l", "'p' as payload")
+    got = evaluation.stratified_split(rows, "l", "k", 0.25).groupBy("l").agg(F.count("*").alias("n"), F.count_if("is_test").alias("t")).collect()
+    assert all(r.t == r.n // 4 for r in got) and len(got) == 3
+    many = spark.range(3000).selectExpr("cast(if(id < 1000, 0, id % 500) as string) as l", "id")
+    want = {r.l: r.n for r in many.groupBy("l").agg(F.count("*").alias("n")).where("n >= 5").collect()}
+    for most in (evaluation.BROADCAST_ROWS, 8):
+        old, evaluation.BROADCAST_ROWS = evaluation.BROADCAST_ROWS, most
+        try:
+            folded = {r.l: r.n for r in evaluation.fold_rare(many, "l", 5).groupBy("l").agg(F.count("*").alias("n")).collect()}
+        finally:
+            evaluation.BROADCAST_ROWS = old
+        assert {k: v for k, v in folded.items() if k != "__other__"} == want and sum(folded.values()) == 3000
+    first = analytics.first_per_key(spark.createDataFrame([(1, 2, "b"), (1, None, "n"), (None, 1, "x"), (None, 0, "y")], "k int, o int, v string"), ["k"], ["o"])
+    assert {(r.k, r.v) for r in first.collect()} == {(1, "n"), (None, "y")}
+
+
+def test_index_and_thresholds(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "printer jam on floor two", "replaced the roller and cleaned it"), (2, "printer jam again", "replaced the roller and cleaned it"), (3, "vpn down", "restarted the gateway service now"), (4, "vpn down at home", "done")], "id int, t string, r string").withColumn("s", F.lit("Closed"))
+    usable = retrieval.resolved(docs, "s", "r")
+    assert usable.count() == 3 and retrieval.resolved(docs.withColumn("s", F.lit("Open")), "s", "r").count() == 0
+    grams = text.char_ngrams(F.col("t"))
+    retrieval.build_index(docs, "id", grams, str(tmp_path / "ix"), ["r"])
+    found = retrieval.query_index(spark.createDataFrame([(9, "printer jam")], "id int, t string"), "id", grams, str(tmp_path / "ix"), 2).orderBy("rank").collect()
+    assert {r.doc_id for r in found} == {1, 2} and found[0].r.startswith("replaced")
+    w = retrieval.weights(retrieval.term_counts(usable, "id", grams), "id", min_df=1)
+    hits = retrieval.similar(w, w, "id", 1)
+    answers = retrieval.weights(retrieval.term_counts(usable, "id", text.word_ngrams(F.col("r"))), "id", min_df=1)
+    got = {r.threshold: (r.n_queries, r.hits_at_1) for r in retrieval.recall_at_thresholds(hits, answers, "id", 1).collect()}
+    assert set(got) == {0.5, 0.6, 0.8} and got[0.8][1] == 2
+
+
 def test_retrieval_leaves_itself_out(spark):
     docs = spark.createDataFrame([(1, "red car"), (2, "red car fast"), (3, "blue sky"), (4, "blue car")], "id int, t string")
     w = retrieval.weights(retrieval.term_counts(docs, "id", text.word_ngrams(F.col("t"))), "id")
@@ -160,6 +244,8 @@ def test_generic_flattening(spark):
     record = {"t": {"value": "1700000000123", "display_value": "x"}, "s": {"name": "A", "id": "1"}, "n": {"name": None, "id": "1"}, "o": {"id": "1"}, "l": [1, 2], "x": 5, "z": None}
     rows = spark.createDataFrame([(json.dumps(record),)], "j string").select(F.parse_json("j").alias("record"))
     got = tables.flatten_generic(rows).first().asDict()
+    odd = spark.createDataFrame([('{"it\'s": 1, "a\\"b": "x", "c.d": [1]}',)], "j string").select(F.parse_json("j").alias("record"))
+    assert tables.flatten_generic(odd).first().asDict() == {"it's": "1", 'a"b': "x", "c.d_count": 1}
     assert got == {"l_count": 2, "n": None, "o": "1", "s": "A", "t": dt.datetime(2023, 11, 14, 22, 13, 20, 123000), "x": "5", "z": None}
 
 
@@ -171,6 +257,7 @@ def test_pages_and_dedup(spark):
 
 class Server(BaseHTTPRequestHandler):
     failures = {"left": 0}
+    cap, total, more = 100, True, True
     rows = [{"id": str(i), "subject": f"s{i}"} for i in range(1, 26)]
 
     def do_GET(self):
@@ -181,8 +268,9 @@ class Server(BaseHTTPRequestHandler):
         if "input_data" in (q := parse_qs(url.query)):
             info = json.loads(q["input_data"][0])["list_info"]
             a, n = info["start_index"], info["row_count"]
-            part = self.rows[a - 1 : a - 1 + n]
-            return self.say(200, {"requests": part, "list_info": {"has_more_rows": a - 1 + n < len(self.rows), "start_index": a, "total_count": len(self.rows)}})
+            part = self.rows[a - 1 : a - 1 + min(n, self.cap)]
+            said = {"start_index": a} | ({"total_count": len(self.rows)} if self.total else {}) | ({"has_more_rows": a - 1 + len(part) < len(self.rows)} if self.more else {})
+            return self.say(200, {"requests": part, "list_info": said})
         return self.say(404 if url.path.endswith("notes") else 200, {"request": {"id": url.path.rsplit("/", 1)[-1]}})
 
     def say(self, status, value):
@@ -219,7 +307,33 @@ def test_rest_source(spark, server, tmp_path):
     ids = spark.createDataFrame([("1",), ("2",), ("2",)], "id string")
     got = rest.fetch_details(ids, ids.limit(1), "requests", rest.Settings(server)).collect()
     assert [r.id for r in got] == ["2"] and got[0].error is None
-    assert files.land_pages(client.pages("requests"), str(tmp_path), "requests") == [str(i) for i in range(1, 26)] and files.modules_in(str(tmp_path)) == ["requests"]
+    raw = str(tmp_path)
+    assert files.land_pages(spark, client.pages("requests"), raw, "requests") == [str(i) for i in range(1, 26)] and files.modules_in(spark, raw) == ["requests"]
+
+    def broken():
+        yield {"requests": [{"id": "new"}]}
+        raise OSError("gone")
+
+    with pytest.raises(OSError):
+        files.land_pages(spark, broken(), raw, "requests")
+    assert files.page_records(files.read_pages(spark, f"{raw}/requests"), "requests").count() == 25 and files.modules_in(spark, raw) == ["requests"]
+    rows, module = files.sample(spark, f"{raw}/requests/page_0001.json:requests")
+    assert rows.count() == 10 and module == "requests"
+
+
+@pytest.mark.parametrize("cap, total, more", [(10, True, True), (100, False, True), (7, False, True), (7, True, False), (3, True, True)])
+def test_rest_source_is_complete(spark, server, monkeypatch, cap, total, more):
+    """Servers that cap pages, tell no total, or (more: False) leave out whether there is more."""
+    monkeypatch.setattr(Server, "cap", cap)
+    monkeypatch.setattr(Server, "total", total)
+    monkeypatch.setattr(Server, "more", more)
+    rest.register(spark)
+    read = spark.read.format("tickets").option("url", server).option("page_size", 10).option("pages_per_task", 1)
+    got = read.load()
+    ids = [str(i) for i in range(1, 26)]
+    assert sorted((r.id for r in got.collect()), key=int) == ids
+    assert [r.id for r in got.orderBy("page", "position").collect()] == ids
+    assert sorted((r.id for r in read.option("limit", 12).load().collect()), key=int) == ids[:12]
 
 
 def test_rest_helpers():
@@ -230,6 +344,11 @@ def test_rest_helpers():
     assert [rest.throttle_wait(n) for n in (1, 2, 5, 9)] == [30, 60, 300, 300]
     assert rest.is_throttle(400, '{"response_status": {"status_code": 4001}}') and not rest.is_throttle(400, "x")
     assert rest.Settings.from_env({"TICKETS_URL": "http://x/api/v3/", "TICKETS_PAGE_SIZE": "500"}) == rest.Settings("http://x", page_size=100)
+    assert rest.base_url("https://x/API/V3/") == "https://x"
+    assert rest.dotenv("# c\nexport A=1\nB = 'x # y'\nC=2 # z\n") == {"A": "1", "B": "x # y", "C": "2"}
+    with pytest.raises(ValueError, match="key"):
+        rest.Settings("http://x").connected()
+    assert rest.Settings.from_env({"TICKETS_URL": "http://x", "TICKETS_VERIFY": "off"}).verify is False
     assert rest.records({"a": 1, "b": [{"id": 1}]}, "requests") == [{"id": 1}] and rest.records({"a": [1]}, "requests") == []
 
 

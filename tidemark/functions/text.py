@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import html
-from html.parser import HTMLParser
+import json
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # The scripts that language detection tells apart, and the share from which a text is mixed.
 ARABIC, LATIN = "[\\u0600-\\u06FF]", "[A-Za-z]"
@@ -65,6 +63,16 @@ def subject_and_body(subject: Column, body: Column) -> Column:
     return strip(F.concat(F.coalesce(subject, F.lit("")), F.lit(". "), F.coalesce(body, F.lit(""))))
 
 
+def not_blank(c: Column, least: int = 1) -> Column:
+    """Whether there are ``least`` characters or more between white space; null has none."""
+    return F.length(strip(F.coalesce(c.cast("string"), F.lit("")))) >= least
+
+
+def truncate(c: Column, most: int) -> Column:
+    """The first ``most`` characters."""
+    return F.substring(c, 1, most)
+
+
 def strip_signature(c: Column, longest_first: bool = False) -> Column:
     """Without closings and what follows them on their line, white space collapsed.
 
@@ -117,34 +125,45 @@ def clean_markup(c: Column) -> Column:
     return collapse(F.coalesce(c, F.lit("")))
 
 
-class _Text(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.parts, self.hidden = [], 0
-
-    def handle_starttag(self, tag, attrs):
-        self.hidden += tag in ("script", "style")
-
-    def handle_endtag(self, tag):
-        self.hidden -= tag in ("script", "style") and self.hidden > 0
-
-    def handle_data(self, data):
-        if not self.hidden:
-            self.parts.append(data)
-
-
-@F.pandas_udf(StringType())
-def clean_html(texts: pd.Series) -> pd.Series:
-    """The text of an HTML fragment with every entity resolved; null is ''."""
-
-    def one(t):
-        if not isinstance(t, str):
-            return ""
-        if "<" not in t:
-            return " ".join(html.unescape(t).split())
-        p = _Text()
-        p.feed(t)
-        p.close()
-        return " ".join(" ".join(p.parts).split())
-
-    return texts.map(one)
+_TAGS = (
+    r"(?is)<(?:script|style)\b.*?(?:</(?:script|style)\s*>|\z)",
+    r"(?s)<!--.*?-->",
+    r"""</?[A-Za-z][^>"']*+(?:"[^"]*"[^>"']*+|'[^']*'[^>"']*+)*+>""",
+    r"<[A-Za-z/!?][^>]*>",
+)
+#: Named entities, with ``;`` or (an old few) without; numbers 128 to 159 stand for what Windows shows.
+_NAMED = json.dumps(html5)
+_BARE = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
+_ENTITY = rf"&(?:#[0-9]{{1,7}};?|#[xX][0-9a-fA-F]{{1,6}};?|[A-Za-z][A-Za-z0-9]{{1,31}};|(?:{_BARE}))"
+_SHOWN = "".join(bytes([i]).decode("cp1252", "replace") for i in range(128, 160))
+
+
+def unescape(c: Column) -> Column:
+    """The text with every HTML entity resolved; what is none stays."""
+    names = F.from_json(F.lit(_NAMED), "map<string,string>")
+    entity = F.lit(_ENTITY)
+
+    def character(code):
+        code = F.when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), 0xFFFD).otherwise(code)
+        plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(code.between(128, 159), F.substring(F.lit(_SHOWN), (code - 127).cast("int"), F.lit(1))).otherwise(plain)
+
+    def value(m):
+        body = F.substring(m, F.lit(2), F.length(m))
+        number = F.regexp_replace(body, "[#xX;]", "")
+        hexed = F.substring(body, 2, 1).isin("x", "X")
+        code = F.when(hexed, F.conv(number, 16, 10)).otherwise(number).cast("bigint")
+        bare = F.regexp_extract(body, f"^({_BARE})", 1)
+        named = F.coalesce(F.try_element_at(names, body), F.when(bare != "", F.concat(F.try_element_at(names, bare), F.substring(body, F.length(bare) + 1, F.length(body)))), m)
+        return F.when(body.startswith("#"), character(code)).otherwise(named)
+
+    between, found = F.split(c, _ENTITY, -1), F.regexp_extract_all(c, entity, F.lit(0))
+    joined = F.array_join(F.zip_with(between, F.transform(found, value), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    return F.when(F.instr(c, "&") > 0, joined).otherwise(c)
+
+
+def clean_html(c: Column) -> Column:
+    """The text of an HTML fragment, its parts parted by blanks, with every entity resolved; null is ''."""
+    for pattern in _TAGS:
+        c = F.regexp_replace(c, pattern, " ")
+    return collapse(F.coalesce(unescape(c), F.lit("")))

@@ -57,3 +57,9 @@ def ape(actual: Column, predicted: Column) -> Column:
 def edge(naive: Column, model: Column) -> Column:
     """How much smaller the model's error is, as a share of the naive one; 0 if that is 0."""
     return F.when(naive == 0, 0.0).otherwise((naive - model) / naive)
+
+
+def to_datetime(c: Column) -> Column:
+    """A text as a timestamp, each value by its own form; what is none is null."""
+    forms = ("yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]", "yyyy/MM/dd[ HH:mm[:ss]]", "dd/MM/yyyy[ HH:mm[:ss]]", "dd-MM-yyyy[ HH:mm[:ss]]")
+    return F.coalesce(c.try_cast("timestamp_ntz"), *[F.try_to_timestamp(c, F.lit(f)).cast("timestamp_ntz") for f in forms])

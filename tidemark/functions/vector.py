@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -24,21 +22,28 @@ def normalize(a: Column) -> Column:
     return F.transform(a, lambda x: F.when(size > 0, x / size).otherwise(x.cast("double")))
 
 
-def hashed_embedding(text: Column, dimensions: int = 128, model: str = "hashed-grams-1") -> Column:
+MODEL = "hashed-grams-2"
+
+
+def gram_vector(text: str | None, dimensions: int) -> np.ndarray:
+    """Signed counts of hashed character 3-grams of a text in lower case, at unit length; none give zeros."""
+    points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) if text else np.zeros(0, np.uint64)
+    if len(points) < 3:
+        return np.zeros(dimensions, np.float32)
+    h = (points[:-2] * np.uint64(0x9E3779B97F4A7C15)) ^ (points[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F)) ^ (points[2:] * np.uint64(0x165667B19E3779F9))
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    v = np.bincount((h % np.uint64(dimensions)).astype(np.int64), np.where(h >> np.uint64(63), 1.0, -1.0), dimensions)
+    n = np.linalg.norm(v)
+    return (v / n if n else v).astype(np.float32)
+
+
+def hashed_embedding(text: Column, dimensions: int = 128) -> Column:
     """A unit vector of signed, hashed character 3-grams: a stand-in that needs no model files."""
 
     @F.pandas_udf("array<float>")
     def embed(texts: pd.Series) -> pd.Series:
-        def one(t):
-            v = np.zeros(dimensions, np.float32)
-            line = f" {t.lower()} " if isinstance(t, str) else ""
-            for i in range(len(line) - 2):
-                h = int.from_bytes(hashlib.blake2b(f"{model}:{line[i : i + 3]}".encode(), digest_size=8).digest(), "little")
-                v[h % dimensions] += 1 if h >> 63 else -1
-            n = np.linalg.norm(v)
-            return v / n if n else v
-
-        return texts.map(one)
+        return texts.map(lambda t: gram_vector(t if isinstance(t, str) else None, dimensions))
 
     return embed(text)
 

@@ -97,9 +97,13 @@ def recommend(df: DataFrame, group: str, overdue: Column) -> DataFrame:
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The first row of each key in the given order."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    """The first row of each key in the given order, nulls first.
+
+    An aggregate, so each task sends one row a key on, however often a key is repeated.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    best = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__first"))
+    return best.select(*[F.col(c) if c in keys else F.col("__first")[c].alias(c) for c in df.columns])
 
 
 def cluster_summary(df: DataFrame, cluster: str, modes: Sequence[str], top: int = 10) -> DataFrame:

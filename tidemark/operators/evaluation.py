@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.runtime import BROADCAST_ROWS, checkpoint, small
+
 # What is known when a ticket is made, and what only comes later.
 AT_CREATION = (
     "subject description short_description template site is_service_request requester_dept requester_site "
@@ -26,20 +28,42 @@ def assert_no_leakage(columns: Sequence[str], allowed_only: bool = False) -> Non
         raise ValueError(f"not known when a ticket is made: {', '.join(bad)}")
 
 
-def temporal_split(df: DataFrame, time: str, key: str, test_share: float = 0.2, parts: int | None = None) -> DataFrame:
-    """``df`` with ``is_test``: False for the first int(n * (1 - share)) rows by time, nulls last, then key.
+def _ranked(df: DataFrame, by: list[Column], order: list[Column], parts: int | None) -> DataFrame:
+    """(g, o, m, p): the group and order values of each row, sorted by them over range partitions.
 
-    Rows are numbered by range partitions: each sorts its own rows, and a row a partition says how
-    many come before it, so no task holds all rows.
+    Only these columns are shuffled, once; the checkpoint keeps every row's place m, whose high bits
+    are its partition p, so that all that follows counts the same order.
     """
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(time).asc_nulls_last(), F.col(key).asc_nulls_last()]
-    dealt = df.repartitionByRange(parts, *order).withColumn("__p", F.spark_partition_id())
-    dealt = dealt.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(*order)))
-    sizes = dealt.groupBy("__p").agg(F.count("*").alias("__n"))
-    sizes = sizes.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__before"), F.sum("__n").over(Window.partitionBy(F.lit(0))).alias("__all"))
-    cut = F.floor(F.col("__all") * (1 - test_share) + 1e-9)
-    return dealt.join(F.broadcast(sizes), "__p").withColumn("is_test", F.col("__before") + F.col("__i") > cut).drop("__p", "__i", "__before", "__all")
+    rows = df.select(F.struct(*by).alias("g"), F.struct(*order).alias("o"))
+    dealt = rows.repartitionByRange(parts, "g", "o").sortWithinPartitions("g", "o").withColumn("m", F.monotonically_increasing_id())
+    return checkpoint(dealt.withColumn("p", F.shiftright("m", 33)))
+
+
+def _last_of(df: DataFrame, by: list[Column], order: list[Column], share: Column, parts: int | None) -> DataFrame:
+    """(g, last): the order values of the floor(n * share)-th row of each group; null where that is none."""
+    rows = _ranked(df, by, order, parts)
+    # a group's rows in a partition follow each other: a row for each group and partition that it reaches
+    runs = rows.groupBy("g", "p").agg(F.count("*").alias("n"), F.min("m").alias("m0"))
+    of = Window.partitionBy("g")
+    runs = runs.withColumn("before", F.sum("n").over(of.orderBy("p")) - F.col("n")).withColumn("k", F.floor(F.sum("n").over(of) * share + 1e-9))
+    at = F.when((F.col("k") > F.col("before")) & (F.col("k") <= F.col("before") + F.col("n")), F.col("m0") + F.col("k") - F.col("before") - 1)
+    wanted = runs.groupBy("g").agg(F.max(at).alias("m"))
+    found = wanted.select("m").where("m is not null").join(rows.select("m", "o"), "m")
+    return wanted.join(found, "m", "left").select("g", F.col("o").alias("last"))
+
+
+def temporal_split(df: DataFrame, time: str, key: str, test_share: float = 0.2, parts: int | None = None) -> DataFrame:
+    """``df`` with ``is_test``: False for the first int(n * (1 - share)) rows by time, nulls last, then key, nulls last.
+
+    Rows with the same time and key go by a hash of their other columns; rows that are repeated in full
+    stay on one side. The rows themselves are not moved: each is compared with the last one before the cut.
+    """
+    others = [F.col(c) for c, kind in df.dtypes if c not in (time, key) and not any(x in kind for x in ("map<", "variant"))]
+    nulls_last = lambda c: [F.col(c).isNull().alias(f"no_{c}"), F.col(c).alias(f"is_{c}")]
+    order = [*nulls_last(time), *nulls_last(key), (F.xxhash64(*others) if others else F.lit(0).cast("long")).alias("h")]
+    last = checkpoint(_last_of(df, [F.lit(0).alias("all")], order, F.lit(1 - test_share), parts)).select("last").scalar()
+    return df.withColumn("is_test", F.coalesce(F.struct(*order) > last, F.lit(True)))
 
 
 def fold_top(df: DataFrame, label: str, k: int = 3, other: str = "Other", by: DataFrame | None = None) -> DataFrame:
@@ -51,17 +75,34 @@ def fold_top(df: DataFrame, label: str, k: int = 3, other: str = "Other", by: Da
 
 
 def fold_rare(df: DataFrame, label: str, least: int = 10, other: str = "__other__") -> DataFrame:
-    """``label`` with values of fewer than ``least`` rows as ``other``; nulls stay."""
-    rare = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("__rare")).agg(F.count("*").alias("__n")).where(F.col("__n") < least).drop("__n")
-    joined = df.join(rare, F.col(label) == F.col("__rare"), "left")
-    return joined.withColumn(label, F.when(F.col("__rare").isNotNull(), other).otherwise(F.col(label))).drop("__rare")
+    """``label`` with values of fewer than ``least`` rows as ``other``; nulls stay.
+
+    Counts are made before any shuffle. If few labels are kept, these are broadcast and no row of
+    ``df`` moves; else those that may fill a task are broadcast, and only rows of other labels move.
+    """
+    counts = checkpoint(df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("__kept")).agg(F.count("*").alias("__n")).where(F.col("__n") >= least))
+    fold = lambda rows: rows.withColumn(label, F.when(F.col(label).isNull() | F.col("__kept").isNotNull(), F.col(label)).otherwise(other)).drop("__kept")
+    kept = counts.drop("__n")
+    if counts.count() <= BROADCAST_ROWS:
+        return fold(df.join(F.broadcast(kept), F.col(label) == F.col("__kept"), "left"))
+    most = F.broadcast(counts.orderBy(F.desc("__n"), "__kept").limit(BROADCAST_ROWS // 4).select(F.col("__kept").alias("__hot")))
+    marked = df.join(most, F.col(label) == F.col("__hot"), "left")
+    hot = marked.where("__hot is not null").withColumn("__kept", F.col("__hot"))
+    rest = marked.where("__hot is null").join(kept, F.col(label) == F.col("__kept"), "left")
+    return fold(hot.unionByName(rest).drop("__hot"))
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.2, seed: str = "0") -> DataFrame:
-    """``df`` with ``is_test``: of each class the first floor(n * share) rows in the order of a hash of the key."""
+    """``df`` with ``is_test``: of each class the first floor(n * share) rows in the order of a hash of the key.
+
+    Rows with equal keys of one class stay on one side. Null is a class. One row a class, the last one
+    that is taken, is joined to the rows, which don't move unless there are very many classes.
+    """
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    n = F.count("*").over(Window.partitionBy(label))
-    return df.withColumn("is_test", F.row_number().over(Window.partitionBy(label).orderBy(order, key)) <= F.floor(n * test_share + 1e-9))
+    place = [order.alias("h"), F.col(key).alias("k")]
+    last = checkpoint(_last_of(df, [F.col(label).alias("g")], place, F.lit(test_share), None).select(F.col("g.g").alias("__g"), F.col("last").alias("__last")))
+    joined = df.join(small(last), F.col(label).eqNullSafe(F.col("__g")), "left")
+    return joined.withColumn("is_test", F.coalesce(F.struct(*place) <= F.col("__last"), F.lit(False))).drop("__g", "__last")
 
 
 def seeded_sample(df: DataFrame, n: int, key: str, seed: str = "0") -> DataFrame:

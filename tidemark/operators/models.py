@@ -312,7 +312,7 @@ def save_metrics(metrics: list[dict], path: str) -> None:
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """The latest row of each key by ``order``; at a tie the new one."""
+    """The latest row of each key by ``order``; at a tie the new one. One row a key leaves each task."""
     both = old.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)))
-    w = Window.partitionBy(*keys).orderBy(F.desc(order), F.desc("__new"))
-    return both.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n", "__new")
+    best = both.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in old.columns if c not in keys]), F.struct(order, "__new")).alias("__last"))
+    return best.select(*[F.col(c) if c in keys else F.col("__last")[c].alias(c) for c in old.columns])

@@ -124,11 +124,16 @@ def target_recommendation(spark, sf):
     return A.recommend(_labelled(spark, sf), "quality", F.col("toxic") == 1)
 
 
-@query("dedup_first", "SELECT md5(text) AS h, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY 1")
-def dedup_first(spark, sf):
+@query("dedup_copies", "SELECT md5(text) AS h, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY 1")
+def dedup_copies(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id", F.md5("text").alias("h"))
-    copies = rows.groupBy("h").agg(F.count("*").alias("copies"))
-    return A.first_per_key(rows, ["h"], ["doc_id"]).join(copies, "h")
+    return rows.groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+
+
+@query("dedup_first", "SELECT doc_id, lang, source, md5(text) AS h FROM documents QUALIFY row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) = 1")
+def dedup_first(spark, sf):
+    rows = table(spark, sf, "documents").select("doc_id", "lang", "source", F.md5("text").alias("h"))
+    return A.first_per_key(rows, ["h"], ["doc_id"])
 
 
 @query(
@@ -160,6 +165,15 @@ def temporal_split(spark, sf):
     return E.temporal_split(table(spark, sf, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate", "o_orderkey").select("o_orderkey", "is_test")
 
 
+@query(
+    "temporal_split_rows",
+    """WITH r AS (SELECT *, row_number() OVER (ORDER BY o_orderdate NULLS LAST, o_orderkey) AS i, count(*) OVER () AS n FROM orders)
+       SELECT o_orderkey, o_orderstatus, o_orderpriority, o_custkey, i > n * 4 // 5 AS is_test FROM r""",
+)
+def temporal_split_rows(spark, sf):
+    return E.temporal_split(table(spark, sf, "orders"), "o_orderdate", "o_orderkey").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_custkey", "is_test")
+
+
 @query(
     "stratified_split",
     """WITH r AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY md5('0:' || CAST(doc_id AS VARCHAR)), doc_id) AS i, count(*) OVER (PARTITION BY quality) AS n FROM labels)

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+#: Rows of a narrow table that may be broadcast once they have been counted; beyond, both sides are shuffled.
+BROADCAST_ROWS = 200_000
 
 
 def session(name: str = "tidemark", **conf) -> SparkSession:
@@ -30,3 +34,37 @@ def ship(spark: SparkSession) -> None:
             z.write(p, p.relative_to(top.parent))
     sc.addPyFile(str(to))
     sc._tidemark_shipped = True
+
+
+def shared_root(spark: SparkSession) -> str:
+    """Folder that all executors share: ``spark.checkpoint.dir``.
+
+    Where that is unset a temporary folder serves, but only on a local master, where there is one
+    machine; elsewhere this raises ValueError.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = f"file://{tempfile.gettempdir()}/tidemark-checkpoints"
+    return root.rstrip("/")
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path for a table under the shared folder."""
+    return f"{shared_root(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """``df.checkpoint()`` in the shared folder, so that lost executors cost no recomputation."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(shared_root(df.sparkSession))
+    return df.checkpoint()
+
+
+def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A checkpointed table, marked for broadcast if it has at most ``most`` rows."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.count() <= most else df

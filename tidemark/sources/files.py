@@ -1,32 +1,54 @@
-"""Landed pages, processed tables and small documents on disk."""
+"""Landed pages, processed tables and small documents."""
 
 from __future__ import annotations
 
+import csv
+import io
 import json
-import os
+import logging
+import uuid
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.analytics import first_per_key
+from tidemark.sources.storage import Store
 
+log = logging.getLogger(__name__)
+BYTE_ORDER_MARK = "\ufeff"
 
-def land_pages(pages, folder: str, module: str) -> list[str]:
-    """Write pages as ``page_0001.json`` and on, in a fresh version of the module's folder, and return the records' ids."""
+
+def land_pages(spark: SparkSession, pages: Iterable[dict], folder: str, module: str) -> list[str]:
+    """Write pages as ``page_0001.json`` and on, and return the records' ids.
+
+    They go to a folder of their own, which takes the place of the module's folder once the last page
+    is there: an extract that fails leaves the last good one as it was.
+    """
     from tidemark.sources.rest import records
 
-    to = Path(folder) / module
-    to.mkdir(parents=True, exist_ok=True)
-    for old in to.glob("page_*.json"):  # a shorter extract must not keep a longer one's last pages
-        old.unlink()
-    ids = []
-    for n, page in enumerate(pages, 1):
-        write_json(page, to / f"page_{n:04d}.json")
-        ids += [str(r["id"]) for r in records(page, module) if r.get("id") is not None]
+    store, new = Store(spark, folder), f".landing-{module}-{uuid.uuid4().hex}"
+    landing, ids = Store(spark, f"{folder}/{new}"), []
+    landing.write_json(".started", {"module": module})
+    try:
+        for n, page in enumerate(pages, 1):
+            landing.write_json(f"page_{n:04d}.json", page)
+            ids += [str(r["id"]) for r in records(page, module) if r.get("id") is not None]
+        landing.delete(".started")
+        store.replace(new, module)
+    except BaseException:
+        store.delete(new)
+        raise
     return ids
 
 
+def land_details(spark: SparkSession, bundles: DataFrame, folder: str) -> dict[str, int]:
+    """Append fetched details (id, bundle, error) that have no error as a table; counts of both."""
+    bundles.where("error is null").select("id", "bundle").write.mode("append").parquet(folder)
+    return {"landed": spark.read.parquet(folder).count()}
+
+
 def write_json(value, path) -> None:
     Path(path).write_text(json.dumps(value, ensure_ascii=False, indent=2), encoding="utf-8")
 
@@ -39,9 +61,17 @@ def read_json(path) -> dict | None:
         return None
 
 
-def modules_in(folder: str) -> list[str]:
-    """Module folders, without that of the details."""
-    return sorted(p.name for p in os.scandir(folder) if p.is_dir() and p.name != "details")
+def modules_in(spark: SparkSession, folder: str) -> list[str]:
+    """Module folders, without that of the details and hidden ones."""
+    return [m for m in Store(spark, folder).folders() if m != "details" and not m.startswith(".")]
+
+
+def sample(spark: SparkSession, spec: str) -> tuple[DataFrame, str]:
+    """(page records, module) of a single page given as ``path:module``."""
+    path, _, module = spec.rpartition(":")
+    if not path or not module:
+        raise ValueError(f"a sample is given as path:module, not {spec!r}")
+    return page_records(read_pages(spark, path), module), module
 
 
 def locate(page: Column, module: str) -> Column:
@@ -74,22 +104,50 @@ def dedup(records: DataFrame) -> DataFrame:
     return first_per_key(records.withColumn("id", F.try_variant_get("record", "$.id", "string")), ["id"], ["file", "position"])
 
 
-def read_processed(spark: SparkSession, folder: str, name: str) -> DataFrame | None:
-    """The enriched table, else the plain one, as Parquet, else CSV, else None."""
-    for table in (f"{name}_enriched", name):
-        if os.path.exists(f"{folder}/{table}.parquet"):
+def read_processed(spark: SparkSession, folder: str, name: str, enriched: bool = True) -> DataFrame | None:
+    """The enriched table, else the plain one, as Parquet, else CSV, else None; on any filesystem."""
+    store = Store(spark, folder)
+    for table in (f"{name}_enriched", name) if enriched else (name,):
+        if store.exists(f"{table}.parquet"):
             return spark.read.parquet(f"{folder}/{table}.parquet")
-        if os.path.exists(f"{folder}/{table}.csv"):
-            return spark.read.csv(f"{folder}/{table}.csv", header=True)
+        if store.exists(f"{table}.csv"):
+            rows = spark.read.option("multiLine", True).option("escape", '"').csv(f"{folder}/{table}.csv", header=True)
+            return rows.toDF(*[c.removeprefix(BYTE_ORDER_MARK) for c in rows.columns])
     return None
 
 
-def write_processed(df: DataFrame, folder: str, name: str, csv: bool = False) -> None:
-    df.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
-    if csv:
-        df.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}.csv")
+def write_processed(df: DataFrame, folder: str, name: str, as_csv: bool = False) -> str | None:
+    """The table as Parquet and, if asked, as one CSV file with a byte order mark.
+
+    With a CSV file to fall back on, a Parquet write that fails is logged and its message returned.
+    """
+    if not as_csv:
+        df.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
+        return None
+    export_csv(df, folder, f"{name}.csv")
+    try:
+        df.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
+    except Exception as e:  # noqa: BLE001  the CSV file is there
+        log.warning("no Parquet table %s: %s", name, e)
+        return str(e)
+    return None
 
 
-def export_csv(df: DataFrame, path: str, rows: int = 100_000) -> None:
-    """A CSV file with a byte order mark, of at most so many rows: for spreadsheets."""
-    df.limit(rows).toPandas().to_csv(path, index=False, encoding="utf-8-sig")
+def csv_lines(df: DataFrame) -> Iterator[str]:
+    """The table as CSV text with a byte order mark, a partition at a time on the driver."""
+    out = io.StringIO()
+    writer = csv.writer(out, lineterminator="\n")
+    out.write(BYTE_ORDER_MARK)
+    writer.writerow(df.columns)
+    for row in df.toLocalIterator():
+        writer.writerow(row)
+        if out.tell() > 1 << 20:
+            yield out.getvalue()
+            out.seek(0)
+            out.truncate()
+    yield out.getvalue()
+
+
+def export_csv(df: DataFrame, folder: str, name: str) -> None:
+    """All rows as one CSV file for spreadsheets; the driver holds a partition at most."""
+    Store(df.sparkSession, folder).write(name, csv_lines(df))

@@ -9,17 +9,21 @@ from __future__ import annotations
 
 import json
 import os
+import ssl
 import time
 import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tidemark.runtime import ship
+
 # Page cap, statuses worth another try, the throttle's code, its first and longest wait and tries.
 PAGE_CAP = 100
 RETRIED = (429, 500, 502, 503, 504)
@@ -50,9 +54,25 @@ def parse_modules(text: str) -> list[str]:
 
 
 def base_url(url: str) -> str:
-    """Without slashes at the end or the API's path."""
+    """Without slashes at the end or the API's path, in whatever case."""
     url = url.strip().rstrip("/")
-    return url.removesuffix("/api/v3").rstrip("/")
+    return (url[:-7] if url.lower().endswith("/api/v3") else url).rstrip("/")
+
+
+def dotenv(text: str) -> dict[str, str]:
+    """NAME=value lines of a settings file; comments, ``export`` and quotes around values are left out."""
+    out = {}
+    for line in text.splitlines():
+        name, eq, value = line.strip().removeprefix("export ").partition("=")
+        if eq and not name.strip().startswith("#"):
+            value = value.strip()
+            quoted = len(value) > 1 and value[0] == value[-1] and value[0] in "\"'"
+            out[name.strip()] = value[1:-1] if quoted else value.partition(" #")[0].strip()
+    return out
+
+
+# What counts as true in a variable.
+TRUE = ("1", "true", "yes", "y", "on")
 
 
 @dataclass(frozen=True)
@@ -62,16 +82,25 @@ class Settings:
     page_size: int = PAGE_CAP
     max_retries: int = 4
     wait: float = 0.0
+    verify: bool = True
+    timeout: int = 60
 
     @classmethod
-    def from_env(cls, env: dict[str, str] | None = None, prefix: str = "TICKETS_") -> Settings:
-        """From variables; numbers must be numbers, and pages are capped."""
-        env = os.environ if env is None else env
-        get = lambda k, d: env.get(prefix + k, "").strip() or d
-        url = base_url(get("URL", ""))
-        if not url:
+    def from_env(cls, env: dict[str, str] | None = None, prefix: str = "TICKETS_", file: str | None = None) -> Settings:
+        """From variables, which win over those of a settings file; numbers must be numbers, and pages are capped."""
+        known = dotenv(Path(file).read_text(encoding="utf-8")) if file and Path(file).exists() else {}
+        env = known | dict(os.environ if env is None else env)
+        get = lambda k, d: env.get(prefix + k, "").strip() or str(d)
+        got = cls(base_url(get("URL", "")), get("KEY", ""), min(PAGE_CAP, max(1, int(get("PAGE_SIZE", PAGE_CAP)))), int(get("MAX_RETRIES", 4)), float(get("WAIT", 0)), get("VERIFY", "true").lower() in TRUE, int(get("TIMEOUT", 60)))
+        if not got.url:
             raise ValueError(f"{prefix}URL must be set")
-        return cls(url, get("KEY", ""), min(PAGE_CAP, max(1, int(get("PAGE_SIZE", PAGE_CAP)))), int(get("MAX_RETRIES", 4)), float(get("WAIT", 0)))
+        return got
+
+    def connected(self) -> Settings:
+        """Itself, if there is all that a connection needs."""
+        if missing := [k for k in ("url", "key") if not getattr(self, k)]:
+            raise ValueError(f"not set: {', '.join(missing)}")
+        return self
 
 
 class RequestFailed(RuntimeError):
@@ -110,6 +139,7 @@ class Client:
 
     def __init__(self, settings: Settings, sleep: Callable[[float], None] = time.sleep):
         self.settings, self.sleep = settings, sleep
+        self._tls = None if settings.verify else ssl._create_unverified_context()
 
     def get(self, path: str, params: dict | None = None) -> dict:
         url = f"{self.settings.url}/api/v3/{path}" + (f"?{urllib.parse.urlencode(params)}" if params else "")
@@ -117,7 +147,7 @@ class Client:
         while True:
             try:
                 request = urllib.request.Request(url, headers={"authtoken": self.settings.key, "Accept": "application/json"})
-                with urllib.request.urlopen(request, timeout=60) as r:
+                with urllib.request.urlopen(request, timeout=self.settings.timeout, context=self._tls) as r:
                     got = json.loads(r.read().decode("utf-8"))
                 if self.settings.wait:
                     self.sleep(self.settings.wait)
@@ -183,32 +213,47 @@ def records(page: dict, module: str) -> list[dict]:
     return next((v for v in page.values() if isinstance(v, list) and v and all(isinstance(x, dict) for x in v)), [])
 
 
-class _Pages(InputPartition):
-    def __init__(self, starts: list[tuple[int, int, int]]):
-        self.starts = starts
+class _Range(InputPartition):
+    """Records from ``start`` up to before ``end`` (None: as long as the server has more), counted from 1."""
+
+    def __init__(self, start: int, end: int | None):
+        self.start, self.end = start, end
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.module = options.get("module", "requests")
         size = min(PAGE_CAP, int(options.get("page_size", PAGE_CAP)))
-        self.settings = Settings(base_url(options["url"]), options.get("key", ""), size, int(options.get("max_retries", 4)), float(options.get("wait", 0)))
+        verify = str(options.get("verify", "true")).lower() == "true"
+        self.settings = Settings(base_url(options["url"]), options.get("key", ""), size, int(options.get("max_retries", 4)), float(options.get("wait", 0)), verify)
         self.limit = int(options["limit"]) if "limit" in options else None
         self.per_task = int(options.get("pages_per_task", 10))
 
     def partitions(self):
+        """Ranges by the server's total, the last one open; without a total one range, read page by page."""
         info = Client(self.settings).page(self.module, 1, 1).get("list_info") or {}
+        end = None if self.limit is None else self.limit + 1
         total = int(info.get("total_count") or 0)
+        if not total:
+            return [_Range(1, end)]
         total = total if self.limit is None else min(total, self.limit)
-        size = self.settings.page_size
-        starts = [(p, s, min(size, total - s + 1)) for p, s in enumerate(range(1, total + 1, size))]
-        return [_Pages(starts[i : i + self.per_task]) for i in range(0, len(starts), self.per_task)] or [_Pages([])]
+        step = self.settings.page_size * self.per_task
+        starts = [*range(1, total + 1, step)]
+        return [_Range(a, b) for a, b in zip(starts, [*starts[1:], end])]
 
     def read(self, partition):
-        client = Client(self.settings)
-        for page, start, count in partition.starts:
-            for i, r in enumerate(records(client.page(self.module, start, count), self.module)[:count]):
-                yield self.module, page, i, None if r.get("id") is None else str(r["id"]), json.dumps(r, ensure_ascii=False)
+        """Pages of a range; the next starts where the server says this one did, and its rows."""
+        client, at, size = Client(self.settings), partition.start, self.settings.page_size
+        while partition.end is None or at < partition.end:
+            got = client.page(self.module, at, size if partition.end is None else min(size, partition.end - at))
+            rows, info = records(got, self.module), got.get("list_info") or {}
+            first = int(info.get("start_index") or at)
+            for i, r in enumerate(rows, first):
+                if at <= i and (partition.end is None or i < partition.end):
+                    yield self.module, (i - 1) // size, (i - 1) % size, None if r.get("id") is None else str(r["id"]), json.dumps(r, ensure_ascii=False)
+            if not rows or first + len(rows) <= at or not info.get("has_more_rows", True):
+                return
+            at = first + len(rows)
 
 
 class TicketSource(DataSource):
@@ -224,6 +269,7 @@ class TicketSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    ship(spark)
     spark.dataSource.register(TicketSource)
 
 
@@ -246,4 +292,5 @@ def fetch_details(ids: DataFrame, landed: DataFrame | None, module: str, setting
                     rows.append((i, None, str(e)))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)] if rows else [pa.array([], pa.string())] * 3, names=["id", "bundle", "error"])
 
+    ship(ids.sparkSession)
     return todo.mapInArrow(run, "id string, bundle string, error string")

@@ -72,12 +72,11 @@ def flatten_generic(records: DataFrame) -> DataFrame:
         found.setdefault(r.k, set()).add(r.what)
     cols = []
     for k in sorted(found):
-        at = f"$['{k}']"
+        whole = F.try_element_at("__fields", F.lit(k))  # by the map, as a path can't say every name
         kinds = found[k] - {"null"}
         if kinds == {"list"}:
-            cols.append(list_size(F.try_variant_get(v, at, "variant")).alias(f"{k}_count"))
+            cols.append(list_size(whole).alias(f"{k}_count"))
             continue
-        whole = F.try_variant_get(v, at, "variant")
         if kinds == {"time"}:
             cols.append(parse_epoch(F.try_variant_get(whole, "$.value", "string")).alias(k))
             continue
@@ -86,7 +85,7 @@ def flatten_generic(records: DataFrame) -> DataFrame:
         cols.append((F.when(F.schema_of_variant(whole).startswith("OBJECT"), named).otherwise(F.try_variant_get(whole, "$", "string")) if "object" in kinds else F.try_variant_get(whole, "$", "string")).alias(k))
         if "list" in kinds:
             cols.append(list_size(whole).alias(f"{k}_count"))
-    return records.select(*cols)
+    return records.select(F.try_variant_get(v, "$", "map<string,variant>").alias("__fields")).select(*cols)
 
 
 BUILDERS: dict[str, Callable[[DataFrame], DataFrame]] = {"requests": flatten_requests, "problems": flatten_problems}
