@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.runtime import ship
+from tidemark.runtime import checkpoint, shared_path, shared_root, ship  # noqa: F401  for the operators
 
 #: Working sets in a Python worker are rebuilt once they hold this many bytes of text.
 CHUNK_BYTES = 4 << 20
@@ -19,31 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_root(spark: SparkSession) -> str:
-    """Folder that all executors share: ``spark.checkpoint.dir``.
-
-    Where that is unset a temporary folder serves, but only on a local master, where there is one
-    machine; elsewhere this raises ValueError.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = f"file://{tempfile.gettempdir()}/tidemark-checkpoints"
-    return root.rstrip("/")
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a table under the shared folder."""
-    return f"{shared_root(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """``df.checkpoint()`` in the shared folder, so that lost executors cost no recomputation."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_root(df.sparkSession))
-    return df.checkpoint()
+def bounded(rows: DataFrame, label: str, bounds: Iterable[tuple[int, int]]) -> DataFrame:
+    """Of rows (doc_id, text, label) the first of each (label, how many), by hashes of doc_id and text."""
+    parts = [rows.where(F.col(label) == c).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(n) for c, n in bounds]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def chunks(batches: Iterable[pa.RecordBatch], text: int | None = 1, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:

@@ -9,6 +9,16 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def sums_by_row(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """(n, columns): the sums of the values (k, columns) of each row number."""
+    out = np.zeros((n, values.shape[1]), values.dtype)
+    if len(rows):
+        order = np.argsort(rows, kind="stable")
+        firsts = np.flatnonzero(np.r_[True, np.diff(rows[order]) != 0])
+        out[rows[order[firsts]]] = np.add.reduceat(values[order], firsts)
+    return out
+
+
 class Adam:
     def __init__(self, params: dict[str, np.ndarray], rate: float = 0.01):
         self.params, self.rate, self.t = params, rate, 0
@@ -34,7 +44,7 @@ def gru(x: np.ndarray, mask: np.ndarray | None, u: np.ndarray, keep: bool = Fals
     kept = []
     for t in range(steps):
         own = state @ u
-        gates = sigmoid(x[t, :, : 2 * h] + own[:, : 2 * h]) if keep else 0.5 * np.tanh(0.5 * (x[t, :, : 2 * h] + own[:, : 2 * h])) + 0.5
+        gates = 0.5 * np.tanh(0.5 * (x[t, :, : 2 * h] + own[:, : 2 * h])) + 0.5
         z, r = gates[:, :h], gates[:, h:]
         n = np.tanh(x[t, :, 2 * h :] + r * own[:, 2 * h :])
         new = n + z * (state - n)

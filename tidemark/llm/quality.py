@@ -1,17 +1,18 @@
 """Quality by attention-based multiple-instance learning, in numpy.
 
 A text is cut into passages of ``PASSAGE`` words; every passage becomes a vector of counts and shares
-(classes of characters, marks, repeated words) and is encoded by a layer. Gated attention,
+(classes of characters, marks, repeated words; not which words they are) and is encoded by a layer. Gated attention,
 softmax(w . (tanh(V h) * sigmoid(U h))), weighs the passages, and a logistic unit scores their
 weighted mean. Only labels of whole texts train it.
 
 Training takes at most ``ROWS`` labelled rows of each class, those with the smallest hashes of doc_id,
-and at most ``ROW_PASSAGES`` passages of each, evenly spread. Scoring takes all passages of all texts,
-whose weights are summed as they come, so memory does not grow with the text.
+with all their passages. Scoring takes all passages of all texts, whose weights are summed as they
+come, so memory does not grow with the text.
 
 Edge cases: a null or empty text is one passage without words; null doc_ids stay null and are never
-trained on; rows with repeated or contradicting labels are all taken; without labelled rows of both
-classes every score is 0.5; an empty table gives an empty result; other columns are ignored.
+trained on; of rows with one doc_id, and of repeated or contradicting labels, as many are taken as the
+sample's bound leaves; without labelled rows of both classes every score is 0.5; an empty table gives
+an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,12 +24,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, table
+from tidemark.llm.common import bounded, map_rows, table
 from tidemark.llm.neural import Adam, sigmoid
 
 QUERY = "op9_attention_quality"
 PASSAGE = 64
-ROWS, ROW_PASSAGES = 1500, 48
+ROWS = 1500
 HIDDEN, ATTENTION = 16, 8
 EPOCHS, BATCH = 30, 64
 THRESHOLD = 0.7
@@ -135,13 +136,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> DataF
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id")))
     first = [known.where(F.col("quality") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for c in (0, 1)]
     sample = F.broadcast(first[0].unionByName(first[1]))  # at most 2 * rows rows
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id")
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id")
+    # once more, for doc_ids may be repeated
+    return bounded(found, "quality", ((0, rows), (1, rows)))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Network:
     def batch(b):
         bags = [passages(t) for t in b.column(1).to_pylist()]
-        bags = [x[np.linspace(0, len(x) - 1, ROW_PASSAGES).astype(int)] if len(x) > ROW_PASSAGES else x for x in bags]
         return {"doc_id": b.column(0), "quality": b.column(2), "bag": [x.astype("<f4").tobytes() for x in bags]}
 
     rows = map_rows(training_rows(docs, labels), batch, "doc_id long, quality int, bag binary").collect()

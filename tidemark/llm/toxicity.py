@@ -7,14 +7,18 @@ put through a logistic fit to the labels of whole texts. All windows of a text a
 over ``LETTERS`` letters counts as several words.
 
 Training takes a bounded sample of labelled rows, ``TOXIC_ROWS`` and ``CLEAN_ROWS`` with the smallest
-hashes of doc_id, and of each at most ``ROW_WINDOWS`` windows. A label holds for a text, so windows of
-toxic texts first all count as toxic, and then only those that score above the worst windows of
-nearly all clean texts; a toxic text without any is taken for mislabelled. A third of the clean texts
-is not learnt from, but gives this bound and the logistic fit. Scoring has no such limits.
+hashes of doc_id, with their whole texts. A label holds for a text, so it must be found out which words
+and windows it speaks of. First the characters' part learns to tell words that occur in toxic texts far
+more often than chance allows (``SEED_Z`` standard deviations) from others, and the words' inputs start
+on the direction that this gives. Then rounds follow: from every toxic and every clean text the
+``WORST`` windows by the network so far, and some others of clean texts, are learnt; at first with the
+characters' part as it is, which is quick, and then with all parts. A quarter of the texts is not
+learnt from, but gives the scale and the level of the score.
 
 Edge cases: a null or empty text is one window without words; null doc_ids stay null and are never
-trained on; rows with repeated or contradicting labels are all taken; without labelled rows of both
-classes every score is 0; an empty table gives an empty result; other columns are ignored.
+trained on; of rows with one doc_id, and of repeated or contradicting labels, as many are taken as the
+sample's bound leaves; without labelled rows of both classes every score is 0; an empty table gives an
+empty result; other columns are ignored, but for one with the score's name, which is replaced.
 """
 
 from __future__ import annotations
@@ -25,19 +29,21 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_arrow, map_rows, table
-from tidemark.llm.neural import Adam, attend, attend_back, gru, gru_back, sigmoid
+from tidemark.llm.common import bounded, map_arrow, table
+from tidemark.llm.neural import Adam, attend, attend_back, gru, gru_back, sigmoid, sums_by_row
 
 QUERY = "op10_bigru_toxicity"
 WINDOW, STRIDE, LETTERS = 32, 16, 16
-TOXIC_ROWS, CLEAN_ROWS, ROW_WINDOWS = 500, 1300, 24
-VOCABULARY, LEAST_ROWS = 4000, 8
+TOXIC_ROWS, CLEAN_ROWS = 500, 1300
+VOCABULARY, LEAST_ROWS = 4000, 6
 HIDDEN, CHAR_HIDDEN, ATTENTION = 8, 8, 8
-# Rounds of training, of which the first OPEN take all windows of toxic texts for toxic.
-EPOCHS, OPEN, BATCH, DECAY = 6, 3, 256, 1e-4
-#: The share of clean texts whose worst windows a toxic text's must pass to count, and that must score under one half.
-CLEAN_SHARE, FRESH_BELOW = 0.98, 0.995
-THRESHOLD = 0.7
+#: Words that the characters' part learns from, the excess from which one is a seed, and the rounds.
+SEED_WORDS, SEED_Z, SEED_EPOCHS = 12_000, 4.0, 8
+# Rounds of windows with and then without the characters' part fixed; windows of a text in each; batches.
+EPOCHS, FINE_EPOCHS, WORST, BATCH, FINE_BATCH, RATE, DECAY = 8, 2, 4, 128, 512, 0.02, 1e-4
+#: One text in VALID is kept to tell the scores of toxic texts, and so which logit is to be THRESHOLD.
+VALID, THRESHOLD = 4, 0.7
+LEVEL = float(np.log(THRESHOLD / (1 - THRESHOLD)))
 WORD = re.compile(rf"[^\W_]{{1,{LETTERS}}}")
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789äöüßéèêëàâçîïôùûáíóúñ"
 
@@ -81,19 +87,38 @@ class Network:
     def ids(self, unique: list[str]) -> np.ndarray:
         return np.array([self.vocabulary.get(w, 0) for w in unique], np.int64)
 
-    def word_inputs(self, unique: list[str]) -> dict[str, np.ndarray]:
-        """The inputs (words, 3 HIDDEN) of both directions; words of equal length go together."""
-        p, out = self.p, {d: np.empty((len(unique), 3 * HIDDEN), np.float32) for d in "fb"}
+    def read_chars(self, unique: list[str], keep: bool = False):
+        """Vectors (words, 2 CHAR_HIDDEN) of words; those of equal length go together."""
+        p, out, kept = self.p, np.zeros((len(unique), 2 * CHAR_HIDDEN), self.p["cuf"].dtype), []
         chars, sizes = spelled(unique)
-        ids = self.ids(unique)
         for n in np.unique(sizes):
             for own in np.array_split(np.flatnonzero(sizes == n), max(1, int((sizes == n).sum()) // 8192)):
                 c = chars[:n, own]
-                hs = np.concatenate([gru(p["cxf"][c], None, p["cuf"]), gru(p["cxb"][c[::-1]], None, p["cub"])[::-1]], 2)
-                vec = attend(hs, None, p["caw"], p["cab"], p["cav"])
-                for d in "fb":
-                    out[d][own] = p[f"we{d}"][ids[own]] + vec @ p[f"wc{d}"]
-        return out
+                f, b = gru(p["cxf"][c], None, p["cuf"], keep), gru(p["cxb"][c[::-1]], None, p["cub"], keep)
+                hs = np.concatenate([f[0], b[0][::-1]] if keep else [f, b[::-1]], 2)
+                got = attend(hs, None, p["caw"], p["cab"], p["cav"], keep)
+                out[own] = got[0] if keep else got
+                if keep:
+                    kept.append((own, c, hs, f[1], b[1], got[1]))
+        return (out, kept) if keep else out
+
+    def read_chars_back(self, d_vec: np.ndarray, kept: list) -> dict[str, np.ndarray]:
+        p = self.p
+        g = {k: np.zeros_like(p[k]) for k in p if k.startswith("c")}
+        for own, c, hs, kf, kb, pooled in kept:
+            d_hs, *rest = attend_back(d_vec[own], hs, p["caw"], p["cav"], pooled)
+            for k, v in zip(("caw", "cab", "cav"), rest):
+                g[k] += v
+            for d, states, part, at in (("f", kf, d_hs[..., :CHAR_HIDDEN], c), ("b", kb, d_hs[::-1, :, CHAR_HIDDEN:], c[::-1])):
+                dx, du = gru_back(part, None, p[f"cu{d}"], states)
+                g[f"cu{d}"] += du
+                g[f"cx{d}"] += sums_by_row(at.ravel(), dx.reshape(-1, 3 * CHAR_HIDDEN), len(p[f"cx{d}"]))
+        return g
+
+    def word_inputs(self, unique: list[str]) -> dict[str, np.ndarray]:
+        """The inputs (words, 3 HIDDEN) of both directions."""
+        vec, ids = self.read_chars(unique), self.ids(unique)
+        return {d: self.p[f"we{d}"][ids] + vec @ self.p[f"wc{d}"] for d in "fb"}
 
     def logits(self, x: dict[str, np.ndarray], rows: np.ndarray) -> np.ndarray:
         """Logits of windows given as word numbers (windows, WINDOW); number 0 is no word."""
@@ -106,45 +131,37 @@ class Network:
             out[at : at + w.shape[1]] = attend(hs, mask, p["waw"], p["wab"], p["wav"]) @ p["out"] + p["bias"]
         return out
 
-    def gradients(self, unique: list[str], rows: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Loss and gradients for windows of numbers 1.. of the words in ``unique``, 0 for no word."""
-        p, g = self.p, {}
-        chars, sizes = spelled(unique)
-        c_mask = np.arange(LETTERS)[:, None] < sizes
+    def gradients(self, unique: list[str], rows: np.ndarray, labels: np.ndarray, weights: np.ndarray, vec: np.ndarray | None = None) -> tuple[float, dict[str, np.ndarray]]:
+        """Loss and gradients for windows of numbers 1.. of the words in ``unique``, 0 for no word.
+
+        With ``vec``, the words' vectors (the first for no word), the characters' part is left as it is.
+        """
+        p, g, kept = self.p, {}, None
+        if vec is None:
+            vec, kept = self.read_chars(unique, keep=True)
+            vec = np.vstack([np.zeros((1, vec.shape[1]), vec.dtype), vec])
         ids = np.append(0, self.ids(unique))
-        cf, kf = gru(p["cxf"][chars], c_mask, p["cuf"], keep=True)
-        cb, kb = gru(p["cxb"][chars[::-1]], c_mask[::-1], p["cub"], keep=True)
-        chs = np.concatenate([cf, cb[::-1]], 2)
-        vec, c_kept = attend(chs, c_mask, p["caw"], p["cab"], p["cav"], keep=True)
-        vec0 = np.vstack([np.zeros((1, vec.shape[1]), np.float32), vec])
         w = rows.T
         mask = w > 0
-        x = {d: p[f"we{d}"][ids] + vec0 @ p[f"wc{d}"] for d in "fb"}
+        x = {d: p[f"we{d}"][ids] + vec @ p[f"wc{d}"] for d in "fb"}
         hf, mf = gru(x["f"][w], mask, p["wuf"], keep=True)
         hb, mb = gru(x["b"][w[::-1]], mask[::-1], p["wub"], keep=True)
         hs = np.concatenate([hf, hb[::-1]], 2)
         pooled, w_kept = attend(hs, mask, p["waw"], p["wab"], p["wav"], keep=True)
         prob = sigmoid(pooled @ p["out"] + p["bias"])
         loss = -(weights * (labels * np.log(prob + 1e-7) + (1 - labels) * np.log(1 - prob + 1e-7))).sum() / weights.sum()
-        d = ((prob - labels) * weights / weights.sum()).astype(np.float32)
+        d = ((prob - labels) * weights / weights.sum()).astype(p["out"].dtype)
         g["out"], g["bias"] = pooled.T @ d, d.sum(keepdims=True)
         dhs, g["waw"], g["wab"], g["wav"] = attend_back(d[:, None] * p["out"], hs, p["waw"], p["wav"], w_kept)
-        d_vec = np.zeros_like(vec0)
-        for k, kept, part, at, m in (("f", mf, dhs[..., :HIDDEN], w, mask), ("b", mb, dhs[::-1, :, HIDDEN:], w[::-1], mask[::-1])):
-            dx, g[f"wu{k}"] = gru_back(part, m, p[f"wu{k}"], kept)
-            by_word = np.zeros((len(ids), 3 * HIDDEN), np.float32)
-            np.add.at(by_word, at.ravel(), dx.reshape(-1, 3 * HIDDEN))
+        d_vec = np.zeros_like(vec)
+        for k, states, part, at, m in (("f", mf, dhs[..., :HIDDEN], w, mask), ("b", mb, dhs[::-1, :, HIDDEN:], w[::-1], mask[::-1])):
+            dx, g[f"wu{k}"] = gru_back(part, m, p[f"wu{k}"], states)
+            by_word = sums_by_row(at.ravel(), dx.reshape(-1, 3 * HIDDEN), len(ids))
             by_word[0] = 0
-            g[f"wc{k}"] = vec0.T @ by_word
+            g[f"wc{k}"] = vec.T @ by_word
             d_vec += by_word @ p[f"wc{k}"].T
-            g[f"we{k}"] = np.zeros_like(p[f"we{k}"])
-            np.add.at(g[f"we{k}"], ids, by_word)
-        dchs, g["caw"], g["cab"], g["cav"] = attend_back(d_vec[1:], chs, p["caw"], p["cav"], c_kept)
-        for k, kept, part, at, m in (("f", kf, dchs[..., :CHAR_HIDDEN], chars, c_mask), ("b", kb, dchs[::-1, :, CHAR_HIDDEN:], chars[::-1], c_mask[::-1])):
-            dx, g[f"cu{k}"] = gru_back(part, m, p[f"cu{k}"], kept)
-            g[f"cx{k}"] = np.zeros_like(p[f"cx{k}"])
-            np.add.at(g[f"cx{k}"], at.ravel(), dx.reshape(-1, 3 * CHAR_HIDDEN))
-        return float(loss), g
+            g[f"we{k}"] = sums_by_row(ids, by_word, len(p[f"we{k}"]))
+        return float(loss), g if kept is None else g | self.read_chars_back(d_vec[1:], kept)
 
 
 def numbered(windows: list[list[str]]) -> tuple[list[str], np.ndarray]:
@@ -156,58 +173,120 @@ def numbered(windows: list[list[str]]) -> tuple[list[str], np.ndarray]:
     return list(number), rows
 
 
+def learn_words(net: Network, counts: dict[str, list[int]], sizes: list[int], r: np.random.Generator) -> tuple[np.ndarray, float]:
+    """Teach the characters' part to tell seeds from other words; the direction and offset that do so.
+
+    ``counts``: the clean and toxic texts that have a word; ``sizes``: all clean and toxic texts.
+    """
+    words_ = sorted(counts, key=lambda w: (-sum(counts[w]), w))[:SEED_WORDS]
+    seen = np.array([counts[w] for w in words_], float).reshape(-1, 2)
+    share, n = sizes[1] / sum(sizes), seen.sum(1)
+    z = (seen[:, 1] - n * share) / np.sqrt(n * share * (1 - share) + 1e-9)
+    y = (z > SEED_Z).astype(np.float32)
+    weight = np.where(y == 1, np.minimum(z, 2 * SEED_Z), 1.0)
+    weight = np.where(y == 1, weight * (y == 0).sum() / max(1e-9, weight[y == 1].sum()), weight)
+    own = {"r": np.zeros(2 * CHAR_HIDDEN, np.float32), "r0": np.zeros(1, np.float32)} | {k: v for k, v in net.p.items() if k.startswith("c")}
+    adam = Adam(own)
+    for epoch in range(SEED_EPOCHS if y.any() else 0):
+        adam.rate = 1.5 * RATE * 0.85**epoch
+        order = r.permutation(len(words_))
+        for at in range(0, len(order), FINE_BATCH):
+            k = order[at : at + FINE_BATCH]
+            vec, kept = net.read_chars([words_[i] for i in k], keep=True)
+            d = ((sigmoid(vec @ own["r"] + own["r0"]) - y[k]) * weight[k] / weight[k].sum()).astype(np.float32)
+            adam.step({"r": vec.T @ d, "r0": d.sum(keepdims=True)} | net.read_chars_back(d[:, None] * own["r"], kept))
+    return own["r"], float(own["r0"][0])
+
+
+def worst_windows(scores: np.ndarray, owner: np.ndarray, most: int) -> np.ndarray:
+    """Numbers of each text's windows with the highest scores, ``most`` a text."""
+    order = np.lexsort((-scores, owner))
+    at = np.arange(len(order))
+    first = np.maximum.accumulate(np.where(np.r_[True, np.diff(owner[order]) != 0], at, 0))
+    return order[at - first < most]
+
+
 def train(texts: list[list[list[str]]], labels: list[int], seed: int = 0, epochs: int = EPOCHS) -> Network:
     """A network from texts' windows and the texts' labels."""
-    seen: dict[str, int] = {}
-    for windows in texts:
+    label = np.array(labels)
+    valid = np.zeros(len(texts), bool)
+    for c in (0, 1):
+        valid[np.flatnonzero(label == c)[VALID - 1 :: VALID]] = True
+    counts: dict[str, list[int]] = {}
+    for windows, c in ((t, c) for t, c, v in zip(texts, labels, valid) if not v):
         for w in {x for window in windows for x in window}:
-            seen[w] = seen.get(w, 0) + 1
-    common = sorted((w for w, n in seen.items() if n >= LEAST_ROWS), key=lambda w: (-seen[w], w))[:VOCABULARY]
+            counts.setdefault(w, [0, 0])[c] += 1
+    common = sorted((w for w, n in counts.items() if sum(n) >= LEAST_ROWS), key=lambda w: (-sum(counts[w]), w))[:VOCABULARY]
     net = Network(common, seed)
     if len(set(labels)) < 2:
         net.ready = False
         return net
-    flat = [w for windows in texts for w in windows]
+    r = np.random.default_rng(seed)
+    sizes = [int((label[~valid] == c).sum()) for c in (0, 1)]
+    direction, offset = learn_words(net, counts, sizes, r)
+    # the words' inputs start on one direction: what the characters tell, and how often a known word was in toxic texts
+    odds = lambda n: np.log((n[1] * sizes[0] / sizes[1] + 1) / (n[0] + 1)) * min(1.0, sum(n) / 8)
+    told = np.array([0.0, *(odds(counts[w]) for w in common)], np.float32)
+    for d in "fb":
+        v = (r.standard_normal(3 * HIDDEN) * 0.5).astype(np.float32)
+        net.p[f"wc{d}"] = (np.outer(direction, v) * 0.3 + r.standard_normal((2 * CHAR_HIDDEN, 3 * HIDDEN)) * 0.1).astype(np.float32)
+        net.p[f"we{d}"] = (told[:, None] * v * 0.3 + r.standard_normal((len(told), 3 * HIDDEN)) * 0.03).astype(np.float32)
     owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    label = np.array(labels)
-    fresh = (label == 0) & (np.cumsum(label == 0) % 3 == 0)
-    toxic, learnt = label[owner] == 1, ~fresh[owner]
-    r, adam = np.random.default_rng(seed), Adam(net.p)
-
-    def worst():
-        scores = window_logits(net, flat)
-        best = np.full(len(texts), -np.inf)
-        np.maximum.at(best, owner, scores)
-        return scores, best, np.quantile(best[fresh], CLEAN_SHARE) if fresh.any() else 0.0
-
-    used = learnt
-    for epoch in range(epochs):
-        if epoch >= OPEN:
-            # a toxic text's windows that look like those of clean texts teach nothing
-            scores, _, bound = worst()
-            used = learnt & (~toxic | (scores > bound))
-        balance = np.where(toxic, (used & ~toxic).sum() / max(1, (used & toxic).sum()), 1.0).clip(0.1, 10)
-        adam.rate = 0.015 * 0.8**epoch
-        order = r.permutation(np.flatnonzero(used))
-        for at in range(0, len(order), BATCH):
-            own = order[at : at + BATCH]
-            unique, rows = numbered([flat[i] for i in own])
-            _, grads = net.gradients(unique or ["a"], rows, toxic[own].astype(np.float32), balance[own].astype(np.float32))
-            for k, g in grads.items():
-                g += DECAY * net.p[k]
-            adam.step(grads)
-    _, best, bound = worst()
-    sure = fresh | ((label == 1) & (best > bound))
-    net.scale, net.shift = logistic(best[sure], label[sure].astype(float)) if len(set(label[sure].tolist())) == 2 else (1.0, 0.0)
-    if fresh.any():  # nearly all clean texts must stay below one half
-        net.shift = min(net.shift, -net.scale * float(np.quantile(best[fresh], FRESH_BELOW)))
+    unique, rows = numbered([w for windows in texts for w in windows])
+    if not unique:
+        net.ready = False
+        return net
+    ids = np.append(0, net.ids(unique))
+    vec = np.vstack([np.zeros((1, 2 * CHAR_HIDDEN), np.float32), net.read_chars(unique)])
+    bad = np.maximum(0, vec @ direction + offset + told[ids])
+    bad[0] = 0
+    scores, known = np.sort(bad[rows], 1)[:, -3:].sum(1), False
+    others = np.flatnonzero(~valid[owner] & (label[owner] == 0))
+    adam = Adam(net.p)
+    for epoch in range(epochs + FINE_EPOCHS):
+        fine = epoch >= epochs
+        if epoch in (epochs // 2, epochs):
+            scores, known = net.logits({d: net.p[f"we{d}"][ids] + vec @ net.p[f"wc{d}"] for d in "fb"}, rows), True
+        used = worst_windows(scores, owner, WORST)
+        used = used[~valid[owner[used]]]
+        used = np.concatenate([used, r.choice(others, min(len(others), len(used) // 3), replace=False)])
+        y = label[owner[used]].astype(np.float32)
+        # a toxic text's window counts by how toxic it seems by now
+        weight = np.where((y == 1) & known, np.maximum(0.05, sigmoid(scores[used])), 1.0)
+        weight = np.where(y == 1, weight * (y == 0).sum() / max(1e-9, weight[y == 1].sum()), weight).astype(np.float32)
+        adam.rate = RATE * 0.85**epoch
+        order = r.permutation(len(used))
+        size = FINE_BATCH if fine else BATCH
+        for at in range(0, len(order), size):
+            own = order[at : at + size]
+            some, small = np.unique(np.append(0, rows[used[own]].ravel()), return_inverse=True)
+            _, grads = net.gradients([unique[i - 1] for i in some[1:]] or ["a"], small[1:].reshape(len(own), -1), y[own], weight[own], None if fine else vec[some] if len(some) > 1 else np.zeros((2, vec.shape[1]), np.float32))
+            adam.step({k: g + DECAY * net.p[k] for k, g in grads.items()})
+    apart = np.flatnonzero(valid[owner]) if valid.any() else np.arange(len(owner))
+    best = np.full(len(texts), -np.inf)
+    np.maximum.at(best, owner[apart], net.logits(stacked(net.word_inputs(unique)), rows[apart]))
+    there = np.isfinite(best)
+    if len(set(label[there].tolist())) == 2:
+        net.scale, _ = logistic(best[there], label[there].astype(float))
+        net.scale = max(net.scale, 0.1)
+        net.shift = LEVEL - net.scale * cut(best[there], label[there])
     return net
 
 
+def cut(x: np.ndarray, y: np.ndarray) -> float:
+    """The value of x from which y is 1, at the best F measure, in which precision weighs more than recall."""
+    order = np.argsort(-x, kind="stable")
+    hits, all_ = np.cumsum(y[order] == 1), np.arange(1, len(x) + 1)
+    f = hits / (0.5 * (y == 1).sum() + all_)
+    k = int(np.flatnonzero(f == f.max())[-1])
+    above, below = x[order[k]], x[order[min(k + 1, len(x) - 1)]]
+    return float(0.5 * (above + below))
+
+
 def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Scale and shift of a logistic fit with classes of equal weight and a little shrinkage."""
+    """Scale and shift of a logistic fit with a little shrinkage."""
     mean, spread = x.mean(), x.std() + 1e-6
-    z, w = (x - mean) / spread, np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
+    z, w = (x - mean) / spread, 1 / len(x)
     a = b = 0.0
     for _ in range(50):
         p = sigmoid(a * z + b)
@@ -220,11 +299,9 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a / spread), float(b - a * mean / spread)
 
 
-def window_logits(net: Network, windows: list[list[str]]) -> np.ndarray:
-    unique, rows = numbered(windows)
-    x = net.word_inputs(unique) if unique else {d: np.zeros((0, 3 * HIDDEN), np.float32) for d in "fb"}
-    x = {d: np.vstack([np.zeros((1, 3 * HIDDEN), np.float32), v]) for d, v in x.items()}
-    return net.logits(x, rows)
+def stacked(x: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Words' inputs with a first row for no word."""
+    return {d: np.vstack([np.zeros((1, 3 * HIDDEN), np.float32), v]) for d, v in x.items()}
 
 
 class Scorer:
@@ -305,29 +382,22 @@ def held_out(id_col: Column) -> Column:
 def training_rows(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> DataFrame:
     """(doc_id, text, toxic) of the bounded sample of rows that may be learnt from."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id")))
-    first = [known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for c, n in ((1, toxic_rows), (0, clean_rows))]
+    bounds = ((1, toxic_rows), (0, clean_rows))
+    first = [known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for c, n in bounds]
     sample = F.broadcast(first[0].unionByName(first[1]))  # at most toxic_rows + clean_rows rows
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id")
+    # once more, for doc_ids may be repeated
+    return bounded(rows, "toxic", bounds)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Network:
-    """Train on the sample's windows, which are cut and drawn on the executors."""
-
-    def batch(b):
-        ids, toxic, lines = [], [], []
-        for i, text, t in zip(*(b.column(k).to_pylist() for k in range(3))):
-            w = words(text)
-            starts = window_starts(len(w))
-            if len(starts) > ROW_WINDOWS:
-                starts = np.random.default_rng(abs(i)).choice(starts, ROW_WINDOWS, replace=False).tolist()
-            ids.append(i)
-            toxic.append(t)
-            lines.append([" ".join(w[s : s + WINDOW]) for s in starts])
-        return {"doc_id": ids, "toxic": toxic, "windows": lines}
-
-    rows = map_rows(training_rows(docs, labels), batch, "doc_id long, toxic int, windows array<string>").collect()
-    rows = sorted(rows, key=lambda r: (r.doc_id, r.toxic, r.windows))
-    return train([[w.split() for w in r.windows] for r in rows], [r.toxic for r in rows])
+    """Train on the sample's whole texts."""
+    rows = sorted(training_rows(docs, labels).collect(), key=lambda r: (r.doc_id, r.toxic, r.text or ""))
+    texts = []
+    for r in rows:
+        w = words(r.text)
+        texts.append([w[s : s + WINDOW] for s in window_starts(len(w))])
+    return train(texts, [r.toxic for r in rows])
 
 
 def score(docs: DataFrame, net: Network, text_col: str = "text", name: str = "score") -> DataFrame:
@@ -338,6 +408,7 @@ def score(docs: DataFrame, net: Network, text_col: str = "text", name: str = "sc
 
     from tidemark.llm.common import chunks
 
+    docs = docs.drop(name)
     sent = docs.sparkSession.sparkContext.broadcast(net)
     at = docs.columns.index(text_col)
     schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
