@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.runtime import checkpoint, shared_path, shared_root, ship  # noqa: F401  for the operators
+from tidemark.runtime import checkpoint, shared_path, shared_root, ship, small  # noqa: F401  for the operators
 
 #: Working sets in a Python worker are rebuilt once they hold this many bytes of text.
 CHUNK_BYTES = 4 << 20
@@ -25,6 +25,21 @@ def bounded(rows: DataFrame, label: str, bounds: Iterable[tuple[int, int]]) -> D
     return reduce(DataFrame.unionByName, parts)
 
 
+#: Keys with the most rows that are joined by broadcast; what then is left of any key is at most 1 / HOT_KEYS of the rows.
+HOT_KEYS = 1000
+
+
+def join_hot(rows: DataFrame, by_key: DataFrame, key: str, n: str) -> DataFrame:
+    """``rows.join(by_key, key)`` for a table of one row a key, whose column ``n`` counts the key's rows.
+
+    The rows of the most frequent keys stay where they are; only the others are dealt by key. Both
+    tables should be checkpoints.
+    """
+    hot = F.broadcast(by_key.orderBy(F.desc(n), key).limit(HOT_KEYS))
+    rest = rows.join(hot.select(key), key, "left_anti").join(by_key, key)
+    return rows.join(hot, key).unionByName(rest).drop(n)
+
+
 def chunks(batches: Iterable[pa.RecordBatch], text: int | None = 1, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches whose column ``text`` holds about ``most`` bytes; a longer row stands alone."""
     for b in batches:

@@ -4,10 +4,13 @@ Two texts are near copies if the sets of their ``WORDS``-word shingles have a Ja
 least ``SIMILAR``. A set of n shingles then shares at least SIMILAR * n of them with the other, so in any
 common order of shingles the first n - ceil(SIMILAR * n) + 1 of both have one in common: texts are joined
 on these. No pair is missed. The order is by hash with frequent shingles last; which are frequent is read
-off a sample, which bears on cost only. Candidates are then compared in full.
+off a sample, which bears on cost only.
 
-Candidates come in two rounds, so that large groups of near copies don't cost all their pairs: first each
-text with one text of its group, then all pairs that are not yet in one component.
+Candidates come in two rounds, so that large groups of near copies don't cost all their pairs: first the
+links of the texts' SimHash fingerprints, found by the trie join of ``simhash``, and each text with one
+text of its group; then all pairs that are not yet in one component. A pair is ruled out if the parities
+of its sets in some cells of a hash differ in more cells than the sets may differ in members; sets have
+cells in proportion to their size. What is left is compared in full.
 
 Words are cut at ASCII blanks and compared with A-Z in lower case, as by ``simhash.fingerprint``; a text of
 fewer words is one shingle; null and blank texts are copies of each other and of nothing else.
@@ -22,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Cache, checkpoint, map_arrow, map_rows
-from tidemark.llm.simhash import components
+from tidemark.llm.common import Cache, checkpoint, join_hot, map_arrow, map_rows, small
+from tidemark.llm.simhash import BUDGET, components, links, majority, ones_by_bit
 
-WORDS, SIMILAR, PARITIES = 5, 0.8, 512
-#: Keys of rows whose texts are to be compared are broadcast up to so many; beyond, both sides are shuffled.
-BROADCAST_ROWS = 500_000
+WORDS, SIMILAR = 5, 0.8
+#: Cells of a set's parities: a power of two, at least so many and at least twice the set's size.
+PARITIES = 512
 #: One document in SAMPLE tells which shingles are frequent: those in at least FREQUENT of them, MOST_FREQUENT at most.
 SAMPLE, FREQUENT, MOST_FREQUENT = 16, 4, 200_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -80,29 +83,41 @@ def _frequent(docs: DataFrame, id_col: str, text_col: str) -> np.ndarray:
     return np.sort(top.column(0).to_numpy().astype(np.int64).view(np.uint64))
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """For each cell whether an odd number of the shingles falls into it, packed into longs."""
+    cells = max(PARITIES, 1 << (2 * len(s) - 1).bit_length())
+    odd = np.bincount((s % np.uint64(cells)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def folded(x: Column, size: Column) -> Column:
+    """Parities in fewer cells, ``size`` longs: what falls into one cell there falls into these here."""
+    return F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.aggregate(F.sequence(F.lit(0), (F.size(x) / size).cast("int") - 1), F.lit(0).cast("long"), lambda s, j: s.bitwiseXOR(F.get(x, i + j * size))))
+
+
 def prefixes(docs: DataFrame, id_col: str, text_col: str, frequent: np.ndarray) -> DataFrame:
-    """(k, doc_id, t, n, p, x): the row's key, a hash of its shingle set, the set's size, first shingles and parities."""
+    """(k, doc_id, t, n, fp, p, x): the row's key, a hash of its shingle set, the set's size, fingerprint, first shingles and parities."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def batch(b):
         import xxhash
 
         hashes, late = word_hashes(), sent.value
-        t, n, p, x = [], [], [], []
+        t, n, fp, p, x = [], [], [], [], []
         for text in b.column(1).to_pylist():
             s = shingles(text, hashes)
             t.append(xxhash.xxh64_intdigest(s.tobytes()))
             n.append(len(s))
-            odd = np.bincount((s % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
-            x.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+            fp.append(majority(sum(ones_by_bit(s[a : a + 65536]) for a in range(0, len(s), 65536)), len(s)) if len(s) else 0)
+            x.append(parities(s))
             if len(late):
                 common = late[np.minimum(np.searchsorted(late, s), len(late) - 1)] == s
                 s = np.concatenate([s[~common], s[common]])
             p.append(s[: len(s) - needed(len(s)) + 1].view(np.int64))
-        return {"k": b.column(2), "doc_id": b.column(0), "t": pa.array(np.array(t, np.uint64).view(np.int64)), "n": n, "p": pa.array(p, pa.list_(pa.int64())), "x": pa.array(x, pa.list_(pa.int64()))}
+        return {"k": b.column(2), "doc_id": b.column(0), "t": pa.array(np.array(t, np.uint64).view(np.int64)), "n": n, "fp": pa.array(np.array(fp, np.uint64).view(np.int64)), "p": pa.array(p, pa.list_(pa.int64())), "x": pa.array(x, pa.list_(pa.int64()))}
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("k"))
-    return map_rows(rows, batch, "k long, doc_id long, t long, n int, p array<long>, x array<long>")
+    return map_rows(rows, batch, "k long, doc_id long, t long, n int, fp long, p array<long>, x array<long>")
 
 
 def _groups(batches):
@@ -168,40 +183,55 @@ def _pairs(batches):
     yield from _batches(run(), ["u", "v"])
 
 
-def possible(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose parities leave them possible."""
-    side = rows.select("t", "n", "x").dropDuplicates(["t"])
+def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose sizes and parities leave them possible."""
+    own = small(checkpoint(pairs.select(F.explode(F.array("u", "v")).alias("t")).distinct()))
+    side = checkpoint(sets.select("t", "n", "x").join(own, "t", "left_semi"))
     joined = pairs.join(side.toDF("u", "m", "a"), "u").join(side.toDF("v", "n", "b"), "v")
-    differ = F.aggregate(F.zip_with("a", "b", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, c: s + c)
+    joined = joined.where(F.greatest("m", "n") * F.lit(SIMILAR - 1e-12) <= F.least("m", "n"))
+    size = F.least(F.size("a"), F.size("b"))
+    fold = lambda c: F.when(F.size(c) > size, folded(F.col(c), size)).otherwise(F.col(c))
+    differ = F.aggregate(F.zip_with(fold("a"), fold("b"), lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, c: s + c)
     return joined.where(differ <= F.lit((1 - SIMILAR) / (1 + SIMILAR) + 1e-9) * (F.col("m") + F.col("n"))).select("u", "v")
 
 
-def similar(pairs: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose sets are as similar as SIMILAR; docs has (k, text)."""
-    pairs = checkpoint(possible(pairs, rows))
-    either = pairs.select(F.explode(F.array("u", "v")).alias("t")).distinct()
-    # of each set the text of one row
-    some = checkpoint(rows.select("t", "k").join(either, "t", "left_semi").groupBy("t").agg(F.min("k").alias("k")))
-    some = F.broadcast(some) if some.count() <= BROADCAST_ROWS else some
-    sets = _sets(docs.join(some, "k").select("t", "text")).dropDuplicates(["t"])
+def similar(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose sets are as similar as SIMILAR; docs has (k, text), sets the key k of one row of each set."""
+    pairs = checkpoint(possible(pairs, sets))
+    either = small(checkpoint(pairs.select(F.explode(F.array("u", "v")).alias("t")).distinct()))
+    some = small(checkpoint(sets.select("t", "k").join(either, "t", "left_semi")))
+    own = checkpoint(_sets(docs.join(some, "k").select("t", "text")).dropDuplicates(["t"]))
     both = F.size(F.array_intersect("a", "b"))
-    joined = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v")
+    joined = pairs.join(own.toDF("u", "a"), "u").join(own.toDF("v", "b"), "v")
     return checkpoint(joined.where(both >= F.lit(SIMILAR - 1e-12) * (F.size("a") + F.size("b") - both)).select("u", "v"))
 
 
+def _by_fingerprint(sets: DataFrame) -> DataFrame:
+    """Pairs (u, v) of sets whose fingerprints are equal or linked: each with the least set of its own, and these."""
+    least = sets.groupBy("fp").agg(F.min("t").alias("t0"))
+    equal = sets.select("fp", "t").join(least, "fp").select(F.col("t0").alias("u"), F.col("t").alias("v"))
+    near = links(sets, BUDGET).join(least.toDF("u", "tu"), "u").join(least.toDF("v", "tv"), "v").select(F.col("tu").alias("u"), F.col("tv").alias("v"))
+    return equal.unionByName(near).where("u <> v")
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(k, doc_id, root) for each row: its key, its id and its component of near copies."""
     rows = checkpoint(prefixes(docs, id_col, text_col, _frequent(docs, id_col, text_col)))
     texts = docs.select(row_key(id_col, text_col).alias("k"), F.col(text_col).alias("text"))
-    firsts = rows.select(F.explode("p").alias("h"), "t", "n")
+    # copies count once from here
+    counted = checkpoint(rows.groupBy("t").agg(F.min("k").alias("k"), F.count("*").alias("copies")))
+    sets = checkpoint(rows.drop("doc_id").join(counted.select("t", "k"), ["t", "k"], "left_semi").dropDuplicates(["t"]))
+    firsts = sets.select(F.explode("p").alias("h"), "t", "n")
     sort = lambda df: df.repartition("h").sortWithinPartitions("h")
     shared = checkpoint(map_arrow(sort(firsts), _shared, "h long, t long, n long, c long, cn long"))
     close = F.greatest("n", "cn") * F.lit(SIMILAR - 1e-12) <= F.least("n", "cn")
-    star = shared.where(close & (F.col("t") != F.col("c"))).select(F.least("t", "c").alias("u"), F.greatest("t", "c").alias("v")).distinct()
-    first = similar(star, rows, texts)
+    star = shared.where(close & (F.col("t") != F.col("c"))).select(F.col("t").alias("u"), F.col("c").alias("v"))
+    both = star.unionByName(_by_fingerprint(sets)).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    first = similar(both, sets, texts)
     roots = components(first)
     known = shared.join(roots.withColumnRenamed("node", "t"), "t", "left").select("h", "t", "n", F.coalesce("root", "t").alias("root"))
     rest = map_arrow(sort(known), _pairs, "u long, v long").distinct()
-    links = first.unionByName(similar(rest, rows, texts))
-    final = components(links).withColumnRenamed("node", "t")
-    return rows.join(final, "t", "left").select("k", "doc_id", F.coalesce("root", "t").alias("root"))
+    found = first.unionByName(similar(rest, sets, texts))
+    final = components(found).withColumnRenamed("node", "t")
+    named = checkpoint(counted.join(final, "t", "left").select("t", "copies", F.coalesce("root", "t").alias("root")))
+    return join_hot(rows.select("k", "doc_id", "t"), named, "t", "copies").select("k", "doc_id", "root")

@@ -6,7 +6,8 @@ with at most b differing bits agree on at least one of b + 1 blocks of bits, so
 to b + 1 groups, and each group is joined with itself as a binary trie: node pairs are walked
 together, differing bits add up along the path, and a pair whose sum exceeds the budget is dropped
 with everything below it. A group returns the links of a spanning forest, never all its pairs. Groups
-of over ``GROUP_ROWS`` fingerprints are split into pieces and joined piece by piece, which is exact.
+of over ``GROUP_ROWS`` fingerprints are divided once more, by the b + 1 blocks of their other bits, one
+of which must agree too; what is still larger is joined piece by piece. Both are exact.
 ``components`` joins the forests to connected components by alternating star contractions.
 
 Edge cases: a null or blank text has fingerprint 0, which links like any other; copies share a
@@ -21,10 +22,10 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpoint, map_arrow, map_rows, table
+from tidemark.llm.common import checkpoint, join_hot, map_arrow, map_rows, small, table
 
 QUERY = "op8_simhash_dedup"
 WORDS = 4
@@ -51,7 +52,16 @@ def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
     for at in range(0, count, 65536):
         upto = min(count, at + 65536)
         h = np.fromiter((digest(line[a : b - 1], seed) for a, b in zip(ends[at:upto], ends[at + min(words, len(got)) :])), np.uint64, upto - at)
-        ones += np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+        ones += ones_by_bit(h)
+    return majority(ones, count)
+
+
+def ones_by_bit(h: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each of the 64 bits, the highest first."""
+    return np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+
+
+def majority(ones: np.ndarray, count: int) -> int:
     return int.from_bytes(np.packbits(2 * ones > count).tobytes(), "big")
 
 
@@ -155,7 +165,7 @@ class Forest:
 
 
 def _join_groups(budget: int):
-    """mapInArrow function over rows (key, i, j, fp) sorted by group: the links of each group's forest."""
+    """mapInArrow function over rows (key, sub, i, j, fp) sorted by group: the links of each group's forest."""
 
     def links(key: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
         forest = Forest(len(fps))
@@ -165,11 +175,11 @@ def _join_groups(budget: int):
         return pa.RecordBatch.from_arrays([pa.array(signed[x[:, 0]]), pa.array(signed[x[:, 1]])], names=["u", "v"])
 
     def run(batches):
-        held_key, held_fp = np.zeros((0, 3), np.int64), np.zeros(0, np.uint64)
+        held_key, held_fp = np.zeros((0, 4), np.int64), np.zeros(0, np.uint64)
         for b in batches:
-            key = np.stack([b.column(c).to_numpy() for c in range(3)], 1).astype(np.int64)
+            key = np.stack([b.column(c).to_numpy() for c in range(4)], 1).astype(np.int64)
             held_key = np.concatenate([held_key, key])
-            held_fp = np.concatenate([held_fp, b.column(3).to_numpy().view(np.uint64)])
+            held_fp = np.concatenate([held_fp, b.column(4).to_numpy().view(np.uint64)])
             if len(held_key) < GROUP_ROWS:
                 continue
             last = (held_key != held_key[-1]).any(1).nonzero()[0]
@@ -189,21 +199,47 @@ def _sorted(key: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return group[order], fps[order]
 
 
+def _blocks(budget: int, bits: list[int]) -> list[list[int]]:
+    """The bits (0 the lowest) in budget + 1 blocks."""
+    cuts = [round(len(bits) * k / (budget + 1)) for k in range(budget + 2)]
+    return [bits[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
+
+
+def _block_value(block: list[int]) -> Column:
+    """The bits of ``fp`` in a block, as a number; a block is one run of bits or two."""
+    runs = np.split(np.array(block), np.flatnonzero(np.diff(block) != 1) + 1)
+    out, at = F.lit(0).cast("long"), 0
+    for r in runs:
+        out = out.bitwiseOR(F.shiftleft(F.shiftrightunsigned("fp", int(r[0])).bitwiseAND(F.lit((1 << len(r)) - 1).cast("long")), at))
+        at += len(r)
+    return out
+
+
 def links(fps: DataFrame, budget: int = BUDGET, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Links (u, v) between different values of ``fp`` that leave its Hamming graph's components as they are."""
-    cuts = [round(64 * k / (budget + 1)) for k in range(budget + 2)]
-    keys = F.array(*[F.lit(k).cast("long") * F.lit(1 << 32) + F.shiftrightunsigned("fp", 64 - hi).bitwiseAND(F.lit((1 << (hi - lo)) - 1).cast("long")) for k, (lo, hi) in enumerate(zip(cuts, cuts[1:]))])
+    blocks = _blocks(budget, list(range(64)))
+    tagged = lambda k, c: F.lit(k).cast("long") * F.lit(1 << 48) + c
+    keys = F.array(*[tagged(k, _block_value(b)) for k, b in enumerate(blocks)])
     rows = fps.select("fp").distinct().select("fp", F.explode(keys).alias("key"))
     # at most (budget + 1) * 2**(64 / (budget + 1)) groups, and only the large ones of them
-    hot = rows.groupBy("key").count().where(F.col("count") > group_rows).select("key", F.ceil(F.col("count") / group_rows).cast("int").alias("pieces"))
+    large = rows.groupBy("key").count().where(F.col("count") > group_rows).select("key", F.lit(True).alias("large"))
+    marked = rows.join(F.broadcast(large), "key", "left")
+    within = F.lit(None).cast("array<long>")
+    for k, b in enumerate(blocks):
+        others = [bit for bit in range(64) if bit not in b]
+        subs = F.array(*[tagged(j, _block_value(x)) for j, x in enumerate(_blocks(budget, others))])
+        within = F.when(F.shiftright("key", 48) == k, subs).otherwise(within)
+    dealt = marked.select("key", "fp", F.explode(F.when(F.col("large"), within).otherwise(F.array(F.lit(-1).cast("long")))).alias("sub"))
+    # of the second division's groups those that are still too large: as many as fit in group_rows times the rows
+    hot = dealt.where("sub >= 0").groupBy("key", "sub").count().where(F.col("count") > group_rows).select("key", "sub", F.ceil(F.col("count") / group_rows).cast("int").alias("pieces"))
     piece = F.pmod(F.xxhash64("fp"), F.col("pieces")).cast("int")
     dealt = (
-        rows.join(F.broadcast(hot), "key", "left")
-        .select("key", "fp", F.coalesce("pieces", F.lit(1)).alias("pieces"))
-        .select("key", "fp", piece.alias("own"), F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other"))
-        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
+        dealt.join(small(checkpoint(hot)), ["key", "sub"], "left")
+        .select("key", "sub", "fp", F.coalesce("pieces", F.lit(1)).alias("pieces"))
+        .select("key", "sub", "fp", piece.alias("own"), F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other"))
+        .select("key", "sub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
     )
-    grouped = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    grouped = dealt.repartition("key", "sub", "i", "j").sortWithinPartitions("key", "sub", "i", "j")
     return map_arrow(grouped, _join_groups(budget), "u long, v long").distinct()
 
 
@@ -221,13 +257,13 @@ def components(edges: DataFrame) -> DataFrame:
     before = signature(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = checkpoint(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n")))
+        large = join_hot(both, least, "u", "n").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.unionByName(least.where("m < u").select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         large = checkpoint(large)
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = checkpoint(small.unionByName(least.select("u", F.col("m").alias("v"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
+        least = checkpoint(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")))
+        lesser = join_hot(large, least, "u", "n").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = checkpoint(lesser.unionByName(least.select("u", F.col("m").alias("v"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
         now = signature(edges)
         if now == before:
             break
@@ -238,11 +274,12 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, budget: int = BUDGET) -> DataFrame:
     """(doc_id, fp, component_id) for each row; component_id is the smallest doc_id that links reach."""
     fps = checkpoint(fingerprints(docs, id_col, text_col, words))
-    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
+    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("rows"))
     roots = components(links(fps, budget))
-    member = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    ids = member.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return fps.join(member.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    member = checkpoint(nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least_id", "rows", F.coalesce("root", "fp").alias("root")))
+    ids = checkpoint(member.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count("*").alias("n")))
+    named = checkpoint(join_hot(member, ids, "root", "n").select("fp", "component_id", "rows"))
+    return join_hot(fps, named, "fp", "rows").select("doc_id", "fp", "component_id")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
