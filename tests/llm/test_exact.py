@@ -212,11 +212,35 @@ def test_lookahead_is_enough():
         m = stream_bpe.MergeList(merges)
         for _ in range(20):
             word = [r.choice("abc") for _ in range(r.randrange(1, 60))]
-            t = stream_bpe.Transducer(m, window=1)
+            t = stream_bpe.Transducer(m, step=1)
             got = [*t.push(word), *t.finish()]
             assert got == m.apply(list(word)), (merges, word)
 
 
+def test_every_word_goes_through_the_transducer(monkeypatch):
+    passed = []
+    for name in ("word", "push"):
+        plain = getattr(stream_bpe.Transducer, name)
+        monkeypatch.setattr(stream_bpe.Transducer, name, lambda self, symbols, f=plain: f(self, passed.append(held := list(symbols)) or held))
+    own = stream_bpe.WordBpe(stream_bpe.vocabulary())
+    short = "it's a test of 12 words, don't skip any!"
+    list(own.encode(short + " é日本 " + "x" * 300))
+    back = {b: c for b, c in enumerate(own.letters)}
+    want = {"".join(back[b] for b in w.encode()) for run in (short.split() + ["é日本", "x" * 300]) for w in own.words.findall(run)}
+    assert want <= {"".join(p) for p in passed}
+
+
+def test_tokens_come_before_a_long_word_ends():
+    own = stream_bpe.encoder(stream_bpe.vocabulary())
+    t = stream_bpe.Transducer(own.merges, own.suffix)
+    symbols, got, most = [own.letters[b] for b in ("thernaiousl" * 900).encode()], 0, 0
+    for i, c in enumerate(symbols):
+        got += len(list(t.push([c])))
+        most = max(most, len(t.held))
+        assert i <= t.window or got  # the first tokens come as soon as a window is full
+    assert got > 1000 and most <= t.window + 1 and t.window < 1300
+
+
 def test_decoder_holds_unfinished_characters():
     raw = dict(enumerate(bytes([b]) for b in "é😀".encode()))
     out = stream_bpe.TextDecoder(raw)

@@ -19,6 +19,7 @@ import hashlib
 import heapq
 import json
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +27,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import Cache, map_rows, table
 
 QUERY = "op7_stream_bpe"
-#: Characters of text that are cut into words at a time, and the longest word that is remembered.
-SEGMENT, REMEMBERED = 1 << 16, 48
+#: Characters of text that are cut into words at a time.
+SEGMENT = 1 << 16
+#: The longest run of text whose ids a worker keeps for when it recurs; longer ones are streamed each time.
+KEPT_LENGTH = 64
 
 
 def byte_letters() -> list[str]:
@@ -101,19 +104,31 @@ class MergeList:
 
 
 class Transducer:
-    """Tokens of one word from its symbols as they come; ``suffix`` is added to the word's last symbol."""
+    """Tokens of words from their symbols as they come; ``suffix`` is added to a word's last symbol.
 
-    def __init__(self, merges: MergeList, suffix: str = "", window: int = 512):
+    ``push`` gives tokens once the lookahead shows that nothing to come can change them, ``finish`` ends
+    the word and gives the rest. At most ``step`` symbols more than the lookahead and a token are held.
+    """
+
+    def __init__(self, merges: MergeList, suffix: str = "", step: int = 256):
         self.merges, self.suffix = merges, suffix
-        self.window = window + merges.lookahead + merges.longest
+        self.window = step + merges.lookahead + merges.longest
         self.held: list[str] = []
 
     def push(self, symbols: Iterable[str]) -> Iterator[str]:
-        for s in symbols:
-            self.held.append(s)
+        symbols = iter(symbols)
+        while more := list(islice(symbols, self.window + 1 - len(self.held))):
+            self.held += more
             if len(self.held) > self.window:
                 yield from self._stable()
 
+    def word(self, symbols: list[str]) -> list[str]:
+        """All tokens of a word that is here as a whole."""
+        if not self.held and len(symbols) <= self.window:
+            self.held = symbols
+            return list(self.finish())
+        return [*self.push(symbols), *self.finish()]
+
     def _stable(self) -> Iterator[str]:
         known, last = self.held[:-1], self.held[-1:]  # the last symbol may yet be the word's end
         until, at = len(known) - self.merges.lookahead, 0
@@ -160,7 +175,8 @@ class TextDecoder:
 class WordBpe:
     """The tokenizers library's lower-casing word BPE: NFC, lower case, words, bytes, merges with word ends.
 
-    Runs between white space are looked up if they recur. Texts with other characters than those of
+    Every word goes through a ``Transducer``; what it gave for short runs between white space is looked
+    up when they recur. Texts with other characters than those of
     ``PLAIN``, whose classes depend on the Unicode version, are put in NFC and cut into words by the library.
     """
 
@@ -185,21 +201,21 @@ class WordBpe:
         self.break_ = regex.compile(r"[ \t\n\r]")
         self.raw = {i: t.encode() for t, i in [*self.ids.items(), *self.special.items()]}
         self.raw_text = {str(i): t for i, t in self.raw.items()}
+        self.transducer = Transducer(self.merges, self.suffix)
         self.runs, self.spelled = Cache(self.spell_run, 400_000), Cache(self.spell, 200_000)
 
     def spell(self, word: str) -> str:
-        """The ids of a short word, joined by blanks; so short a word is all within the lookahead."""
-        symbols = [self.letters[b] for b in word.encode("utf-8", "surrogatepass")]
-        symbols[-1] += self.suffix
-        return " ".join([self.number[t] for t in self.merges.apply(symbols)])
+        """The ids of a word, joined by blanks."""
+        letters = self.letters
+        return " ".join([self.number[t] for t in self.transducer.word([letters[b] for b in word.encode("utf-8", "surrogatepass")])])
 
     def spell_run(self, run: str) -> str:
         """The ids of a short run without white space."""
         return " ".join(map(self.spell, self.words.findall(run)))
 
     def tokens(self, word: str) -> Iterator[str]:
-        letters = self.letters
-        one = Transducer(self.merges, self.suffix)
+        """A word's tokens as they become stable."""
+        letters, one = self.letters, Transducer(self.merges, self.suffix)
         yield from one.push(letters[b] for c in word for b in c.encode("utf-8", "surrogatepass"))
         yield from one.finish()
 
@@ -238,11 +254,11 @@ class WordBpe:
                     runs, known, cut = self.library_words(segment), self.spelled, lambda word: [word]
                 if not runs:
                     continue
-                if len(max(runs, key=len)) <= REMEMBERED:
+                if len(max(runs, key=len)) <= KEPT_LENGTH:
                     yield " ".join(map(known.__getitem__, runs))
                     continue
                 for run in runs:
-                    if len(run) <= REMEMBERED:
+                    if len(run) <= KEPT_LENGTH:
                         yield known[run]
                         continue
                     for word in cut(run):
