@@ -2,7 +2,10 @@
 
 The nested field paths of a table's schema, or of a JSON record, are hashed; the hash picks a
 declarative mapping (``LAYOUTS``) that says where conversations, turns, roles and texts are, and the
-record becomes canonical turns (conv_id, turn, role, text). ``render`` writes turns as
+record becomes canonical turns (conv_id, turn, role, text). A layout is known by the hash of all its
+paths, with or without its id. If the hash of a record's paths is not known, that of those paths is
+looked up which any layout has, so fields that no mapping speaks of don't matter; only a record that
+mixes fields of several layouts is held against each, the one with the most fields first. ``render`` writes turns as
 
     ### role
     text</turn>
@@ -56,10 +59,10 @@ class Layout:
     fixed: tuple[tuple[str, tuple[str, ...]], ...] = ()
     roles: dict[str, str] = field(default_factory=dict, hash=False)
 
-    def paths(self) -> list[str]:
-        """The leaf paths that mark the layout; a record's id isn't one of them."""
+    def paths(self, id: bool = True) -> list[str]:
+        """The leaf paths of the layout, with that of a record's id or without."""
         inside = [f"{self.turns}[].{p}" if self.turns else p for p in (self.order, self.role, self.text) if p]
-        return sorted(inside + [p for _, ps in self.fixed for p in ps])
+        return sorted([*([self.conversation] if id else []), *inside, *(p for _, ps in self.fixed for p in ps)])
 
 
 #: The layouts known; more can be given to ``from_table`` and ``from_json``.
@@ -100,21 +103,31 @@ def record_paths(record, at: str = "") -> set[str]:
 
 
 class Layouts:
-    """Picks a layout by fingerprint: that of all paths, or else of the paths that a layout marks itself by."""
+    """Picks a layout by fingerprint."""
 
     def __init__(self, layouts=LAYOUTS):
-        self.known = {fingerprint(x.paths()): x for x in layouts}
-        self.marks = sorted(((x.paths(), k) for k, x in self.known.items()), key=lambda m: (-len(m[0]), m[0]))
-        self.seen: dict[str, Layout | None] = {}
+        self.known = {fingerprint(x.paths(id)): x for x in layouts for id in (False, True)}
+        self.fields = {p for x in layouts for p in x.paths()}
+        self.by_size = sorted(layouts, key=lambda x: (-len(x.paths(False)), x.paths(False)))
+        self.seen: dict[str, tuple[str, Layout | None]] = {}
+
+    def find(self, paths) -> tuple[str, Layout | None]:
+        """How a layout was found (all, fields, parts or none), and which."""
+        own = set(paths)
+        if x := self.known.get(fingerprint(own)):
+            return "all", x
+        if x := self.known.get(fingerprint(own & self.fields)):
+            return "fields", x
+        x = next((x for x in self.by_size if own.issuperset(x.paths(False))), None)
+        return ("parts", x) if x else ("none", None)
 
     def pick(self, paths) -> Layout | None:
         key = fingerprint(paths)
         if key not in self.seen:
             if len(self.seen) >= 10_000:
                 self.seen.clear()
-            own = set(paths)
-            self.seen[key] = self.known.get(key) or next((self.known[k] for marks, k in self.marks if own.issuperset(marks)), None)
-        return self.seen[key]
+            self.seen[key] = self.find(paths)
+        return self.seen[key][1]
 
 
 def from_table(df: DataFrame, layouts=LAYOUTS) -> DataFrame:
@@ -212,12 +225,13 @@ def render_turn(role: str, text: str) -> tuple[str, int, int]:
     return head + body + END, len(head), len(head) + len(body)
 
 
-def render(turns: DataFrame) -> DataFrame:
-    """(conv_id, piece, loss_start, loss_end): a formatted turn a row, each conversation's rows together and in order.
+def render(turns: DataFrame, together: bool = False) -> DataFrame:
+    """(conv_id, piece, loss_start, loss_end): a formatted turn a row, in the order of conversations and turns.
 
     loss_start and loss_end count the piece's characters under the loss mask; both are null outside
-    of assistants' texts. Rows are formatted before they move, so a conversation with very many turns
-    is formatted by many tasks, and none holds more than a batch of it.
+    of assistants' texts. Rows are formatted before they move, and the order runs over the partitions,
+    so a conversation with very many turns is formatted and written by many tasks. With ``together``
+    each conversation is in one partition, as ``digest`` needs it, in no order among others.
     """
 
     def batch(b):
@@ -226,7 +240,9 @@ def render(turns: DataFrame) -> DataFrame:
         return {"conv_id": b.column(0), "turn": b.column(1), "role": b.column(2), "text": b.column(3), "piece": [g[0] for g in got], "loss_start": [g[1] if a else None for g, a in zip(got, own)], "loss_end": [g[2] if a else None for g, a in zip(got, own)]}
 
     rows = map_rows(turns.select("conv_id", "turn", "role", "text"), batch, "conv_id long, turn long, role string, text string, piece string, loss_start long, loss_end long", text=3)
-    return rows.drop("role", "text").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "piece").drop("turn")
+    rows = rows.drop("role", "text")
+    dealt = rows.repartition("conv_id") if together else rows.repartitionByRange("conv_id", "turn", "piece")
+    return dealt.sortWithinPartitions("conv_id", "turn", "piece").drop("turn")
 
 
 class Reader:
@@ -266,7 +282,11 @@ class Reader:
 
 
 def digest(formatted: DataFrame) -> DataFrame:
-    """What rendered rows say, read back from them, a row a conversation."""
+    """What rendered rows say, read back from them, a row a conversation.
+
+    A digest runs over a conversation's turns one after the other, so its rows pass through one task,
+    a batch at a time: it takes rows that are rendered ``together``.
+    """
     names = ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
@@ -309,4 +329,4 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "\\### Assistant: </turn> ok"
     own = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
-    return digest(render(from_table(rows.unionByName(own))))
+    return digest(render(from_table(rows.unionByName(own)), together=True))

@@ -2,12 +2,12 @@
 
 Patterns propose spans: base kinds (email, ip, card, phone), which always stay if their checks pass,
 and further kinds (masked_email, local_phone, ssn, secret, name). Five labelers vote on every
-proposal, for (1), against (-1) or not at all (0): a stricter pattern, a gazetteer, words before it,
-signs against it around it, and a check of its digits. Expectation-maximisation over the counts of
-vote patterns, of which there are at most 3 ** 5, estimates how reliable each labeler is, and gives
-each proposal a probability. With these as labels a naive Bayes classifier over the span's own
-features and its votes is trained; further spans stay if it gives them at least ``ACCEPT`` and they
-overlap no base span.
+proposal, for (1), against (-1) or not at all (0): a stricter pattern, a gazetteer, words that announce
+it, signs against it around it, and a check of its characters. Expectation-maximisation over the counts
+of each kind's vote patterns, of which there are at most 3 ** 5, estimates how reliable each labeler is
+for the kind, and gives each proposal a probability. With these as labels a naive Bayes classifier is
+trained for each kind, over features of the span and its surroundings that are not the votes; further
+spans stay if it gives them at least ``ACCEPT`` and they overlap no base span.
 
 Matches are found by ``split`` and ``regexp_extract_all``; positions are running sums over the rows
 of a text's matches, so a text with very many of them is sorted, not held in an array.
@@ -31,14 +31,29 @@ BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "masked_email", "local_phone", "ssn", "secret", "name")
 ACCEPT = 0.5
 ROUNDS = 20
+#: Trust in what labelers are thought to be, as a share of a kind's proposals; words around a span are hashed.
+TRUST, CONTEXTS, SMOOTH = 0.5, 64, 2.0
+#: Characters of a text that are reached at once when spans are cut out.
+BLOCK = 2048
 LEFT, RIGHT = 24, 12
 
 # Gazetteers and cue words.
-GIVEN_NAMES = "James John Robert Michael William David Richard Joseph Thomas Charles Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Anna Emma Laura Paul Peter Mark Daniel Hans Klaus Pierre Jean Marie Luis Carlos Juan Ana"
+GIVEN_NAMES = (
+    "James John Robert Michael William David Richard Joseph Thomas Charles Christopher Daniel Matthew Anthony Mark Steven Paul Andrew Joshua Kenneth "
+    "Kevin Brian George Edward Peter Frank Henry Walter Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Nancy Lisa Margaret "
+    "Sandra Ashley Emily Donna Michelle Carol Amanda Laura Emma Olivia Sophia Anna Alice Julia Rachel Hans Klaus Jürgen Wolfgang Stefan Andreas "
+    "Markus Heike Sabine Petra Monika Ursula Jean Pierre Michel Philippe Nicolas François Marie Nathalie Isabelle Sophie Camille Luis Carlos Juan "
+    "José Miguel Antonio Javier María Carmen Ana Lucía Elena Giovanni Marco Giulia Ahmed Mohamed Fatima Ali Omar Wei Li Ming Yuki Hiroshi Ivan Olga"
+)
+TITLES = "Mr Mrs Ms Dr Prof Herr Frau Monsieur Madame Señor Señora"
+SECRET_WORDS = "token key secret password passwd pwd credential credentials apikey auth bearer"
+PLAIN_WORDS = "id sha commit hash checksum digest class href src url path version session slug etag rev"
 DOMAINS = "com org net edu gov io de fr es uk eu info"
 CALLING_CODES = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98"
 CUES = r"(?i)\b(?:tel|phone|call|fax|mobile|mail|e-mail|email|contact|card|visa|account|iban|ip|host|address|ssn|social|token|key|secret|password|name|mr|mrs|ms|dr|herr|frau|señor|monsieur|madame)\b"
 
+_ANY_NAME, _ANY_TITLE = GIVEN_NAMES.replace(" ", "|"), TITLES.replace(" ", "|")
+
 # The starts that lookbehinds and \G leave out can't begin a leftmost match, and possessive
 # quantifiers stand where giving back can't help, so long runs cost linear time.
 PATTERNS = {
@@ -46,11 +61,11 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "masked_email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\s?(?:\(at\)|\[at\])\s?[A-Za-z0-9-]{1,63}+\s?(?:\(dot\)|\[dot\]|\.)\s?[A-Za-z]{2,10}",
+    "masked_email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\s?(?:\(at\)|\[at\])\s?[A-Za-z0-9-]++\s?(?:\(dot\)|\[dot\]|\.)\s?[A-Za-z]{2,}+",
     "local_phone": r"(?<![0-9A-Za-z+().-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z-])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
-    "secret": r"(?i)(?<![A-Za-z0-9])(?:token|api[_-]?key|secret|password)\s{0,3}[=:]\s{0,3}[\"'][A-Za-z0-9_+/=-]{16,200}[\"']",
-    "name": rf"(?<!\p{{L}})(?:{GIVEN_NAMES.replace(' ', '|')})\s\p{{Lu}}\p{{Ll}}{{1,30}}+",
+    "secret": r"(?<![A-Za-z0-9_])[A-Za-z][A-Za-z_-]*+\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9_+/=-]{16,}+[\"']?",
+    "name": rf"(?<!\p{{L}})(?=\p{{Lu}})(?:(?:{_ANY_TITLE})\.?\s\p{{Lu}}\p{{Ll}}++(?:\s\p{{Lu}}\p{{Ll}}++)?|(?:{_ANY_NAME})\s\p{{Lu}}\p{{Ll}}++)",
 }
 
 
@@ -65,8 +80,8 @@ def _guards(text: Column, digits: Column) -> dict[str, Column]:
         "masked_email": has("(at)") | has("[at]"),
         "local_phone": digits & text.rlike(r"[0-9]{3}[ .-][0-9]{4}"),
         "ssn": digits & text.rlike("[0-9]-[0-9]{2}-[0-9]"),
-        "secret": has('"') | has("'"),
-        "name": text.rlike(rf"(?:{GIVEN_NAMES.replace(' ', '|')})\s\p{{Lu}}"),
+        "secret": text.rlike(r"[=:]\s{0,3}[\"']?[A-Za-z0-9_+/=-]{16}"),
+        "name": text.rlike(rf"(?<!\p{{L}})(?=\p{{Lu}})(?:{_ANY_TITLE}|{_ANY_NAME})\.?\s\p{{Lu}}"),
     }
 
 
@@ -121,11 +136,16 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return found.where(valid(F.col("kind"), F.col("m"))).withColumn("start", F.col("end") - F.length("m"))
 
 
+def _one_word(key: Column, words: str) -> Column:
+    return key.rlike(rf"(?:^|[_-])(?:{words.replace(' ', '|')})$")
+
+
 def votes(kind: Column, m: Column, left: Column, right: Column) -> Column:
     """The five labelers' votes as an array of -1, 0 and 1."""
     vote = lambda yes, no=F.lit(False): F.when(yes, 1).when(no, -1).otherwise(0)
     one_of = lambda names, c: c.isin(*names.split())
     n = F.length(_digits(m))
+    key = F.lower(F.regexp_extract(m, "^([A-Za-z_-]*)", 1))
     strict = (
         F.when(kind == "email", vote(m.rlike(r"^[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,10}$"), ~m.rlike(r"\.[A-Za-z]{2,}$")))
         .when(kind == "ip", vote(m.rlike(r"^[1-9][0-9]*(?:\.(?:0|[1-9][0-9]*)){3}$"), m.rlike(r"^0|\.0[0-9]")))
@@ -133,32 +153,41 @@ def votes(kind: Column, m: Column, left: Column, right: Column) -> Column:
         .when(kind == "phone", vote(m.rlike(r"^\+[1-9][0-9]{0,2}[ .-]?(?:\([0-9]+\)[ .-]?)?[0-9]+(?:[ .-][0-9]+)*$"), m.rlike(r"[().-]{2}")))
         .when(kind == "local_phone", vote(m.rlike(r"^\(?[2-9][0-9]{2}\)?[ .-][2-9]"), m.rlike(r"^\(?[01]")))
         .when(kind == "ssn", vote(~m.rlike("^(?:000|666|9)|-00-|-0000$"), m.rlike("^(?:000|666|9)|-00-|-0000$")))
-        .when(kind == "secret", vote(m.rlike(r"[\"'](?=[A-Za-z0-9_+/=-]*[0-9])(?=[A-Za-z0-9_+/=-]*[A-Za-z])[A-Za-z0-9_+/=-]{20,}[\"']$"), ~m.rlike("[0-9]")))
-        .when(kind == "name", vote(m.rlike(r"^\p{Lu}\p{Ll}+\s\p{Lu}\p{Ll}{2,}$")))
+        .when(kind == "secret", vote(m.rlike(r"[=:]\s*[\"']?(?=[A-Za-z0-9_+/=-]*[0-9])(?=[A-Za-z0-9_+/=-]*[A-Za-z])[A-Za-z0-9_+/=-]{20,}[\"']?$"), ~m.rlike("[0-9]")))
+        .when(kind == "name", vote(m.rlike(r"\s\p{Lu}\p{Ll}{2,}$"), m.rlike(r"\s\p{Lu}\p{Ll}$")))
         .otherwise(vote(m.rlike(r"[A-Za-z]{2,6}$")))
     )
     gazetteer = (
         F.when(kind.isin("email", "masked_email"), vote(one_of(DOMAINS, F.lower(F.regexp_extract(m, "([A-Za-z0-9-]+)$", 1)))))
         .when(kind == "card", vote(m.rlike("^[3456]"), ~m.rlike("^[23456]")))
         .when(kind == "phone", vote(one_of(CALLING_CODES, F.regexp_extract(m, r"^\+([0-9]{1,2}?)(?:[^0-9]|(?<=^\+[17])|(?<=^\+[0-9]{2}))", 1))))
-        .when(kind == "name", F.lit(1))
-        .when(kind == "secret", F.lit(1))
+        .when(kind == "name", vote(m.rlike(rf"(?<!\p{{L}})(?:{_ANY_NAME})(?!\p{{L}})")))
+        .when(kind == "secret", vote(_one_word(key, SECRET_WORDS), _one_word(key, PLAIN_WORDS)))
         .when(kind == "ip", vote(m.rlike(r"^(?:10|127|192\.168|172\.(?:1[6-9]|2[0-9]|3[01]))\.")))
         .otherwise(F.lit(0))
     )
-    before = vote(left.rlike(CUES) | (kind == "secret"))
+    before = vote(left.rlike(CUES) | ((kind == "name") & m.rlike(rf"^(?:{_ANY_TITLE})\.?\s")))
     against = vote(F.lit(False), left.rlike(r"(?:[A-Za-z0-9#_/=]|\bv|\bversion |\bno\. ?)$") | right.rlike(r"^[A-Za-z0-9_/]"))
+    distinct = F.size(F.array_distinct(F.split(F.regexp_extract(m, r"[=:]\s*(.*)$", 1), "")))
     check = (
         F.when(kind == "card", vote(n.between(14, 16), F.regexp_replace(_digits(m), "^(.)\\1*$", "") == ""))
         .when(kind == "ip", vote(~m.rlike(r"^0\.|\.255$"), m.rlike(r"^0\.")))
         .when(kind.isin("phone", "local_phone"), vote(n.between(10, 13), F.regexp_replace(_digits(m), "^(.)\\1*$", "") == ""))
-        .when(kind == "secret", vote(F.length(m) >= 32))
+        .when(kind == "secret", vote(F.lit(False), distinct < 8))
         .otherwise(F.lit(0))
     )
     return F.array(strict, gazetteer, before, against, check)
 
 
 LABELERS = 5
+#: How likely each labeler is thought to vote -1, 0 and 1 on what is not personal, and on what is.
+THOUGHT = (
+    ((0.4, 0.4, 0.2), (0.1, 0.3, 0.6)),  # stricter pattern
+    ((0.5, 0.4, 0.1), (0.01, 0.39, 0.6)),  # gazetteer
+    ((0.1, 0.8, 0.1), (0.1, 0.4, 0.5)),  # words before
+    ((0.5, 0.45, 0.05), (0.05, 0.9, 0.05)),  # signs against
+    ((0.4, 0.4, 0.2), (0.1, 0.3, 0.6)),  # check
+)
 
 
 def _posterior(v: Column, pi: Column, t: Column) -> Column:
@@ -171,61 +200,74 @@ def _posterior(v: Column, pi: Column, t: Column) -> Column:
 
 
 def reliabilities(proposals: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """One row (pi, t): the share of true proposals and the labelers' reliabilities, by EM over vote patterns."""
-    patterns = proposals.groupBy("v").agg(F.count("*").cast("double").alias("n"))
-    rows = patterns.agg(F.sort_array(F.collect_list(F.struct("v", "n"))).alias("ps"))  # at most 3 ** 5 patterns
-    start = [0.5, 0.4, 0.1] * LABELERS + [0.1, 0.3, 0.6] * LABELERS
+    """A row (kind, pi, t) a kind: the share of true proposals and the labelers' reliabilities, by EM over vote patterns."""
+    patterns = proposals.groupBy("kind", "v").agg(F.count("*").cast("double").alias("n"))
+    rows = patterns.groupBy("kind").agg(F.sort_array(F.collect_list(F.struct("v", "n"))).alias("ps"))  # at most 3 ** 5 patterns
+    start = [x for true in (0, 1) for labeler in THOUGHT for x in labeler[true]]
 
     def step(state, _):
         weighed = F.transform("ps", lambda p: F.struct(p["v"].alias("v"), p["n"].alias("n"), _posterior(p["v"], state["pi"], state["t"]).alias("r")))
 
         def improved(ps):
             total = lambda w: F.aggregate(ps, F.lit(0.0), lambda s, p: s + w(p))
+            whole = total(lambda p: p["n"])
             share = [lambda p: p["n"] * (1 - p["r"]), lambda p: p["n"] * p["r"]]
             t = []
             for c in (0, 1):
                 for j in range(LABELERS):
                     for vote in (-1, 0, 1):
                         seen = total(lambda p, c=c, j=j, vote=vote: F.when(p["v"][j] == vote, share[c](p)).otherwise(0.0))
-                        t.append((seen + 1.0) / (total(share[c]) + 3.0))
-            pi = (total(share[1]) + 1.0) / (total(lambda p: p["n"]) + 2.0)
+                        # labelers that agree with each other can't talk a third one down altogether
+                        t.append((seen + TRUST * whole * start[c * 3 * LABELERS + 3 * j + vote + 1]) / (total(share[c]) + TRUST * whole))
+            pi = (total(share[1]) + 1) / (whole + 2)
             return F.struct(pi.alias("pi"), F.array(*t).alias("t"))
 
         return F.transform(F.array(weighed), improved)[0]
 
     first = F.struct(F.lit(0.5).alias("pi"), F.array(*map(F.lit, start)).alias("t"))
-    return rows.select(F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), first, step).alias("em")).select("em.pi", "em.t")
+    return rows.select("kind", F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), first, step).alias("em")).select("kind", "em.pi", "em.t")
 
 
-def features(kind: Column, m: Column, left: Column, right: Column, v: Column) -> Column:
-    """The span classifier's features, as an array of names with values."""
-    share = F.length(_digits(m)) / F.length(m)
+def features(kind: Column, m: Column, left: Column, right: Column) -> Column:
+    """The span classifier's features, as an array of names with values, each with its kind; votes are not among them."""
+    size = F.length(m)
+    bucket = lambda x, width, most: F.least(F.floor(x / width), F.lit(most)).cast("string")
     near = lambda c: F.when(c == "", "edge").when(c.rlike(r"\s"), "blank").when(c.rlike(r"[\p{L}]"), "letter").when(c.rlike("[0-9]"), "digit").otherwise("mark")
-    own = [kind, F.least(F.floor(F.length(m) / 4), F.lit(12)).cast("string"), near(F.right(left, F.lit(1))), near(F.left(right, F.lit(1))), F.floor(share * 4).cast("string")]
-    own += [v[j].cast("string") for j in range(LABELERS)]
-    return F.array(*[F.concat(F.lit(f"{i}="), c) for i, c in enumerate(own)])
+    share = lambda pattern: F.floor(F.regexp_count(m, F.lit(pattern)) * 4 / size).cast("string")
+    # the forms of the parts: a run of capitals A, small letters a, digits 0
+    shape = F.left(F.regexp_replace(F.regexp_replace(F.regexp_replace(m, r"\p{Lu}+", "A"), r"\p{Ll}+", "a"), "[0-9]+", "0"), F.lit(8))
+    word = F.lower(F.regexp_extract(left, r"([\p{L}]+)[^\p{L}]*$", 1))
+    said = F.when(word == "", "none").otherwise(F.pmod(F.xxhash64(word), F.lit(CONTEXTS)).cast("string"))
+    first = F.pmod(F.xxhash64(F.lower(F.regexp_extract(m, r"^([\p{L}_]+)", 1))), F.lit(CONTEXTS)).cast("string")
+    own = [F.lit("all"), bucket(size, 4, 12), near(F.right(left, F.lit(1))), near(F.left(right, F.lit(1))), share("[0-9]"), share(r"\p{Lu}"), shape, said, first, F.left(m, F.lit(1))]
+    return F.array(*[F.concat(kind, F.lit(f":{i}="), c) for i, c in enumerate(own)])
 
 
 def classifier(proposals: DataFrame, em: DataFrame) -> DataFrame:
-    """One row (prior, weights): naive Bayes log odds, trained on the probabilities that EM gives."""
-    params = em.select(F.struct("pi", "t")).scalar()
-    r = proposals.select("f", params.alias("em"), "v").select("f", _posterior(F.col("v"), F.col("em.pi"), F.col("em.t")).alias("r"))
-    by_value = r.select(F.explode("f").alias("f"), "r").groupBy("f").agg(F.sum("r").alias("yes"), F.sum(1 - F.col("r")).alias("no"))
-    # some hundred values of ten features
-    parts = by_value.agg(F.collect_list(F.struct("f", "yes", "no")).alias("all"), F.sum(F.when(F.col("f").startswith("0="), F.col("yes"))).alias("yes"), F.sum(F.when(F.col("f").startswith("0="), F.col("no"))).alias("no"))
-    yes, no = F.coalesce("yes", F.lit(0.0)) + 1, F.coalesce("no", F.lit(0.0)) + 1
-    weights = F.map_from_entries(F.transform("all", lambda x: F.struct(x["f"], F.log((x["yes"] + 1) / yes) - F.log((x["no"] + 1) / no))))
-    return parts.select(F.log(yes / no).alias("prior"), weights.alias("weights"))
+    """One row (priors, weights): naive Bayes log odds by kind and by feature, trained on the probabilities that EM gives."""
+    params = em.agg(F.map_from_entries(F.collect_list(F.struct("kind", F.struct("pi", "t"))))).scalar()  # a row a kind
+    known = proposals.select("kind", "f", "v", params.alias("all")).select("kind", "f", "v", F.try_element_at("all", F.col("kind")).alias("em"))
+    r = known.select("kind", "f", _posterior(F.col("v"), F.col("em.pi"), F.col("em.t")).alias("r"))
+    by_value = r.select("kind", F.explode("f").alias("f"), "r").groupBy("kind", "f").agg(F.sum("r").alias("yes"), F.sum(1 - F.col("r")).alias("no"))
+    # at most some thousand values of ten features for each kind
+    by_kind = by_value.groupBy("kind").agg(F.collect_list(F.struct("f", "yes", "no")).alias("fs"))
+    total = lambda c: F.filter("fs", lambda x: x["f"].contains(":0="))[0][c]
+    # a feature that says little of a class is as frequent there as in all
+    part = lambda x, c: (x[c] + SMOOTH * (x["yes"] + x["no"]) / (F.col("yes") + F.col("no"))) / (F.col(c) + SMOOTH)
+    by_kind = by_kind.select("kind", "fs", total("yes").alias("yes"), total("no").alias("no"))
+    weigh = F.transform(F.filter("fs", lambda x: ~x["f"].contains(":0=")), lambda x: F.struct(x["f"].alias("f"), (F.log(part(x, "yes")) - F.log(part(x, "no"))).alias("w")))
+    own = by_kind.select("kind", F.log((F.col("yes") + 1) / (F.col("no") + 1)).alias("prior"), weigh.alias("ws"))
+    return own.agg(F.map_from_entries(F.collect_list(F.struct("kind", "prior"))).alias("priors"), F.map_from_entries(F.flatten(F.collect_list("ws"))).alias("weights"))
 
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", accept: float = ACCEPT) -> DataFrame:
     """(doc_id, h, kind, base, start, end, score): base spans, and the further ones that the classifier accepts."""
     found = occurrences(docs, id_col, text_col)
     found = found.withColumn("v", votes(F.col("kind"), F.col("m"), F.col("left"), F.col("right")))
-    found = found.select("doc_id", "h", "kind", "start", "end", "v", features(F.col("kind"), F.col("m"), F.col("left"), F.col("right"), F.col("v")).alias("f"))
+    found = found.select("doc_id", "h", "kind", "start", "end", "v", features(F.col("kind"), F.col("m"), F.col("left"), F.col("right")).alias("f"))
     found = checkpoint(found)
-    model = classifier(found, reliabilities(found)).select(F.struct("prior", "weights")).scalar()
-    odds = F.aggregate("f", F.col("model.prior"), lambda s, x: s + F.coalesce(F.try_element_at(F.col("model.weights"), x), F.lit(0.0)))
+    model = classifier(found, reliabilities(found)).select(F.struct("priors", "weights")).scalar()
+    odds = F.aggregate("f", F.coalesce(F.try_element_at(F.col("model.priors"), F.col("kind")), F.lit(0.0)), lambda s, x: s + F.coalesce(F.try_element_at(F.col("model.weights"), x), F.lit(0.0)))
     base = F.col("kind").isin(*BASE)
     scored = found.select("doc_id", "h", "kind", base.alias("base"), "start", "end", "f", model.alias("model"))
     scored = scored.select("doc_id", "h", "kind", "base", "start", "end", (1 / (1 + F.exp(-odds))).alias("score"))
@@ -260,8 +302,18 @@ def redact(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col:
     cuts = merged.groupBy(F.col("doc_id").alias("__d"), F.col("h").alias("__h")).agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias("__cuts"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     joined = docs.join(cuts, F.col(id_col).cast("long").eqNullSafe(F.col("__d")) & (F.xxhash64(text) == F.col("__h")), "left")
-    pieces = F.transform("__cuts", lambda c, i: F.concat(F.substring(text, F.when(i == 0, 0).otherwise(F.col("__cuts")[F.greatest(i - 1, F.lit(0))]["end"]) + 1, c["start"] - F.when(i == 0, 0).otherwise(F.col("__cuts")[F.greatest(i - 1, F.lit(0))]["end"])), F.lit("["), F.upper(c["kind"]), F.lit("]")))
-    tail = F.substring(text, F.element_at("__cuts", -1)["end"] + 1, F.length(text))
+    # in blocks, so that a piece is reached without counting the characters before it
+    joined = joined.withColumn("__b", F.when(F.col("__cuts").isNotNull(), F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))))
+
+    def between(start, end):
+        a, b = F.floor(start / BLOCK).cast("int"), F.floor(end / BLOCK).cast("int")
+        at = lambda k: F.coalesce(F.get("__b", k), F.lit(""))
+        spread = F.concat(F.substring(at(a), start % BLOCK + 1, F.lit(BLOCK)), F.array_join(F.slice("__b", a + 2, F.greatest(b - a - 1, F.lit(0))), ""), F.substring(at(b), F.lit(1), end % BLOCK))
+        return F.when(a == b, F.substring(at(a), start % BLOCK + 1, end - start)).otherwise(spread)
+
+    until = lambda i: F.when(i == 0, 0).otherwise(F.get("__cuts", i - 1)["end"]).cast("int")
+    pieces = F.transform("__cuts", lambda c, i: F.concat(between(until(i), c["start"].cast("int")), F.lit("["), F.upper(c["kind"]), F.lit("]")))
+    tail = between(F.element_at("__cuts", -1)["end"].cast("int"), F.length(text))
     clean = F.when(F.col("__cuts").isNull(), F.col(text_col)).otherwise(F.concat(F.array_join(pieces, ""), tail))
     return joined.select(*[clean.alias(c) if c == text_col else docs[c] for c in docs.columns])
 
