@@ -510,7 +510,7 @@ def test_pii_learns_further_kinds(spark):
 
 
 def test_decontamination(spark):
-    items = [(1, "Then Alice bought 3 kg of red apples and paid 7 dollars, but Alice kept 3 kg for later use at home"), (2, "too few words"), (3, None), (4, "1 2 3 4 5 6 7 8"), (5, "the small grey cat sat on the old mat in a warm room all day long")]
+    items = [(1, "Then Alice bought 3 kg of red apples and paid 7 dollars, but Alice kept 3 kg for later use at home"), (2, "few words"), (3, None), (4, "1 2 3 4 5 6 7 8"), (5, "the small grey cat sat on the old mat in a warm room all day long")]
     docs = [
         (1, "xx yy zz so then Bob bought 5 kg of red apples and paid 9 dollars, but Bob kept 5 kg for later use at home ok"),
         (2, "so then Bob bought 5 kg of red apples and paid 9 dollars, but Eve kept 8 kg for later use at home ok"),
@@ -549,4 +549,65 @@ def test_decontamination_tells_names_that_start_a_sentence(spark):
 def test_template_words(spark):
     text = "Then Alice bought 3.5 kg, and 12 apples for two dollars. Bob's a1 x\nThe end"
     got = spark.createDataFrame([(text,)], "t string").select(decontaminate.template_words(F.col("t"))).first()[0]
-    assert got == ["then", "\ue001alice", "bought", "3.5", "kg", "and", "12", "apples", "for", "two", "dollars", "bob", "s", "a1", "x", "the", "end"]
+    assert got == ["\ue002then", "\ue001alice", "bought", "3.5", "kg", "and", "12", "apples", "for", "two", "dollars", "\ue002bob", "s", "a1", "x", "\ue002the", "end"]
+
+
+def reworded(n, seed=9):
+    """Questions with slots, each filled twice with other names, numbers and units; every third is short."""
+    r = random.Random(seed)
+    nouns = [a + b for a in "apple pear brick stone shell coin stamp ticket pencil bottle".split() for b in ("s", "boxes", "bags", "rows")]
+    verbs = "gives sells lends sends brings shows throws hands passes offers".split()
+    names = "Tom Mary John Susan Karl Laura Peter Emma Hugo Nora Felix Ida Otto Vera".split()
+    units = [("kg", "mg"), ("miles", "km"), ("hours", "minutes"), ("dollars", "euros")]
+    forms = [
+        "{a} has {x} {n}. {a} {v} {y} of the {n} to {b}. Then {b} {w} {z} {n} more. How many {n} does {b} have in the end?",
+        "In {x} days a farm needs {y} {u} of {n}, and {a} {v} {z} {u} every week. After how long must {b} buy new {n}?",
+        "If {a} {v} {x} {n} for {y} {u}, what does {b} pay for {z} such {n}?",
+        "How many {n} are in {x} {u}?",
+        "Add {x} {n} and {y} {m}",
+    ]
+    pairs = []
+    for i in range(n):
+        fixed = dict(n=r.choice(nouns), m=r.choice(nouns), v=r.choice(verbs), w=r.choice(verbs), k=r.choice(units))
+        out = []
+        for k in (0, 1):
+            a, b = r.sample(names, 2)
+            x, y, z = (str(q) for q in r.sample(range(2, 900), 3))
+            out.append(forms[i % 5].format(a=a, b=b, x=x, y=y, z=z, u=fixed["k"][k], **{q: fixed[q] for q in "nmvw"}))
+        pairs.append(tuple(out))
+    return pairs
+
+
+def test_decontamination_recall_on_reworded_items(spark):
+    pairs, r = reworded(100), random.Random(3)
+    filler = "the report of last week was read by all and nothing in it was new to them so they went home".split()
+    talk = lambda: " ".join(r.choice(filler) for _ in range(r.randrange(5, 60)))
+    docs = [(i, f"{talk()}. {b} {talk()}") for i, (_, b) in enumerate(pairs)] + [(1000 + i, talk()) for i in range(100)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    i = spark.createDataFrame([(k, a) for k, (a, _) in enumerate(pairs)] + [(5000, "1, 2, 3, 4, 5, 6, 7, 8")], "item_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in decontaminate.contaminated(d, i).collect()}
+    own = {(k, k) for k in range(100)}
+    print("reworded items: recall", len(got & own) / 100, "clean documents found", len({a for a, _ in got if a >= 1000}))
+    assert len(got & own) >= 90 and not any(a >= 1000 for a, _ in got)
+    digits = spark.createDataFrame([(1, "count 1, 2, 3, 4, 5, 6, 7, 8 up"), (2, "count 2, 3, 4, 5, 6, 7, 8, 9 up")], "doc_id long, text string")
+    assert [(x.doc_id, x.item_id) for x in decontaminate.contaminated(digits, i).collect()] == [(1, 5000)]
+
+
+def test_windows_are_brute_force(spark):
+    """Keys of windows are equal just where templates written out here are."""
+    text = "Tom has 5 apples, and Mary has 7 kg. The 3 and 4 or 9 are two"
+    words = [("C", "tom"), "has", ("#", "5"), "apples", "and", ("N", "mary"), "has", ("#", "7"), ("U", "kg"), ("C", "the"), ("#", "3"), "and", ("#", "4"), "or", ("#", "9"), "are", ("#", "two")]
+    want = {}
+    for pos in range(len(words) - 4):
+        w = words[pos : pos + 5]
+        for bit, slots in ((1, "N#U"), (2, "NC#U")):
+            form = tuple(("N" if x[0] in "NC" else x[0]) if isinstance(x, tuple) and x[0] in slots else x[1] if isinstance(x, tuple) else x for x in w)
+            telling = sum(not (isinstance(x, tuple) and x[0] in slots) for x in w) >= 2
+            want[pos, bit] = form if telling else ("words", *(x[1] if isinstance(x, tuple) else x for x in w))
+    got = {}
+    for x in decontaminate.windows(spark.createDataFrame([(1, text)], "i long, t string"), "i", "t", ("i", "pos", "a", "b")).collect():
+        for bit in (1, 2):
+            if x.template & bit:
+                got[x.pos, bit] = x.key
+    assert set(got) == set(want)
+    assert all((got[p] == got[q]) == (want[p] == want[q]) for p in got for q in got)
