@@ -197,7 +197,7 @@ def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def similar(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (u, v) whose sets are as similar as SIMILAR; docs has (k, text), sets the key k of one row of each set."""
-    pairs = checkpoint(possible(pairs, sets))
+    pairs = checkpoint(possible(checkpoint(pairs.distinct()), sets))
     either = small(checkpoint(pairs.select(F.explode(F.array("u", "v")).alias("t")).distinct()))
     some = small(checkpoint(sets.select("t", "k").join(either, "t", "left_semi")))
     own = checkpoint(_sets(docs.join(some, "k").select("t", "text")).dropDuplicates(["t"]))
@@ -226,11 +226,11 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     shared = checkpoint(map_arrow(sort(firsts), _shared, "h long, t long, n long, c long, cn long"))
     close = F.greatest("n", "cn") * F.lit(SIMILAR - 1e-12) <= F.least("n", "cn")
     star = shared.where(close & (F.col("t") != F.col("c"))).select(F.col("t").alias("u"), F.col("c").alias("v"))
-    both = star.unionByName(_by_fingerprint(sets)).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    both = star.unionByName(_by_fingerprint(sets)).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     first = similar(both, sets, texts)
     roots = components(first)
     known = shared.join(roots.withColumnRenamed("node", "t"), "t", "left").select("h", "t", "n", F.coalesce("root", "t").alias("root"))
-    rest = map_arrow(sort(known), _pairs, "u long, v long").distinct()
+    rest = map_arrow(sort(known), _pairs, "u long, v long")
     found = first.unionByName(similar(rest, sets, texts))
     final = components(found).withColumnRenamed("node", "t")
     named = checkpoint(counted.join(final, "t", "left").select("t", "copies", F.coalesce("root", "t").alias("root")))

@@ -202,7 +202,7 @@ class WordBpe:
         self.raw = {i: t.encode() for t, i in [*self.ids.items(), *self.special.items()]}
         self.raw_text = {str(i): t for i, t in self.raw.items()}
         self.transducer = Transducer(self.merges, self.suffix)
-        self.runs, self.spelled = Cache(self.spell_run, 400_000), Cache(self.spell, 200_000)
+        self.runs, self.spelled = Cache(self.spell_run, 200_000), Cache(self.spell, 60_000)
 
     def spell(self, word: str) -> str:
         """The ids of a word, joined by blanks."""
