@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import nested, privacy, text, time, vector
-from tidemark.operators import analytics, evaluation, jobs, models, retrieval, series
+from tidemark.operators import analytics, embedding, evaluation, jobs, models, retrieval, series
 from tidemark.sources import files, rest, tables
 
 
@@ -372,7 +372,83 @@ def test_jobs(tmp_path, spark):
     with jobs.Lock(lock), pytest.raises(RuntimeError), jobs.Lock(lock):
         pass
     assert jobs.run_modules(["x", "y"], lambda m: 1 / (m != "x")) == {"x": "division by zero", "y": None}
-    models.save_metrics([{"module": "m", "column": "c", "f1": 1}], str(tmp_path / "m.json"))
-    models.save_metrics([{"module": "m", "column": "c", "f1": 2}], str(tmp_path / "m.json"))
-    assert json.loads((tmp_path / "m.json").read_text()) == [{"module": "m", "column": "c", "f1": 2}]
+    models.save_metrics(spark, [{"module": "m", "column": "c", "f1": 1}], str(tmp_path))
+    models.save_metrics(spark, [{"module": "m", "column": "c", "f1": 2}], str(tmp_path))
+    assert json.loads((tmp_path / "metrics.json").read_text()) == [{"module": "m", "column": "c", "f1": 2}]
     assert "| a |" in jobs.markdown(spark.createDataFrame([("x", 1)], "a string, n int").select("a"), "T")
+
+
+def test_command_lines(spark, server, tmp_path, monkeypatch):
+    from tidemark import cli
+
+    data = str(tmp_path)
+    monkeypatch.setenv("TICKETS_URL", server)
+    monkeypatch.setenv("TICKETS_KEY", "k")
+    monkeypatch.setattr(Server, "rows", [{"id": str(i), "subject": f"mail a{i}@b.co", "requester": {"name": f"P {i}"}, "status": {"name": "Open"}} for i in range(1, 26)])
+    run = lambda *a: cli.main(["--data", data, *a], spark)
+    assert run("extract", "--modules", "requests", "--limit", "12") == 0
+    assert run("extract", "--modules", "requests") == 0
+    assert spark.read.parquet(f"{data}/raw/details/requests").count() == 25
+    assert run("preprocess", "--anonymize", "--csv") == 0
+    plain, anon = files.read_processed(spark, f"{data}/processed", "requests"), files.read_processed(spark, f"{data}/processed", "requests_anon")
+    assert plain.count() == 25 == anon.count() and anon.where("requester_name like 'PER_%' and subject like 'mail EML_%'").count() == 25
+    first = (tmp_path / "processed/requests.csv").read_bytes()
+    assert first.startswith(b"\xef\xbb\xbfid,") and first.count(b"\n") == 26
+    salt, kept = privacy.stored_salt(spark, f"{data}/processed/anon_map"), privacy.load_map(spark, f"{data}/processed/anon_map").count()
+    assert run("preprocess", "--modules", "requests", "--anonymize") == 0
+    assert privacy.stored_salt(spark, f"{data}/processed/anon_map") == salt and privacy.load_map(spark, f"{data}/processed/anon_map").count() == kept == 25
+    assert run("train") == 0 and run("predict") == 0 and run("explore") == 0
+    assert "Most frequent values" in (tmp_path / "reports/requests.md").read_text()
+    with pytest.raises(SystemExit):
+        run("nothing")
+
+
+def test_processed_tables_fall_back(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(1, 'a "q", b\nc', None), (2, "é", 1.5)], "id int, t string, x double")
+    assert files.read_processed(spark, str(tmp_path), "t") is None
+    files.export_csv(df, str(tmp_path), "t.csv")
+    got = files.read_processed(spark, str(tmp_path), "t")
+    assert got.columns == ["id", "t", "x"] and {r.t for r in got.collect()} == {'a "q", b\nc', "é"}
+    files.write_processed(df, str(tmp_path), "t")
+    files.write_processed(df.limit(1), str(tmp_path), "t_enriched")
+    assert files.read_processed(spark, str(tmp_path), "t").count() == 1 and files.read_processed(spark, str(tmp_path), "t", enriched=False).count() == 2
+    monkeypatch.setattr(type(df.write), "parquet", lambda *_: 1 / 0)
+    assert "zero" in files.write_processed(df, str(tmp_path), "broken", as_csv=True) and (tmp_path / "broken.csv").exists()
+
+
+def test_saved_models(spark, tmp_path):
+    rows = [(i, "vpn network down" if i % 2 else "printer paper jam", None if i % 10 == 0 else ("net" if i % 2 else "print")) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, subject string, grp string")
+    target = models.Target("requests", "grp", ("subject",))
+    folder = str(tmp_path / "models")
+    assert models.load_imputer(spark, target, folder) is None and models.enrich_module(df, "requests", folder, [target]) is None
+    models.save_imputer(models.train_imputer(df, target, features=256), target, folder)
+    rich = models.enrich_module(df, "requests", folder, [target])
+    assert rich.where("grp_source = 'predicted'").count() == 20 and rich.where("grp is null").count() == 0
+    known = df.where("grp is not null")
+    router = models.train_router(known, "grp", F.col("subject"), features=256)
+    models.save_router(router, spark, str(tmp_path / "router"))
+    again = models.load_router(spark, str(tmp_path / "router"))
+    pick = lambda r: [(x.id, x.predicted, round(x.confidence, 9)) for x in models.route(df, r, F.col("subject")).orderBy("id").collect()]
+    assert pick(router) == pick(again) and models.load_router(spark, str(tmp_path / "none")) is None
+    vectors = embedding.embedded(known, F.col("subject"), str(tmp_path / "cache"))
+    model = models.train_embedding_classifier(vectors, "grp", "embedding")
+    assert models.classify_embeddings(vectors, model, "embedding").where("predicted = grp").count() == known.count()
+    assert spark.read.parquet(str(tmp_path / "cache")).count() == 2
+    assert embedding.embedded(df, F.col("subject"), str(tmp_path / "cache")).count() == 200 and spark.read.parquet(str(tmp_path / "cache")).count() == 2
+
+
+def test_routing_evaluation(spark):
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), (f"vpn network down in room {i}" if i % 2 else f"printer paper jam on floor {i}"), "net" if i % 2 else "print") for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, ts timestamp_ntz, subject string, grp string")
+    got = models.evaluate_router(df, "grp", "ts", "id", ["subject"], features=512)
+    assert got["top"] == ["net", "print"] and tuple(got["acceptance"].first()) == (2, 2, True) and got["routed"].count() == 40
+    with pytest.raises(ValueError, match="status"):
+        models.evaluate_router(df.withColumn("status", F.lit("x")), "grp", "ts", "id", ["status"])
+
+
+def test_problem_metrics(spark):
+    p = spark.createDataFrame([("Closed", True), ("Open", None), (None, False)], "status string, has_resolution boolean")
+    assert tuple(analytics.problem_metrics(p).first())[:2] == (3, 1) and analytics.problem_metrics(p.select("status").where("false")).first() == (0, 0, 0.0)
+    shown = p.limit(1).select(*[analytics.shown(F.lit(v), f) for v, f in ((1234567, "count"), (12.4, "percent"), (1.25, "hours"))], analytics.shown(F.lit(None).cast("double"), "hours")).first()
+    assert tuple(shown)[:2] == ("1,234,567", "12%") and shown[3] == "—"

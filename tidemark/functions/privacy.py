@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import secrets
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # What counts as an address and a phone number in free text, and the surrogates' prefixes.
@@ -57,3 +59,57 @@ def reidentification(df: DataFrame, columns: dict[str, str], salt: str) -> DataF
     for p in set(columns.values()):
         pick = F.when(F.col("kind") == p, surrogate(F.col("value"), p, salt)).otherwise(pick)
     return union.distinct().withColumn("surrogate", pick)
+
+
+def new_salt() -> str:
+    """A random salt of 16 bytes."""
+    return secrets.token_hex(16)
+
+
+def stored_salt(spark: SparkSession, folder: str) -> str | None:
+    """The salt of the map in a folder, so that later runs give the same surrogates."""
+    from tidemark.sources.storage import Store
+
+    kept = Store(spark, folder).read_json("salt.json")
+    return kept.get("salt") if isinstance(kept, dict) else None
+
+
+def save_map(entries: DataFrame, salt: str, folder: str) -> None:
+    """Keep a re-identification map (kind, value, surrogate) with its salt.
+
+    Entries of earlier runs stay if they were made with the same salt; a map of another salt is replaced.
+    """
+    from tidemark.sources.storage import Store
+
+    spark, new = entries.sparkSession, f"map-{secrets.token_hex(8)}"
+    store = Store(spark, folder)
+    known = store.read_json("salt.json")
+    if isinstance(known, dict) and known.get("salt") == salt and store.exists(known.get("map", "")):
+        entries = spark.read.parquet(f"{folder}/{known['map']}").unionByName(entries)
+    entries.distinct().write.parquet(f"{folder}/{new}")
+    # the document says which map holds, so a run that fails before this line changes nothing
+    store.write_json("salt.json", {"salt": salt, "map": new})
+    if isinstance(known, dict) and known.get("map"):
+        store.delete(known["map"])
+
+
+def load_map(spark: SparkSession, folder: str) -> DataFrame | None:
+    """(kind, value, surrogate) as kept by ``save_map``."""
+    from tidemark.sources.storage import Store
+
+    known = Store(spark, folder).read_json("salt.json")
+    return spark.read.parquet(f"{folder}/{known['map']}") if isinstance(known, dict) else None
+
+
+def prefix_of(column: str, generic: bool = True) -> str | None:
+    """Which surrogate an identifying column gets, by the end of its name."""
+    for ends, prefix in ((("email", "email_id"), ADDRESS), (("name",), PERSON)):
+        if any(column.endswith(f"_{e}") or (generic and column == e) for e in ends):
+            return prefix
+    return None
+
+
+def map_of(df: DataFrame, salt: str) -> DataFrame | None:
+    """The re-identification map of a table's identifying columns; None if it has none."""
+    columns = {c: p for c, kind in df.dtypes if kind == "string" and c not in FREE_TEXT and (p := prefix_of(c))}
+    return reidentification(df, columns, salt) if columns else None

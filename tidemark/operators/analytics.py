@@ -124,3 +124,27 @@ def cluster_labels(df: DataFrame, cluster: str, words: Column, top: int = 4) ->
     kept = counts.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
     label = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "word"))), lambda x: x["word"]), " / ")
     return df.select(cluster).distinct().join(kept.groupBy(cluster).agg(label.alias("label")), cluster, "left").select(cluster, F.coalesce("label", F.lit("unlabelled")).alias("label"))
+
+
+def problem_metrics(df: DataFrame, status: str = "status", usable: str = "has_resolution", closed: Sequence[str] = CLOSED) -> DataFrame:
+    """One row: total, resolved, usable_pct (rows with a resolution that says something; null is none). Absent columns give 0."""
+    total = F.count("*")
+    done = F.count_if(F.coalesce(F.col(status).isin(*closed), F.lit(False))) if status in df.columns else F.lit(0).cast("bigint")
+    good = F.count_if(F.coalesce(F.col(usable), F.lit(False))) if usable in df.columns else F.lit(0)
+    return df.agg(total.alias("total"), done.alias("resolved"), F.when(total > 0, good * F.lit(100.0) / total).otherwise(F.lit(0.0)).alias("usable_pct"))
+
+
+def time_range(df: DataFrame, time: str) -> DataFrame:
+    """One row (first, last): the days of the earliest and latest time; null without any."""
+    return df.agg(F.min(time).cast("date").alias("first"), F.max(time).cast("date").alias("last"))
+
+
+def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Columns under the names that are shown; those that are not there are left out of account."""
+    return df.withColumnsRenamed({old: new for old, new in names.items() if old in df.columns})
+
+
+def shown(value: Column, form: str) -> Column:
+    """A number as it is shown: ``count`` (1,234), ``percent`` (12%), ``hours`` (1.5 h); null is a dash."""
+    made = {"count": F.format_number(value, 0), "percent": F.concat(F.format_number(value, 0), F.lit("%")), "hours": F.concat(F.format_number(value, 1), F.lit(" h"))}[form]
+    return F.coalesce(made, F.lit(ABSENT))

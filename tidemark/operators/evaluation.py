@@ -141,3 +141,20 @@ def gate(confidence: Column, label: Column, least: float = 0.45, manual: str = "
     """(decision, suggestion): under the least confidence a person decides, with the label as a suggestion."""
     low = confidence < least
     return F.struct(F.when(low, manual).otherwise(label).alias("decision"), F.when(low, label).alias("suggestion"))
+
+
+# Fixed value: the F1 that every one of the most frequent labels must reach.
+ACCEPT_F1 = 0.75
+
+
+def acceptance(report: DataFrame, labels: Sequence[str], least: float = ACCEPT_F1) -> DataFrame:
+    """One row (n_labels, n_passed, passed): whether each of the labels has an F1 of ``least``; one without cases has 0."""
+    wanted = report.sparkSession.createDataFrame([(x,) for x in labels], "label string")
+    each = wanted.join(report.select("label", "f1"), "label", "left").select(F.coalesce("f1", F.lit(0.0)).alias("f1"))
+    return each.agg(F.count("*").alias("n_labels"), F.count_if(F.col("f1") >= least).alias("n_passed")).select("n_labels", "n_passed", (F.col("n_labels") == F.col("n_passed")).alias("passed"))
+
+
+def top_labels(df: DataFrame, label: str, k: int = 3) -> list[str]:
+    """The k most frequent labels; equal counts go by value."""
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
+    return [r[0] for r in counts.orderBy(F.desc("n"), label).limit(k).collect()]

@@ -5,10 +5,23 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Callable
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.functions.privacy import anonymize, map_of, new_salt, save_map, stored_salt
+from tidemark.operators.analytics import histogram, null_shares, recommend, time_range, value_counts_all
+from tidemark.operators.evaluation import class_report, macro_f1, stratified_split
+from tidemark.operators.models import TARGETS, enrich_module, impute, save_imputer, save_metrics, train_imputer
+from tidemark.operators.series import volume
+from tidemark.runtime import checkpoint
+from tidemark.sources.files import land_pages, modules_in, page_records, read_pages, read_processed, sample, write_processed
+from tidemark.sources.rest import MODULES, Client, Settings, fetch_details, records
+from tidemark.sources.storage import Store
+from tidemark.sources.tables import build
 
 
 def set_status(path: str, **values) -> dict:
@@ -75,8 +88,127 @@ def run_modules(modules: list[str], job: Callable[[str], None]) -> dict[str, str
     return out
 
 
-def markdown(df: DataFrame, title: str, rows: int = 50) -> str:
-    """A report table of a small result."""
-    got = df.limit(rows).collect()
+@dataclass
+class Counters:
+    """What an extract has done so far."""
+
+    pages: int = 0
+    records: int = 0
+    details: int = 0
+    details_skipped: int = 0
+    errors: list[str] = field(default_factory=list)
+
+
+def extract(spark: SparkSession, settings: Settings, modules: list[str], raw: str, limit: int | None = None, details: bool = True, notes: bool = True) -> dict[str, Counters]:
+    """Land the modules' pages and, by tasks of the executors, the details that have not landed yet.
+
+    A module that fails has the error among its counters and stops no other.
+    """
+    client, out = Client(settings.connected()), {}
+    for module in modules:
+        c = out[module] = Counters()
+
+        def counted():
+            for page in client.pages(module, limit):
+                c.pages += 1
+                c.records += len(records(page, module))
+                yield page
+
+        try:
+            ids = land_pages(spark, counted(), raw, module)
+            if MODULES[module][0] and details:
+                folder = f"{raw}/details/{module}"
+                known = spark.read.parquet(folder) if Store(spark, folder).exists() else None
+                c.details_skipped = known.join(spark.createDataFrame([(i,) for i in ids], "id string"), "id", "left_semi").count() if known is not None and ids else 0
+                got = checkpoint(fetch_details(spark.createDataFrame([(i,) for i in ids], "id string"), known, module, settings, notes))
+                got.where("error is null").select("id", "bundle").write.mode("append").parquet(folder)
+                c.details = got.where("error is null").count()
+                c.errors += [f"{module}/{r.id}: {r.error}" for r in got.where("error is not null").orderBy("id").limit(1000).collect()]
+        except Exception as e:  # noqa: BLE001  one module must not sink the rest
+            c.errors.append(f"{module}: {e}")
+    return out
+
+
+def preprocess(spark: SparkSession, raw: str, processed: str, modules: list[str] | None = None, anonymous: bool = False, samples: list[str] = (), as_csv: bool = False) -> list[str]:
+    """Flat tables of the landed modules, and their anonymous twins; the names of the modules that had records."""
+    done, salt = [], (stored_salt(spark, f"{processed}/anon_map") or new_salt()) if anonymous else None
+    jobs = [(m, recs, None) for recs, m in (sample(spark, s) for s in samples)]
+    if not samples:
+        for m in modules or modules_in(spark, raw):
+            folder = f"{raw}/details/{m}"
+            known = spark.read.parquet(folder).select("id", F.try_parse_json("bundle").alias("bundle")) if Store(spark, folder).exists() else None
+            if Store(spark, raw).exists(m):
+                jobs.append((m, page_records(read_pages(spark, f"{raw}/{m}/page_*.json"), m), known))
+    for m, recs, details in jobs:
+        if recs.isEmpty():
+            continue
+        table = build(recs, m, details)
+        write_processed(table, processed, m, as_csv)
+        if anonymous:
+            write_processed(anonymize(table, salt), processed, f"{m}_anon", as_csv)
+            if (entries := map_of(table, salt)) is not None:
+                save_map(entries, salt, f"{processed}/anon_map")
+        done.append(m)
+    return done
+
+
+def train(spark: SparkSession, processed: str, artefacts: str, modules: list[str] | None = None) -> list[dict]:
+    """A saved imputer for each target that has enough labelled rows, and its metrics by (module, column)."""
+    out = []
+    for t in (t for t in TARGETS if modules is None or t.module in modules):
+        df = read_processed(spark, processed, t.module, enriched=False)
+        if df is None or t.column not in df.columns:
+            continue
+        known = stratified_split(df.where(F.col(t.column).isNotNull()), t.column, "id")
+        model = train_imputer(known.where(~F.col("is_test")), t)
+        if model is None:
+            continue
+        save_imputer(model, t, artefacts)
+        test = known.where("is_test").withColumnsRenamed({t.column: "__truth"}).withColumn(t.column, F.lit(None).cast("string"))
+        report = class_report(impute(test, t, model), "__truth", t.column)
+        row = macro_f1(report).first()
+        out.append({"module": t.module, "column": t.column, "macro_f1": row.macro_f1, "n_labels": row.n_labels, "trained_at": datetime.now(timezone.utc).isoformat()})
+    save_metrics(spark, out, artefacts)
+    return out
+
+
+def predict(spark: SparkSession, processed: str, artefacts: str, modules: list[str] | None = None, as_csv: bool = False) -> list[str]:
+    """The enriched tables of modules that have saved models; their names."""
+    done = []
+    for m in modules or sorted({t.module for t in TARGETS}):
+        df = read_processed(spark, processed, m, enriched=False)
+        rich = None if df is None else enrich_module(df, m, artefacts)
+        if rich is not None:
+            write_processed(rich, processed, f"{m}_enriched", as_csv)
+            done.append(m)
+    return done
+
+
+def markdown(df: DataFrame, title: str, rows: int | None = None, said: str = "") -> str:
+    """A report of a small result: a title, what is said of it, and a table of all rows, or of the first ``rows``."""
+    got = (df if rows is None else df.limit(rows)).collect()
     line = lambda xs: "| " + " | ".join("" if x is None else f"{x:,.4g}" if isinstance(x, float) else str(x).replace("|", "\\|") for x in xs) + " |"
-    return "\n".join([f"## {title}", "", line(df.columns), line(["---"] * len(df.columns)), *map(line, got), ""])
+    return "\n".join([f"## {title}", "", *([said, ""] if said else []), line(df.columns), line(["---"] * len(df.columns)), *map(line, got), ""])
+
+
+def report(spark: SparkSession, folder: str, name: str, title: str, parts: list[tuple[str, str, DataFrame]]) -> None:
+    """A Markdown document of several tables (title, what is said of it, result)."""
+    made = f"*{datetime.now(timezone.utc):%Y-%m-%d %H:%M} UTC*"
+    Store(spark, folder).write(name, [f"# {title}\n\n{made}\n\n", *(markdown(df, t, said=said) + "\n" for t, said, df in parts)])
+
+
+def explore(spark: SparkSession, processed: str, folder: str, module: str = "requests") -> None:
+    """The exploration report of a module: null shares, most frequent values, volumes, fitness of the labels."""
+    df = read_processed(spark, processed, module)
+    if df is None:
+        raise FileNotFoundError(f"no table {module} in {processed}")
+    fields = [c for c in ("status", "priority", "group", "template", "site", "category", "technician_name", "lang") if c in df.columns]
+    parts = [("Labels without a value", "", null_shares(df, fields)), ("Most frequent values", "", value_counts_all(df, fields, 15).orderBy("field", F.desc("n")))]
+    time = next((c for c in ("created_time", "reported_time") if c in df.columns), None)
+    if time:
+        parts += [("From and to", "", time_range(df, time)), ("By month", "", volume(df, time, "M").orderBy("bucket"))]
+    if "resolution_hours" in df.columns:
+        parts.append(("Hours to resolution", "", histogram(df, "resolution_hours").orderBy("bin")))
+    if {"group", "is_overdue"} <= set(df.columns):
+        parts.append(("What can be learnt", "", recommend(df, "group", F.col("is_overdue"))))
+    report(spark, folder, f"{module}.md", module, parts)

@@ -5,22 +5,22 @@ Features are hashed TF-IDF of character or word n-grams, counted by MLlib on the
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import build_text, char_ngrams, word_ngrams
 from tidemark.functions.time import round_half_up
 from tidemark.functions.vector import dot
-from tidemark.operators.evaluation import fold_rare
+from tidemark.operators.evaluation import ACCEPT_F1, acceptance, assert_no_leakage, class_report, fold_rare, macro_f1, temporal_split, top_labels
+from tidemark.sources.storage import Store
 
 # Labelled rows from which a model is trained, and the size under which classes are folded.
 MIN_LABELLED, MIN_CLASS, OTHER = 100, 10, "__other__"
@@ -118,6 +118,76 @@ def train_router(df: DataFrame, label: str, text: Column, folds: int = 3, featur
     return {"prepare": prepare, "machines": machines, "names": names, "sigmoid": sigmoid}
 
 
+def save_imputer(model: PipelineModel, target: Target, folder: str) -> None:
+    """Under ``module__column`` in a folder of models; one that is there is replaced."""
+    model.write().overwrite().save(f"{folder}/{target.module}__{target.column}")
+
+
+def load_imputer(spark: SparkSession, target: Target, folder: str) -> PipelineModel | None:
+    name = f"{target.module}__{target.column}"
+    return PipelineModel.load(f"{folder}/{name}") if Store(spark, folder).exists(name) else None
+
+
+def enrich_module(df: DataFrame, module: str, folder: str, targets: Sequence[Target] | None = None, grams: str = "char") -> DataFrame | None:
+    """Every column of the module that has a saved model filled in, in the order of the columns' names; None if none has."""
+    out, touched = df, False
+    for t in sorted((t for t in (TARGETS if targets is None else targets) if t.module == module), key=lambda t: t.column):
+        model = load_imputer(df.sparkSession, t, folder)
+        if model is not None and t.column in df.columns:
+            out, touched = impute(out, t, model, grams), True
+    return out if touched else None
+
+
+def save_router(router: dict, spark: SparkSession, folder: str) -> None:
+    """The parts of ``train_router`` in a folder; the document that names them is written last."""
+    router["prepare"].write().overwrite().save(f"{folder}/prepare")
+    for i, m in enumerate(router["machines"]):
+        if m is not None:
+            m.write().overwrite().save(f"{folder}/machine-{i}")
+    Store(spark, folder).write_json("router.json", {"names": router["names"], "sigmoid": router["sigmoid"], "machines": [m is not None for m in router["machines"]]})
+
+
+def load_router(spark: SparkSession, folder: str) -> dict | None:
+    kept = Store(spark, folder).read_json("router.json")
+    if kept is None:
+        return None
+    machines = [LinearSVCModel.load(f"{folder}/machine-{i}") if there else None for i, there in enumerate(kept["machines"])]
+    return {"prepare": PipelineModel.load(f"{folder}/prepare"), "machines": machines, "names": kept["names"], "sigmoid": [tuple(x) for x in kept["sigmoid"]]}
+
+
+def train_embedding_classifier(df: DataFrame, label: str, vector: str) -> PipelineModel:
+    """A balanced logistic regression on embeddings: the alternative to n-gram features."""
+    from pyspark.ml.functions import array_to_vector
+
+    rows = df.where(F.col(label).isNotNull()).select(F.col(label).cast("string").alias("__label_in"), array_to_vector(F.transform(vector, lambda x: x.cast("double"))).alias("__x"))
+    index = StringIndexer(inputCol="__label_in", outputCol="__y", stringOrderType="frequencyDesc", handleInvalid="keep")
+    fit = LogisticRegression(featuresCol="__x", labelCol="__y", weightCol="__weight", maxIter=50, regParam=1e-4, family="multinomial", probabilityCol="__prob", predictionCol="__pred", rawPredictionCol="__raw")
+    return Pipeline(stages=[index, fit]).fit(balanced(rows, "__label_in"))
+
+
+def classify_embeddings(df: DataFrame, model: PipelineModel, vector: str) -> DataFrame:
+    """``df`` with ``predicted`` and ``confidence``."""
+    from pyspark.ml.functions import array_to_vector
+
+    rows = df.withColumn("__x", array_to_vector(F.transform(vector, lambda x: x.cast("double"))))
+    out = PipelineModel(stages=model.stages[1:]).transform(rows)
+    names = F.array(*map(F.lit, _labels(model)))
+    return out.select(*df.columns, F.get(names, F.col("__pred").cast("int")).alias("predicted"), F.array_max(vector_to_array("__prob")).alias("confidence"))
+
+
+def evaluate_router(df: DataFrame, label: str, time: str, key: str, texts: Sequence[str], k: int = 3, least: float = ACCEPT_F1, features: int = 1 << 15) -> dict:
+    """Train on the earlier rows, test on the later ones: the router, the label report and whether each top label passes."""
+    assert_no_leakage(list(texts))
+    rows = temporal_split(df.where(F.col(label).isNotNull() & F.col(time).isNotNull()), time, key)
+    train, test = rows.where(~F.col("is_test")), rows.where("is_test")
+    top = top_labels(train, label, k)
+    fold = lambda d: d.withColumn("__folded", F.when(F.col(label).isin(*top), F.col(label).cast("string")).otherwise("Other"))
+    router = train_router(fold(train), "__folded", text_of(df, texts), features=features)
+    out = route(fold(test), router, text_of(df, texts))
+    report = class_report(out, "__folded", "predicted")
+    return {"router": router, "report": report, "routed": out.drop("__folded"), "acceptance": acceptance(report, top, least), "top": top, "macro": macro_f1(report)}
+
+
 def _machines(ready: DataFrame, classes: int) -> list:
     """A linear support vector machine for each class against the rest; None where the rows have only one side."""
     there = {int(r["__y"]) for r in ready.select("__y").distinct().collect()}  # as many rows as classes
@@ -299,16 +369,11 @@ def cross_lingual_gate(pairs: DataFrame) -> DataFrame:
     return own.join(others, "probe").select("probe", "own", "best_other", (F.col("own") > F.col("best_other")).alias("passed"))
 
 
-def save_metrics(metrics: list[dict], path: str) -> None:
-    """Metrics by (module, column) as a JSON file; those of the same key are replaced."""
-    try:
-        with open(path, encoding="utf-8") as f:
-            known = {(m["module"], m["column"]): m for m in json.load(f)}
-    except (FileNotFoundError, ValueError):
-        known = {}
-    known |= {(m["module"], m["column"]): m for m in metrics}
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump([known[k] for k in sorted(known)], f, indent=1)
+def save_metrics(spark: SparkSession, metrics: list[dict], folder: str, name: str = "metrics.json") -> None:
+    """Metrics by (module, column) as a JSON document; those of the same key are replaced."""
+    store = Store(spark, folder)
+    known = {(m["module"], m["column"]): m for m in store.read_json(name) or []} | {(m["module"], m["column"]): m for m in metrics}
+    store.write_json(name, [known[k] for k in sorted(known)])
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

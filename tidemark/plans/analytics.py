@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import has_resolution
 from tidemark.operators import analytics as A
 from tidemark.operators import evaluation as E
 from tidemark.plans.registry import query, table
@@ -258,3 +259,34 @@ def metrics_upsert(spark, sf):
 
     rows = table(spark, sf, "events").select("user_id", "event_type", "ts", "event_id")
     return upsert(rows.where("event_id % 2 = 0"), rows.where("event_id % 2 = 1"), ["user_id", "event_type"], "ts").drop("ts")
+
+
+@query(
+    "problem_metrics",
+    """SELECT count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS resolved, count(*) FILTER (o_custkey >= 1000) * 100.0::DOUBLE / count(*) AS usable_pct FROM orders""",
+)
+def problem_metrics(spark, sf):
+    rows = table(spark, sf, "orders").select("o_orderstatus", has_resolution(F.col("o_custkey").cast("string")).alias("usable"))
+    return A.problem_metrics(rows, "o_orderstatus", "usable", closed=("F",))
+
+
+@query("time_range", "SELECT CAST(min(ts) AS DATE) AS first, CAST(max(ts) AS DATE) AS last FROM events")
+def time_range(spark, sf):
+    return A.time_range(table(spark, sf, "events"), "ts")
+
+
+@query("display_columns", "SELECT lang AS \"Language\", count(*) AS \"Documents\" FROM documents GROUP BY 1")
+def display_columns(spark, sf):
+    counts = table(spark, sf, "documents").groupBy("lang").agg(F.count("*").alias("n"))
+    return A.renamed(counts, {"lang": "Language", "n": "Documents", "absent": "Absent"})
+
+
+@query(
+    "routing_acceptance",
+    f"""WITH r AS (SELECT quality AS t, {_RULE} AS p FROM documents JOIN labels USING (doc_id)), l AS (SELECT unnest([0, 1, 2]) AS label),
+       s AS (SELECT label, count(*) FILTER (t = label) AS support, count(*) FILTER (p = label) AS np, count(*) FILTER (t = label AND p = label) AS nh FROM l, r GROUP BY 1),
+       f AS (SELECT CASE WHEN support + np = 0 THEN 0 ELSE nh * 2 / (support + np)::DOUBLE END AS f1 FROM s)
+       SELECT count(*) AS n_labels, count(*) FILTER (f1 >= 0.75) AS n_passed, count(*) = count(*) FILTER (f1 >= 0.75) AS passed FROM f""",
+)
+def routing_acceptance(spark, sf):
+    return E.acceptance(E.class_report(_predicted(spark, sf), "quality", "pred"), ["0", "1", "2"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.time import parse_epoch, time_features
+from tidemark.functions.time import parse_epoch, time_features, to_datetime
 from tidemark.operators import series as S
 from tidemark.plans.registry import query, table
 
@@ -105,6 +105,12 @@ def epoch_parse(spark, sf):
     return table(spark, sf, "events").select("event_id", parse_epoch(text).alias("parsed"), parse_epoch(F.concat(F.lit("x"), text)).alias("bad"))
 
 
+@query("coerced_datetime", "SELECT event_id, ts::TIMESTAMP AS parsed, CAST(NULL AS TIMESTAMP) AS bad, date_trunc('day', ts)::TIMESTAMP AS day FROM events")
+def coerced_datetime(spark, sf):
+    ts = F.col("ts")
+    return table(spark, sf, "events").select("event_id", to_datetime(ts.cast("string")).alias("parsed"), to_datetime(F.concat(F.lit("x"), ts.cast("string"))).alias("bad"), to_datetime(F.date_format(ts, "dd/MM/yyyy")).alias("day"))
+
+
 @query("forecast_seasonal")
 def forecast_seasonal(spark, sf):
     return S.seasonal_forecast(S.daily_volume(table(spark, sf, "orders"), "o_orderdate", ["o_orderpriority"]), "o_orderpriority")

@@ -125,9 +125,19 @@ def clean_markup(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.md5(X.clean_markup(F.col("html"))).alias("cleaned"))
 
 
-@query("clean_html")
+@query("clean_html", f"SELECT page_id, md5({_markup_sql('html')}) AS cleaned FROM pages")
 def clean_html(spark, sf):
-    return table(spark, sf, "pages").select("page_id", X.clean_html(F.col("html")).alias("cleaned"))
+    return table(spark, sf, "pages").select("page_id", F.md5(X.clean_html(F.col("html"))).alias("cleaned"))
+
+
+@query("truncated_text", "SELECT doc_id, md5(substr(text, 1, 160)) AS head, length(trim(text, e' \\n\\t\\r')) >= 20 AS says FROM documents")
+def truncated_text(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", F.md5(X.truncate(F.col("text"), 160)).alias("head"), X.not_blank(F.col("text"), 20).alias("says"))
+
+
+@query("resolved_corpus", "SELECT doc_id FROM documents WHERE lang IN ('en', 'de') AND length(trim(text, e' \\n\\t\\r')) >= 20")
+def resolved_corpus(spark, sf):
+    return R.resolved(table(spark, sf, "documents"), "lang", "text", closed=("en", "de")).select("doc_id")
 
 
 _STOP = ", ".join(f"'{w}'" for w in X.STOP_WORDS)
@@ -144,21 +154,25 @@ def cluster_terms(spark, sf):
     return A.cluster_labels(table(spark, sf, "documents"), "lang", X.tokens(F.col("text")))
 
 
-@query("char_ngrams")
+@query(
+    "char_ngrams",
+    r"""WITH w AS (SELECT doc_id, unnest(list_filter(string_split_regex(lower(text), '[\s\x{A0}]+'), lambda x: x <> '')) AS w FROM documents),
+       p AS (SELECT doc_id, ' ' || w || ' ' AS p, n FROM w, range(2, 6) r(n)),
+       g AS (SELECT doc_id, n, p, unnest(range(1, length(p) - n + 2)) AS i FROM p WHERE n <= length(p))
+       SELECT doc_id, substr(p, i, n) AS gram, count(*) AS tf FROM g GROUP BY ALL""",
+)
 def char_ngrams(spark, sf):
-    grams = F.explode(X.char_ngrams(F.col("text")))
-    return table(spark, sf, "benchmark").select("item_id", grams.alias("gram")).groupBy("item_id", "gram").agg(F.count("*").alias("tf"))
+    return R.term_counts(table(spark, sf, "documents"), "doc_id", X.char_ngrams(F.col("text")))
 
 
 @query(
     "word_ngrams",
-    r"""WITH w AS (SELECT item_id, list_filter(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+'), lambda x: length(x) >= 2) AS w FROM benchmark),
-       g AS (SELECT item_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS gram FROM w)
-       SELECT item_id, gram, count(*) AS tf FROM g GROUP BY ALL""",
+    r"""WITH w AS (SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+'), lambda x: length(x) >= 2) AS w FROM documents),
+       g AS (SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS gram FROM w)
+       SELECT doc_id, gram, count(*) AS tf FROM g GROUP BY ALL""",
 )
 def word_ngrams(spark, sf):
-    grams = F.explode(X.word_ngrams(F.col("text")))
-    return table(spark, sf, "benchmark").select("item_id", grams.alias("gram")).groupBy("item_id", "gram").agg(F.count("*").alias("tf"))
+    return R.term_counts(table(spark, sf, "documents"), "doc_id", X.word_ngrams(F.col("text")))
 
 
 _TFIDF = r"""c AS (SELECT doc_id, gram, count(*) AS tf FROM g GROUP BY ALL),

@@ -194,10 +194,10 @@ class Client:
     def sub_resource(self, module: str, id: str, name: str) -> dict:
         return self.get(f"{module}/{id}/{name}")
 
-    def bundle(self, module: str, id: str) -> dict:
+    def bundle(self, module: str, id: str, notes: bool = True) -> dict:
         """A record with its sub-resources; one that fails leaves its error in its place."""
         out = {"detail": self.detail(module, id)}
-        for name in MODULES[module][1]:
+        for name in MODULES[module][1] if notes else ():
             try:
                 out[name] = self.sub_resource(module, id, name)
             except RequestFailed as e:
@@ -273,7 +273,7 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(TicketSource)
 
 
-def fetch_details(ids: DataFrame, landed: DataFrame | None, module: str, settings: Settings) -> DataFrame:
+def fetch_details(ids: DataFrame, landed: DataFrame | None, module: str, settings: Settings, notes: bool = True) -> DataFrame:
     """(id, bundle, error) of the ids that have not landed yet, by tasks of the ids' partitions; errors stay with their ids."""
     todo = ids.select(F.col("id").cast("string").alias("id")).where("id is not null").distinct()
     if landed is not None:
@@ -287,7 +287,7 @@ def fetch_details(ids: DataFrame, landed: DataFrame | None, module: str, setting
             rows = []
             for i in b.column(0).to_pylist():
                 try:
-                    rows.append((i, json.dumps(client.bundle(module, i), ensure_ascii=False), None))
+                    rows.append((i, json.dumps(client.bundle(module, i, notes), ensure_ascii=False), None))
                 except RequestFailed as e:
                     rows.append((i, None, str(e)))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)] if rows else [pa.array([], pa.string())] * 3, names=["id", "bundle", "error"])
