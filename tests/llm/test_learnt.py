@@ -149,3 +149,27 @@ def test_pipeline_judges_each_row_by_its_text(spark, tmp_path):
     rows = [(0, leak), (5, leak), (5, clean), (None, clean), (None, "alone"), (None, "alone"), (6, "once more"), (6, "ONCE  more")]
     got = sorted(pipe.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect(), key=repr)
     assert [(x.doc_id, x.text) for x in got if x.doc_id != 6] == [(0, leak), (5, clean), (None, "alone")] and len(got) == 4
+
+
+def test_pipeline_stages_take_odd_rows(spark, tmp_path):
+    """Nulls, empty and very long texts, repeated rows, extra columns with clashing names, an empty table."""
+    import corpus_pipeline as pipe
+
+    rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (2, None), (3, ""), (None, "x y z"), (None, None), (4, "mail a@b.cc now"), (5, "w " * 60000 + "end"), (6, "é 日本 \x00 \t\n z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"score": F.lit("x"), "h": F.lit("h"), "kind": F.lit(None).cast("int"), "start": F.lit(1.5), "k": F.lit(True), "n_chars": F.length("text").cast("long"), "key": F.lit("y"), "t": F.lit(0)})
+    left = {"toxicity": 9, "simhash_dedup": 6, "decontaminate": 9, "pii": 9, "bpe": 9}
+    for name, stage in pipe.STAGES:
+        out = stage(spark, docs, SF)
+        out.write.parquet(str(tmp_path / name))
+        got = spark.read.parquet(str(tmp_path / name))
+        # a row without text, a blank one and the long one are all distinct texts or copies of each other, as the stages say
+        assert got.count() == left[name], name
+        if name != "bpe":
+            assert got.columns == docs.columns
+        if name == "pii":
+            assert {r.text for r in got.where("doc_id = 4").collect()} == {"mail [EMAIL] now"} and got.where("doc_id = 4").first().n_chars == 16
+            assert got.where("doc_id = 2").first().text is None and got.where("doc_id = 5").first().text == rows[7][1]
+        if name == "bpe":
+            assert {r.doc_id: r.n_tokens for r in got.collect()}[3] == 0
+        none = stage(spark, docs.where("false"), SF)
+        assert none.count() == 0 and (name == "bpe" or none.columns == docs.columns)
