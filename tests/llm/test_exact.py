@@ -72,6 +72,31 @@ def test_webp_batches_are_valid_images_and_independent():
         assert webp.store([p]) == [m]
 
 
+def test_webp_file_of_another_encoder():
+    """A published one-pixel probe file, with a colour cache, codes of one symbol and an alpha channel."""
+    import base64
+
+    got = webp.decode(base64.b64decode("UklGRhoAAABXRUJQVlA4TA0AAAAvAAAAEAcQERGIiP4HAA=="))
+    assert len(got) == 1 and got[0].tolist() == [[0]]
+
+
+def test_webp_encoder_chooses_by_size():
+    kinds = lambda data: bin(int.from_bytes(data[5:6], "little") & 1)  # noqa: E731  whether a transform follows the header
+    flat = np.zeros((16, 192, 3), np.uint8)
+    slope = np.stack([np.arange(192)[None] + 3 * np.arange(16)[:, None]] * 3, 2).astype(np.uint8)
+    line = np.resize(np.frombuffer(b"the same line again and again;", np.uint8), 16 * 192 * 3).reshape(16, 192, 3)
+    noise = np.random.default_rng(0).integers(0, 256, (16, 192, 3)).astype(np.uint8)
+    for f in (flat, slope, line, noise):
+        data = webp.encode_frames([f])[0]
+        assert (webp.decode_frames([data])[0] == f).all() and (webp.to_samples(webp.decode_image(data)) == f).all()
+        plain = webp.encode_image(webp.to_pixels(f), lz=False)
+        assert len(data) <= len(plain) * (0.25 if f is line else 1) if f is not noise else webp._parsed(data) is not None
+    r = np.random.default_rng(3)
+    steps = np.cumsum(r.integers(0, 3, (16, 192, 1)), axis=1).repeat(3, 2).astype(np.uint8)
+    smooth = webp.encode_smallest(webp.to_pixels(steps))
+    assert kinds(smooth) and len(smooth) < len(webp.encode_image(webp.to_pixels(steps), cache_bits=4)) and (webp.to_samples(webp.decode_image(smooth)) == steps).all()
+
+
 def test_webp_rows(spark, odd, empty):
     got = webp.describe(webp.encode_texts(odd)).collect()
     want = collections.Counter()
