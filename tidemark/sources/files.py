@@ -43,12 +43,6 @@ def land_pages(spark: SparkSession, pages: Iterable[dict], folder: str, module:
     return ids
 
 
-def land_details(spark: SparkSession, bundles: DataFrame, folder: str) -> dict[str, int]:
-    """Append fetched details (id, bundle, error) that have no error as a table; counts of both."""
-    bundles.where("error is null").select("id", "bundle").write.mode("append").parquet(folder)
-    return {"landed": spark.read.parquet(folder).count()}
-
-
 def write_json(value, path) -> None:
     Path(path).write_text(json.dumps(value, ensure_ascii=False, indent=2), encoding="utf-8")
 
