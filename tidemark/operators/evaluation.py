@@ -60,8 +60,8 @@ def temporal_split(df: DataFrame, time: str, key: str, test_share: float = 0.2,
     stay on one side. The rows themselves are not moved: each is compared with the last one before the cut.
     """
     others = [F.col(c) for c, kind in df.dtypes if c not in (time, key) and not any(x in kind for x in ("map<", "variant"))]
-    nulls_last = lambda c: [F.col(c).isNull().alias(f"no_{c}"), F.col(c).alias(f"is_{c}")]
-    order = [*nulls_last(time), *nulls_last(key), (F.xxhash64(*others) if others else F.lit(0).cast("long")).alias("h")]
+    nulls_last = lambda c, name: [F.col(c).isNull().alias(f"no_{name}"), F.col(c).alias(name)]
+    order = [*nulls_last(time, "t"), *nulls_last(key, "k"), (F.xxhash64(*others) if others else F.lit(0).cast("long")).alias("h")]
     last = checkpoint(_last_of(df, [F.lit(0).alias("all")], order, F.lit(1 - test_share), parts)).select("last").scalar()
     return df.withColumn("is_test", F.coalesce(F.struct(*order) > last, F.lit(True)))
 
