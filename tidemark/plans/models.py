@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.vector import hashed_embedding
 from tidemark.operators import models as M
 from tidemark.operators.evaluation import temporal_split
 from tidemark.plans.registry import query, table
@@ -22,6 +23,13 @@ def impute_quality(spark, sf):
     return M.impute(rows, target, M.train_imputer(rows, target, grams="word"), grams="word").drop("text")
 
 
+@query("classify_embedded")
+def classify_embedded(spark, sf):
+    """The embedding alternative: quality from the vectors of texts."""
+    rows = table(spark, sf, "documents").select("doc_id", hashed_embedding(F.col("text")).alias("v")).join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "left")
+    return M.classify_embeddings(rows, M.train_embedding_classifier(rows, "quality", "v"), "v").select("doc_id", "quality", "predicted", "confidence")
+
+
 @query("route_language")
 def route_language(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", F.regexp_extract("html", '<html lang="([a-z]+)"', 1).alias("lang"), F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1).alias("title"))

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import privacy as P
 from tidemark.functions import text as X
-from tidemark.functions.vector import dot
+from tidemark.functions.vector import dot, hashed_embedding
 from tidemark.operators import analytics as A
 from tidemark.operators import retrieval as R
 from tidemark.plans.registry import query, table
+from tidemark.runtime import checkpoint, shared_path
 
 SALT = "tidemark"
 # Rows that the driver's texts lack: Arabic, mixed, junk and signatures.
@@ -211,6 +212,31 @@ def recall_at_k(spark, sf):
     return R.recall(both, F.col("a") == F.col("b"))
 
 
+@query("index_topk", f"WITH {_WORDS}, {_TFIDF} SELECT query_id, doc_id, CAST(rank AS INTEGER) AS rank FROM k")
+def index_topk(spark, sf):
+    """The same neighbours from an index that is written and read back."""
+    docs, grams, folder = table(spark, sf, "documents").select("doc_id", "text", "lang"), X.word_ngrams(F.col("text")), shared_path(spark, "index")
+    R.build_index(docs, "doc_id", grams, folder, ["lang"], max_features=None)
+    return R.query_index(docs.where("doc_id % 100 = 0"), "doc_id", grams, folder, leave_one_out=True).select("query_id", "doc_id", "rank")
+
+
+@query(
+    "recall_thresholds",
+    f"""WITH {_WORDS}, {_TFIDF}, h AS (SELECT query_id, max(CASE WHEN rank = 1 THEN similarity END) AS first, max(similarity) AS best FROM k JOIN s USING (query_id, doc_id) GROUP BY 1),
+       t AS (SELECT unnest([0.5, 0.6, 0.8])::DOUBLE AS threshold)
+       SELECT threshold, count(*) AS n_queries, count(*) FILTER (first >= threshold) AS hits_at_1, count(*) FILTER (best >= threshold) AS hits_at_k FROM h, t GROUP BY 1""",
+)
+def recall_thresholds(spark, sf):
+    w = checkpoint(_weights(spark, sf))
+    return R.recall_at_thresholds(R.similar(w.where("doc_id % 100 = 0"), w, "doc_id"), w, "doc_id")
+
+
+@query("embed_texts", "SELECT doc_id, 1.0::DOUBLE AS size FROM documents WHERE text <> ''")
+def embed_texts(spark, sf):
+    docs = table(spark, sf, "documents").where("text <> ''").select("doc_id", hashed_embedding(F.col("text")).alias("v"))
+    return docs.select("doc_id", F.round(dot(F.col("v"), F.col("v")), 3).alias("size"))
+
+
 _DOT = "list_sum(list_transform(range(1, 65), lambda i: a[i]::DOUBLE * b[i]::DOUBLE))"
 
 
