@@ -2,28 +2,28 @@
 
 Numbers, names and units become typed placeholders, so a question with other numbers or names keeps
 its template. Windows of ``WINDOW`` template words are hash-joined between documents and benchmark
-items; a window with under ``LITERALS`` words that are no placeholders says too little and must agree
-word for word instead. What stood in the slots is then compared along each alignment of an item with a
-document: each of the item's values must have one value of the document's, wherever it occurs, or the
-alignment is dropped. A document holds an item if at least ``SHARE`` of the item's windows are left; of
-an item's windows those count which are told by their template, or all if there is none.
-
-There are two templates. A name is a word with a capital and a small letter after a lower-case letter,
-comma or semicolon and a blank. That leaves out names that start a sentence or follow a figure, quote
-or bracket, so in the second template every word that starts with a capital and a small letter is a
-name; an item is found by either, and the one that has more of its windows is reported. A document's
-window in which the two are the same is made once. A number is a word that starts with a digit, marks
-between digits included, or one of ``NUMBER_WORDS``; a unit is one of ``UNITS``. Words are compared in
-lower case. Items of fewer words than a window, but at least ``SHORTEST``, are one window of their own
-length; documents get such windows only if there are such items.
-
-Edge cases: a null or empty text, and an item of fewer than SHORTEST words, match nothing; repeated
-rows and equal doc_ids give one row for each (doc_id, item_id); null ids are ids like others; empty
-tables give an empty result; other columns are ignored.
+items; windows with under ``LITERALS`` words that are no placeholders say too little and take no part,
+but an item that has no other windows is looked for word for word.
+What stood in the slots is then compared along each alignment of an item with a document: each of the
+item's values must have one value of the document's, wherever it occurs, or the alignment is dropped.
+A document holds an item if at least ``SHARE`` of the item's windows are left.
+
+A name is a word with a capital and a small letter after a lower-case letter, comma or semicolon and
+a blank. That leaves out names that start a sentence or follow a figure, quote or bracket, so there is a
+second template, where every word that starts with a capital and a small letter is a name; an item is
+found by either, and the one that has more of its windows is reported. A number is a word that starts with a digit, marks between digits included, or one of
+``NUMBER_WORDS``; a unit is one of ``UNITS``. Words are compared in lower case. Items of fewer words
+than a window, but at least ``SHORTEST``, are one window of their own length. Documents are read for
+such items, and for those that are looked for word for word, only if there are any.
+
+Edge cases: a null or empty text, and an item of fewer than SHORTEST words, match nothing; repeated rows and equal doc_ids give one row for each (doc_id, item_id); null ids are
+ids like others; empty tables give an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,103 +34,85 @@ WINDOW, LITERALS, SHARE, SHORTEST = 5, 2, 0.8, 4
 #: The benchmark's windows are broadcast up to so many (of some 60 bytes each); beyond, both sides are
 #: shuffled, and windows that very many documents have are split as skewed by the adaptive join.
 BROADCAST_WINDOWS = 200_000
-# Put before a name, and before any other word with a capital, so that it is still told when all is in
-# lower case; from the private use area.
-NAME_MARK, CAPITAL_MARK = "\ue001", "\ue002"
-# Kinds of words, in the low bits of their hashes; CAPITAL is a name in the second template only.
-WORD, NUMBER, NAME, UNIT, CAPITAL, KIND_BITS = 0, 1, 2, 3, 4, 3
-FIRST, SECOND = 1, 2
+# Put before a name, so that it is still told when all is in lower case; from the private use area.
+NAME_MARK = "\ue001"
+# Codes of the placeholders, where words have hashes.
+NUMBER, NAME, UNIT = 1, 2, 3
 NUMBER_WORDS = "two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million"
 UNITS = "kg mg km cm mm mi mile miles feet ft inch inches ml liter liters litre litres hour hours minute minutes second seconds day days week weeks month months year years dollar dollars euro euros pound pounds cent cents percent degree degrees"
 
 
-def template_words(text: Column) -> Column:
-    """The text's words in lower case, with a mark before names and before other words with capitals."""
-    text = F.coalesce(text, F.lit(""))
-    marked = F.regexp_replace(text, r"\p{Lu}(?<=[a-z,;] .)(?=\p{Ll})", NAME_MARK + "$0")
-    marked = F.regexp_replace(marked, rf"\p{{Lu}}(?<![\p{{L}}\p{{N}}{NAME_MARK}].)(?=\p{{Ll}})", CAPITAL_MARK + "$0")
+def template_words(text: Column, capitals: bool = False) -> Column:
+    """The text's words in lower case, names (or all words with capitals) with a mark before them."""
+    before = r"(?<![\p{L}\p{N}].)" if capitals else r"(?<=[a-z,;] .)"
+    marked = F.regexp_replace(F.coalesce(text, F.lit("")), rf"\p{{Lu}}{before}(?=\p{{Ll}})", NAME_MARK + "$0")
     # a mark between digits belongs to the number
-    cut = F.split(F.lower(marked), rf"(?:[^\p{{L}}\p{{N}}{NAME_MARK}{CAPITAL_MARK}](?!(?<=[0-9].)[0-9]))+")
+    cut = F.split(F.lower(marked), rf"(?:[^\p{{L}}\p{{N}}{NAME_MARK}](?!(?<=[0-9].)[0-9]))+")
     return F.filter(cut, lambda w: w != "")
 
 
-def word_kind(word: Column) -> Column:
+def placeholder(word: Column) -> Column:
+    """The code of the placeholder that stands for a word, or null."""
     first = F.ascii(word)
     number = first.between(ord("0"), ord("9")) | word.isin(NUMBER_WORDS.split())
-    return F.when(first == ord(NAME_MARK), NAME).when(first == ord(CAPITAL_MARK), CAPITAL).when(number, NUMBER).when(word.isin(UNITS.split()), UNIT).otherwise(WORD)
-
-
-def coded(word: Column) -> Column:
-    """The word's hash with its kind in the low bits; marks don't count."""
-    plain = F.when(F.ascii(word).isin(ord(NAME_MARK), ord(CAPITAL_MARK)), F.substring(word, F.lit(2), F.length(word))).otherwise(word)
-    return F.shiftleft(F.xxhash64(plain), KIND_BITS).bitwiseOR(word_kind(word).cast("long"))
-
-
-def windows(rows: DataFrame, id_col: str, text_col: str, names: tuple[str, ...], window: int = WINDOW) -> DataFrame:
-    """(id, pos, key, first, last, template, telling): a row a window, or two where the templates differ.
-
-    key is a hash of the window's template (of its words, if it is not telling); first and last are
-    hashes of what stands in the slots at its ends, null where there is none; template is FIRST,
-    SECOND or both as bits.
-    """
-    words = rows.select(F.col(id_col).cast("long").alias(names[0]), F.transform(template_words(F.col(text_col)), coded).alias("e")).where(F.size("e") >= window)
-    zipped = F.arrays_zip(*[(F.slice("e", i + 1, F.size("e")) if i else F.col("e")).alias(f"e{i}") for i in range(window)])
-    each = words.select(names[0], F.posexplode(zipped).alias(names[1], "z"))
-    e = [F.col(f"z.e{i}") for i in range(window)]
-    each = each.where(e[-1].isNotNull())
-    kinds = [x.bitwiseAND(F.lit((1 << KIND_BITS) - 1).cast("long")) for x in e]
-    plain = [F.shiftright(x, KIND_BITS) for x in e]
-    some_capital = kinds[0] == CAPITAL
-    for k in kinds[1:]:
-        some_capital = some_capital | (k == CAPITAL)
-
-    def made(bit: int, template: Column):
-        # the code under which a name in this template stands
-        slot = lambda k: k.between(NUMBER, UNIT) if bit == FIRST else k.between(NUMBER, CAPITAL)
-        code = lambda k: k if bit == FIRST else F.when(k == CAPITAL, F.lit(NAME).cast("long")).otherwise(k)
-        literals = sum((F.when(slot(k), 0).otherwise(1) for k in kinds[1:]), F.when(slot(kinds[0]), 0).otherwise(1))
-        telling = literals >= LITERALS
-        key = F.when(telling, F.xxhash64(F.lit(window), *[F.when(slot(k), code(k)).otherwise(p) for k, p in zip(kinds, plain)])).otherwise(F.xxhash64(F.lit(-window), *plain))
-        value = lambda i: F.when(telling & slot(kinds[i]), plain[i])
-        return F.struct(key.alias("key"), value(0).alias(names[2]), value(-1).alias(names[3]), template.alias("template"), telling.alias("telling"))
-
-    one = made(FIRST, F.when(some_capital, FIRST).otherwise(FIRST | SECOND))
-    both = F.when(some_capital, F.array(one, made(SECOND, F.lit(SECOND)))).otherwise(F.array(one))
-    return each.select(*names[:2], F.explode(both).alias("w")).select(*names[:2], "w.*")
+    return F.when(first == ord(NAME_MARK), NAME).when(number, NUMBER).when(word.isin(UNITS.split()), UNIT)
+
+
+def windows(rows: DataFrame, id_col: str, text_col: str, names: tuple[str, ...], window: int = WINDOW, capitals: bool = False, plain: bool = False) -> DataFrame:
+    """(id, pos, key, first, last, literals): a row a window. key is a hash of its template; first and
+    last are hashes of what stands in the slots at its ends, null where there is none. ``plain``: no
+    word is a placeholder."""
+    words = rows.select(F.col(id_col).cast("long").alias(names[0]), template_words(F.col(text_col), capitals).alias("w"))
+    hashed = words.select(names[0], "w", F.transform("w", lambda w: F.xxhash64(F.regexp_replace(w, NAME_MARK, "")) if plain else F.coalesce(placeholder(w).cast("long"), F.xxhash64(w))).alias("h"), F.size("w").alias("n")).where(F.col("n") >= window)
+    is_slot = lambda h: h.between(NUMBER, UNIT)
+    slots = F.when(F.exists("h", is_slot), F.transform("w", lambda w, i: F.when(is_slot(F.get("h", i)), F.xxhash64(w))))
+    hashed = hashed.select(names[0], "h", "n", F.coalesce(slots, F.array(F.lit(None).cast("long"))).alias("v"))
+    at = lambda c, i: F.slice(c, i + 1, F.col("n"))
+    zipped = F.arrays_zip(*[(at(F.col("h"), i) if i else F.col("h")).alias(f"h{i}") for i in range(window)], F.col("v").alias("first"), F.slice("v", window, F.col("n")).alias("last"))
+    out = hashed.select(names[0], F.posexplode(zipped).alias(names[1], "z"))
+    parts = [F.col(f"z.h{i}") for i in range(window)]
+    literals = sum((F.when(is_slot(p), 0).otherwise(1) for p in parts[1:]), F.when(is_slot(parts[0]), 0).otherwise(1))
+    return out.where(parts[-1].isNotNull()).select(*names[:2], F.xxhash64(*parts).alias("key"), F.col("z.first").alias(names[2]), F.col("z.last").alias(names[3]), literals.alias("literals"))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
     """(doc_id, item_id, n_windows, n_matched) for each document that holds a benchmark item."""
     items = items.dropDuplicates(["item_id", "text"])
+    forms = [{"capitals": False}, {"capitals": True}]
+    found = reduce(DataFrame.unionByName, [_found(docs, items, window, share, **f) for f in forms])
     n = F.size(template_words(F.col("text")))
     short = [r.n for r in items.select(n.alias("n")).where((F.col("n") >= SHORTEST) & (F.col("n") < window)).distinct().collect()]  # window - SHORTEST at most
-    found = _found(docs, items, window, share)
     for size in sorted(short):
-        found = found.unionByName(_found(docs, items.where(n == size), size, share))
+        found = reduce(DataFrame.unionByName, [_found(docs, items.where(n == size), size, share, **f) for f in forms], found)
+    telling = reduce(DataFrame.unionByName, [_item_windows(items, window, **f).select("item_id") for f in forms]).distinct()
+    bare = checkpoint(items.where(n >= window).join(telling.withColumnRenamed("item_id", "t"), F.col("item_id").cast("long").eqNullSafe(F.col("t")), "left_anti"))
+    if not bare.isEmpty():
+        found = found.unionByName(_found(docs, bare, window, share, plain=True))
     # equal shares: the one of more windows
     best = F.max(F.struct((F.col("n_matched") / F.col("n_windows")).alias("share"), "n_windows", "n_matched")).alias("best")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.n_windows", "best.n_matched")
 
 
-def _found(docs: DataFrame, items: DataFrame, window: int, share: float) -> DataFrame:
-    """``contaminated`` by windows of one size, a row for each template that finds the item."""
-    own = windows(items, "item_id", "text", ("item_id", "ipos", "ifirst", "ilast"), window)
-    bits = F.array(*[F.when(F.col("template").bitwiseAND(F.lit(b)) > 0, b) for b in (FIRST, SECOND)])
-    own = checkpoint(own.withColumn("template", F.explode(F.array_compact(bits))))
-    any_telling = own.groupBy("item_id", "template").agg(F.max("telling").alias("some"))
-    own = own.join(any_telling.toDF("item", "of", "some"), F.col("item_id").eqNullSafe(F.col("item")) & (F.col("template") == F.col("of"))).where(F.col("telling") == F.col("some"))
-    own = checkpoint(own.select("item_id", "ipos", "ifirst", "ilast", "key", F.col("template").alias("itemplate")))
-    whole = own.groupBy("item_id", "itemplate").agg(F.count_distinct("ipos").alias("n_windows"))
-    rows = windows(docs, "doc_id", "text", ("doc_id", "pos", "dfirst", "dlast"), window).drop("telling")
-    found = rows.join(small(own, BROADCAST_WINDOWS), "key").where(F.col("template").bitwiseAND(F.col("itemplate")) > 0)
+def _item_windows(items: DataFrame, window: int, **form) -> DataFrame:
+    """The items' telling windows."""
+    own = windows(items, "item_id", "text", ("item_id", "ipos", "ifirst", "ilast"), window, **form)
+    return own.where(F.col("literals") >= LITERALS).drop("literals")
+
+
+def _found(docs: DataFrame, items: DataFrame, window: int, share: float, **form) -> DataFrame:
+    """``contaminated`` by one form of windows: one of the two templates, or plain."""
+    own = checkpoint(_item_windows(items, window, **form))
+    whole = own.groupBy("item_id").agg(F.count_distinct("ipos").alias("n_windows"))
+    side = small(own, BROADCAST_WINDOWS)
+    rows = windows(docs, "doc_id", "text", ("doc_id", "pos", "dfirst", "dlast"), window, **form).drop("literals")
+    found = rows.join(side, "key")
     pair = lambda i, d: F.collect_set(F.when(F.col(i).isNotNull(), F.struct(F.col(i).alias("i"), F.col(d).alias("d"))))
     # along one alignment a window of the item is met once at most, so these sets are no longer than an item
-    aligned = found.groupBy("doc_id", "item_id", "itemplate", (F.col("pos") - F.col("ipos")).alias("shift")).agg(F.collect_set("ipos").alias("met"), F.array_union(pair("ifirst", "dfirst"), pair("ilast", "dlast")).alias("slots"))
+    aligned = found.groupBy("doc_id", "item_id", (F.col("pos") - F.col("ipos")).alias("shift")).agg(F.collect_set("ipos").alias("met"), F.array_union(pair("ifirst", "dfirst"), pair("ilast", "dlast")).alias("slots"))
     consistent = F.size(F.array_distinct(F.transform("slots", lambda s: s["i"]))) == F.size("slots")
-    met = aligned.where(consistent).select("doc_id", "item_id", "itemplate", F.explode("met").alias("ipos")).distinct()
-    counts = met.groupBy("doc_id", "item_id", "itemplate").agg(F.count("*").alias("n_matched"))
-    same = counts["item_id"].eqNullSafe(whole["item_id"]) & (counts["itemplate"] == whole["itemplate"])
-    return counts.join(whole, same).where(F.col("n_matched") >= share * F.col("n_windows")).select("doc_id", counts["item_id"], "n_windows", "n_matched")
+    met = aligned.where(consistent).select("doc_id", "item_id", F.explode("met").alias("ipos")).distinct()
+    counts = met.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_matched"))
+    return counts.join(whole, counts["item_id"].eqNullSafe(whole["item_id"])).where(F.col("n_matched") >= share * F.col("n_windows")).select("doc_id", counts["item_id"], "n_windows", "n_matched")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
