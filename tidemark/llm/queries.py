@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ("webp", "chat", "token_file", "piece_counts", "pii", "decontaminate", "stream_bpe", "simhash", "quality", "toxicity")
+_MODULES = ("webp", "chat", "token_file", "piece_counts", "pii", "decontaminate", "stream_bpe", "simhash", "quality", "toxicity", "periodic", "repair", "suffix")
 
 
 def _modules():
