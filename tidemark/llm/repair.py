@@ -12,7 +12,7 @@ so a row keeps the layers from its own least cost on, and that is one of few pat
 numbered. A trace from the start takes at each row the ASCII-least edit whose state is in the layer that is left;
 an edit leads to one state, so the least audit needs no search.
 
-Edge cases: rows are taken by turn, nulls first, and rows of one turn by role and text; a null role or text, and
+Edge cases: rows are taken by turn, nulls first, and rows of one turn by role and a digest of role and text; a null role or text, and
 a null conv_id or turn in what is hashed, is one blank; rows of a null conv_id are a conversation; repeated rows
 are duplicates; of equal rows of one turn the first stays; a role with another initial cannot be kept; a conversation
 without rows has cost 0 and an empty audit; an empty table gives an empty result; other columns are ignored.
@@ -30,6 +30,8 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tidemark.llm.common import checkpoint, join_hot, map_arrow, table
 
@@ -246,13 +248,10 @@ def repaired(rows: DataFrame, summary: DataFrame, read=None, schema: str = "conv
     packed = F.struct(*summary_names)
     head = summary.select("conv_id", F.lit(-1).alias("place"), F.lit(None).cast("long").alias("turn"), F.lit("").alias("role"), F.lit("").alias("said"), F.lit("").alias("text"), packed.alias("summary"))
     body = rows.where("place > 0").select("conv_id", "place", "turn", "role", "said", "text", F.lit(None).cast(head.schema["summary"].dataType).alias("summary"))
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
     read = read or (lambda conv_id, summary, turns: ((conv_id, n, role, text) for n, (role, text) in enumerate(turns)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-        from pyspark.sql.types import StructType
-
-        arrow = to_arrow_schema(StructType.fromDDL(schema))
         source = (r for b in batches for r in zip(*(b.column(k).to_pylist() for k in (0, 1, 3, 5, 6))))
         held = next(source, None)
         out, size = [], 0

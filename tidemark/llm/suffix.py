@@ -38,7 +38,7 @@ LENGTH, SEED = 50, 24
 #: Bytes of text in a block, and on average in what a bucket of anchors comes from.
 BLOCK, BUCKET = 2 << 20, 4 << 20
 #: Stretches of an anchor from which it is sent string by string, and symbols that are sorted at once.
-HOT, SYMBOLS = 4096, 2_000_000
+HOT, SYMBOLS = 4096, 500_000
 #: Windows whose hashes are made at once.
 PIECE = 1 << 16
 LAST = (1 << 63) - 1
@@ -151,26 +151,25 @@ def prefixes(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     previous[before == 0] = n  # extensions by an end are not followed
     common = np.full(n + 1, length, np.int32)
     common[n] = 0
-    fresh = np.unique(to[column[np.flatnonzero(np.concatenate([[True], ~same]))]])
-    common[fresh] = 0
+    edge = np.zeros(n + 1, bool)
+    edge[n] = True
+    fresh = np.sort(to[column[np.flatnonzero(np.concatenate([[True], ~same]))]])
+    common[fresh], edge[fresh] = 0, True
     fresh = fresh[symbols[order[fresh]] > 0]
     places = np.arange(n, dtype=np.int32)
     for level in range(1, length):
         if not fresh.size:
             break
-        edges = np.flatnonzero(common < length)
-        stop = edges[np.searchsorted(edges, fresh) + 1]
-        size = stop - fresh
+        edges = np.flatnonzero(edge).astype(np.int32)
+        size = edges[np.searchsorted(edges, fresh) + 1] - fresh
         if (total := int(size.sum())) > n // 3:  # nearly all intervals are fresh: take them all
-            start = np.zeros(n, np.int32)
-            start[edges[:-1]] = edges[:-1]
-            at = places[previous < np.maximum.accumulate(start)]
+            at = places[previous < np.repeat(edges[:-1], np.diff(edges))]  # the interval of the 0s is the first
         else:
-            at = np.repeat(fresh - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(total)
+            at = np.repeat(fresh - (np.cumsum(size) - size).astype(np.int32), size) + places[:total]
             at = at[previous[at] < np.repeat(fresh, size)]
-        found = to[at]
-        fresh = np.unique(found[common[found] == length])
-        common[fresh] = level
+        found = to[at]  # each interval and symbol leads to a place of its own
+        fresh = np.sort(found[~edge[found]])
+        common[fresh], edge[fresh] = level, True
     return order, common[:n]
 
 
