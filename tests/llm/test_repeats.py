@@ -247,9 +247,7 @@ def removed_by_hand(rows, length=50):
 @pytest.mark.parametrize("block,hot", [(suffix.BLOCK, suffix.HOT), (2000, 3)])
 def test_removal_is_brute_force(spark, block, hot, monkeypatch):
     monkeypatch.setattr(suffix, "BLOCK", block)
-    monkeypatch.setattr(suffix, "HOT", hot)
     monkeypatch.setattr(suffix, "BUCKET", 4000)
-    monkeypatch.setattr(suffix, "SYMBOLS", 3000)
     r = random.Random(6)
     line = "a line of some sixty bytes, é, that very many texts have in them"
     word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randint(1, 9)))
@@ -258,7 +256,7 @@ def test_removal_is_brute_force(spark, block, hot, monkeypatch):
     rows = [(i, r.choice([prose(5), prose(30), ""]) + r.choice([line, shared[i % 6], shared[i % 5][7:], "x" * 120, ""]) + prose(r.randint(0, 9))) for i in range(220)]
     rows += [(7, rows[3][1]), (7, rows[3][1]), (None, rows[5][1]), (None, rows[5][1] + line), (300, None), (301, ""), (302, "ab" * 3000), (303, "y" * 49), (304, "y" * 50), (2, "y" * 51), (-5, line + "!"), (305, "é" * 400)]
     df = spark.createDataFrame([(*x, 1) for x in rows], "doc_id long, text string, kept int").repartition(5)
-    got = sorted(((x.doc_id, bytes(x.kept), sum(b - a for a, b in x.removed), len(x.removed)) for x in suffix.remove_repeats(df).collect()), key=str)
+    got = sorted(((x.doc_id, bytes(x.kept), sum(b - a for a, b in x.removed), len(x.removed)) for x in suffix.remove_repeats(df, hot, 3000).collect()), key=str)
     want = sorted(removed_by_hand(rows), key=str)
     assert got == want
     assert suffix.remove_repeats(df.where("false")).count() == 0

@@ -35,8 +35,10 @@ from tidemark.llm.common import checkpoint, map_arrow, table
 
 QUERY = "op13_suffix_dedup"
 LENGTH, SEED = 50, 24
-#: Bytes of text in a block, and on average in what a bucket of anchors comes from.
-BLOCK, BUCKET = 2 << 20, 4 << 20
+#: Bytes of text in a block, and on average behind the anchors of a bucket.
+BLOCK, BUCKET = 2 << 20, 1 << 20
+#: Bytes of text for a task that works on buckets.
+TASK = 32 << 20
 #: Stretches of an anchor from which it is sent string by string, and symbols that are sorted at once.
 HOT, SYMBOLS = 4096, 500_000
 #: Windows whose hashes are made at once.
@@ -103,7 +105,11 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         stop[:-1] = new[1:] | ~whole[1:]
         first, last = np.flatnonzero(new), np.flatnonzero(stop & whole)
         out.append((first + at, last + at, hashes[place[first]]))
-    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
+    first, last, least = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
+    # least hashes are small: mixed again, they spread over all buckets
+    mixed = (least ^ (least >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return first, last, mixed ^ (mixed >> np.uint64(31))
 
 
 def _ordered(high: np.ndarray, low: np.ndarray) -> np.ndarray:
@@ -235,6 +241,18 @@ def _opened(n_bytes: int, ids: bytes, ends: bytes, data: bytes) -> tuple[bytes,
     return pa.Codec("zstd").decompress(data, n_bytes, asbytes=True) if n_bytes else b"", np.frombuffer(ids, np.int64), np.frombuffer(ends, np.int64)
 
 
+def _packed(notes: np.ndarray, buckets: int) -> bytes:
+    """Five bytes each: what of a hash comes after its bucket, and the note. Hashes that become equal cost time only."""
+    short = ((notes << np.uint64(buckets.bit_length() - 1)) >> np.uint64(29) << np.uint64(5)) | (notes & _LOW)
+    return short.view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(packed, np.uint8).reshape(-1, 5)
+    return out.view(np.uint64).ravel()
+
+
 def _by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
     """Slices of sorted keys by bucket: the bucket is the top of the key."""
     of = (keys >> np.uint64(64 - buckets.bit_length() + 1)).astype(np.int64) if buckets > 1 else np.zeros(len(keys), np.int64)
@@ -271,7 +289,7 @@ def _anchor_rows(buckets: int):
         for block in _blocks_of(batches):
             *_, hashes, owner = _read(block)
             notes, _ = _distinct(hashes, owner)
-            rows = [(bucket, block["block"], notes[s].tobytes()) for bucket, s in _by_bucket(notes, buckets)]
+            rows = [(bucket, block["block"], _packed(notes[s], buckets)) for bucket, s in _by_bucket(notes, buckets)]
             yield _table(rows, "bucket block notes", [pa.int64(), pa.int64(), pa.binary()])
 
     return run
@@ -284,17 +302,17 @@ def _in_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[tu
         yield key, list(group)
 
 
-def _repeated_rows(batches):
+def _repeated_rows(batches: Iterable[pa.RecordBatch], hot_from: int) -> Iterator[pa.RecordBatch]:
     """For each block's anchors of a bucket: which of them are in another document, and of these, which are frequent."""
     for bucket, rows in _in_groups(batches):
-        own = [np.frombuffer(r[2], np.uint64) for r in rows]
+        own = [_unpacked(r[2]) for r in rows]
         notes = np.concatenate(own)
         keys, inverse, count = np.unique(notes & ~_LOW, return_inverse=True, return_counts=True)
         several = np.zeros(len(keys), bool)
         several[inverse[(notes & np.uint64(16)) > 0]] = True
         times = np.bincount(inverse, np.exp2((notes & np.uint64(15)).astype(np.float64)), len(keys))
         several |= count > 1
-        hot = several & (times > HOT)
+        hot = several & (times > hot_from)
         at, out = 0, []
         for r, x in zip(rows, own):
             i = inverse[at : at + len(x)]
@@ -336,6 +354,15 @@ def _stretches(block: dict, buckets: int) -> tuple:
     return list(number), key, least, most, which, place, owners, (data, ids, ends)
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Longs with their first bytes first, then the second ones and so on, which compress better."""
+    return x.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unplaned(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+
+
 def _window_hashes(data: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Hashes of the windows at ``places``."""
     sums, out = np.zeros(LENGTH, np.uint64), np.empty(len(places), np.uint64)
@@ -348,35 +375,47 @@ def _window_hashes(data: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 
 def _stretch_rows(buckets: int):
-    types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+    types = [*[pa.int64()] * 4, pa.binary()]
 
     def run(batches):
+        zstd, below = pa.Codec("zstd", 1), np.uint64(64 - buckets.bit_length() + 1)
         for block in _blocks_of(batches):
+            if not block["replies"]:
+                continue
             strings, key, least, most, *_ = _stretches(block, buckets)
-            order = np.argsort(key)
+            order = np.argsort(key, kind="stable")
             rows = []
             for bucket, s in _by_bucket(key[order], buckets):
                 own = order[s]
                 part = [strings[i] for i in own.tolist()]
                 sizes = np.fromiter(map(len, part), np.uint16, len(part))
-                rows.append((bucket, block["block"], b"".join(part), sizes.tobytes(), key[own].tobytes(), least[own].tobytes(), most[own].tobytes(), own.astype(np.int32).tobytes()))
-            yield _table(rows, "bucket block strings sizes keys least most own", types)
+                # of the key what divides a bucket
+                part_of = ((key[own] << (np.uint64(64) - below)) >> np.uint64(48)).astype(np.uint16)
+                packed = zstd.compress(b"".join([b"".join(part), sizes, part_of, _planes(least[own]), _planes(most[own] - least[own])]), asbytes=True)
+                rows.append((bucket, block["block"], len(own), int(sizes.sum(dtype=np.int64)), packed))
+            yield _table(rows, "bucket block n size packed", types)
 
     return run
 
 
-def _owner_rows(batches):
-    """For each block of a bucket: (own, start, n, owner), runs of windows of its stretches that a smaller document has first."""
+def _owner_rows(batches: Iterable[pa.RecordBatch], symbols: int) -> Iterator[pa.RecordBatch]:
+    """For each block of a bucket: (own, start, n, owner), runs of windows of its stretches, in the order sent, that a smaller
+    document has first."""
+    zstd = pa.Codec("zstd")
     for bucket, rows in _in_groups(batches):
         number: dict[bytes, int] = {}
-        which, keys, least = [], [], []
-        for _, _, strings, sizes, key, low, *_ in rows:
-            stop = np.cumsum(np.frombuffer(sizes, np.uint16), dtype=np.int64).tolist()
-            which.append(np.fromiter((number.setdefault(strings[a:b], len(number)) for a, b in zip([0, *stop], stop)), np.int64, len(stop)))
-            keys.append(np.frombuffer(key, np.uint64))
-            least.append(np.frombuffer(low, np.int64))
+        which, keys, least, sent = [], [], [], []
+        for _, block, n, size, packed in rows:
+            data = zstd.decompress(packed, size + 20 * n, asbytes=True)
+            sizes, part_of = np.frombuffer(data, np.uint16, n, size), np.frombuffer(data, np.uint16, n, size + 2 * n)
+            low, over = _unplaned(data[size + 4 * n : size + 12 * n]), _unplaned(data[size + 12 * n :])
+            stop = np.cumsum(sizes, dtype=np.int64).tolist()
+            which.append(np.fromiter((number.setdefault(data[a:b], len(number)) for a, b in zip([0, *stop], stop)), np.int64, n))
+            keys.append(part_of)
+            least.append(low)
+            sent.append((block, low + over))
         strings, every = list(number), np.concatenate(which)
-        key, owners = np.zeros(len(strings), np.uint64), np.full(len(strings), LAST)
+        key, owners = np.zeros(len(strings), np.uint16), np.full(len(strings), LAST)
         key[every] = np.concatenate(keys)
         np.minimum.at(owners, every, np.concatenate(least))
         # parts of the bucket by key, none of which is divided
@@ -385,7 +424,7 @@ def _owner_rows(batches):
         edges = np.flatnonzero(np.concatenate([[True], key[order[1:]] != key[order[:-1]]]))
         parts, start = [], 0
         for a, b in zip(edges, [*edges[1:], len(order)]):
-            if a > start and size[b - 1] - (size[start - 1] if start else 0) > SYMBOLS:
+            if a > start and size[b - 1] - (size[start - 1] if start else 0) > symbols:
                 parts.append((start, a))
                 start = a
         parts.append((start, len(order)))
@@ -405,15 +444,15 @@ def _owner_rows(batches):
         of, start, n, first = of[order], start[order], n[order], first[order]
         begin = np.searchsorted(of, np.arange(len(strings) + 1))
         out = []
-        for r, w in zip(rows, which):
+        for (block, most), w in zip(sent, which):
             count = begin[w + 1] - begin[w]
             run = np.repeat(begin[w] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-            gone = first[run] < np.repeat(np.frombuffer(r[6], np.int64), count)
+            gone = first[run] < np.repeat(most, count)
             if gone.any():
-                run, own = run[gone], np.repeat(np.frombuffer(r[7], np.int32), count)[gone]
-                out.append((r[1], own.tobytes(), start[run].astype(np.int32).tobytes(), n[run].astype(np.int32).tobytes(), first[run].tobytes()))
+                run, own = run[gone], np.repeat(np.arange(len(w), dtype=np.int32), count)[gone]
+                out.append((block, bucket, own.tobytes(), start[run].astype(np.int32).tobytes(), n[run].astype(np.int32).tobytes(), first[run].tobytes()))
         if out:
-            yield _table(out, "block own start n owner", [pa.int64(), *[pa.binary()] * 4])
+            yield _table(out, "block bucket own start n owner", [pa.int64(), pa.int64(), *[pa.binary()] * 4])
 
 
 def _kept_rows(buckets: int):
@@ -425,20 +464,23 @@ def _kept_rows(buckets: int):
                 data, ids, ends = _opened(*(block[k] for k in ("n_bytes", "ids", "ends", "data")))
                 edge = np.zeros(len(data) + 1, np.int32)
             else:
-                *_, which, place, owners, (data, ids, ends) = _stretches(block, buckets)
+                _, key, _, _, which, place, owners, (data, ids, ends) = _stretches(block, buckets)
+                sent = np.argsort(key, kind="stable")
+                begins = {bucket: s.start for bucket, s in _by_bucket(key[sent], buckets)}
                 edge = np.zeros(len(data) + 1, np.int32)
                 order = np.argsort(which, kind="stable")
                 begin = np.searchsorted(which[order], np.arange(int(which.max()) + 2))
                 for r in block["gone"]:
                     own, start, n = (np.frombuffer(r[k], np.int32).astype(np.int64) for k in ("own", "start", "n"))
+                    own = sent[own + begins[r["bucket"]]]
                     first = np.frombuffer(r["owner"], np.int64)
                     count = begin[own + 1] - begin[own]
                     at = order[np.repeat(begin[own] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())]
                     start, n, first = (np.repeat(x, count) for x in (start, n, first))
                     later = first < ids[owners[at]]
-                    begins = place[at[later]] + start[later]
-                    np.add.at(edge, begins, 1)
-                    np.add.at(edge, begins + n[later] - 1 + LENGTH, -1)
+                    gone = place[at[later]] + start[later]
+                    np.add.at(edge, gone, 1)
+                    np.add.at(edge, gone + n[later] - 1 + LENGTH, -1)
             gone = np.cumsum(edge[:-1]) > 0
             rows, start, size = [], 0, 0
             for i, end in zip(ids.tolist(), ends.tolist()):
@@ -452,19 +494,21 @@ def _kept_rows(buckets: int):
     return run
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, hot: int = HOT, symbols: int = SYMBOLS) -> DataFrame:
     """(doc_id, n_bytes, removed, kept): each row's removed stretches of bytes and what is left of its text."""
     own = checkpoint(blocks(docs))
     total = own.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = 1 << max(0, int(total // BUCKET)).bit_length()
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total // TASK))
+    together = lambda df: df.repartition(tasks, "bucket").sortWithinPartitions("bucket")
     noted = map_arrow(own, _anchor_rows(buckets), "bucket long, block long, notes binary")
-    together = lambda df: df.repartition("bucket").sortWithinPartitions("bucket", "block")
-    told = map_arrow(together(noted), _repeated_rows, "block long, bucket long, n long, several binary, hot binary")
+    told = map_arrow(together(noted), lambda batches: _repeated_rows(batches, hot), "block long, bucket long, n long, several binary, hot binary")
     replies = told.groupBy("block").agg(F.collect_list(F.struct("bucket", "n", "several", "hot")).alias("replies"))
-    asked = checkpoint(own.join(replies, "block", "left"))
-    sent = map_arrow(asked.where("replies is not null"), _stretch_rows(buckets), "bucket long, block long, strings binary, sizes binary, keys binary, least binary, most binary, own binary")
-    owned = map_arrow(together(sent), _owner_rows, "block long, own binary, start binary, n binary, owner binary")
-    gone = owned.groupBy("block").agg(F.collect_list(F.struct("own", "start", "n", "owner")).alias("gone"))
+    # the blocks are dealt once, for this join and the last
+    asked = own.join(replies, "block", "left")
+    sent = map_arrow(asked, _stretch_rows(buckets), "bucket long, block long, n long, size long, packed binary")
+    owned = map_arrow(together(sent), lambda batches: _owner_rows(batches, symbols), "block long, bucket long, own binary, start binary, n binary, owner binary")
+    gone = owned.groupBy("block").agg(F.collect_list(F.struct("bucket", "own", "start", "n", "owner")).alias("gone"))
     return map_arrow(asked.join(gone, "block", "left"), _kept_rows(buckets), "doc_id long, n_bytes long, removed array<struct<start:long,stop:long>>, kept binary")
 
 
