@@ -2,8 +2,10 @@
 
 import datetime as dt
 import json
+import os
 import threading
-from http.server import BaseHTTPRequestHandler, HTTPServer
+import time as clock
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 from urllib.parse import parse_qs, urlparse
 
 import pytest
@@ -11,7 +13,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import nested, privacy, text, time, vector
 from tidemark.operators import analytics, embedding, evaluation, jobs, models, retrieval, series
-from tidemark.sources import files, rest, tables
+from tidemark.sources import files, landing, rest, tables
+from tidemark.sources.storage import Store
+from tidemark.streaming import ingest
 
 
 def values(spark, fn, given, kind="string"):
@@ -258,6 +262,7 @@ def test_pages_and_dedup(spark):
 class Server(BaseHTTPRequestHandler):
     failures = {"left": 0}
     cap, total, more = 100, True, True
+    bad, asked, stop, hold = {}, [], None, None
     rows = [{"id": str(i), "subject": f"s{i}"} for i in range(1, 26)]
 
     def do_GET(self):
@@ -271,6 +276,17 @@ class Server(BaseHTTPRequestHandler):
             part = self.rows[a - 1 : a - 1 + min(n, self.cap)]
             said = {"start_index": a} | ({"total_count": len(self.rows)} if self.total else {}) | ({"has_more_rows": a - 1 + len(part) < len(self.rows)} if self.more else {})
             return self.say(200, {"requests": part, "list_info": said})
+        id = url.path.rsplit("/", 1)[-1]
+        if not url.path.endswith("notes"):
+            self.asked.append(id)
+        if self.hold and len(self.asked) > self.hold:
+            self.stop.wait(20)
+        if id in self.bad:  # a body that is no JSON, or one that is cut short
+            self.send_response(200)
+            self.send_header("Content-Length", "99")
+            self.end_headers()
+            self.wfile.write(b"x" * 99 if self.bad[id] == "text" else b"{")
+            return
         return self.say(404 if url.path.endswith("notes") else 200, {"request": {"id": url.path.rsplit("/", 1)[-1]}})
 
     def say(self, status, value):
@@ -283,8 +299,11 @@ class Server(BaseHTTPRequestHandler):
 
 
 @pytest.fixture()
-def server():
-    s = HTTPServer(("127.0.0.1", 0), Server)
+def server(monkeypatch):
+    monkeypatch.setattr(Server, "bad", {})
+    monkeypatch.setattr(Server, "asked", [])
+    monkeypatch.setattr(Server, "stop", threading.Event())
+    s = ThreadingHTTPServer(("127.0.0.1", 0), Server)
     threading.Thread(target=s.serve_forever, daemon=True).start()
     yield f"http://127.0.0.1:{s.server_port}"
     s.shutdown()
@@ -294,7 +313,7 @@ def test_rest_source(spark, server, tmp_path):
     waits = []
     client = rest.Client(rest.Settings(server, page_size=10), waits.append)
     Server.failures["left"] = 2
-    assert [len(p["requests"]) for p in client.pages("requests")] == [10, 10, 5] and waits == [1.0, 2.0]
+    assert [len(p["requests"]) for p in client.pages("requests")] == [10, 10, 5] and waits == [2.0, 4.0]
     assert [len(p["requests"]) for p in client.pages("requests", 12)] == [10, 2]
     assert "_error" in client.bundle("requests", "7")["notes"]
     Server.failures["left"] = 99
@@ -304,9 +323,6 @@ def test_rest_source(spark, server, tmp_path):
     rest.register(spark)
     read = spark.read.format("tickets").option("url", server).option("page_size", 10).option("pages_per_task", 1)
     assert read.load().count() == 25 and read.option("limit", 12).load().select("id").distinct().count() == 12
-    ids = spark.createDataFrame([("1",), ("2",), ("2",)], "id string")
-    got = rest.fetch_details(ids, ids.limit(1), "requests", rest.Settings(server)).collect()
-    assert [r.id for r in got] == ["2"] and got[0].error is None
     raw = str(tmp_path)
     assert files.land_pages(spark, client.pages("requests"), raw, "requests") == [str(i) for i in range(1, 26)] and files.modules_in(spark, raw) == ["requests"]
 
@@ -340,7 +356,7 @@ def test_rest_helpers():
     assert rest.parse_modules("requests, sites") == ["requests", "sites"] and len(rest.parse_modules("all")) == 10
     with pytest.raises(ValueError, match="nope"):
         rest.parse_modules("nope")
-    assert rest.backoff(1) == 2 and rest.backoff(9) == 30 and rest.backoff(1, "7") == 7 and rest.backoff(1, "soon") == 2
+    assert rest.backoff(1) == 2 and rest.backoff(9) == 30 and rest.backoff(1, "7") == 7 and rest.backoff(1, "soon") == 2 == rest.backoff(1, "0") == rest.backoff(1, "-3")
     assert [rest.throttle_wait(n) for n in (1, 2, 5, 9)] == [30, 60, 300, 300]
     assert rest.is_throttle(400, '{"response_status": {"status_code": 4001}}') and not rest.is_throttle(400, "x")
     assert rest.Settings.from_env({"TICKETS_URL": "http://x/api/v3/", "TICKETS_PAGE_SIZE": "500"}) == rest.Settings("http://x", page_size=100)
@@ -352,9 +368,107 @@ def test_rest_helpers():
     assert rest.records({"a": 1, "b": [{"id": 1}]}, "requests") == [{"id": 1}] and rest.records({"a": [1]}, "requests") == []
 
 
-def test_stream_refresh(spark, tmp_path):
-    from tidemark.streaming import ingest
+def ids_of(spark, *ids):
+    return spark.createDataFrame([(i,) for i in ids], "id string")
+
+
+def test_details_land_as_they_are_fetched(spark, server, tmp_path):
+    """Bodies that are no JSON or cut short are those records' errors; all others land, once."""
+    folder, settings = str(tmp_path / "details"), rest.Settings(server, max_retries=0)
+    Server.bad.update({"3": "text", "4": "cut"})
+    got, skipped = landing.land_details(ids_of(spark, *map(str, range(1, 13)), "2", None), settings, "requests", folder, per_file=2, per_task=5)
+    assert (got.details, got.errors, skipped) == (10, 2, 0)
+    assert {r.id for r in landing.landed_details(spark, folder).collect()} == {str(i) for i in range(1, 13)} - {"3", "4"}
+    assert {(r.id, r.error[:13]) for r in landing.failed_details(spark, folder).collect()} == {("3", "RequestFailed"), ("4", "RequestFailed")}
+    Server.bad.clear()
+    Server.asked.clear()
+    got, skipped = landing.land_details(ids_of(spark, *map(str, range(1, 13))), settings, "requests", folder)
+    assert (got.details, got.errors, skipped) == (2, 0, 10) and sorted(Server.asked) == ["3", "4"]
+    got, skipped = landing.land_details(ids_of(spark, "1"), settings, "requests", folder)
+    assert (got, skipped) == (landing.Landed(), 1) and landing.landed_details(spark, folder).count() == 12
+    assert not [f for f in os.listdir(folder) if f.startswith(".") and not f.endswith(".crc")]
+
 
+def test_a_killed_run_fetches_only_what_is_missing(spark, server, tmp_path, monkeypatch):
+    folder, settings, want = str(tmp_path / "details"), rest.Settings(server, max_retries=0), [f"{i:02d}" for i in range(20)]
+    ids = ids_of(spark, *want).coalesce(1).sortWithinPartitions("id")
+    monkeypatch.setattr(Server, "hold", 13)
+
+    def kill():
+        for _ in range(600):
+            if len(Server.asked) > Server.hold:
+                break
+            clock.sleep(0.05)
+        spark.sparkContext.cancelAllJobs()
+
+    killer = threading.Thread(target=kill)
+    killer.start()
+    with pytest.raises(Exception):  # noqa: B017  whatever Spark makes of it
+        landing.land_details(ids, settings, "requests", folder, notes=False, per_file=3, per_task=100)
+    killer.join()
+    clock.sleep(4)  # the killed task's worker ends
+    Server.stop.set()
+    landed = {r.id for r in landing.landed_details(spark, folder).collect()}
+    assert 0 < len(landed) < 20 and len(landed) % 3 == 0
+    monkeypatch.setattr(Server, "hold", None)
+    Server.asked.clear()
+    got, skipped = landing.land_details(ids, settings, "requests", folder, notes=False)
+    assert skipped == len(landed) and got.details == 20 - len(landed) and set(Server.asked) == set(want) - landed
+    assert {r.id for r in landing.landed_details(spark, folder).collect()} == set(want)
+
+
+def test_pages_land_by_tasks(spark, server, tmp_path, monkeypatch):
+    raw, settings = str(tmp_path), rest.Settings(server, page_size=4)
+    for cap, pages in ((100, 7), (3, 10)):
+        monkeypatch.setattr(Server, "cap", cap)
+        got = landing.land_module(spark, settings, "requests", raw, pages_per_task=2)
+        assert (got.records, got.pages) == (25, pages)
+        rows = files.dedup(files.page_records(files.read_pages(spark, f"{raw}/requests/page_*.json"), "requests"))
+        assert sorted((r.id for r in rows.select("id").collect()), key=int) == [str(i) for i in range(1, 26)]
+    assert landing.land_module(spark, settings, "requests", raw, limit=6).records == 6
+    Server.failures["left"] = 99
+    with pytest.raises(Exception):  # noqa: B017  whatever Spark makes of it
+        landing.land_module(spark, rest.Settings(server, max_retries=0), "requests", raw)
+    Server.failures["left"] = 0
+    assert files.read_pages(spark, f"{raw}/requests/page_*.json").count() and files.modules_in(spark, raw) == ["requests"]
+
+
+def test_news_are_read_once(spark, server, tmp_path, monkeypatch):
+    out, seen = str(tmp_path / "out"), []
+    for n, restart in ((10, False), (10, False), (17, True), (17, False), (25, False)):
+        monkeypatch.setattr(Server, "rows", [{"id": str(i)} for i in range(1, n + 1)])
+        ingest.follow(spark, {"url": server, "page_size": "4"}, out, str(tmp_path / "cp")).awaitTermination()
+        got = sorted((r.id for r in spark.read.parquet(out).collect()), key=int)
+        seen.append(len(got))
+        assert got == [str(i) for i in range(1, n + 1)]
+        if restart:  # the commit of the last batch is lost: it is made again, from the offsets that were kept
+            commits = tmp_path / "cp" / "commits"
+            last = max((f for f in os.listdir(commits) if f.isdigit()), key=int)
+            os.unlink(commits / last)
+            os.unlink(commits / f".{last}.crc")
+    assert seen == [10, 10, 17, 17, 25]
+
+
+def test_latest_versions(spark, tmp_path):
+    """Late and repeated rows of an id give one row, and later batches what is newer only; what is old is forgotten."""
+    (tmp_path / "in").mkdir()
+    days = [[("a", 1, 1), ("b", 5, 1), ("a", 3, 2), ("a", 2, 1)], [("b", 5, 2), ("b", 4, 2), ("a", 7, 3), (None, 1, 3), ("d", None, 3)], [("c", 1, 3), ("c", 1, 3)], [("e", 1, 25)], [("e", 2, 26)]]
+    for n, rows in enumerate(days):
+        (tmp_path / "in" / f"{n}.json").write_text("\n".join(json.dumps({"id": i, "version": v, "payload": f"{i}{v}", "at": f"2024-01-{d:02d}T00:00:00"}) for i, v, d in rows))
+        os.utime(tmp_path / "in" / f"{n}.json", (1e9 + n, 1e9 + n))
+    stream = spark.readStream.schema("id string, version long, payload string, at timestamp").option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+    latest = ingest.latest_versions(stream, "id", "version", "payload", "at", "10 days")
+    run = latest.writeStream.outputMode("update").format("memory").queryName("latest_versions").trigger(availableNow=True).start()
+    try:
+        assert run.awaitTermination(60)
+    finally:
+        run.stop()
+    assert sorted(map(tuple, spark.table("latest_versions").collect())) == [("a", 3, "a3"), ("a", 7, "a7"), ("b", 5, "b5"), ("c", 1, "c1"), ("e", 1, "e1"), ("e", 2, "e2")]
+    rows = [p["stateOperators"][0]["numRowsTotal"] for p in run.recentProgress]
+    assert max(rows) >= 3 and rows[-1] == 1
+
+
+def test_stream_refresh(spark, tmp_path):
     landing = tmp_path / "in"
     landing.mkdir()
     for n in (1, 2):
@@ -364,13 +478,11 @@ def test_stream_refresh(spark, tmp_path):
 
 
 def test_jobs(tmp_path, spark):
-    status, lock = str(tmp_path / "s.json"), str(tmp_path / "l")
-    assert jobs.refresh([("a", lambda: None)], status, lock)["state"] == "done"
+    store = Store(spark, str(tmp_path))
+    assert jobs.refresh([("a", lambda: None)], store)["state"] == "done"
     with pytest.raises(ZeroDivisionError):
-        jobs.refresh([("b", lambda: 1 / 0)], status, lock)
-    assert files.read_json(status)["error"].startswith("b:") and files.read_json(tmp_path / "none") is None
-    with jobs.Lock(lock), pytest.raises(RuntimeError), jobs.Lock(lock):
-        pass
+        jobs.refresh([("b", lambda: 1 / 0)], store)
+    assert store.read_json("status.json")["error"].startswith("b:") and files.read_json(tmp_path / "none") is None
     assert jobs.run_modules(["x", "y"], lambda m: 1 / (m != "x")) == {"x": "division by zero", "y": None}
     models.save_metrics(spark, [{"module": "m", "column": "c", "f1": 1}], str(tmp_path))
     models.save_metrics(spark, [{"module": "m", "column": "c", "f1": 2}], str(tmp_path))
@@ -378,6 +490,51 @@ def test_jobs(tmp_path, spark):
     assert "| a |" in jobs.markdown(spark.createDataFrame([("x", 1)], "a string, n int").select("a"), "T")
 
 
+def test_lease(spark, tmp_path):
+    store, at = Store(spark, str(tmp_path)), [1000.0]
+    lease = lambda: jobs.Lease(store, "lock", 60, lambda: at[0])
+    first, second = lease(), lease()
+    assert first.acquire() == 1
+    with pytest.raises(RuntimeError, match="running"):
+        second.acquire()
+    at[0] += 50
+    first.renew()
+    at[0] += 50  # renewed: it lasts on
+    with pytest.raises(RuntimeError, match="running"):
+        second.acquire()
+    at[0] += 61  # stale: taken over, and the first can write no more
+    assert second.acquire() == 2
+    for act in (first.check, first.renew):
+        with pytest.raises(jobs.Superseded):
+            act()
+    first.release()  # which does not end the second's
+    with pytest.raises(RuntimeError, match="running"):
+        lease().acquire()
+    second.release()
+    # a crash between making and writing leaves an empty document: over once it is as old as a lease
+    (tmp_path / "lock" / f"{3:012d}").write_text("")
+    at[0] = (tmp_path / "lock" / f"{3:012d}").stat().st_mtime + 30
+    with pytest.raises(RuntimeError, match="running"):
+        lease().acquire()
+    at[0] += 31
+    # contested: both see the same last number, one gets the next
+    won, lost = [], []
+
+    def contest():
+        try:
+            won.append(lease().acquire())
+        except RuntimeError as e:
+            lost.append(e)
+
+    both = [threading.Thread(target=contest) for _ in range(6)]
+    [t.start() for t in both]
+    [t.join() for t in both]
+    assert won == [4] and len(lost) == 5
+    with pytest.raises(jobs.Superseded):  # a step during which the lease goes to another run
+        jobs.refresh([("a", lambda: store.create("other/000000000002", "{}")), ("b", lambda: None)], store, "s.json", "other")
+    assert store.read_json("s.json")["step"] == "a"
+
+
 def test_command_lines(spark, server, tmp_path, monkeypatch):
     from tidemark import cli
 

@@ -35,7 +35,9 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     from tidemark.operators import jobs
     from tidemark.runtime import session, ship
+    from tidemark.sources.landing import failed_details
     from tidemark.sources.rest import Settings, parse_modules
+    from tidemark.sources.storage import Store
 
     a = parser().parse_args(argv)
     raw, processed, models = (f"{a.data}/{x}" for x in ("raw", "processed", "models"))
@@ -45,10 +47,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     def extract(modules: str = "all", limit=None, details=True, notes=True) -> int:
         got = jobs.extract(spark, Settings.from_env(file=a.settings), parse_modules(modules), raw, limit, details, notes)
         for m, c in got.items():
-            print(f"{m}: {c.pages} pages, {c.records} records, {c.details} details ({c.details_skipped} skipped), {len(c.errors)} errors")
-            for e in c.errors[:20]:
+            print(f"{m}: {c.pages} pages, {c.records} records, {c.details} details ({c.details_skipped} skipped, {c.failed} failed), {len(c.errors)} errors")
+            for e in c.errors:
                 print(f"  {e}", file=sys.stderr)
-        return int(any(c.errors for c in got.values()))
+            if c.failed:
+                failed_details(spark, f"{raw}/details/{m}").orderBy("run", "id").show(20, truncate=False)
+        return int(any(c.errors or c.failed for c in got.values()))
 
     if a.command == "extract":
         return extract(a.modules, a.limit, not a.skip_details, not a.skip_notes)
@@ -63,7 +67,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         jobs.explore(spark, processed, f"{a.data}/reports", a.module)
     else:
         steps = [("extract", extract), ("preprocess", lambda: jobs.preprocess(spark, raw, processed, as_csv=a.csv)), ("predict", lambda: jobs.predict(spark, processed, models, as_csv=a.csv))]
-        jobs.refresh(steps, f"{a.data}/status.json", f"{a.data}/refresh.lock")
+        jobs.refresh(steps, Store(spark, a.data))
     return 0
 
 

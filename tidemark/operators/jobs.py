@@ -1,13 +1,15 @@
-"""Jobs around the tables: refresh with a status document and a lock, and Markdown reports."""
+"""Jobs around the tables: refresh with a status document and a lease, and Markdown reports."""
 
 from __future__ import annotations
 
 import json
 import os
+import socket
+import threading
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,63 +19,113 @@ from tidemark.operators.analytics import histogram, null_shares, recommend, time
 from tidemark.operators.evaluation import class_report, macro_f1, stratified_split
 from tidemark.operators.models import TARGETS, enrich_module, impute, save_imputer, save_metrics, train_imputer
 from tidemark.operators.series import volume
-from tidemark.runtime import checkpoint
-from tidemark.sources.files import land_pages, modules_in, page_records, read_pages, read_processed, sample, write_processed
-from tidemark.sources.rest import MODULES, Client, Settings, fetch_details, records
+from tidemark.sources.files import modules_in, page_records, read_pages, read_processed, sample, write_processed
+from tidemark.sources.landing import land_details, land_module, landed_details
+from tidemark.sources.rest import MODULES, Settings
 from tidemark.sources.storage import Store
 from tidemark.sources.tables import build
 
 
-def set_status(path: str, **values) -> dict:
+def set_status(store: Store, name: str, **values) -> dict:
     """Update the status document, which may be missing or damaged."""
-    try:
-        status = json.loads(Path(path).read_text(encoding="utf-8"))
-    except (OSError, ValueError):
-        status = {}
-    status |= values | {"updated_at": datetime.now(timezone.utc).isoformat()}
-    Path(path).write_text(json.dumps(status, indent=1), encoding="utf-8")
+    status = (store.read_json(name) or {}) | values | {"updated_at": datetime.now(timezone.utc).isoformat()}
+    store.write_json(name, status)
     return status
 
 
-class Lock:
-    """A file that only one job can make; that of a job that is no longer there is taken over."""
+class Superseded(RuntimeError):
+    """Another run has taken the lease over."""
 
-    def __init__(self, path: str):
-        self.path = path
 
-    def __enter__(self):
-        for _ in range(2):
-            try:
-                with os.fdopen(os.open(self.path, os.O_CREAT | os.O_EXCL | os.O_WRONLY), "w") as f:
-                    f.write(str(os.getpid()))
-                return self
-            except FileExistsError:
+class Lease:
+    """A lock that ends by itself, on any filesystem that Spark reads.
+
+    Each holder makes a document of the next number under the folder, which only one can make; the number fences: a
+    holder whose number is no longer the last has lost the lease. It lasts ``seconds`` from when it was last renewed, which a
+    thread does, so that of a run that died, or that left an empty or damaged document, is taken over once it is over.
+    """
+
+    def __init__(self, store: Store, folder: str, seconds: float = 120.0, now: Callable[[], float] = time.time):
+        self.store, self.folder, self.seconds, self.now = store, folder, seconds, now
+        self.number, self._over = 0, threading.Event()
+
+    def _name(self, number: int) -> str:
+        return f"{self.folder}/{number:012d}"
+
+    def _last(self) -> int:
+        names = Store(self.store.spark, f"{self.store.root}/{self.folder}").names()
+        return max((int(n) for n in names if n.isdigit()), default=0)
+
+    def _until(self, number: int) -> float:
+        """When the lease of a number ends; that of a document that says nothing, as long after it was written."""
+        said = self.store.read_json(self._name(number))
+        until = said.get("until") if isinstance(said, dict) else None
+        return float(until) if isinstance(until, (int, float)) else self.store.modified(self._name(number)) + self.seconds
+
+    def _document(self, until: float) -> dict:
+        return {"owner": f"{socket.gethostname()}:{os.getpid()}", "until": until}
+
+    def acquire(self) -> int:
+        """The lease's number; RuntimeError if another run has it."""
+        last = self._last()
+        if last and self._until(last) > self.now():
+            raise RuntimeError("another refresh is running")
+        if not self.store.create(self._name(last + 1), json.dumps(self._document(self.now() + self.seconds))):
+            raise RuntimeError("another refresh has just begun")
+        for n in range(max(1, last - 8), last):  # the last one stays, for its number
+            self.store.delete(self._name(n))
+        self.number = last + 1
+        return self.number
+
+    def check(self) -> None:
+        if self._last() != self.number:
+            raise Superseded(f"the lease {self.number} has been taken over")
+
+    def renew(self) -> None:
+        self.check()
+        self.store.write_json(self._name(self.number), self._document(self.now() + self.seconds))
+
+    def release(self) -> None:
+        if self._last() == self.number:
+            self.store.write_json(self._name(self.number), self._document(0))
+
+    def __enter__(self) -> Lease:
+        self.acquire()
+
+        def keep():
+            while not self._over.wait(self.seconds / 3):
                 try:
-                    os.kill(int(Path(self.path).read_text() or 0), 0)
-                except (ProcessLookupError, ValueError):
-                    os.unlink(self.path)
-                    continue
-                except PermissionError:
-                    pass
-                raise RuntimeError("another refresh is running") from None
-        raise RuntimeError("another refresh is running")
-
-    def __exit__(self, *_):
-        os.unlink(self.path)
-
-
-def refresh(steps: list[tuple[str, Callable[[], None]]], status: str, lock: str) -> dict:
-    """Run the steps in order; the status document says which one runs, and what went wrong."""
-    with Lock(lock):
-        set_status(status, state="running", pid=os.getpid(), error=None)
+                    self.renew()
+                except Superseded:
+                    return
+
+        self._over.clear()
+        self._thread = threading.Thread(target=keep, daemon=True)
+        self._thread.start()
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._over.set()
+        self._thread.join()
+        self.release()
+
+
+def refresh(steps: list[tuple[str, Callable[[], None]]], store: Store, status: str = "status.json", lock: str = "refresh.lock", seconds: float = 120.0) -> dict:
+    """Run the steps in order; the status document says which one runs, and what went wrong. A run that has lost its lease stops
+    before its next step and writes no status."""
+    with Lease(store, lock, seconds) as lease:
+        set_status(store, status, state="running", fence=lease.number, error=None)
         for name, step in steps:
-            set_status(status, step=name)
+            lease.check()
+            set_status(store, status, step=name)
             try:
                 step()
             except Exception as e:
-                set_status(status, state="failed", error=f"{name}: {e}")
+                lease.check()
+                set_status(store, status, state="failed", error=f"{name}: {e}")
                 raise
-        return set_status(status, state="done", step=None)
+        lease.check()
+        return set_status(store, status, state="done", step=None)
 
 
 def run_modules(modules: list[str], job: Callable[[str], None]) -> dict[str, str | None]:
@@ -90,40 +142,32 @@ def run_modules(modules: list[str], job: Callable[[str], None]) -> dict[str, str
 
 @dataclass
 class Counters:
-    """What an extract has done so far."""
+    """What an extract has done; ``errors`` says what went wrong with a module, ``failed`` counts records without details."""
 
     pages: int = 0
     records: int = 0
     details: int = 0
     details_skipped: int = 0
+    failed: int = 0
     errors: list[str] = field(default_factory=list)
 
 
 def extract(spark: SparkSession, settings: Settings, modules: list[str], raw: str, limit: int | None = None, details: bool = True, notes: bool = True) -> dict[str, Counters]:
-    """Land the modules' pages and, by tasks of the executors, the details that have not landed yet.
+    """Land the modules' pages, and the details that have not landed yet, by tasks of the executors.
 
-    A module that fails has the error among its counters and stops no other.
+    The ids come from the landed pages. A module that fails has the error among its counters and stops no other; a
+    record that fails is counted, and ``failed_details`` says why.
     """
-    client, out = Client(settings.connected()), {}
+    settings, out = settings.connected(), {}
     for module in modules:
         c = out[module] = Counters()
-
-        def counted():
-            for page in client.pages(module, limit):
-                c.pages += 1
-                c.records += len(records(page, module))
-                yield page
-
         try:
-            ids = land_pages(spark, counted(), raw, module)
-            if MODULES[module][0] and details:
-                folder = f"{raw}/details/{module}"
-                known = spark.read.parquet(folder) if Store(spark, folder).exists() else None
-                c.details_skipped = known.join(spark.createDataFrame([(i,) for i in ids], "id string"), "id", "left_semi").count() if known is not None and ids else 0
-                got = checkpoint(fetch_details(spark.createDataFrame([(i,) for i in ids], "id string"), known, module, settings, notes))
-                got.where("error is null").select("id", "bundle").write.mode("append").parquet(folder)
-                c.details = got.where("error is null").count()
-                c.errors += [f"{module}/{r.id}: {r.error}" for r in got.where("error is not null").orderBy("id").limit(1000).collect()]
+            landed = land_module(spark, settings, module, raw, limit)
+            c.pages, c.records = landed.pages, landed.records
+            if MODULES[module][0] and details and landed.pages:
+                rows = page_records(read_pages(spark, f"{raw}/{module}/page_*.json"), module)
+                got, c.details_skipped = land_details(rows.select(F.try_variant_get("record", "$.id", "string").alias("id")), settings, module, f"{raw}/details/{module}", notes)
+                c.details, c.failed = got.details, got.errors
         except Exception as e:  # noqa: BLE001  one module must not sink the rest
             c.errors.append(f"{module}: {e}")
     return out
@@ -136,7 +180,8 @@ def preprocess(spark: SparkSession, raw: str, processed: str, modules: list[str]
     if not samples:
         for m in modules or modules_in(spark, raw):
             folder = f"{raw}/details/{m}"
-            known = spark.read.parquet(folder).select("id", F.try_parse_json("bundle").alias("bundle")) if Store(spark, folder).exists() else None
+            known = landed_details(spark, folder)
+            known = known and known.select("id", F.try_parse_json("bundle").alias("bundle"))
             if Store(spark, raw).exists(m):
                 jobs.append((m, page_records(read_pages(spark, f"{raw}/{m}/page_*.json"), m), known))
     for m, recs, details in jobs:

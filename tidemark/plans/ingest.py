@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.nested import list_size, parsed, pick
 from tidemark.plans.registry import query, table
+from tidemark.sources import landing
 from tidemark.sources import files
 from tidemark.sources import tables as B
 
@@ -100,6 +101,5 @@ def enrich_details(spark, sf):
 
 @query("resumable_ids", "SELECT CAST(o_orderkey AS VARCHAR) AS id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
 def resumable_ids(spark, sf):
-    ids = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("id"))
     landed = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("id"))
-    return ids.join(landed, "id", "left_anti")
+    return landing.missing(table(spark, sf, "orders").select(F.col("o_orderkey").alias("id")), landed)

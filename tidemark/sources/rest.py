@@ -2,11 +2,12 @@
 
 ``spark.read.format("tickets")`` with the options url, module, key, page_size, limit, max_retries and
 wait gives (module, page, position, id, record): one record a row as JSON. The first page tells the
-total, and each partition fetches a range of pages; ``details`` fetches single records the same way.
+total, and each partition fetches a range of pages. ``spark.readStream`` of it goes on where it stopped.
 """
 
 from __future__ import annotations
 
+import http.client
 import json
 import os
 import ssl
@@ -18,9 +19,8 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
 from tidemark.runtime import ship
 
@@ -108,13 +108,13 @@ class RequestFailed(RuntimeError):
 
 
 def backoff(attempt: int, retry_after: str | None = None) -> float:
-    """Seconds before the next try: what the server says, if that is a number, else doubling up to 30."""
-    if retry_after:
-        try:
-            return float(retry_after)
-        except ValueError:
-            pass
-    return float(min(2**attempt, 30))
+    """Seconds before try ``attempt`` is repeated, counted from 1: what the server says, if that is a number above 0, else 2, 4
+    and so on up to 30."""
+    try:
+        said = float(retry_after or 0)
+    except ValueError:
+        said = 0.0
+    return said if 0 < said < float("inf") else float(min(2**attempt, 30))
 
 
 def throttle_wait(times: int) -> float:
@@ -149,6 +149,8 @@ class Client:
                 request = urllib.request.Request(url, headers={"authtoken": self.settings.key, "Accept": "application/json"})
                 with urllib.request.urlopen(request, timeout=self.settings.timeout, context=self._tls) as r:
                     got = json.loads(r.read().decode("utf-8"))
+                if not isinstance(got, dict):
+                    raise ValueError("not a JSON object")
                 if self.settings.wait:
                     self.sleep(self.settings.wait)
                 return got
@@ -162,13 +164,14 @@ class Client:
                     continue
                 if e.code not in RETRIED or attempt >= self.settings.max_retries:
                     raise RequestFailed(f"HTTP {e.code} at {path}") from e
-                pause = backoff(attempt, e.headers.get("Retry-After"))
-            except (urllib.error.URLError, TimeoutError, ConnectionError) as e:
+                said = e.headers.get("Retry-After")
+            # a body that is cut short or is no JSON is no answer either
+            except (urllib.error.URLError, http.client.HTTPException, TimeoutError, ConnectionError, ValueError) as e:
                 if attempt >= self.settings.max_retries:
                     raise RequestFailed(f"no answer at {path}: {e}") from e
-                pause = backoff(attempt)
+                said = None
             attempt += 1
-            self.sleep(pause)
+            self.sleep(backoff(attempt, said))
 
     def page(self, module: str, start: int, count: int) -> dict:
         info = {"list_info": {"row_count": count, "start_index": start, "get_total_count": True}}
@@ -220,12 +223,20 @@ class _Range(InputPartition):
         self.start, self.end = start, end
 
 
+def settings_of(options: dict) -> Settings:
+    """The settings that a data source's options say."""
+    size, verify = min(PAGE_CAP, int(options.get("page_size", PAGE_CAP))), str(options.get("verify", "true")).lower() in TRUE
+    return Settings(base_url(options["url"]), options.get("key", ""), size, int(options.get("max_retries", 4)), float(options.get("wait", 0)), verify, int(options.get("timeout", 60)))
+
+
+def _as_row(module: str, number: int, size: int, record: dict) -> tuple:
+    """A record, counted from 1, as (module, page, position, id, record)."""
+    return module, (number - 1) // size, (number - 1) % size, None if record.get("id") is None else str(record["id"]), json.dumps(record, ensure_ascii=False)
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
-        self.module = options.get("module", "requests")
-        size = min(PAGE_CAP, int(options.get("page_size", PAGE_CAP)))
-        verify = str(options.get("verify", "true")).lower() == "true"
-        self.settings = Settings(base_url(options["url"]), options.get("key", ""), size, int(options.get("max_retries", 4)), float(options.get("wait", 0)), verify)
+        self.module, self.settings = options.get("module", "requests"), settings_of(options)
         self.limit = int(options["limit"]) if "limit" in options else None
         self.per_task = int(options.get("pages_per_task", 10))
 
@@ -241,20 +252,52 @@ class _Reader(DataSourceReader):
         starts = [*range(1, total + 1, step)]
         return [_Range(a, b) for a, b in zip(starts, [*starts[1:], end])]
 
-    def read(self, partition):
-        """Pages of a range; the next starts where the server says this one did, and its rows."""
+    def pages(self, partition: _Range) -> Iterator[tuple[int, dict]]:
+        """(where it starts, page) of a range; the next starts where the server says this one did, and its rows."""
         client, at, size = Client(self.settings), partition.start, self.settings.page_size
         while partition.end is None or at < partition.end:
             got = client.page(self.module, at, size if partition.end is None else min(size, partition.end - at))
             rows, info = records(got, self.module), got.get("list_info") or {}
             first = int(info.get("start_index") or at)
-            for i, r in enumerate(rows, first):
-                if at <= i and (partition.end is None or i < partition.end):
-                    yield self.module, (i - 1) // size, (i - 1) % size, None if r.get("id") is None else str(r["id"]), json.dumps(r, ensure_ascii=False)
+            if rows:
+                yield first, got
             if not rows or first + len(rows) <= at or not info.get("has_more_rows", True):
                 return
             at = first + len(rows)
 
+    def read(self, partition):
+        at = partition.start
+        for first, got in self.pages(partition):
+            rows = records(got, self.module)
+            for i, r in enumerate(rows, first):
+                if at <= i and (partition.end is None or i < partition.end):
+                    yield _as_row(self.module, i, self.settings.page_size, r)
+            at = first + len(rows)
+
+
+class _News(SimpleDataSourceStreamReader):
+    """Records in the order of the server's list, from where the last run stopped: for lists that grow at their end.
+
+    An offset is the place of the next record. What lies between two offsets is fetched again if a run is repeated.
+    """
+
+    def __init__(self, options: dict):
+        self.reader, self.start = _Reader(options), int(options.get("start", 1))
+
+    def initialOffset(self) -> dict:
+        return {"start": self.start}
+
+    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
+        rows, at = [], start["start"]
+        for first, got in self.reader.pages(_Range(at, None)):
+            new = [(i, r) for i, r in enumerate(records(got, self.reader.module), first) if i >= at]
+            rows += [_as_row(self.reader.module, i, self.reader.settings.page_size, r) for i, r in new]
+            at = new[-1][0] + 1 if new else at
+        return iter(rows), {"start": at}
+
+    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
+        return self.reader.read(_Range(start["start"], end["start"]))
+
 
 class TicketSource(DataSource):
     @classmethod
@@ -267,30 +310,10 @@ class TicketSource(DataSource):
     def reader(self, schema):
         return _Reader(self.options)
 
+    def simpleStreamReader(self, schema):
+        return _News(self.options)
+
 
 def register(spark: SparkSession) -> None:
     ship(spark)
     spark.dataSource.register(TicketSource)
-
-
-def fetch_details(ids: DataFrame, landed: DataFrame | None, module: str, settings: Settings, notes: bool = True) -> DataFrame:
-    """(id, bundle, error) of the ids that have not landed yet, by tasks of the ids' partitions; errors stay with their ids."""
-    todo = ids.select(F.col("id").cast("string").alias("id")).where("id is not null").distinct()
-    if landed is not None:
-        todo = todo.join(landed.select("id"), "id", "left_anti")
-
-    def run(batches):
-        import pyarrow as pa
-
-        client = Client(settings)
-        for b in batches:
-            rows = []
-            for i in b.column(0).to_pylist():
-                try:
-                    rows.append((i, json.dumps(client.bundle(module, i, notes), ensure_ascii=False), None))
-                except RequestFailed as e:
-                    rows.append((i, None, str(e)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)] if rows else [pa.array([], pa.string())] * 3, names=["id", "bundle", "error"])
-
-    ship(ids.sparkSession)
-    return todo.mapInArrow(run, "id string, bundle string, error string")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
+import os
 import uuid
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -13,7 +15,7 @@ class Store:
     """The Hadoop filesystem of a folder. Documents are replaced in one rename, so readers see the old or the new one."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.root = str(root).rstrip("/")
+        self.root, self.spark = str(root).rstrip("/"), spark
         self._jvm, self._conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
         self._fs = self.path().getFileSystem(self._conf)
 
@@ -28,6 +30,38 @@ class Store:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self.path()) if s.isDirectory())
 
+    def has_files(self, end: str) -> bool:
+        """Whether there is a file of such a name, hidden ones aside."""
+        return self.exists() and any(s.isFile() and (n := s.getPath().getName()).endswith(end) and n[0] not in "._" for s in self._fs.listStatus(self.path()))
+
+    def names(self) -> list[str]:
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(self.path())) if self.exists() else []
+
+    def create(self, name: str, text: str) -> bool:
+        """Make a document that must not be there; False if it is. Of several that try only one makes it."""
+        path = self.path(name)
+        self._fs.mkdirs(path.getParent())
+        if self._fs.getScheme() == "file":  # where the filesystem looks before it makes a file
+            try:
+                with os.fdopen(os.open(path.toUri().getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY), "w") as f:
+                    f.write(text)
+                return True
+            except FileExistsError:
+                return False
+        try:
+            out = self._fs.create(path, False)
+        except Py4JJavaError as e:
+            if self._fs.exists(path):
+                return False
+            raise e
+        out.write(bytearray(text.encode()))
+        out.close()
+        return True
+
+    def modified(self, name: str) -> float:
+        """When a document was last written, in seconds."""
+        return self._fs.getFileStatus(self.path(name)).getModificationTime() / 1000
+
     def delete(self, name: str) -> None:
         self._fs.delete(self.path(name), True)
 
