@@ -224,17 +224,6 @@ def test_vectors(spark):
     assert same[0] == same[1] and not any(same[2])
 
 
-def test_density_clusters(spark):
-    import numpy as np
-
-    r = np.random.default_rng(0)
-    points = [*(r.normal(0, 0.1, (30, 3))), *(r.normal(3, 0.1, (30, 3))), *(r.uniform(-8, 8, (6, 3)))]
-    rows = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "id long, v array<double>")
-    got = {r.id: r.cluster for r in models.density_clusters(rows, "id", "v", min_size=10, blocks=3).collect()}
-    assert len({got[i] for i in range(30)}) == 1 and len({got[i] for i in range(30, 60)}) == 1 and got[0] != got[30] and got[0] >= 0
-    assert sum(got[i] == -1 for i in range(60, 66)) >= 4
-
-
 def test_imputation_marks_provenance(spark):
     rows = [(i, "vpn network down" if i % 2 else "printer paper jam", None if i % 10 == 0 else ("net" if i % 2 else "print")) for i in range(200)]
     df = spark.createDataFrame(rows, "id int, subject string, grp string")

@@ -220,146 +220,6 @@ def route(df: DataFrame, router: dict, text: Column) -> DataFrame:
     return rows.select(*df.columns, F.get(names, F.array_position("__p", best).cast("int") - 1).alias("predicted"), (best / total).alias("confidence"))
 
 
-def project(df: DataFrame, vector: str, dimensions: int) -> DataFrame:
-    """``vector`` on its principal components."""
-    from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import array_to_vector
-
-    rows = df.withColumn("__v", array_to_vector(F.transform(vector, lambda x: x.cast("double"))))
-    model = PCA(k=dimensions, inputCol="__v", outputCol="__pc").fit(rows)
-    return model.transform(rows).withColumn(vector, vector_to_array("__pc")).drop("__v", "__pc")
-
-
-def density_clusters(df: DataFrame, key: str, vector: str, min_size: int = 20, min_samples: int = 5, blocks: int = 8) -> DataFrame:
-    """``df`` with ``cluster``: -1 for noise, else the excess-of-mass choice from the density hierarchy.
-
-    Core distances and the minimum spanning tree of mutual reachability are computed in blocks of
-    rows; each block of pairs sends on only its own spanning tree, so what meets in the end is a
-    bounded number of edges a row, never all pairs.
-    """
-    import numpy as np
-    import pandas as pd
-
-    spark = df.sparkSession
-    rows = df.select(F.col(key).cast("long").alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("v")).withColumn("b", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    pairs = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("id", "v", "b", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"))
-
-    def distances(pdf, other):
-        a, b = np.stack(pdf.v), np.stack(other.v)
-        return np.sqrt(np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1) - 2 * a @ b.T, 0))
-
-    def near(pdf):
-        out = []
-        i, j = pdf.i.iloc[0], pdf.j.iloc[0]
-        for x, y in {(i, j), (j, i)}:
-            left, right = pdf[pdf.b == x], pdf[pdf.b == y]
-            if len(left) and len(right):
-                d = np.sort(distances(left, right), 1)[:, : min_samples + 1]
-                out.append(pd.DataFrame({"id": np.repeat(left.id.to_numpy(), d.shape[1]), "d": d.ravel()}))
-        return pd.concat(out) if out else pd.DataFrame({"id": np.zeros(0, np.int64), "d": np.zeros(0)})
-
-    # the row itself is its own nearest neighbour and counts as one of the samples
-    found = pairs.groupBy("i", "j").applyInPandas(near, "id long, d double")
-    core = found.groupBy("id").agg(F.element_at(F.sort_array(F.collect_list("d")), F.least(F.lit(min_samples), F.count("*").cast("int"))).alias("core"))
-
-    def forest(pdf):
-        pdf = pdf.reset_index(drop=True)
-        i, j = pdf.i.iloc[0], pdf.j.iloc[0]
-        c = pdf.core.to_numpy()
-        reach = np.maximum(distances(pdf, pdf), np.maximum(c[:, None], c))
-        if i != j:
-            same = pdf.b.to_numpy()[:, None] == pdf.b.to_numpy()
-            reach = np.where(same, np.inf, reach)
-        return _tree(pdf.id.to_numpy(), reach)
-
-    edges = pairs.join(core, "id").groupBy("i", "j").applyInPandas(forest, "u long, v long, d double")
-    tree = edges.toPandas().sort_values(["d", "u", "v"])  # at most (blocks + 1) edges a row
-    labels = _condense(tree, min_size)
-    named = spark.createDataFrame(pd.DataFrame({"__id": list(labels), "cluster": list(labels.values())}), "__id long, cluster int") if labels else spark.createDataFrame([], "__id long, cluster int")
-    return df.join(named, F.col(key).cast("long") == F.col("__id"), "left").withColumn("cluster", F.coalesce("cluster", F.lit(-1))).drop("__id")
-
-
-def _tree(ids, reach):
-    """Prim's minimum spanning forest of a distance matrix."""
-    import numpy as np
-    import pandas as pd
-
-    n = len(ids)
-    best, via, inside = np.full(n, np.inf), np.full(n, -1), np.zeros(n, bool)
-    u, v, d = [], [], []
-    for _ in range(n):
-        k = int(np.argmin(np.where(inside, np.inf, best))) if not np.isinf(np.where(inside, np.inf, best)).all() else int(np.argmin(inside))
-        if via[k] >= 0 and np.isfinite(best[k]):
-            u.append(min(ids[via[k]], ids[k]))
-            v.append(max(ids[via[k]], ids[k]))
-            d.append(best[k])
-        inside[k] = True
-        closer = (reach[k] < best) & ~inside
-        best[closer], via[closer] = reach[k][closer], k
-    return pd.DataFrame({"u": np.array(u, np.int64), "v": np.array(v, np.int64), "d": np.array(d, float)})
-
-
-def _condense(tree, min_size: int) -> dict[int, int]:
-    """Cluster of each id by excess of mass over the hierarchy that the sorted edges build."""
-    parent: dict[int, int] = {}
-
-    def find(x):
-        parent.setdefault(x, x)
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    members: dict[int, list[int]] = {}
-    node: dict[int, dict | None] = {}  # of each root: the condensed cluster that it is, if large enough
-    for u, v, d in zip(tree.u.tolist(), tree.v.tolist(), tree.d.tolist()):
-        a, b = find(u), find(v)
-        if a == b:
-            continue
-        lam = 1 / max(d, 1e-12)
-        ma, mb = members.pop(a, [a]), members.pop(b, [b])
-        na, nb = node.pop(a, None), node.pop(b, None)
-        if len(ma) < len(mb):
-            a, b, ma, mb, na, nb = b, a, mb, ma, nb, na
-        parent[b] = a
-        big = len(ma) + len(mb) >= min_size
-        if na and nb:  # a true split, seen from above: both keep the members that they have by now
-            na["members"], nb["members"] = list(ma), list(mb)
-            for child in (na, nb):
-                child["mass"] -= child["n"] * lam
-            own = {"mass": (len(ma) + len(mb)) * lam, "n": len(ma) + len(mb), "children": [na, nb], "members": None}
-        elif na or nb:
-            own = na or nb
-            own["mass"] += (len(ma) + len(mb) - own["n"]) * lam
-            own["n"] = len(ma) + len(mb)
-        elif big:
-            own = {"mass": (len(ma) + len(mb)) * lam, "n": len(ma) + len(mb), "children": [], "members": None}
-        else:
-            own = None
-        ma.extend(mb)
-        members[a], node[a] = ma, own
-    for root, own in node.items():
-        if own:
-            own["members"] = members[root]
-    chosen: list[list[int]] = []
-
-    def choose(c, root):
-        below = [choose(x, False) for x in c["children"]]
-        inner = sum(m for m, _ in below)
-        # the whole is no cluster as long as it splits
-        if c["children"] and (root or inner > c["mass"]):
-            return inner, [x for _, xs in below for x in xs]
-        return c["mass"], [c["members"]]
-
-    for c in (n for n in node.values() if n):
-        chosen += choose(c, True)[1]
-    out = {}
-    for k, ids in enumerate(sorted(chosen, key=lambda m: (-len(m), min(m)))):
-        for i in ids:
-            out[i] = k
-    return out
-
-
 def cross_lingual_gate(pairs: DataFrame) -> DataFrame:
     """(probe, own, best_other, passed) of pairs (probe, a, b): do a and b agree more with each other than with other pairs' means?"""
     left = pairs.select("probe", F.col("a").alias("a"), F.col("b").alias("b"))

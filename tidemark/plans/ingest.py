@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.nested import list_size, parsed, pick
 from tidemark.plans.registry import query, table
-from tidemark.sources import landing
-from tidemark.sources import files
+from tidemark.sources import files, landing
 from tidemark.sources import tables as B
 
 

@@ -6,14 +6,16 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.vector import hashed_embedding
 from tidemark.operators import models as M
+from tidemark.operators.density import density_clusters
 from tidemark.operators.evaluation import temporal_split
+from tidemark.operators.manifold import embed_manifold
 from tidemark.plans.registry import query, table
 
 
 @query("cluster_density")
 def cluster_density(spark, sf):
-    rows = M.project(table(spark, sf, "embeddings").select("vec_id", "embedding", "label"), "embedding", 10)
-    return M.density_clusters(rows, "vec_id", "embedding").select("vec_id", "label", "cluster")
+    rows = embed_manifold(table(spark, sf, "embeddings").select("vec_id", "embedding", "label"), "vec_id", "embedding", 10)
+    return density_clusters(rows, "vec_id", "embedding").select("vec_id", "label", "cluster")
 
 
 @query("impute_quality")
