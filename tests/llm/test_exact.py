@@ -467,15 +467,17 @@ def planted(n, seed=5):
     """Texts with further kinds of personal data and things that look like them, and the true spans."""
     r = random.Random(seed)
     names, last = pii.GIVEN_NAMES.split(), ["Meyer", "Smith", "Laurent", "Garcia", "Okafor", "Rossi"]
+    unlisted = ["Zoltan", "Ingrid", "Thabo", "Yusra"]
+    assert not {*unlisted} & {*names}
     hexed = lambda k: "".join(r.choice("0123456789abcdef") for _ in range(k))
     true = {
         "secret": lambda: r.choice(["token", "api_key", "secret", "db_password", "auth-token"]) + r.choice([" = ", "=", ": "]) + '"' + hexed(40) + '"',
-        "name": lambda: r.choice([f"{r.choice(names)} {r.choice(last)}", f"{r.choice(['Mr', 'Dr.', 'Frau'])} {r.choice(names)} {r.choice(last)}"]),
+        "name": lambda: r.choice([f"{r.choice(names)} {r.choice(last)}", f"{r.choice(['Mr', 'Dr.', 'Frau'])} {r.choice(names)} {r.choice(last)}", f"{r.choice(['Mr', 'Dr.', 'Frau'])} {r.choice(unlisted)} {r.choice(last)}"]),
         "ssn": lambda: f"{r.choice(['ssn ', 'social '])}|{r.randrange(100, 660)}-{r.randrange(10, 99)}-{r.randrange(1000, 9999)}",
         "local_phone": lambda: f"{r.choice(['call ', 'tel ', 'phone '])}|({r.randrange(200, 999)}) {r.randrange(200, 999)}-{r.randrange(1000, 9999)}",
         "masked_email": lambda: f"{r.choice(['mail ', 'contact '])}|{hexed(5)}x (at) {hexed(4)}y (dot) {r.choice(['com', 'org', 'de'])}",
     }
-    false = [lambda: f'commit = "{hexed(40)}"', lambda: f"sha: {hexed(64)}", lambda: 'class="' + "a" * 20 + '"', lambda: f"000-00-{r.randrange(1000, 9999)}", lambda: f"no. 100 000-{r.randrange(1000, 9999)}#"]
+    false = [lambda: f'commit = "{hexed(40)}"', lambda: f"sha: {hexed(64)}", lambda: 'class="' + "a" * 20 + '"', lambda: f"000-00-{r.randrange(1000, 9999)}", lambda: f"no. 100 000-{r.randrange(1000, 9999)}#", lambda: f"done. {r.choice(['Green', 'Paper', 'Under'])} {r.choice(['Table', 'Water', 'Lines'])}"]
     filler = "the report of last week was read by all and nothing in it was new to them".split()
     rows, spans = [], set()
     for i in range(n):
@@ -503,8 +505,7 @@ def test_pii_further_kinds_precision_and_recall(spark):
     # no labeler says the same of all proposals of a kind, but where it has nothing to say
     votes = pii.occurrences(df).select("kind", F.explode(pii.votes(*map(F.col, ("kind", "m", "left", "right")))).alias("v"))
     assert votes.where("kind in ('name', 'secret')").groupBy("kind", "v").count().groupBy("kind").count().where("count >= 2").count() == 2
-    for column in ("gazetteer", "before"):
-        j = {"gazetteer": 1, "before": 2}[column]
+    for j in (1, 2, 3):  # gazetteer, words before, signs against
         own = pii.occurrences(df).select("kind", pii.votes(*map(F.col, ("kind", "m", "left", "right")))[j].alias("v")).where("kind in ('name', 'secret')").distinct().groupBy("kind").count()
         assert {x.kind: x["count"] for x in own.collect()}["name"] >= 2
 

@@ -65,7 +65,7 @@ PATTERNS = {
     "local_phone": r"(?<![0-9A-Za-z+().-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z-])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "secret": r"(?<![A-Za-z0-9_])[A-Za-z][A-Za-z_-]*+\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9_+/=-]{16,}+[\"']?",
-    "name": rf"(?<!\p{{L}})(?=\p{{Lu}})(?:(?:{_ANY_TITLE})\.?\s\p{{Lu}}\p{{Ll}}++(?:\s\p{{Lu}}\p{{Ll}}++)?|(?:{_ANY_NAME})\s\p{{Lu}}\p{{Ll}}++)",
+    "name": rf"(?<!\p{{L}})(?=\p{{Lu}})(?:(?:{_ANY_TITLE})\.?\s\p{{Lu}}\p{{Ll}}++(?:\s\p{{Lu}}\p{{Ll}}++)?|(?:{_ANY_NAME})\s\p{{Lu}}\p{{Ll}}++|\p{{Lu}}\p{{Ll}}{{2,}}+\s\p{{Lu}}\p{{Ll}}{{2,}}+)",
 }
 
 
@@ -81,7 +81,7 @@ def _guards(text: Column, digits: Column) -> dict[str, Column]:
         "local_phone": digits & text.rlike(r"[0-9]{3}[ .-][0-9]{4}"),
         "ssn": digits & text.rlike("[0-9]-[0-9]{2}-[0-9]"),
         "secret": text.rlike(r"[=:]\s{0,3}[\"']?[A-Za-z0-9_+/=-]{16}"),
-        "name": text.rlike(rf"(?<!\p{{L}})(?=\p{{Lu}})(?:{_ANY_TITLE}|{_ANY_NAME})\.?\s\p{{Lu}}"),
+        "name": text.rlike(r"\p{Lu}\p{Ll}+\.?\s\p{Lu}\p{Ll}"),
     }
 
 
@@ -167,7 +167,9 @@ def votes(kind: Column, m: Column, left: Column, right: Column) -> Column:
         .otherwise(F.lit(0))
     )
     before = vote(left.rlike(CUES) | ((kind == "name") & m.rlike(rf"^(?:{_ANY_TITLE})\.?\s")))
-    against = vote(F.lit(False), left.rlike(r"(?:[A-Za-z0-9#_/=]|\bv|\bversion |\bno\. ?)$") | right.rlike(r"^[A-Za-z0-9_/]"))
+    # two capitalised words that begin a sentence may be capitalised for that
+    begins = (kind == "name") & left.rlike(r"(?:^|[.!?:\n]\s*|^\s+)$") & ~m.rlike(rf"^(?:{_ANY_TITLE})\.?\s")
+    against = vote(F.lit(False), begins | left.rlike(r"(?:[A-Za-z0-9#_/=]|\bv|\bversion |\bno\. ?)$") | right.rlike(r"^[A-Za-z0-9_/]"))
     distinct = F.size(F.array_distinct(F.split(F.regexp_extract(m, r"[=:]\s*(.*)$", 1), "")))
     check = (
         F.when(kind == "card", vote(n.between(14, 16), F.regexp_replace(_digits(m), "^(.)\\1*$", "") == ""))
