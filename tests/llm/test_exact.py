@@ -535,6 +535,58 @@ def test_pii_learns_further_kinds(spark):
 # ---- decontamination
 
 
+def template_by_hand(text, capitals):
+    """The words' keys and what stands in slots, by the module's rules for ASCII text without marks inside numbers."""
+    before = r"(?<![A-Za-z0-9])" if capitals else r"(?<=[a-z,;] )"
+    marked = re.sub(rf"{before}([A-Z])(?=[a-z])", "~\\1", text)
+    out = []
+    for w in re.findall(r"[a-z0-9~]+", marked.lower()):
+        kind = "NAME" if w[0] == "~" else "NUMBER" if w[0].isdigit() or w in decontaminate.NUMBER_WORDS.split() else "UNIT" if w in decontaminate.UNITS.split() else None
+        out.append((kind or w, w if kind else None))
+    return out
+
+
+def found_by_hand(docs, items):
+    """Brute force over all alignments: {(doc_id, item_id)}."""
+    out = set()
+    for item_id, item in items:
+        for doc_id, doc in docs:
+            for capitals in (False, True):
+                a, b = template_by_hand(item or "", capitals), template_by_hand(doc or "", capitals)
+                telling = [i for i in range(len(a) - 4) if sum(v is None for _, v in a[i : i + 5]) >= 2]
+                met = set()
+                for shift in range(-len(a), len(b)):
+                    own = [i for i in telling if 0 <= i + shift <= len(b) - 5 and all(a[i + k][0] == b[i + shift + k][0] for k in range(5))]
+                    pairs = {(a[i + k][1], b[i + shift + k][1]) for i in own for k in (0, 4) if a[i + k][1] is not None}
+                    if len({x for x, _ in pairs}) == len(pairs):
+                        met |= {*own}
+                if telling and len(met) >= 0.8 * len(telling):
+                    out.add((doc_id, item_id))
+    return out
+
+
+def test_decontamination_is_brute_force_and_loses_no_shared_ids(spark):
+    a, b = "the small grey cat sat on the old mat in a warm room", "every morning Anna takes 3 books to the large town library and reads"
+    shared = [(1, a), (2, b)], [(1, a), (1, b)], [(None, a), (None, b)]
+    docs = [(10, "xx " + a + " yy"), (11, "so every morning Maria takes 7 books to the large town library and reads ok"), (None, "and " + a), (12, "nothing here"), (12, a), (13, a[:40]), (14, None)]
+    for items in shared:
+        d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+        got = {(x.doc_id, x.item_id) for x in decontaminate.contaminated(d, i).collect()}
+        assert got == found_by_hand(docs, items) and {x for x, _ in got} == {10, 11, 12, None}
+    r = random.Random(12)
+    words = "Anna Bob took 3 7 kg miles of red apples to the shop and paid for them in two days while it was cold".split()
+    items = [(r.randrange(6), " ".join(r.choice(words) for _ in range(r.randrange(8, 14)))) for _ in range(12)]
+    docs = []
+    for n in range(60):
+        text = r.choice(items)[1].split() if r.random() < 0.7 else [r.choice(words) for _ in range(10)]
+        text = [r.choice(["Carl", "Anna"]) if w == "Anna" and r.random() < 0.4 else r.choice("3579") if w.isdigit() and r.random() < 0.5 else r.choice(words) if r.random() < 0.04 else w for w in text]
+        docs.append((n % 40, " ".join([r.choice(words) for _ in range(r.randrange(3))] + text)))
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in decontaminate.contaminated(d, i).collect()}
+    bare = {k for k, t in items if not any(sum(v is None for _, v in template_by_hand(t, c)[j : j + 5]) >= 2 for c in (False, True) for j in range(len(t.split()) - 4))}
+    assert {x for x in got if x[1] not in bare} == {x for x in found_by_hand(docs, items) if x[1] not in bare} and len(got) > 20
+
+
 def test_decontamination(spark):
     items = [(1, "Then Alice bought 3 kg of red apples and paid 7 dollars, but Alice kept 3 kg for later use at home"), (2, "few words"), (3, None), (4, "1 2 3 4 5 6 7 8"), (5, "the small grey cat sat on the old mat in a warm room all day long")]
     docs = [

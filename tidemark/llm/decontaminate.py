@@ -16,8 +16,8 @@ found by either, and the one that has more of its windows is reported. A number
 than a window, but at least ``SHORTEST``, are one window of their own length. Documents are read for
 such items, and for those that are looked for word for word, only if there are any.
 
-Edge cases: a null or empty text, and an item of fewer than SHORTEST words, match nothing; repeated rows and equal doc_ids give one row for each (doc_id, item_id); null ids are
-ids like others; empty tables give an empty result; other columns are ignored.
+Edge cases: a null or empty text, and an item of fewer than SHORTEST words, match nothing; texts that share a doc_id, or an item_id, null ids among them, are matched each for itself, and give one
+row for each (doc_id, item_id), that of the best match; repeated rows give one; empty tables give an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -58,34 +58,39 @@ def placeholder(word: Column) -> Column:
     return F.when(first == ord(NAME_MARK), NAME).when(number, NUMBER).when(word.isin(UNITS.split()), UNIT)
 
 
-def windows(rows: DataFrame, id_col: str, text_col: str, names: tuple[str, ...], window: int = WINDOW, capitals: bool = False, plain: bool = False) -> DataFrame:
-    """(id, pos, key, first, last, literals): a row a window. key is a hash of its template; first and
+def windows(rows: DataFrame, id_col: str, text_col: str, names: tuple[str, ...], window: int = WINDOW, capitals: bool = False, plain: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, keep, pos, key, first, last, literals): a row a window. key is a hash of its template; first and
     last are hashes of what stands in the slots at its ends, null where there is none. ``plain``: no
     word is a placeholder."""
-    words = rows.select(F.col(id_col).cast("long").alias(names[0]), template_words(F.col(text_col), capitals).alias("w"))
-    hashed = words.select(names[0], "w", F.transform("w", lambda w: F.xxhash64(F.regexp_replace(w, NAME_MARK, "")) if plain else F.coalesce(placeholder(w).cast("long"), F.xxhash64(w))).alias("h"), F.size("w").alias("n")).where(F.col("n") >= window)
+    ids = (names[0], *keep)
+    words = rows.select(F.col(id_col).cast("long").alias(names[0]), *keep, template_words(F.col(text_col), capitals).alias("w"))
+    hashed = words.select(*ids, "w", F.transform("w", lambda w: F.xxhash64(F.regexp_replace(w, NAME_MARK, "")) if plain else F.coalesce(placeholder(w).cast("long"), F.xxhash64(w))).alias("h"), F.size("w").alias("n")).where(F.col("n") >= window)
     is_slot = lambda h: h.between(NUMBER, UNIT)
     slots = F.when(F.exists("h", is_slot), F.transform("w", lambda w, i: F.when(is_slot(F.get("h", i)), F.xxhash64(w))))
-    hashed = hashed.select(names[0], "h", "n", F.coalesce(slots, F.array(F.lit(None).cast("long"))).alias("v"))
+    hashed = hashed.select(*ids, "h", "n", F.coalesce(slots, F.array(F.lit(None).cast("long"))).alias("v"))
     at = lambda c, i: F.slice(c, i + 1, F.col("n"))
     zipped = F.arrays_zip(*[(at(F.col("h"), i) if i else F.col("h")).alias(f"h{i}") for i in range(window)], F.col("v").alias("first"), F.slice("v", window, F.col("n")).alias("last"))
-    out = hashed.select(names[0], F.posexplode(zipped).alias(names[1], "z"))
+    out = hashed.select(*ids, F.posexplode(zipped).alias(names[1], "z"))
     parts = [F.col(f"z.h{i}") for i in range(window)]
     literals = sum((F.when(is_slot(p), 0).otherwise(1) for p in parts[1:]), F.when(is_slot(parts[0]), 0).otherwise(1))
-    return out.where(parts[-1].isNotNull()).select(*names[:2], F.xxhash64(*parts).alias("key"), F.col("z.first").alias(names[2]), F.col("z.last").alias(names[3]), literals.alias("literals"))
+    return out.where(parts[-1].isNotNull()).select(*ids, names[1], F.xxhash64(*parts).alias("key"), F.col("z.first").alias(names[2]), F.col("z.last").alias(names[3]), literals.alias("literals"))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
-    """(doc_id, item_id, n_windows, n_matched) for each document that holds a benchmark item."""
-    items = items.dropDuplicates(["item_id", "text"])
+    """(doc_id, item_id, n_windows, n_matched) for each document that holds a benchmark item: of its texts and the item's the two
+    that match best."""
+    # each text is matched for itself, whatever ids it shares
+    items = items.select("item_id", "text").dropDuplicates(["item_id", "text"])
+    items = items.withColumn("item", F.xxhash64(F.col("item_id").isNull(), "item_id", F.col("text").isNull(), "text"))
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("own"))
     forms = [{"capitals": False}, {"capitals": True}]
     found = reduce(DataFrame.unionByName, [_found(docs, items, window, share, **f) for f in forms])
     n = F.size(template_words(F.col("text")))
     short = [r.n for r in items.select(n.alias("n")).where((F.col("n") >= SHORTEST) & (F.col("n") < window)).distinct().collect()]  # window - SHORTEST at most
     for size in sorted(short):
         found = reduce(DataFrame.unionByName, [_found(docs, items.where(n == size), size, share, **f) for f in forms], found)
-    telling = reduce(DataFrame.unionByName, [_item_windows(items, window, **f).select("item_id") for f in forms]).distinct()
-    bare = checkpoint(items.where(n >= window).join(telling.withColumnRenamed("item_id", "t"), F.col("item_id").cast("long").eqNullSafe(F.col("t")), "left_anti"))
+    telling = reduce(DataFrame.unionByName, [_item_windows(items, window, **f).select("item") for f in forms]).distinct()
+    bare = checkpoint(items.where(n >= window).join(telling, "item", "left_anti"))
     if not bare.isEmpty():
         found = found.unionByName(_found(docs, bare, window, share, plain=True))
     # equal shares: the one of more windows
@@ -95,24 +100,24 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, share:
 
 def _item_windows(items: DataFrame, window: int, **form) -> DataFrame:
     """The items' telling windows."""
-    own = windows(items, "item_id", "text", ("item_id", "ipos", "ifirst", "ilast"), window, **form)
+    own = windows(items, "item", "text", ("item", "ipos", "ifirst", "ilast"), window, keep=("item_id",), **form)
     return own.where(F.col("literals") >= LITERALS).drop("literals")
 
 
 def _found(docs: DataFrame, items: DataFrame, window: int, share: float, **form) -> DataFrame:
-    """``contaminated`` by one form of windows: one of the two templates, or plain."""
+    """``contaminated`` by one form of windows, one of the two templates, or plain; a row for each text of a document and of an item."""
     own = checkpoint(_item_windows(items, window, **form))
-    whole = own.groupBy("item_id").agg(F.count_distinct("ipos").alias("n_windows"))
-    side = small(own, BROADCAST_WINDOWS)
-    rows = windows(docs, "doc_id", "text", ("doc_id", "pos", "dfirst", "dlast"), window, **form).drop("literals")
+    whole = own.groupBy("item").agg(F.count_distinct("ipos").alias("n_windows"), F.first("item_id").cast("long").alias("item_id"))
+    side = small(own.drop("item_id"), BROADCAST_WINDOWS)
+    rows = windows(docs, "doc_id", "text", ("doc_id", "pos", "dfirst", "dlast"), window, keep=("own",), **form).drop("literals")
     found = rows.join(side, "key")
     pair = lambda i, d: F.collect_set(F.when(F.col(i).isNotNull(), F.struct(F.col(i).alias("i"), F.col(d).alias("d"))))
     # along one alignment a window of the item is met once at most, so these sets are no longer than an item
-    aligned = found.groupBy("doc_id", "item_id", (F.col("pos") - F.col("ipos")).alias("shift")).agg(F.collect_set("ipos").alias("met"), F.array_union(pair("ifirst", "dfirst"), pair("ilast", "dlast")).alias("slots"))
+    aligned = found.groupBy("doc_id", "own", "item", (F.col("pos") - F.col("ipos")).alias("shift")).agg(F.collect_set("ipos").alias("met"), F.array_union(pair("ifirst", "dfirst"), pair("ilast", "dlast")).alias("slots"))
     consistent = F.size(F.array_distinct(F.transform("slots", lambda s: s["i"]))) == F.size("slots")
-    met = aligned.where(consistent).select("doc_id", "item_id", F.explode("met").alias("ipos")).distinct()
-    counts = met.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_matched"))
-    return counts.join(whole, counts["item_id"].eqNullSafe(whole["item_id"])).where(F.col("n_matched") >= share * F.col("n_windows")).select("doc_id", counts["item_id"], "n_windows", "n_matched")
+    met = aligned.where(consistent).select("doc_id", "own", "item", F.explode("met").alias("ipos")).distinct()
+    counts = met.groupBy("doc_id", "own", "item").agg(F.count("*").alias("n_matched"))
+    return counts.join(whole, "item").where(F.col("n_matched") >= share * F.col("n_windows")).select("doc_id", "item_id", "n_windows", "n_matched")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
