@@ -3,7 +3,7 @@
 Two texts are near copies if the sets of their ``WORDS``-word shingles have a Jaccard similarity of at
 least ``SIMILAR``. A set of n shingles then shares at least SIMILAR * n of them with the other, so in any
 common order of shingles the first n - ceil(SIMILAR * n) + 1 of both have one in common: texts are joined
-on these. No pair is missed. The order is by hash with frequent shingles last; which are frequent is read
+on these, where they stand early enough in both for the rest to be as much as a similar pair has in common. No pair is missed. The order is by hash with frequent shingles last; which are frequent is read
 off a sample, which bears on cost only.
 
 Candidates come in two rounds, so that large groups of near copies don't cost all their pairs: first the
@@ -157,28 +157,38 @@ def _batches(found, names: list[str], most: int = 100_000):
 
 
 def _shared(batches):
-    """Rows (h, t, n) of first shingles that several sets have, with the group's middle set as c, cn."""
+    """Rows (h, t, n, i) of first shingles that several sets have, with the group's middle set as c, cn."""
 
     def run():
-        for h, (t, n) in _groups(batches):
+        for h, (t, n, i) in _groups(batches):
             mid = np.argsort(n, kind="stable")[len(n) // 2]
-            yield np.stack([np.full(len(t), h), t, n, np.full(len(t), t[mid]), np.full(len(t), n[mid])])
+            yield np.stack([np.full(len(t), h), t, n, i, np.full(len(t), t[mid]), np.full(len(t), n[mid])])
 
-    yield from _batches(run(), ["h", "t", "n", "c", "cn"])
+    yield from _batches(run(), ["h", "t", "n", "i", "c", "cn"])
 
 
 def _pairs(batches):
-    """Pairs (u, v) of rows (h, t, n, root) of one h, of different roots and sizes that may be similar."""
+    """Pairs (u, v) of rows (h, t, n, i, root) of one h, of different roots, sizes and places that may be similar.
+
+    ``i`` is the place of h in the set's order. Of a similar pair's first common shingle that is early: what both have in common
+    comes at it or later in both, and is at least SIMILAR / (1 + SIMILAR) of their sizes together. So sets in which a
+    frequent shingle stands late make no pairs by it.
+    """
+    share = SIMILAR / (1 + SIMILAR) - 1e-9
 
     def run():
-        for _, (t, n, root) in _groups(batches):
+        for _, (t, n, i, root) in _groups(batches):
             order = np.argsort(n, kind="stable")
-            t, n, root = t[order], n[order], root[order]
-            upto = np.searchsorted(n, np.floor(n / SIMILAR + 1e-9), "right")
-            for i in range(len(t)):
-                j = np.flatnonzero(root[i + 1 : upto[i]] != root[i]) + i + 1
+            t, n, i, root = t[order], n[order], i[order], root[order]
+            after = n - i
+            upto = np.searchsorted(n, np.minimum(np.floor(n / SIMILAR + 1e-9), after / share - n), "right")
+            # how large the other may be by what is after h in the larger one
+            most = after / share - n
+            for k in np.flatnonzero(upto > np.arange(len(t)) + 1).tolist():
+                own = slice(k + 1, upto[k])
+                j = np.flatnonzero((root[own] != root[k]) & (most[own] >= n[k])) + k + 1
                 if len(j):
-                    yield np.stack([np.minimum(t[i], t[j]), np.maximum(t[i], t[j])])
+                    yield np.stack([np.minimum(t[k], t[j]), np.maximum(t[k], t[j])])
 
     yield from _batches(run(), ["u", "v"])
 
@@ -221,15 +231,15 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # copies count once from here
     counted = checkpoint(rows.groupBy("t").agg(F.min("k").alias("k"), F.count("*").alias("copies")))
     sets = checkpoint(rows.drop("doc_id").join(counted.select("t", "k"), ["t", "k"], "left_semi").dropDuplicates(["t"]))
-    firsts = sets.select(F.explode("p").alias("h"), "t", "n")
+    firsts = sets.select(F.posexplode("p").alias("i", "h"), "t", "n").select("h", "t", "n", "i")
     sort = lambda df: df.repartition("h").sortWithinPartitions("h")
-    shared = checkpoint(map_arrow(sort(firsts), _shared, "h long, t long, n long, c long, cn long"))
+    shared = checkpoint(map_arrow(sort(firsts), _shared, "h long, t long, n long, i long, c long, cn long"))
     close = F.greatest("n", "cn") * F.lit(SIMILAR - 1e-12) <= F.least("n", "cn")
     star = shared.where(close & (F.col("t") != F.col("c"))).select(F.col("t").alias("u"), F.col("c").alias("v"))
     both = star.unionByName(_by_fingerprint(sets)).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     first = similar(both, sets, texts)
     roots = components(first)
-    known = shared.join(roots.withColumnRenamed("node", "t"), "t", "left").select("h", "t", "n", F.coalesce("root", "t").alias("root"))
+    known = shared.join(roots.withColumnRenamed("node", "t"), "t", "left").select("h", "t", "n", "i", F.coalesce("root", "t").alias("root"))
     rest = map_arrow(sort(known), _pairs, "u long, v long")
     found = first.unionByName(similar(rest, sets, texts))
     final = components(found).withColumnRenamed("node", "t")
