@@ -147,6 +147,45 @@ def test_series(spark):
         assert series.monthly_trend(rows, "ts", ["g"]).first().trend == want
 
 
+def test_bends_are_few_and_found():
+    import numpy as np
+
+    t = np.arange(200.0)
+    x, at = np.stack([np.ones(200), t / 200], 1), np.linspace(0, 170, 21)[1:]
+    y = 5 + 0.05 * t + 0.4 * np.maximum(t - at[9], 0) + np.random.default_rng(0).normal(0, 0.3, 200)
+    hinges = np.maximum(t[:, None] - at, 0) / 200
+    beta, bends = series.fit_bends(x, hinges, y, sparse=0.05)
+    assert np.abs(bends).argmax() in (8, 9, 10) and (np.abs(bends) > 1e-9).sum() <= 8 and np.abs(x @ beta + hinges @ bends - y).mean() < 0.6
+    # no bend is worth it where the penalty is that of all being 0
+    assert not series.fit_bends(x, hinges, y, sparse=1.0)[1].any()
+
+
+def test_forecast_follows_bends_and_covers(spark):
+    import numpy as np
+
+    r, rows, truth = np.random.default_rng(5), [], {}
+    for g in range(12):
+        days = [dt.date(2024, 1, 1) + dt.timedelta(i) for i in range(228)]
+        level = [60 + 0.1 * i + (0.5 if g % 2 else -0.2) * max(i - 120, 0) + 8 * (d.weekday() < 5) for i, d in enumerate(days)]
+        values = [max(0.0, v + r.normal(0, 4)) for v in level]
+        rows += [(f"g{g}", d, v) for d, v in zip(days[:200], values)]
+        truth |= {(f"g{g}", d): v for d, v in zip(days[200:], values[200:])}
+    got = series.seasonal_forecast(spark.createDataFrame(rows, "k string, ds date, y double"), "k").collect()
+    assert {(x.group, x.ds) for x in got} == {*truth}
+    inside = np.mean([x.yhat_lower <= truth[x.group, x.ds] <= x.yhat_upper for x in got])
+    assert 0.65 <= inside <= 0.97 and all(x.yhat_lower <= x.yhat_upper for x in got)
+    assert np.mean([abs(x.yhat - truth[x.group, x.ds]) / truth[x.group, x.ds] for x in got]) < 0.1
+
+
+def test_series_of_all_and_the_largest(spark):
+    rows = [("a", 1)] * 3 + [("b", 1), ("b", 4), ("c", 2), ("c", 2), ("d", 9), (None, 3)]
+    df = spark.createDataFrame([(g, dt.datetime(2024, 1, d)) for g, d in rows] + [("a", None)], "team string, t timestamp")
+    got = {(x.group, x.ds.day): x.y for x in series.daily_with_all(df, "t", "team", 3).collect()}
+    assert got == {**{("ALL", d): {1: 4, 2: 2, 3: 1, 4: 1, 9: 1}.get(d, 0) for d in range(1, 10)}, ("a", 1): 3, ("b", 1): 1, ("b", 2): 0, ("b", 3): 0, ("b", 4): 1, ("c", 2): 2}
+    assert {x.group for x in series.forecast_teams(df, "t", "team", 5).collect()} == {"ALL", "a", "b", "c"}
+    assert series.forecast_teams(df.where("false"), "t", "team").count() == 0
+
+
 def test_evaluation(spark):
     rows = spark.createDataFrame([(i, dt.datetime(2024, 1, i) if i < 10 else None) for i in range(1, 11)], "k int, ts timestamp_ntz")
     split = evaluation.temporal_split(rows, "ts", "k")
@@ -545,10 +584,26 @@ def test_command_lines(spark, server, tmp_path, monkeypatch):
     assert privacy.stored_salt(spark, f"{data}/processed/anon_map") == salt and privacy.load_map(spark, f"{data}/processed/anon_map").count() == kept == 25
     assert run("train") == 0 and run("predict") == 0 and run("explore") == 0
     assert "Most frequent values" in (tmp_path / "reports/requests.md").read_text()
+    assert run("cluster", "--module", "nothing") == 1 and run("forecast") == 0  # these rows have no times: an empty forecast
     with pytest.raises(SystemExit):
         run("nothing")
 
 
+def test_cluster_and_forecast_jobs(spark, tmp_path):
+    texts = ["vpn does not connect from home office network", "printer paper jam in tray two of floor three", "password reset for locked account please"]
+    rows = [(str(i), f"{texts[i % 3]} {'abcdefgh'[i % 8]}", None, f"team {i % 3}", dt.datetime(2024, 1, 1) + dt.timedelta(hours=23 * i)) for i in range(150)]
+    df = spark.createDataFrame(rows, "id string, subject string, description string, `group` string, created_time timestamp")
+    processed, reports = str(tmp_path / "processed"), tmp_path / "reports"
+    files.write_processed(df, processed, "requests")
+    found = jobs.cluster(spark, processed, str(reports), min_size=15)
+    best = {k: found.where(F.col("group") == f"team {k}").groupBy("cluster").count().orderBy(F.desc("count")).first() for k in range(3)}
+    assert len({b.cluster for b in best.values()}) == 3 and all(b["count"] >= 45 and b.cluster >= 0 for b in best.values())
+    assert "Largest clusters" in (reports / "requests_clusters.md").read_text() and "connect" in (reports / "requests_clusters.md").read_text()
+    made = jobs.forecast(spark, processed, str(reports))
+    assert made.groupBy("group").count().count() == 4 and made.count() == 4 * 28
+    assert "Model against naive" in (reports / "requests_forecast.md").read_text()
+
+
 def test_processed_tables_fall_back(spark, tmp_path, monkeypatch):
     df = spark.createDataFrame([(1, 'a "q", b\nc', None), (2, "é", 1.5)], "id int, t string, x double")
     assert files.read_processed(spark, str(tmp_path), "t") is None

@@ -1,4 +1,4 @@
-"""Command lines: ``python -m tidemark.cli extract|preprocess|train|predict|explore|refresh``."""
+"""Command lines: ``python -m tidemark.cli extract|preprocess|train|predict|explore|cluster|forecast|refresh``."""
 
 from __future__ import annotations
 
@@ -24,8 +24,8 @@ def parser() -> argparse.ArgumentParser:
     f.add_argument("--sample", action="append", default=[], help="path:module, instead of what has landed")
     for name, text in (("train", "models for missing labels"), ("predict", "enriched tables")):
         sub.add_parser(name, help=text).add_argument("--modules", nargs="*")
-    x = sub.add_parser("explore", help="a Markdown report of a module")
-    x.add_argument("--module", default="requests")
+    for name, text in (("explore", "a Markdown report of a module"), ("cluster", "recurring issues: labels and a report"), ("forecast", "forecasts of all and the largest groups, and a report")):
+        sub.add_parser(name, help=text).add_argument("--module", default="requests")
     sub.add_parser("refresh", help="extract, preprocess and predict, one run at a time").add_argument("--settings")
     for command in sub.choices.values():
         command.add_argument("--csv", action="store_true", help="write CSV files too")
@@ -65,6 +65,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print("enriched:", ", ".join(jobs.predict(spark, processed, models, a.modules, a.csv)))
     elif a.command == "explore":
         jobs.explore(spark, processed, f"{a.data}/reports", a.module)
+    elif a.command in ("cluster", "forecast"):
+        if getattr(jobs, a.command)(spark, processed, f"{a.data}/reports", a.module) is None:
+            print(f"no table {a.module} with what {a.command} needs", file=sys.stderr)
+            return 1
     else:
         steps = [("extract", extract), ("preprocess", lambda: jobs.preprocess(spark, raw, processed, as_csv=a.csv)), ("predict", lambda: jobs.predict(spark, processed, models, as_csv=a.csv))]
         jobs.refresh(steps, Store(spark, a.data))

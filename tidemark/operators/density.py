@@ -185,8 +185,8 @@ def density_clusters(df: DataFrame, key: str, vector: str, min_size: int = 20, m
     parts = checkpoint(parts.where("part >= 0"))
     ranks = numbered(parts.groupBy("component", "part").agg(F.sum("n").alias("n"), F.min("id").alias("least")), F.desc("n"), "least")
     named = parts.join(small(ranks.select("component", "part", "number")), ["component", "part"]).select("id", F.col("number").cast("int").alias("cluster"))
-    of_vector = points.join(named, "id").select(F.xxhash64("v").alias("__h"), F.col("v").alias("__v"), "cluster")
-    rows = df.withColumn("__own", F.transform(vector, lambda x: x.cast("double"))).withColumn("__h", F.xxhash64("__own"))
+    of_vector = points.join(named, "id").select(F.xxhash64("v").alias("__point_hash"), F.col("v").alias("__point"), "cluster")
+    rows = df.withColumn("__point_own", F.transform(vector, lambda x: x.cast("double"))).withColumn("__point_hash", F.xxhash64("__point_own"))
     # the rows of a frequent vector are split by the adaptive join
-    joined = rows.join(of_vector, (rows["__h"] == of_vector["__h"]) & (F.col("__own") == F.col("__v")), "left")
+    joined = rows.join(of_vector, (rows["__point_hash"] == of_vector["__point_hash"]) & (F.col("__point_own") == F.col("__point")), "left")
     return joined.select(*[rows[c] for c in df.columns], F.coalesce("cluster", F.lit(-1)).alias("cluster"))

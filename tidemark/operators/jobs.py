@@ -15,10 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.privacy import anonymize, map_of, new_salt, save_map, stored_salt
-from tidemark.operators.analytics import histogram, null_shares, recommend, time_range, value_counts_all
+from tidemark.functions.text import strip_signature, subject_and_body, tokens
+from tidemark.functions.vector import hashed_embedding
+from tidemark.operators.analytics import cluster_labels, cluster_summary, histogram, noise_share, null_shares, recommend, time_range, value_counts_all
+from tidemark.operators.density import density_clusters
 from tidemark.operators.evaluation import class_report, macro_f1, stratified_split
+from tidemark.operators.manifold import embed_manifold
 from tidemark.operators.models import TARGETS, enrich_module, impute, save_imputer, save_metrics, train_imputer
-from tidemark.operators.series import volume
+from tidemark.operators.series import HORIZON, daily_with_all, evaluate_seasonal, monthly_trend, overall, seasonal_forecast, volume, weekday_means
+from tidemark.runtime import checkpoint
 from tidemark.sources.files import modules_in, page_records, read_pages, read_processed, sample, write_processed
 from tidemark.sources.landing import land_details, land_module, landed_details
 from tidemark.sources.rest import MODULES, Settings
@@ -257,3 +262,46 @@ def explore(spark: SparkSession, processed: str, folder: str, module: str = "req
     if {"group", "is_overdue"} <= set(df.columns):
         parts.append(("What can be learnt", "", recommend(df, "group", F.col("is_overdue"))))
     report(spark, folder, f"{module}.md", module, parts)
+
+
+def cluster(spark: SparkSession, processed: str, folder: str, module: str = "requests", top: int = 10, **how) -> DataFrame | None:
+    """Density clusters of a module's texts: ``{module}_clusters`` beside its table, and the report of recurring issues.
+
+    The anonymous table serves if there is one. ``how`` goes to ``density_clusters``.
+    """
+    df = next((t for n in (f"{module}_anon", module) if (t := read_processed(spark, processed, n, enriched=False)) is not None), None)
+    if df is None:
+        return None
+    column = lambda c: F.col(c) if c in df.columns else F.lit(None).cast("string")
+    rows = df.withColumn("text", strip_signature(subject_and_body(column("subject"), column("description"))))
+    vectors = embed_manifold(rows.withColumn("__embedding", hashed_embedding(F.col("text"))), "id", "__embedding")
+    write_processed(density_clusters(vectors, "id", "__embedding", **how).drop("__embedding"), processed, f"{module}_clusters")
+    found = read_processed(spark, processed, f"{module}_clusters", enriched=False)
+    modes = [c for c in ("group", "priority", "site") if c in df.columns]
+    largest = cluster_summary(found, "cluster", modes, top)
+    named = largest.join(cluster_labels(found, "cluster", tokens(F.col("text"))), "cluster").orderBy(F.desc("n"), "cluster")
+    parts = [("Rows, noise and clusters", "", noise_share(found, "cluster")), ("Largest clusters", "", named)]
+    time = next((c for c in ("created_time", "reported_time") if c in df.columns), None)
+    if time:
+        trend = monthly_trend(found.join(F.broadcast(largest.select("cluster")), "cluster"), time, ["cluster"])
+        parts.append(("Trends", "The last three months against those before.", trend.orderBy("cluster")))
+    report(spark, folder, f"{module}_clusters.md", f"Recurring issues: {module}", parts)
+    return found
+
+
+def forecast(spark: SparkSession, processed: str, folder: str, module: str = "requests", group: str = "group", horizon: int = HORIZON) -> DataFrame | None:
+    """Forecasts of all rows and of the three largest groups: ``{module}_forecast`` beside its table, and the report of how the model does
+    against the naive forecast on the last days."""
+    df = read_processed(spark, processed, module, enriched=False)
+    time = next((c for c in ("created_time", "reported_time") if df is not None and c in df.columns), None)
+    if time is None or group not in df.columns:
+        return None
+    daily = checkpoint(daily_with_all(df, time, group))
+    write_processed(seasonal_forecast(daily, "group", horizon), processed, f"{module}_forecast")
+    verdicts = checkpoint(evaluate_seasonal(daily, "group", horizon))
+    made = read_processed(spark, processed, f"{module}_forecast", enriched=False)
+    totals = made.groupBy("group").agg(*[F.sum(c).alias(c) for c in ("yhat", "yhat_lower", "yhat_upper")]).orderBy("group")
+    weekdays = weekday_means(daily.where("group = 'ALL'")).select("weekday", (F.col("total") / F.col("days")).alias("mean")).orderBy("weekday")
+    parts = [("Model against naive", f"The last {horizon} days held out.", verdicts.orderBy("group")), ("Recommendation", "", overall(verdicts)), (f"Next {horizon} days", "", totals), ("By weekday (Monday is 0)", "", weekdays)]
+    report(spark, folder, f"{module}_forecast.md", f"Forecast: {module}", parts)
+    return made

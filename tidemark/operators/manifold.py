@@ -110,7 +110,7 @@ def embed_manifold(df: DataFrame, key: str, vector: str, dimensions: int = 10, n
     near = checkpoint(nearest(points, neighbours, seed=seed))
     placed = checkpoint(layout(memberships(near, neighbours), project(points, "v", dimensions), dimensions, rounds, seed))
     unit = normalize(F.transform(vector, lambda x: x.cast("double")))
-    rows = df.withColumn("__unit", unit).withColumn("__h", F.xxhash64("__unit"))
-    of_vector = points.join(placed.withColumnRenamed("v", "__at"), "id").select(F.xxhash64("v").alias("__h"), F.col("v").alias("__v"), "__at")
-    joined = rows.join(of_vector, (rows["__h"] == of_vector["__h"]) & (F.col("__unit") == F.col("__v")), "left")
-    return joined.select(*[F.col("__at").alias(c) if c == vector else rows[c] for c in df.columns])
+    rows = df.withColumn("__point_own", unit).withColumn("__point_hash", F.xxhash64("__point_own"))
+    of_vector = points.join(placed.withColumnRenamed("v", "__point_at"), "id").select(F.xxhash64("v").alias("__point_hash"), F.col("v").alias("__point"), "__point_at")
+    joined = rows.join(of_vector, (rows["__point_hash"] == of_vector["__point_hash"]) & (F.col("__point_own") == F.col("__point")), "left")
+    return joined.select(*[F.col("__point_at").alias(c) if c == vector else rows[c] for c in df.columns])

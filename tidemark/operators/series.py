@@ -119,42 +119,98 @@ def holidays(spark: SparkSession) -> DataFrame:
     return each.select("holiday", F.explode(F.array(F.lit(0), F.lit(1))).alias("day"), "on").select("holiday", F.date_add("on", F.col("day")).alias("ds"), "day")
 
 
-def _design(ds: pd.Series, origin: pd.Timestamp, span: float, special: set) -> np.ndarray:
-    """Level, trend, weekdays, two yearly harmonics and holidays."""
-    t = (pd.to_datetime(ds) - origin).dt.days.to_numpy(float)
-    parts = [np.ones_like(t), t / span]
-    parts += [(pd.to_datetime(ds).dt.weekday == d).to_numpy(float) for d in range(6)]
-    if span >= 365:
+#: Places where the trend may bend, the share of a series in which they lie, and the weights of the penalties.
+BENDS, BENDING, SPARSE, RIDGE = 20, 0.85, 0.02, 0.1
+#: Courses that are simulated for the band.
+COURSES = 400
+
+
+def _season(ds: pd.Series, t: np.ndarray, days: float, special: set) -> np.ndarray:
+    """Weekdays, two yearly harmonics and holidays."""
+    parts = [(pd.to_datetime(ds).dt.weekday == d).to_numpy(float) for d in range(6)]
+    if days >= 365:
         parts += [f(2 * np.pi * k * t / 365.25) for k in (1, 2) for f in (np.sin, np.cos)]
     parts.append(pd.to_datetime(ds).dt.date.isin(special).to_numpy(float))
     return np.stack(parts, 1)
 
 
+def fit_bends(x: np.ndarray, hinges: np.ndarray, y: np.ndarray, sparse: float = SPARSE, ridge: float = RIDGE, rounds: int = 300) -> tuple[np.ndarray, np.ndarray]:
+    """(beta, bends) of y = x @ beta + hinges @ bends: ridge for beta, an absolute penalty for bends, so that few differ from 0.
+
+    Coordinate descent over the bends, whose columns are cleared of what x explains; ``sparse`` is a share of the penalty at which all would be 0.
+    """
+    solve = np.linalg.solve(x.T @ x + ridge * np.eye(x.shape[1]), x.T)
+    own, rest = hinges - x @ (solve @ hinges), y - x @ (solve @ y)
+    bends, size, left = np.zeros(hinges.shape[1]), (own**2).sum(0), rest.copy()
+    most = np.abs(own.T @ rest).max(initial=0.0)
+    for _ in range(rounds if most > 0 else 0):
+        moved = 0.0
+        for j in np.flatnonzero(size > 1e-12):
+            pull = own[:, j] @ left + size[j] * bends[j]
+            new = np.sign(pull) * max(abs(pull) - sparse * most, 0.0) / size[j]
+            if new != bends[j]:
+                left -= own[:, j] * (new - bends[j])
+                moved, bends[j] = max(moved, abs(new - bends[j])), new
+        if moved < 1e-9:
+            break
+    return solve @ (y - hinges @ bends), bends
+
+
 def seasonal_forecast(daily: DataFrame, group: str, horizon: int = HORIZON, multiplicative: bool = False, level: float = 0.8) -> DataFrame:
     """(group, ds, yhat, yhat_lower, yhat_upper) for the days after each group's last one.
 
-    Ridge regression on trend, weekday, yearly harmonics and holidays, in logarithms if
-    multiplicative; the band holds ``level`` of the residuals. A group is one daily series.
+    A trend that may bend, weekdays, yearly harmonics and holidays, in logarithms if multiplicative. The band is that of simulated
+    courses, in which the trend bends on as often and as much as it has, with residuals drawn again. A group is one daily series.
     """
     special = {r.ds for r in holidays(daily.sparkSession).collect()}  # a fixed calendar of some hundred days
     schema = "`group` string, ds date, yhat double, yhat_lower double, yhat_upper double"
 
     def fit(key, pdf):
         pdf = pdf.sort_values("ds")
-        origin, span = pd.Timestamp(pdf.ds.iloc[0]), max(1.0, float(len(pdf)))
-        x, y = _design(pdf.ds, origin, span, special), pdf.y.to_numpy(float)
+        first, n = pd.Timestamp(pdf.ds.iloc[0]), len(pdf)
+        t = (pd.to_datetime(pdf.ds) - first).dt.days.to_numpy(float)
+        span = max(1.0, t[-1])
+        y = pdf.y.to_numpy(float)
         y = np.log1p(y) if multiplicative else y
-        beta = np.linalg.solve(x.T @ x + 0.1 * np.eye(x.shape[1]), x.T @ y)
-        band = np.quantile(y - x @ beta, [(1 - level) / 2, (1 + level) / 2])
+        at = np.linspace(0, BENDING * span, min(BENDS, max(0, n // 7 - 1)) + 1)[1:]
+        hinge = lambda t: np.maximum(t[:, None] - at, 0) / span
+        design = lambda ds, t: np.concatenate([np.ones((len(t), 1)), t[:, None] / span, _season(ds, t, span + 1, special)], 1)
+        x = design(pdf.ds, t)
+        beta, bends = fit_bends(x, hinge(t), y)
+        residual = y - x @ beta - hinge(t) @ bends
         ahead = pd.Series(pd.date_range(pd.Timestamp(pdf.ds.iloc[-1]) + pd.Timedelta(days=1), periods=horizon))
-        out = _design(ahead, origin, span, special) @ beta
-        cols = [np.clip(np.expm1(v) if multiplicative else v, 0, None) for v in (out, out + band[0], out + band[1])]
+        later = t[-1] + 1 + np.arange(horizon, dtype=float)
+        out = design(ahead, later) @ beta + hinge(later) @ bends
+        r = np.random.default_rng(n)
+        # bends to come: as many a day as there were places for one, as large as those were on average
+        chance, size = len(at) / span, np.abs(bends).mean() if len(bends) else 0.0
+        bend = (r.random((COURSES, horizon)) < chance) * r.laplace(0, max(size, 1e-12), (COURSES, horizon)) / span
+        course = out + np.cumsum(np.cumsum(bend, 1), 1) + r.choice(residual, (COURSES, horizon))
+        low, high = np.quantile(course, [(1 - level) / 2, (1 + level) / 2], axis=0)
+        cols = [np.clip(np.expm1(v) if multiplicative else v, 0, None) for v in (out, low, high)]
         return pd.DataFrame({"group": key[0], "ds": ahead.dt.date, "yhat": cols[0], "yhat_lower": cols[1], "yhat_upper": cols[2]})
 
     rows = daily.select(F.col(group).cast("string").alias("group"), "ds", F.col("y").cast("double").alias("y"))
     return rows.groupBy("group").applyInPandas(fit, schema)
 
 
+def daily_with_all(df: DataFrame, time: str, group: str, top: int = 3) -> DataFrame:
+    """(group, ds, y): the daily series ``ALL`` of all rows and those of the groups with the most rows, zero-filled, from one pass by
+    grouping sets; ties go to the lesser name."""
+    rows = df.where(F.col(time).isNotNull()).select(F.col(group).cast("string").alias("g"), F.col(time).cast("date").alias("ds"))
+    most = rows.where("g is not null").groupBy("g").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "g").limit(top).select(F.col("g").alias("named"))
+    known = rows.join(F.broadcast(most), F.col("g") == F.col("named"), "left").select("named", "ds")  # ``top`` rows
+    counts = known.groupingSets([["named", "ds"], ["ds"]], "named", "ds").agg(F.count("*").alias("y"), F.grouping("named").alias("whole"))
+    days = counts.where("whole = 1 or named is not null").select(F.when(F.col("whole") == 1, "ALL").otherwise(F.col("named")).alias("group"), "ds", "y")
+    spine = days.groupBy("group").agg(F.explode(F.sequence(F.min("ds"), F.max("ds"))).alias("ds"))
+    return spine.join(days, ["group", "ds"], "left").select("group", "ds", F.coalesce("y", F.lit(0)).alias("y"))
+
+
+def forecast_teams(df: DataFrame, time: str, group: str, horizon: int = HORIZON, top: int = 3, multiplicative: bool = False) -> DataFrame:
+    """Forecasts of all rows together (``ALL``) and of the groups with the most rows, as ``seasonal_forecast`` gives them."""
+    return seasonal_forecast(daily_with_all(df, time, group, top), "group", horizon, multiplicative)
+
+
 def evaluate_seasonal(daily: DataFrame, group: str, horizon: int = HORIZON) -> DataFrame:
     """(group, naive_mape, model_mape, edge, winner) on each series' held-out days."""
     rows = daily.select(F.col(group).cast("string").alias("group"), "ds", "y")

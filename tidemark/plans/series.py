@@ -119,3 +119,20 @@ def forecast_seasonal(spark, sf):
 @query("forecast_verdict")
 def forecast_verdict(spark, sf):
     return S.evaluate_seasonal(S.daily_volume(table(spark, sf, "orders"), "o_orderdate", ["o_orderpriority"]), "o_orderpriority")
+
+
+@query(
+    "volume_all_and_teams",
+    """WITH r AS (SELECT o_orderpriority AS g, CAST(o_orderdate AS DATE) AS ds FROM orders WHERE o_orderdate IS NOT NULL),
+       t AS (SELECT g FROM r WHERE g IS NOT NULL GROUP BY g ORDER BY count(*) DESC, g LIMIT 3),
+       d AS (SELECT 'ALL' AS k, ds, count(*) AS y FROM r GROUP BY ds UNION ALL SELECT g, ds, count(*) FROM r WHERE g IN (SELECT g FROM t) GROUP BY g, ds),
+       s AS (SELECT k, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS ds FROM (SELECT k, min(ds) AS lo, max(ds) AS hi FROM d GROUP BY k))
+       SELECT s.k AS "group", s.ds AS ds, CAST(coalesce(d.y, 0) AS BIGINT) AS y FROM s LEFT JOIN d ON d.k = s.k AND d.ds = s.ds""",
+)
+def volume_all_and_teams(spark, sf):
+    return S.daily_with_all(table(spark, sf, "orders"), "o_orderdate", "o_orderpriority")
+
+
+@query("forecast_all_and_teams")
+def forecast_all_and_teams(spark, sf):
+    return S.forecast_teams(table(spark, sf, "orders"), "o_orderdate", "o_orderpriority")
