@@ -119,6 +119,14 @@ def holidays(spark: SparkSession) -> DataFrame:
     return each.select("holiday", F.explode(F.array(F.lit(0), F.lit(1))).alias("day"), "on").select("holiday", F.date_add("on", F.col("day")).alias("ds"), "day")
 
 
+def on_holidays(daily: DataFrame) -> DataFrame:
+    """(holiday, ds, day, y): the calendar with a daily series' values, 0 on days that it doesn't have."""
+    days = holidays(daily.sparkSession)
+    # the calendar is fixed: some hundred days, so the series is cut down to them where it is
+    held = daily.join(F.broadcast(days.select("ds").distinct()), "ds").select("ds", "y")
+    return days.join(held, "ds", "left").select("holiday", "ds", "day", F.coalesce("y", F.lit(0)).alias("y"))
+
+
 #: Places where the trend may bend, the share of a series in which they lie, and the weights of the penalties.
 BENDS, BENDING, SPARSE, RIDGE = 20, 0.85, 0.02, 0.1
 #: Courses that are simulated for the band.

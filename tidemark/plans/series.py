@@ -87,10 +87,14 @@ _HOLIDAYS = ", ".join(f"('{n}', DATE '{a}', DATE '{b}')" for n, a, b in [("ramad
 @query(
     "holiday_calendar",
     f"""WITH h(holiday, a, b) AS (VALUES {_HOLIDAYS}), e AS (SELECT holiday, unnest(generate_series(a, b, INTERVAL 1 DAY)) AS o FROM h)
-       SELECT holiday, CAST(o + INTERVAL 1 DAY * d AS DATE) AS ds, CAST(d AS INTEGER) AS day FROM e, range(2) r(d)""",
+       , c AS (SELECT holiday, CAST(o + INTERVAL 1 DAY * d AS DATE) AS ds, CAST(d AS INTEGER) AS day FROM e, range(2) r(d)),
+       n AS (SELECT CAST(o_orderdate + INTERVAL 25 YEAR AS DATE) AS ds, count(*) AS y FROM orders GROUP BY 1)
+       SELECT holiday, c.ds AS ds, day, CAST(coalesce(y, 0) AS BIGINT) AS y FROM c LEFT JOIN n ON n.ds = c.ds""",
 )
 def holiday_calendar(spark, sf):
-    return S.holidays(spark)
+    """How much there was on each holiday and the day after it, of the orders 25 years on."""
+    later = table(spark, sf, "orders").select(F.add_months(F.col("o_orderdate").cast("date"), 25 * 12).alias("at"))
+    return S.on_holidays(S.daily_volume(later, "at"))
 
 
 @query("time_features", "SELECT event_id, CAST(hour(ts) AS INTEGER) AS created_hour, CAST(isodow(ts) - 1 AS INTEGER) AS created_dayofweek, CAST(month(ts) AS INTEGER) AS created_month FROM events")
