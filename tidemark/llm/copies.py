@@ -4,7 +4,8 @@ Two texts are near copies if the sets of their ``WORDS``-word shingles have a Ja
 least ``SIMILAR``. A set of n shingles then shares at least SIMILAR * n of them with the other, so in any
 common order of shingles the first n - ceil(SIMILAR * n) + 1 of both have one in common: texts are joined
 on these, where they stand early enough in both for the rest to be as much as a similar pair has in common. No pair is missed. The order is by hash with frequent shingles last; which are frequent is read
-off a sample, which bears on cost only.
+off a sample, which bears on cost only. Texts that share one frequent shingle are compared part by part, and most are told
+apart by a short sketch of their sets before a pair is written.
 
 Candidates come in two rounds, so that large groups of near copies don't cost all their pairs: first the
 links of the texts' SimHash fingerprints, found by the trie join of ``simhash``, and each text with one
@@ -31,6 +32,8 @@ from tidemark.llm.simhash import BUDGET, components, links, majority, ones_by_bi
 WORDS, SIMILAR = 5, 0.8
 #: Cells of a set's parities: a power of two, at least so many and at least twice the set's size.
 PARITIES = 512
+#: Cells of the parities that go with each first shingle, two longs, and rows of one shingle that meet in a task.
+SKETCH, GROUP_ROWS = 128, 8192
 #: One document in SAMPLE tells which shingles are frequent: those in at least FREQUENT of them, MOST_FREQUENT at most.
 SAMPLE, FREQUENT, MOST_FREQUENT = 16, 4, 200_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -96,7 +99,8 @@ def folded(x: Column, size: Column) -> Column:
 
 
 def prefixes(docs: DataFrame, id_col: str, text_col: str, frequent: np.ndarray) -> DataFrame:
-    """(k, doc_id, t, n, fp, p, x): the row's key, a hash of its shingle set, the set's size, fingerprint, first shingles and parities."""
+    """(k, doc_id, t, n, fp, p, x, y, z): the row's key, a hash of its shingle set, the set's size, fingerprint, first shingles,
+    parities, and these in SKETCH cells."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def batch(b):
@@ -114,34 +118,35 @@ def prefixes(docs: DataFrame, id_col: str, text_col: str, frequent: np.ndarray)
                 common = late[np.minimum(np.searchsorted(late, s), len(late) - 1)] == s
                 s = np.concatenate([s[~common], s[common]])
             p.append(s[: len(s) - needed(len(s)) + 1].view(np.int64))
-        return {"k": b.column(2), "doc_id": b.column(0), "t": pa.array(np.array(t, np.uint64).view(np.int64)), "n": n, "fp": pa.array(np.array(fp, np.uint64).view(np.int64)), "p": pa.array(p, pa.list_(pa.int64())), "x": pa.array(x, pa.list_(pa.int64()))}
+        brief = np.array([np.bitwise_xor.reduce(c.reshape(-1, SKETCH // 64)) for c in x], np.int64).reshape(-1, SKETCH // 64)
+        return {"k": b.column(2), "doc_id": b.column(0), "t": pa.array(np.array(t, np.uint64).view(np.int64)), "n": n, "fp": pa.array(np.array(fp, np.uint64).view(np.int64)), "p": pa.array(p, pa.list_(pa.int64())), "x": pa.array(x, pa.list_(pa.int64())), "y": brief[:, 0], "z": brief[:, 1]}
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("k"))
-    return map_rows(rows, batch, "k long, doc_id long, t long, n int, fp long, p array<long>, x array<long>")
+    return map_rows(rows, batch, "k long, doc_id long, t long, n int, fp long, p array<long>, x array<long>, y long, z long")
 
 
 def _groups(batches):
-    """Groups of rows of one key, the first column, as arrays of columns; the rows come sorted by it."""
-    held = None
+    """Arrays of the columns but the first of each group of two or more rows that agree in the first; the rows come sorted by it."""
+    held = []
     for b in batches:
         if not b.num_rows:
             continue
         cols = np.stack([b.column(c).to_numpy().astype(np.int64) for c in range(b.num_columns)])
-        held = cols if held is None else np.concatenate([held, cols], axis=1)
-        cut = np.searchsorted(held[0], held[0, -1])
-        yield from _cut(held[:, :cut])
-        held = held[:, cut:]
-    if held is not None:
-        yield from _cut(held)
+        if held and held[0][0, 0] == cols[0, -1]:
+            held.append(cols)
+            continue
+        cut = np.searchsorted(cols[0], cols[0, -1])
+        yield from _cut(np.concatenate([*held, cols[:, :cut]], axis=1))
+        held = [cols[:, cut:]]
+    if held:
+        yield from _cut(np.concatenate(held, axis=1))
 
 
 def _cut(cols: np.ndarray):
-    starts = np.flatnonzero(np.r_[True, cols[0, 1:] != cols[0, :-1]])[: cols.shape[1]]
+    starts = np.flatnonzero(np.diff(cols[0], prepend=cols[0, :1] - 1))
     ends = np.r_[starts[1:], cols.shape[1]]
     for a, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
-        own = np.unique(cols[1:, a:e], axis=1) if e - a > 2 or cols[1, a] != cols[1, a + 1] else cols[1:, a : a + 1]
-        if own.shape[1] > 1:
-            yield cols[0, a], own
+        yield cols[1:, a:e]
 
 
 def _batches(found, names: list[str], most: int = 100_000):
@@ -156,37 +161,76 @@ def _batches(found, names: list[str], most: int = 100_000):
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(parts, axis=1)], names=names)
 
 
-def _shared(batches):
-    """Rows (h, t, n, i) of first shingles that several sets have, with the group's middle set as c, cn."""
-
-    def run():
-        for h, (t, n, i) in _groups(batches):
-            mid = np.argsort(n, kind="stable")[len(n) // 2]
-            yield np.stack([np.full(len(t), h), t, n, i, np.full(len(t), t[mid]), np.full(len(t), n[mid])])
+def _shared(group_rows: int):
+    """mapInArrow function from rows (h, t, n, i) sorted by h to those that several sets have, with the group's first set as c, cn and the row's part.
 
-    yield from _batches(run(), ["h", "t", "n", "i", "c", "cn"])
+    A part is group_rows rows of a group. Rows go on as they come; of a group only its first set and its size are held.
+    """
+    names = ["h", "t", "n", "i", "c", "cn", "part"]
+
+    def run(batches):
+        alone, known = None, None  # the last group's only row so far, or (h, c, cn, rows) of one that has more
+        for b in batches:
+            if not b.num_rows:
+                continue
+            cols = np.stack([b.column(c).to_numpy().astype(np.int64) for c in range(4)])
+            if alone is not None:
+                cols = np.concatenate([alone, cols], axis=1)
+            starts = np.flatnonzero(np.r_[True, cols[0, 1:] != cols[0, :-1]])
+            sizes = np.diff(np.r_[starts, cols.shape[1]])
+            at = np.arange(cols.shape[1]) - np.repeat(starts, sizes)
+            middle, several = np.repeat(cols[1:3, starts], sizes, axis=1), np.repeat(sizes > 1, sizes)
+            if known is not None and known[0] == cols[0, 0]:
+                own = slice(0, sizes[0])
+                middle[:, own], several[own] = np.array(known[1:3])[:, None], True
+                at[own] += known[3]
+            alone, known = (None, (cols[0, -1], *middle[:, -1], at[-1] + 1)) if several[-1] else (cols[:, -1:], None)
+            out = np.concatenate([cols, middle, at[None] // group_rows])[:, several]
+            if out.shape[1]:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=names)
+
+    return run
+
+
+def dealt(shared: DataFrame, marks: DataFrame) -> DataFrame:
+    """(g, t, n, i, root, y, z, side) of shared first shingles and of marks (t, root, y, z): the rows that are compared meet in one g.
+
+    A group of several parts meets part by part: g for each two of them, in which only rows of different ``side`` are
+    compared, and for each part itself, whose rows have side 0. So no task holds more than two parts of a group.
+    """
+    parts = small(checkpoint(shared.where("part > 0").groupBy("h").agg(F.max("part").alias("parts"))))
+    rows = shared.select("h", "t", "n", "i", "part").join(marks, "t").join(parts, "h", "left")
+    others = F.when(F.col("parts").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("parts")))
+    low, high = F.least("part", "other"), F.greatest("part", "other")
+    g = F.when(F.col("parts").isNull(), F.col("h")).otherwise(F.xxhash64("h", low, high))
+    side = F.when(low == high, 0).when(F.col("part") == low, 1).otherwise(2).cast("long")
+    return rows.withColumn("other", F.explode(others)).select(g.alias("g"), "t", "n", "i", "root", "y", "z", side.alias("side"))
 
 
 def _pairs(batches):
-    """Pairs (u, v) of rows (h, t, n, i, root) of one h, of different roots, sizes and places that may be similar.
+    """Pairs (u, v) of rows of one g, of different roots, sizes, places and sketches that may be similar.
 
-    ``i`` is the place of h in the set's order. Of a similar pair's first common shingle that is early: what both have in common
-    comes at it or later in both, and is at least SIMILAR / (1 + SIMILAR) of their sizes together. So sets in which a
-    frequent shingle stands late make no pairs by it.
+    ``i`` is the place of the shingle in the set's order. Of a similar pair's first common shingle that is early: what both have
+    in common comes at it or later in both, and is at least SIMILAR / (1 + SIMILAR) of their sizes together. So sets in which a
+    frequent shingle stands late make no pairs by it. ``y`` and ``z`` are the sets' parities in SKETCH cells, of which no more may
+    differ than members: this rules out small sets that have only a frequent passage in common before a pair is made.
     """
-    share = SIMILAR / (1 + SIMILAR) - 1e-9
+    share, apart = SIMILAR / (1 + SIMILAR) - 1e-9, (1 - SIMILAR) / (1 + SIMILAR) + 1e-9
 
     def run():
-        for _, (t, n, i, root) in _groups(batches):
+        for t, n, i, root, y, z, side in _groups(batches):
             order = np.argsort(n, kind="stable")
-            t, n, i, root = t[order], n[order], i[order], root[order]
+            t, n, i, root, y, z, side = (c[order] for c in (t, n, i, root, y, z, side))
+            y, z = y.view(np.uint64), z.view(np.uint64)
             after = n - i
             upto = np.searchsorted(n, np.minimum(np.floor(n / SIMILAR + 1e-9), after / share - n), "right")
             # how large the other may be by what is after h in the larger one
             most = after / share - n
             for k in np.flatnonzero(upto > np.arange(len(t)) + 1).tolist():
                 own = slice(k + 1, upto[k])
-                j = np.flatnonzero((root[own] != root[k]) & (most[own] >= n[k])) + k + 1
+                j = np.flatnonzero((root[own] != root[k]) & (most[own] >= n[k]) & ((side[own] != side[k]) | (side[k] == 0))) + k + 1
+                differ = np.bitwise_count(y[j] ^ y[k]).astype(np.int64) + np.bitwise_count(z[j] ^ z[k])
+                j = j[differ <= apart * (n[j] + n[k])]
                 if len(j):
                     yield np.stack([np.minimum(t[k], t[j]), np.maximum(t[k], t[j])])
 
@@ -224,7 +268,7 @@ def _by_fingerprint(sets: DataFrame) -> DataFrame:
     return equal.unionByName(near).where("u <> v")
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group_rows: int = GROUP_ROWS) -> DataFrame:
     """(k, doc_id, root) for each row: its key, its id and its component of near copies."""
     rows = checkpoint(prefixes(docs, id_col, text_col, _frequent(docs, id_col, text_col)))
     texts = docs.select(row_key(id_col, text_col).alias("k"), F.col(text_col).alias("text"))
@@ -232,15 +276,15 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     counted = checkpoint(rows.groupBy("t").agg(F.min("k").alias("k"), F.count("*").alias("copies")))
     sets = checkpoint(rows.drop("doc_id").join(counted.select("t", "k"), ["t", "k"], "left_semi").dropDuplicates(["t"]))
     firsts = sets.select(F.posexplode("p").alias("i", "h"), "t", "n").select("h", "t", "n", "i")
-    sort = lambda df: df.repartition("h").sortWithinPartitions("h")
-    shared = checkpoint(map_arrow(sort(firsts), _shared, "h long, t long, n long, i long, c long, cn long"))
+    sort = lambda df, *keys: df.repartition(keys[0]).sortWithinPartitions(*keys)
+    shared = checkpoint(map_arrow(sort(firsts, "h", "t"), _shared(group_rows), "h long, t long, n long, i long, c long, cn long, part long"))
     close = F.greatest("n", "cn") * F.lit(SIMILAR - 1e-12) <= F.least("n", "cn")
     star = shared.where(close & (F.col("t") != F.col("c"))).select(F.col("t").alias("u"), F.col("c").alias("v"))
     both = star.unionByName(_by_fingerprint(sets)).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     first = similar(both, sets, texts)
     roots = components(first)
-    known = shared.join(roots.withColumnRenamed("node", "t"), "t", "left").select("h", "t", "n", "i", F.coalesce("root", "t").alias("root"))
-    rest = map_arrow(sort(known), _pairs, "u long, v long")
+    marks = sets.select("t", "y", "z").join(roots.withColumnRenamed("node", "t"), "t", "left").select("t", F.coalesce("root", "t").alias("root"), "y", "z")
+    rest = map_arrow(sort(dealt(shared, marks), "g"), _pairs, "u long, v long")
     found = first.unionByName(similar(rest, sets, texts))
     final = components(found).withColumnRenamed("node", "t")
     named = checkpoint(counted.join(final, "t", "left").select("t", "copies", F.coalesce("root", "t").alias("root")))
