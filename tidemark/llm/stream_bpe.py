@@ -1,12 +1,16 @@
 """BPE as a streaming transducer with bounded lookahead, and decoding as a state machine.
 
-What follows a position can move token boundaries before it only so far: a merge (u, v) whose v starts
-at the first difference moves that difference left by u, and the next merge to move it must have u on
-the left spine of its own v and come later in the list. The longest such chain over the merge list is
-its sufficient lookahead (``MergeList.lookahead``). Tokens that end that far before the end of what
-has been read are stable: ``Transducer`` emits them and forgets their symbols, so its memory does not
-grow with the word or the text. ``TextDecoder`` turns ids into text piece by piece, holding at most an
-unfinished UTF-8 character.
+Two tokens may stand side by side if the merges make just these two of their symbols, and a sequence is what the merges
+make of it if all its neighbours may. So what stands before a place has one last token, found from those of earlier places;
+and only at *open* places, from which what has been read since is the beginning of a token, can the token that covers the
+next symbol begin. Tokens on the way to all open places are stable whatever follows: ``Transducer`` emits them and
+forgets their symbols, often in the middle of a word.
+
+How much it holds is bounded by the merge list's sufficient lookahead (``MergeList.lookahead``): a merge (u, v) whose v
+starts at the first difference moves that difference left by u, and the next merge to move it must have u on the left spine of
+its own v and come later in the list; the longest such chain is as far as what follows a place can move boundaries before it.
+So no more than that and two tokens are held (``Transducer.bound``), and memory does not grow with the word or the text.
+``TextDecoder`` turns ids into text piece by piece, holding at most an unfinished UTF-8 character.
 
 Edge cases: a null or empty text has no ids and decodes to the empty text; rows come back as often as
 they are given, null doc_ids as null; an empty table gives an empty result; other columns are ignored.
@@ -19,7 +23,6 @@ import hashlib
 import heapq
 import json
 from collections.abc import Iterable, Iterator
-from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,10 +44,13 @@ def byte_letters() -> list[str]:
 
 
 class MergeList:
-    """A merge list in priority order over symbols, with its sufficient lookahead in symbols."""
+    """A merge list in priority order over symbols, with its sufficient lookahead in symbols.
 
-    def __init__(self, merges: list[tuple[str, str]]):
-        self.rank = {}
+    Symbols are single characters, and a word's last one has ``suffix`` added.
+    """
+
+    def __init__(self, merges: list[tuple[str, str]], suffix: str = ""):
+        self.rank, self.suffix = {}, suffix
         for k, pair in enumerate(merges):
             self.rank.setdefault(tuple(pair), k)
         left: dict[str, set[str]] = {}
@@ -67,6 +73,17 @@ class MergeList:
             size[u + v] = size.get(u, 1) + size.get(v, 1)
             self.longest = max(self.longest, size[u + v])
             spines.pop(u + v, None)
+        self.tokens = {u + v for u, v in merges}
+        stems = (t.removesuffix(suffix) for t in self.tokens)
+        #: what a token may begin with before its last symbol
+        self.begun = {t[:k] for t in stems for k in range(1, len(t))}
+        self.together = Cache(self._together, 400_000)
+
+    def _together(self, pair: tuple[str, str, bool]) -> bool:
+        """Whether the merges make a and b of their symbols; a is empty at the start, b is given without the suffix at the end."""
+        a, b, ended = pair
+        end = self.suffix if ended else ""
+        return self.apply([*a, *b[:-1], b[-1] + end]) == ([a, b + end] if a else [b + end])
 
     def apply(self, symbols: list[str]) -> list[str]:
         """The tokens of a whole sequence of symbols: the pair that is first in the list is merged first, from the left."""
@@ -104,55 +121,77 @@ class MergeList:
 
 
 class Transducer:
-    """Tokens of words from their symbols as they come; ``suffix`` is added to a word's last symbol.
+    """Tokens of words from their symbols as they come.
 
-    ``push`` gives tokens once the lookahead shows that nothing to come can change them, ``finish`` ends
-    the word and gives the rest. At most ``step`` symbols more than the lookahead and a token are held.
+    ``push`` gives tokens once nothing to come can change them, ``finish`` ends the word and gives the rest.
+    ``held`` are the symbols after the last token given, at most ``bound``; the one read last waits apart, as it
+    may be the word's end.
     """
 
-    def __init__(self, merges: MergeList, suffix: str = "", step: int = 256):
-        self.merges, self.suffix = merges, suffix
-        self.window = step + merges.lookahead + merges.longest
-        self.held: list[str] = []
+    def __init__(self, merges: MergeList):
+        self.merges = merges
+        self.bound = merges.lookahead + 2 * merges.longest
+        self._start()
+
+    def _start(self) -> None:
+        self.held, self.waiting = "", ""
+        # by place in what is held: the last token before it; and the open places
+        self.last, self.open = [""], [0]
+
+    def _read(self, symbol: str, ended: bool = False) -> None:
+        held = self.held = self.held + symbol
+        tokens, begun, together, last, end = self.merges.tokens, self.merges.begun, self.merges.together, self.last, self.merges.suffix if ended else ""
+        found, still = None, []
+        for p in self.open:
+            t = held[p:]
+            if found is None and (t + end in tokens or len(t) == 1) and together[last[p], t, ended]:
+                found = t
+            if t in begun:
+                still.append(p)
+        still.append(len(held))
+        last.append(found)
+        self.open = still
+
+    def _before(self, place: int) -> list[str]:
+        out = []
+        while place:
+            out.append(self.last[place])
+            place -= len(out[-1])
+        return out[::-1]
+
+    def _stable(self) -> list[str]:
+        """The tokens on the way to all open places, which are then forgotten."""
+        if not self.open[0]:
+            return []
+        ways = set(self.open)
+        while len(ways) > 1:
+            p = max(ways)
+            ways.remove(p)
+            ways.add(p - len(self.last[p]))
+        (place,) = ways
+        out = self._before(place)
+        self.held, self.last, self.open = self.held[place:], self.last[place:], [p - place for p in self.open]
+        return out
 
     def push(self, symbols: Iterable[str]) -> Iterator[str]:
-        symbols = iter(symbols)
-        while more := list(islice(symbols, self.window + 1 - len(self.held))):
-            self.held += more
-            if len(self.held) > self.window:
+        for s in symbols:
+            if self.waiting:
+                self._read(self.waiting)
                 yield from self._stable()
+            self.waiting = s
 
-    def word(self, symbols: list[str]) -> list[str]:
+    def finish(self) -> Iterator[str]:
+        if self.waiting:
+            self._read(self.waiting, ended=True)
+            *out, final = self._before(len(self.held))
+            yield from out
+            yield final + self.merges.suffix
+        self._start()
+
+    def word(self, symbols: Iterable[str]) -> list[str]:
         """All tokens of a word that is here as a whole."""
-        if not self.held and len(symbols) <= self.window:
-            self.held = symbols
-            return list(self.finish())
         return [*self.push(symbols), *self.finish()]
 
-    def _stable(self) -> Iterator[str]:
-        known, last = self.held[:-1], self.held[-1:]  # the last symbol may yet be the word's end
-        until, at = len(known) - self.merges.lookahead, 0
-        spans = [1] * len(known)
-        tokens = self.merges.apply(list(known))
-        i = 0
-        for t in tokens:
-            # a token's symbols are those whose concatenation it is
-            n, size = 0, 0
-            while size < len(t):
-                size += len(known[i + n])
-                n += spans[i + n]
-            if at + n > until:
-                break
-            yield t
-            at += n
-            i += n
-        self.held = known[at:] + last
-
-    def finish(self) -> Iterator[str]:
-        if self.held:
-            yield from self.merges.apply([*self.held[:-1], self.held[-1] + self.suffix])
-        self.held = []
-
 
 class TextDecoder:
     """Text of ids, piece by piece. The state is an unfinished character's bytes and whether a token came."""
@@ -189,8 +228,7 @@ class WordBpe:
         spec = json.load(open(path, encoding="utf-8"))
         model = spec["model"]
         self.ids = model["vocab"]
-        self.merges = MergeList([tuple(m) for m in model["merges"]])
-        self.suffix = model["end_of_word_suffix"]
+        self.merges = MergeList([tuple(m) for m in model["merges"]], model["end_of_word_suffix"])
         self.number = {t: str(i) for t, i in self.ids.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.letters = byte_letters()
@@ -201,7 +239,7 @@ class WordBpe:
         self.break_ = regex.compile(r"[ \t\n\r]")
         self.raw = {i: t.encode() for t, i in [*self.ids.items(), *self.special.items()]}
         self.raw_text = {str(i): t for i, t in self.raw.items()}
-        self.transducer = Transducer(self.merges, self.suffix)
+        self.transducer = Transducer(self.merges)
         self.runs, self.spelled = Cache(self.spell_run, 200_000), Cache(self.spell, 60_000)
 
     def spell(self, word: str) -> str:
@@ -215,7 +253,7 @@ class WordBpe:
 
     def tokens(self, word: str) -> Iterator[str]:
         """A word's tokens as they become stable."""
-        letters, one = self.letters, Transducer(self.merges, self.suffix)
+        letters, one = self.letters, Transducer(self.merges)
         yield from one.push(letters[b] for c in word for b in c.encode("utf-8", "surrogatepass"))
         yield from one.finish()
 
