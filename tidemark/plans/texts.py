@@ -190,7 +190,7 @@ _WORDS = r"""w AS (SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[
 
 def _weights(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return R.weights(R.term_counts(docs, "doc_id", X.word_ngrams(F.col("text"))), "doc_id")
+    return R.weights(R.term_counts(docs, "doc_id", X.word_ngrams(F.col("text")), dealt=True), "doc_id")
 
 
 @query("tfidf_topk", f"WITH {_WORDS}, {_TFIDF} SELECT query_id, doc_id, CAST(rank AS INTEGER) AS rank FROM k")
