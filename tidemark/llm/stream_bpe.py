@@ -75,8 +75,10 @@ class MergeList:
             spines.pop(u + v, None)
         self.tokens = {u + v for u, v in merges}
         stems = (t.removesuffix(suffix) for t in self.tokens)
-        #: what a token may begin with before its last symbol
-        self.begun = {t[:k] for t in stems for k in range(1, len(t))}
+        #: by text: 1 if a token may begin with it before its last symbol, 2 if it is a token, 3 if both
+        self.kinds = dict.fromkeys((t[:k] for t in stems for k in range(1, len(t))), 1)
+        for t in self.tokens:
+            self.kinds[t] = self.kinds.get(t, 0) | 2
         self.together = Cache(self._together, 400_000)
 
     def _together(self, pair: tuple[str, str, bool]) -> bool:
@@ -138,38 +140,49 @@ class Transducer:
         # by place in what is held: the last token before it; and the open places
         self.last, self.open = [""], [0]
 
-    def _read(self, symbol: str, ended: bool = False) -> None:
-        held = self.held = self.held + symbol
-        tokens, begun, together, last, end = self.merges.tokens, self.merges.begun, self.merges.together, self.last, self.merges.suffix if ended else ""
-        found, still = None, []
-        for p in self.open:
-            t = held[p:]
-            if found is None and (t + end in tokens or len(t) == 1) and together[last[p], t, ended]:
+    def _place(self, text: str, upto: int, last: list[str], places: list[int], end: str = "") -> tuple[str, list[int]]:
+        """The last token of text[:upto], without the suffix ``end``, and the open places there."""
+        kinds, together, found, still = self.merges.kinds.get, self.merges.together, None, []
+        for p in places:
+            t = text[p:upto]
+            kind = kinds(t + end, 0)
+            if found is None and (kind > 1 or p == upto - 1) and together[last[p], t, end != ""]:
                 found = t
-            if t in begun:
+            if kind & 1:
                 still.append(p)
-        still.append(len(held))
-        last.append(found)
-        self.open = still
+        still.append(upto)
+        return found, still
 
-    def _before(self, place: int) -> list[str]:
+    @staticmethod
+    def _before(last: list[str], place: int, given: int = 0) -> list[str]:
+        """The tokens between two places."""
         out = []
-        while place:
-            out.append(self.last[place])
+        while place > given:
+            out.append(last[place])
             place -= len(out[-1])
         return out[::-1]
 
+    @staticmethod
+    def _common(last: list[str], places: list[int]) -> int:
+        """The furthest place on the way to all of the places."""
+        ways = set(places)
+        while len(ways) > 1:
+            p = max(ways)
+            ways.remove(p)
+            ways.add(p - len(last[p]))
+        return ways.pop()
+
+    def _read(self, symbol: str, end: str = "") -> None:
+        self.held += symbol
+        found, self.open = self._place(self.held, len(self.held), self.last, self.open, end)
+        self.last.append(found)
+
     def _stable(self) -> list[str]:
         """The tokens on the way to all open places, which are then forgotten."""
         if not self.open[0]:
             return []
-        ways = set(self.open)
-        while len(ways) > 1:
-            p = max(ways)
-            ways.remove(p)
-            ways.add(p - len(self.last[p]))
-        (place,) = ways
-        out = self._before(place)
+        place = self._common(self.last, self.open)
+        out = self._before(self.last, place)
         self.held, self.last, self.open = self.held[place:], self.last[place:], [p - place for p in self.open]
         return out
 
@@ -182,15 +195,28 @@ class Transducer:
 
     def finish(self) -> Iterator[str]:
         if self.waiting:
-            self._read(self.waiting, ended=True)
-            *out, final = self._before(len(self.held))
+            self._read(self.waiting, self.merges.suffix)
+            *out, final = self._before(self.last, len(self.held))
             yield from out
             yield final + self.merges.suffix
         self._start()
 
     def word(self, symbols: Iterable[str]) -> list[str]:
-        """All tokens of a word that is here as a whole."""
-        return [*self.push(symbols), *self.finish()]
+        """All tokens of a word that is here as a whole; one within the bound keeps its symbols to its end."""
+        text = "".join(symbols)
+        if self.waiting or not 0 < len(text) <= self.bound:
+            return [*self.push(text), *self.finish()]
+        place, last, places, out, given = self._place, [""], [0], [], 0
+        for upto in range(1, len(text)):
+            found, places = place(text, upto, last, places)
+            last.append(found)
+            if places[0] > given and (stable := self._common(last, places)) > given:
+                out += self._before(last, stable, given)
+                given = stable
+        last.append(place(text, len(text), last, places, self.merges.suffix)[0])
+        out += self._before(last, len(text), given)
+        out[-1] += self.merges.suffix
+        return out
 
 
 class TextDecoder:
