@@ -87,6 +87,12 @@ def test_html(spark):
     assert values(spark, text.clean_markup, given) == ["", "a&b", "d e", "x y", "z"]
 
 
+def test_entities_that_must_end(spark):
+    """As the SQL of clean_html: an entity that was cut off stays as it is."""
+    given = ["<p>a&&amp</p><b>b</b>", "&lt;c&gt &copy;", "&amp;lt; &#39;"]
+    assert values(spark, lambda c: text.clean_html(c, bare=False), given) == ["a&&amp b", "<c&gt ©", "&lt; '"]
+
+
 def test_privacy(spark):
     assert values(spark, lambda c: privacy.surrogate(c, "PER", "s"), ["x", " X ", None]) == ["PER_ebaa37", "PER_ebaa37", None]
     got = values(spark, lambda c: privacy.scrub_text(c, "s"), ["call +966 50 123 4567", "12345", "plain", "a@b.co and c@d.co", None])
