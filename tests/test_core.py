@@ -262,6 +262,29 @@ def test_retrieval_leaves_itself_out(spark):
     assert all(r.query_id != r.doc_id for r in got) and {(r.query_id, r.doc_id) for r in got} >= {(1, 2), (2, 1)}
 
 
+def test_search_by_products(spark, monkeypatch):
+    """In blocks and batches of any size the search gives what all pairs give, equal ones by key."""
+    words = "red blue car sky fast slow old new".split()
+    docs = spark.createDataFrame([(i, " ".join(words[(i * j + i // 7) % 8] for j in range(1, 2 + i % 5)) if i % 11 else "") for i in range(120)] + [(None, "red car")], "id long, t string")
+    grams = text.word_ngrams(F.col("t"))
+    w = retrieval.weights(retrieval.term_counts(docs, "id", grams), "id").where("id is not null")
+    pairs = w.where("id % 3 = 0").select(F.col("id").alias("query_id"), "gram", F.col("w").alias("qw")).join(w.withColumnRenamed("id", "doc_id"), "gram").where("query_id <> doc_id")
+    want = sorted(tuple(r) for r in retrieval.top_k(pairs.groupBy("query_id", "doc_id").agg(F.round(F.sum(F.col("qw") * F.col("w")), 9).alias("similarity")), 4).select("query_id", "rank", "doc_id").collect())
+    for numbers, held in ((4_000_000, 2_000_000), (40, 50)):
+        monkeypatch.setattr(retrieval, "BLOCK_NUMBERS", numbers)
+        monkeypatch.setattr(retrieval, "HELD", held)
+        v = retrieval.kept_vectors(docs, "id", grams, F.expr("id % 3 = 0"))
+        hits = retrieval.similar_vectors(v.where("id % 3 = 0"), v, "id", 4)
+        assert sorted(tuple(r) for r in hits.select("query_id", "rank", "doc_id").collect()) == want and len(want) > 100
+        rows = spark.createDataFrame([(i, [float(i % 4), float(i % 3 - 1)]) for i in range(30)] + [(3, [9.0, 9.0])], "id int, v array<float>")
+        got = retrieval.nearest(rows.where("id % 3 = 0"), rows, "id", "v", 3).collect()
+        plain = [(r.id, r.v) for r in rows.collect()]
+        for q in {i for i, _ in plain if i % 3 == 0}:
+            best = sorted((-sum(a * b for a, b in zip(x, y)), d) for i, x in plain if i == q for d, y in plain if d != q)[:3]
+            assert sorted((-r.similarity, r.doc_id) for r in got if r.query_id == q) == best
+
+
+
 def test_vectors(spark):
     rows = spark.createDataFrame([([3.0, 4.0], [1.0, 0.0])], "a array<double>, b array<double>")
     assert rows.select(vector.dot(F.col("a"), F.col("b")), vector.normalize(F.col("a")), vector.mean_of(F.col("a"), F.col("b"))).first() == (3.0, [0.6, 0.8], [2.0, 2.0])
