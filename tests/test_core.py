@@ -285,6 +285,16 @@ def test_search_by_products(spark, monkeypatch):
 
 
 
+@pytest.mark.parametrize("name", ["char_ngrams", "word_ngrams"])
+def test_grams_do_not_move(spark, name):
+    """Texts are dealt before their grams are made; nothing is shuffled after."""
+    from tidemark.plans import registry
+
+    plan = registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("Generate") < plan.index("Exchange")  # the plan is printed from its end
+
+
+
 def test_vectors(spark):
     rows = spark.createDataFrame([([3.0, 4.0], [1.0, 0.0])], "a array<double>, b array<double>")
     assert rows.select(vector.dot(F.col("a"), F.col("b")), vector.normalize(F.col("a")), vector.mean_of(F.col("a"), F.col("b"))).first() == (3.0, [0.6, 0.8], [2.0, 2.0])
