@@ -311,6 +311,21 @@ def test_imputation_marks_provenance(spark):
     assert models.train_imputer(df.limit(50), target) is None
 
 
+def test_rows_do_not_move_to_their_class(spark):
+    """The weights of classes are broadcast, also where Spark knows no sizes."""
+    rows = spark.range(1000).selectExpr("if(id % 4 = 0, 'a', 'b') as l", "id")
+    out = models.balanced(rows, "l")
+    assert {(r.l, round(r.w, 6)) for r in out.select("l", F.col("__weight").alias("w")).collect()} == {("a", 2.0), ("b", 0.666667)}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = models.balanced(rows, "l")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+
 def test_generic_flattening(spark):
     record = {"t": {"value": "1700000000123", "display_value": "x"}, "s": {"name": "A", "id": "1"}, "n": {"name": None, "id": "1"}, "o": {"id": "1"}, "l": [1, 2], "x": 5, "z": None}
     rows = spark.createDataFrame([(json.dumps(record),)], "j string").select(F.parse_json("j").alias("record"))
