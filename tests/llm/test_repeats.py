@@ -262,6 +262,25 @@ def test_removal_is_brute_force(spark, block, hot, monkeypatch):
     assert suffix.remove_repeats(df.where("false")).count() == 0
 
 
+def test_rows_from_blocks_to_buckets_grow_as_the_text():
+    rows = lambda total: max(1, total / (suffix.BLOCK * suffix.scale(total))) * suffix.bucket_count(total)
+    for small, large in ((1 << 26, 1 << 29), (1 << 29, 1 << 32)):
+        assert rows(large) <= 2 * large / small * rows(small)
+
+
+def test_large_blocks_and_buckets_are_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(suffix, "BLOCK", 1000)
+    monkeypatch.setattr(suffix, "BUCKET", 500)
+    monkeypatch.setattr(suffix, "PER_SCALE", 1000)
+    r = random.Random(8)
+    shared = ["".join(r.choice("abcd ") for _ in range(90)) for _ in range(4)]
+    rows = [(i, "".join(r.choice("abcdefgh ") for _ in range(r.randint(0, 99))) + r.choice(shared)[r.randint(0, 30) :]) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert suffix.scale(sum(len(t) for _, t in rows)) > 3
+    got = sorted((x.doc_id, bytes(x.kept)) for x in suffix.remove_repeats(df).collect())
+    assert got == sorted((i, kept) for i, kept, *_ in removed_by_hand(rows))
+
+
 def test_suffix_query_is_brute_force(spark):
     docs = [(x.doc_id, x.text) for x in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     got = {x.doc_id: x for x in suffix.query(spark, SF).collect()}

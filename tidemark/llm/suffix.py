@@ -23,6 +23,7 @@ only that text has them; long texts are whole, a block of their own; an empty ta
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from itertools import groupby
 
@@ -35,8 +36,9 @@ from tidemark.llm.common import checkpoint, map_arrow, table
 
 QUERY = "op13_suffix_dedup"
 LENGTH, SEED = 50, 24
-#: Bytes of text in a block, and on average behind the anchors of a bucket.
-BLOCK, BUCKET = 2 << 20, 1 << 20
+#: Bytes of text in a block, and on average behind the anchors of a bucket, for up to ``PER_SCALE`` bytes of text in all. A block
+#: sends a row to each bucket: with more text both grow by its root, up to MOST_SCALE times, so that the rows grow as the text does.
+BLOCK, BUCKET, PER_SCALE, MOST_SCALE = 2 << 20, 1 << 20, 64 << 20, 8.0
 #: Bytes of text for a task that works on buckets.
 TASK = 32 << 20
 #: Stretches of an anchor from which it is sent string by string, and symbols that are sorted at once.
@@ -206,8 +208,18 @@ def _table(rows: list[tuple], names: str, types: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * len(types), types)], names=names.split())
 
 
-def blocks(docs: DataFrame) -> DataFrame:
-    """Texts packed into blocks of about ``BLOCK`` bytes; a longer text stands alone."""
+def scale(total: int) -> float:
+    """How many times larger than ``BLOCK`` and ``BUCKET`` blocks and buckets are for so many bytes of text."""
+    return min(MOST_SCALE, max(1.0, math.sqrt(total / PER_SCALE)))
+
+
+def bucket_count(total: int) -> int:
+    """A power of two."""
+    return 1 << int(total // (BUCKET * scale(total))).bit_length()
+
+
+def blocks(docs: DataFrame, most: int = BLOCK) -> DataFrame:
+    """Texts packed into blocks of about ``most`` bytes; a longer text stands alone."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -226,7 +238,7 @@ def blocks(docs: DataFrame) -> DataFrame:
         for b in batches:
             for i, text in zip(b.column(0), b.column(1)):
                 text = text.as_py().encode("utf-8", "surrogatepass")
-                if texts and size + len(text) > BLOCK:
+                if texts and size + len(text) > most:
                     yield packed()
                 ids.append(i.as_py())
                 texts.append(text)
@@ -496,9 +508,9 @@ def _kept_rows(buckets: int):
 
 def remove_repeats(docs: DataFrame, hot: int = HOT, symbols: int = SYMBOLS) -> DataFrame:
     """(doc_id, n_bytes, removed, kept): each row's removed stretches of bytes and what is left of its text."""
-    own = checkpoint(blocks(docs))
-    total = own.agg(F.sum("n_bytes")).first()[0] or 0
-    buckets = 1 << max(0, int(total // BUCKET)).bit_length()
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    own = checkpoint(blocks(docs, int(BLOCK * scale(total))))
+    buckets = bucket_count(total)
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total // TASK))
     together = lambda df: df.repartition(tasks, "bucket").sortWithinPartitions("bucket")
     noted = map_arrow(own, _anchor_rows(buckets), "bucket long, block long, notes binary")
