@@ -510,6 +510,42 @@ def test_pairs_of_one_shingle_lose_no_similar_pair():
     assert want <= got and len(got) < 4 * len(want)
 
 
+def test_near_copies_of_one_group_write_fewer_links_than_rows():
+    """Sets whose pairs are as many as their square: what tasks write stays below their number and connects what all pairs do."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tidemark.llm import copies
+
+    rng, sets = np.random.default_rng(7), []
+    base = rng.integers(1, 2**63, 150).astype(np.uint64)
+    for _ in range(200):
+        own = base.copy()
+        change = rng.random(len(own)) < 0.1
+        own[change] = rng.integers(1, 2**63, change.sum()).astype(np.uint64)
+        sets.append(np.unique(np.r_[np.uint64(0), own]))
+    k, sizes = np.arange(len(sets)), np.array([len(s) for s in sets])
+
+    def parts(links):
+        root = list(range(len(sets)))
+        for u, v in links:
+            a, b = root[u], root[v]
+            root = [min(a, b) if c in (a, b) else c for c in root]
+        return root
+
+    read = lambda found: [(int(u), int(v)) for out in found for u, v in zip(*map(lambda c: c.to_numpy(), out.columns))]
+    brief = np.array([np.bitwise_xor.reduce(copies.parities(s).reshape(-1, 2)) for s in sets])
+    cols = [0 * k, k, sizes, 0 * k, k, brief[:, 0], brief[:, 1], 0 * k]
+    rows = pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=list("gtniryzs"))
+    pairs, chains = read(copies._pairs([rows])), read(copies._chains([rows]))
+    assert len(pairs) > 10 * len(sets) > 10 * len(chains) and parts(pairs) == parts(chains)
+    both = np.array([[len(np.intersect1d(a, b)) for a in sets] for b in sets])
+    similar = np.argwhere(both >= copies.SIMILAR * (sizes[:, None] + sizes - both))
+    shingled = pa.RecordBatch.from_arrays([*(pa.array(c) for c in (0 * k, k, k, 0 * k)), pa.array([s.view(np.int64) for s in sets])], names=["g", "t", "root", "side", "s"])
+    links = read(copies._linked([shingled.slice(0, 70), shingled.slice(70)]))
+    assert len(links) < len(sets) and parts(links) == parts(similar)
+
+
 # ---- personal data
 
 

@@ -11,7 +11,9 @@ Candidates come in two rounds, so that large groups of near copies don't cost al
 links of the texts' SimHash fingerprints, found by the trie join of ``simhash``, and each text with one
 text of its group; then all pairs that are not yet in one component. A pair is ruled out if the parities
 of its sets in some cells of a hash differ in more cells than the sets may differ in members; sets have
-cells in proportion to their size. What is left is compared in full.
+cells in proportion to their size. What is left is compared in full. The pairs of the second round are not
+written, as a group has their square many: a task tells only which sets hang together by them, those come to one
+task with all their shingles, each once, and it tells fewer links than it has sets.
 
 Words are cut at ASCII blanks and compared with A-Z in lower case, as by ``simhash.fingerprint``; a text of
 fewer words is one shingle; null and blank texts are copies of each other and of nothing else.
@@ -20,6 +22,8 @@ fewer words is one shingle; null and blank texts are copies of each other and of
 from __future__ import annotations
 
 import math
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +34,14 @@ from tidemark.llm.common import Cache, checkpoint, join_hot, map_arrow, map_rows
 from tidemark.llm.simhash import BUDGET, components, links, majority, ones_by_bit
 
 WORDS, SIMILAR = 5, 0.8
+#: The share of both sizes that similar sets differ in at most.
+APART = (1 - SIMILAR) / (1 + SIMILAR) + 1e-9
 #: Cells of a set's parities: a power of two, at least so many and at least twice the set's size.
 PARITIES = 512
 #: Cells of the parities that go with each first shingle, two longs, and rows of one shingle that meet in a task.
 SKETCH, GROUP_ROWS = 128, 8192
+#: Shingles of a part of sets that are compared in full, for each row of GROUP_ROWS.
+ROW_SHINGLES = 128
 #: One document in SAMPLE tells which shingles are frequent: those in at least FREQUENT of them, MOST_FREQUENT at most.
 SAMPLE, FREQUENT, MOST_FREQUENT = 16, 4, 200_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -207,36 +215,122 @@ def dealt(shared: DataFrame, marks: DataFrame) -> DataFrame:
     return rows.withColumn("other", F.explode(others)).select(g.alias("g"), "t", "n", "i", "root", "y", "z", side.alias("side"))
 
 
-def _pairs(batches):
-    """Pairs (u, v) of rows of one g, of different roots, sizes, places and sketches that may be similar.
+def _candidates(batches):
+    """(t, k, j) by rows k of one g: the places j after k of rows of other roots, sizes, places and sketches that may be similar; t are the
+    rows of g by size.
 
     ``i`` is the place of the shingle in the set's order. Of a similar pair's first common shingle that is early: what both have
     in common comes at it or later in both, and is at least SIMILAR / (1 + SIMILAR) of their sizes together. So sets in which a
     frequent shingle stands late make no pairs by it. ``y`` and ``z`` are the sets' parities in SKETCH cells, of which no more may
     differ than members: this rules out small sets that have only a frequent passage in common before a pair is made.
     """
-    share, apart = SIMILAR / (1 + SIMILAR) - 1e-9, (1 - SIMILAR) / (1 + SIMILAR) + 1e-9
+    share = SIMILAR / (1 + SIMILAR) - 1e-9
+    for t, n, i, root, y, z, side in _groups(batches):
+        order = np.argsort(n, kind="stable")
+        t, n, i, root, y, z, side = (c[order] for c in (t, n, i, root, y, z, side))
+        y, z = y.view(np.uint64), z.view(np.uint64)
+        after = n - i
+        upto = np.searchsorted(n, np.minimum(np.floor(n / SIMILAR + 1e-9), after / share - n), "right")
+        # how large the other may be by what is after h in the larger one
+        most = after / share - n
+        for k in np.flatnonzero(upto > np.arange(len(t)) + 1).tolist():
+            own = slice(k + 1, upto[k])
+            j = np.flatnonzero((root[own] != root[k]) & (most[own] >= n[k]) & ((side[own] != side[k]) | (side[k] == 0))) + k + 1
+            differ = np.bitwise_count(y[j] ^ y[k]).astype(np.int64) + np.bitwise_count(z[j] ^ z[k])
+            j = j[differ <= APART * (n[j] + n[k])]
+            if len(j):
+                yield t, k, j
+
+
+def _pairs(batches):
+    """All pairs (u, v) that may be similar, as their square many."""
+    found = (np.stack([np.minimum(t[k], t[j]), np.maximum(t[k], t[j])]) for t, k, j in _candidates(batches))
+    yield from _batches(found, ["u", "v"])
+
+
+def _chains(batches):
+    """Links (u, v), fewer than rows, by which all rows of a g hang together that pairs that may be similar connect."""
+
+    def run():
+        of = None
+        for t, k, j in _candidates(batches):
+            if t is not of:
+                of, label = t, np.arange(len(t))
+            others, first = np.unique(label[j], return_index=True)
+            first, others = first[others != label[k]], others[others != label[k]]
+            if len(others):
+                label[np.isin(label, others)] = label[k]
+                yield np.stack([np.full(len(first), t[k]), t[j[first]]])
+
+    yield from _batches(run(), ["u", "v"])
+
+
+def _linked(batches):
+    """Links (u, v), fewer than rows, between rows (g, t, root, side, s) of one g whose sets are as similar as SIMILAR: with the
+    roots' they connect all such pairs of rows, of different sides if these are not 0.
+
+    Pairs that are connected by then are not compared; the others are by size, by parities of their sets, and in full.
+    """
+
+    def rows():
+        for b in batches:
+            s = b.column(4)
+            at, values = s.offsets.to_numpy() - s.offsets.to_numpy()[0], s.flatten().to_numpy()
+            yield from zip(*(b.column(c).to_pylist() for c in range(4)), map(values.__getitem__, map(slice, at[:-1].tolist(), at[1:].tolist())))
 
     def run():
-        for t, n, i, root, y, z, side in _groups(batches):
-            order = np.argsort(n, kind="stable")
-            t, n, i, root, y, z, side = (c[order] for c in (t, n, i, root, y, z, side))
-            y, z = y.view(np.uint64), z.view(np.uint64)
-            after = n - i
-            upto = np.searchsorted(n, np.minimum(np.floor(n / SIMILAR + 1e-9), after / share - n), "right")
-            # how large the other may be by what is after h in the larger one
-            most = after / share - n
-            for k in np.flatnonzero(upto > np.arange(len(t)) + 1).tolist():
+        for _, group in groupby(rows(), key=itemgetter(0)):
+            group = sorted(group, key=lambda r: len(r[4]))
+            sets = [r[4] for r in group]
+            t, side, n = np.array([r[1] for r in group]), np.array([r[3] for r in group]), np.array([len(s) for s in sets])
+            label = np.unique([r[2] for r in group], return_inverse=True)[1]
+            odd = np.stack([np.packbits(np.bincount((s.view(np.uint64) % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES).astype(np.uint8) & 1).view(np.uint64) for s in sets])
+            upto = np.searchsorted(n, np.floor(n / SIMILAR + 1e-9), "right")
+            flat, begin = np.unique(np.concatenate(sets), return_inverse=True)[1], np.cumsum(n) - n
+            mark = np.zeros(len(flat) + 1, bool)
+            for k in range(len(group)):
                 own = slice(k + 1, upto[k])
-                j = np.flatnonzero((root[own] != root[k]) & (most[own] >= n[k]) & ((side[own] != side[k]) | (side[k] == 0))) + k + 1
-                differ = np.bitwise_count(y[j] ^ y[k]).astype(np.int64) + np.bitwise_count(z[j] ^ z[k])
-                j = j[differ <= apart * (n[j] + n[k])]
-                if len(j):
-                    yield np.stack([np.minimum(t[k], t[j]), np.maximum(t[k], t[j])])
+                j = np.flatnonzero((label[own] != label[k]) & ((side[own] != side[k]) | (side[k] == 0))) + k + 1
+                for c in range(2):  # a part of the cells tells most pairs apart
+                    cells = slice(0, 2) if c == 0 else slice(2, None)
+                    differ = np.bitwise_count(odd[j, cells] ^ odd[k, cells]).sum(1, dtype=np.int64) + (differ if c else 0)
+                    near = differ <= APART * (n[j] + n[k])
+                    j, differ = j[near], differ[near]
+                if not (len(j) and n[k]):
+                    continue
+                mine, ends = flat[begin[k] : begin[k] + n[k]], np.cumsum(n[j])
+                mark[mine] = True
+                at = np.repeat(begin[j] - ends + n[j], n[j]) + np.arange(ends[-1])
+                both = np.add.reduceat(mark[flat[at]], ends - n[j], dtype=np.int64)
+                mark[mine] = False
+                for m in j[both >= (SIMILAR - 1e-12) * (n[k] + n[j] - both)].tolist():
+                    if label[m] != label[k]:
+                        label[label == label[m]] = label[k]
+                        yield np.array([[t[k]], [t[m]]])
 
     yield from _batches(run(), ["u", "v"])
 
 
+def linked(chains: DataFrame, sets: DataFrame, marks: DataFrame, docs: DataFrame, part_shingles: int) -> DataFrame:
+    """Links (u, v) between similar sets of different roots: with the roots' they connect all such pairs that ``chains`` (u, v) connect.
+
+    Sets that chains connect meet in one task, each once; larger groups of them by parts of about ``part_shingles`` shingles, every two.
+    """
+    nodes = checkpoint(components(chains).toDF("t", "group"))
+    groups = checkpoint(nodes.unionByName(nodes.select(F.col("group").alias("t"), "group").distinct()))
+    sizes = groups.join(sets.select("t", "n"), "t").groupBy("group").agg((F.sum("n") / part_shingles).cast("long").alias("last"))
+    large = small(checkpoint(sizes.where("last > 0")))
+    own = docs.join(small(checkpoint(sets.select("t", "k").join(groups, "t", "left_semi"))), "k").select("t", "text")
+    shingled = _sets(checkpoint(own.dropDuplicates(["t"])))
+    rows = shingled.join(groups, "t").join(marks.select("t", "root"), "t").join(large, "group", "left").withColumn("last", F.coalesce("last", F.lit(0)))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("t"), F.col("last") + 1)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), "last")))
+    low, high = F.least("part", "other"), F.greatest("part", "other")
+    g = F.when(F.col("last") == 0, F.col("group")).otherwise(F.xxhash64("group", low, high))
+    side = F.when(low == high, 0).when(F.col("part") == low, 1).otherwise(2).cast("long")
+    dealt_rows = rows.select(g.alias("g"), "t", "root", side.alias("side"), "s").repartition("g").sortWithinPartitions("g")
+    return checkpoint(map_arrow(dealt_rows, _linked, "u long, v long"))
+
+
 def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (u, v) whose sizes and parities leave them possible."""
     own = small(checkpoint(pairs.select(F.explode(F.array("u", "v")).alias("t")).distinct()))
@@ -246,7 +340,7 @@ def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     size = F.least(F.size("a"), F.size("b"))
     fold = lambda c: F.when(F.size(c) > size, folded(F.col(c), size)).otherwise(F.col(c))
     differ = F.aggregate(F.zip_with(fold("a"), fold("b"), lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, c: s + c)
-    return joined.where(differ <= F.lit((1 - SIMILAR) / (1 + SIMILAR) + 1e-9) * (F.col("m") + F.col("n"))).select("u", "v")
+    return joined.where(differ <= F.lit(APART) * (F.col("m") + F.col("n"))).select("u", "v")
 
 
 def similar(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
@@ -284,8 +378,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = similar(both, sets, texts)
     roots = components(first)
     marks = sets.select("t", "y", "z").join(roots.withColumnRenamed("node", "t"), "t", "left").select("t", F.coalesce("root", "t").alias("root"), "y", "z")
-    rest = map_arrow(sort(dealt(shared, marks), "g"), _pairs, "u long, v long")
-    found = first.unionByName(similar(rest, sets, texts))
+    chains = checkpoint(map_arrow(sort(dealt(shared, marks), "g"), _chains, "u long, v long").distinct())
+    found = first.unionByName(linked(chains, sets, marks, texts, group_rows * ROW_SHINGLES))
     final = components(found).withColumnRenamed("node", "t")
     named = checkpoint(counted.join(final, "t", "left").select("t", "copies", F.coalesce("root", "t").alias("root")))
     return join_hot(rows.select("k", "doc_id", "t"), named, "t", "copies").select("k", "doc_id", "root")
