@@ -326,6 +326,32 @@ def test_tokens_come_before_ordinary_words_end(spark):
     assert early > len(words) / 10 and wrong > len(words) / 10
 
 
+def test_transducer_keeps_states_and_forgets_them(monkeypatch):
+    """Words that begin alike take the steps that are kept, and results stay the same when states are forgotten on the way."""
+    own = stream_bpe.encoder(stream_bpe.vocabulary())
+    r = random.Random(8)
+    words = ["".join(r.choice(["th", "er", "ing", "ou", "n", "é", "ß"]) for _ in range(r.randrange(1, 12))) for _ in range(3000)]
+    spelled = [[own.letters[b] for b in w.encode()] for w in words]
+    want = [own.merges.apply([*s[:-1], s[-1] + own.merges.suffix]) for s in spelled]
+    t, steps = stream_bpe.Transducer(own.merges), []
+    monkeypatch.setattr(t, "_step", lambda *a, f=t._step: (steps.append(a), f(*a))[1])
+    assert [t.word(s) for s in spelled] == want and len(steps) < sum(map(len, spelled)) / 2
+    once = len(steps)
+    assert [t.word(s) for s in spelled] == want and len(steps) == once
+    monkeypatch.setattr(stream_bpe, "STATE_SYMBOLS", 500)
+    assert [t.word(s) for s in [*spelled, ["q", *"th" * 9]]][:-1] == want and t.kept <= 500 + 64 + stream_bpe.STATE_COST
+    # pairs are told apart as by the merges, where several merges make one token, too
+    for _ in range(300):
+        tokens, merges = list("ab"), []
+        for _ in range(r.randrange(1, 8)):
+            merges.append((r.choice(tokens), r.choice(tokens)))
+            tokens.append("".join(merges[-1]))
+        m = stream_bpe.MergeList(merges)
+        for a in set(tokens):
+            for b in set(tokens):
+                assert not m.made[a, False] or m.together[a, b, False] == (m.apply([*a, *b]) == [a, b]), (merges, a, b)
+
+
 def test_every_word_goes_through_the_transducer(monkeypatch):
     passed = []
     for name in ("word", "push"):

@@ -19,10 +19,11 @@ they are given, null doc_ids as null; an empty table gives an empty result; othe
 from __future__ import annotations
 
 import codecs
+import gc
 import hashlib
 import heapq
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ QUERY = "op7_stream_bpe"
 SEGMENT = 1 << 16
 #: The longest run of text whose ids a worker keeps for when it recurs; longer ones are streamed each time.
 KEPT_LENGTH = 64
+#: Symbols, and so many more for each state, that the states a transducer keeps may hold; beyond, it begins anew.
+STATE_SYMBOLS, STATE_COST = 3_000_000, 8
 
 
 def byte_letters() -> list[str]:
@@ -79,13 +82,46 @@ class MergeList:
         self.kinds = dict.fromkeys((t[:k] for t in stems for k in range(1, len(t))), 1)
         for t in self.tokens:
             self.kinds[t] = self.kinds.get(t, 0) | 2
-        self.together = Cache(self._together, 400_000)
+        self.together, self.made = Cache(self._together, 200_000), Cache(self._made, 60_000)
+        #: by token its last merge: rank, left and right part; None if several merges make it
+        self.split: dict[str, tuple[int, str, str] | None] = {}
+        for (u, v), k in self.rank.items():
+            self.split[u + v] = None if u + v in self.split else (k, u, v)
+
+    def _made(self, part: tuple[str, bool]) -> bool:
+        """Whether the merges make the token of its symbols."""
+        t, ended = part
+        end = self.suffix if ended else ""
+        return self.apply([*t[:-1], t[-1] + end]) == [t + end]
 
     def _together(self, pair: tuple[str, str, bool]) -> bool:
-        """Whether the merges make a and b of their symbols; a is empty at the start, b is given without the suffix at the end."""
+        """Whether the merges make a and b of their symbols; a is empty at the start, b is given without the suffix at the end.
+
+        Between tokens that are made by one merge each, merges are taken back from the last one on: what then meets
+        across the place must not be a merge that comes before the one that was taken back.
+        """
         a, b, ended = pair
+        if not self.made[b, ended]:
+            return False
+        if not a:
+            return True
+        rank, split, limit = self.rank.get, self.split.get, 1 << 60
+        x, y = a, b + self.suffix if ended else b
+        none = (-1, "", "")
+        while rank((x, y), 1 << 60) >= limit:
+            left, right = split(x, none), split(y, none)
+            if left is None or right is None:
+                break
+            if left[0] > right[0]:
+                limit, x = left[0], left[2]
+            elif right[0] >= 0:
+                limit, y = right[0] + 1, right[1]
+            else:
+                return self.made[a, False]
+        else:
+            return False
         end = self.suffix if ended else ""
-        return self.apply([*a, *b[:-1], b[-1] + end]) == ([a, b + end] if a else [b + end])
+        return self.apply([*a, *b[:-1], b[-1] + end]) == [a, b + end]
 
     def apply(self, symbols: list[str]) -> list[str]:
         """The tokens of a whole sequence of symbols: the pair that is first in the list is merged first, from the left."""
@@ -122,9 +158,41 @@ class MergeList:
         return [s for s in symbols if s is not None]
 
 
+class Recent(Cache):
+    """A cache whose entries have a second life: what was used since it was last emptied comes back without being made again."""
+
+    def __init__(self, make, most: int = 200_000):
+        super().__init__(make, most)
+        self.before: dict = {}
+
+    def __missing__(self, key):
+        if len(self) >= self._most:
+            self.before = dict(self)
+            self.clear()
+        value = self.before.get(key)
+        if value is None:
+            value = self._make(key)
+        self[key] = value
+        return value
+
+
+class State:
+    """What a transducer knows after some symbols: what it holds, the last tokens before its places, the open places,
+    and the next state and the tokens given (``on``), or the last tokens (``ends``), for each next symbol met so far.
+    """
+
+    __slots__ = ("held", "last", "open", "on", "ends")
+
+    def __init__(self, held: str, last: list[str], places: list[int]):
+        self.held, self.last, self.open, self.on, self.ends = held, last, places, {}, {}
+
+
 class Transducer:
     """Tokens of words from their symbols as they come.
 
+    The token before what is held, and what is held, are all of its state, so the states and steps that ``word`` meets
+    are kept: words that begin alike, or go on alike after tokens that were given, take the same ones.
+
     ``push`` gives tokens once nothing to come can change them, ``finish`` ends the word and gives the rest.
     ``held`` are the symbols after the last token given, at most ``bound``; the one read last waits apart, as it
     may be the word's end.
@@ -133,8 +201,13 @@ class Transducer:
     def __init__(self, merges: MergeList):
         self.merges = merges
         self.bound = merges.lookahead + 2 * merges.longest
+        self._forget()
         self._start()
 
+    def _forget(self) -> None:
+        self.first = State("", [""], [0])
+        self.states, self.kept = {("", ""): self.first}, 0
+
     def _start(self) -> None:
         self.held, self.waiting = "", ""
         # by place in what is held: the last token before it; and the open places
@@ -165,12 +238,16 @@ class Transducer:
     @staticmethod
     def _common(last: list[str], places: list[int]) -> int:
         """The furthest place on the way to all of the places."""
-        ways = set(places)
-        while len(ways) > 1:
-            p = max(ways)
-            ways.remove(p)
-            ways.add(p - len(last[p]))
-        return ways.pop()
+        way = places[0]
+        for p in places[1:]:
+            while p != way:
+                if p > way:
+                    p -= len(last[p])
+                else:
+                    way -= len(last[way])
+            if not way:
+                break
+        return way
 
     def _read(self, symbol: str, end: str = "") -> None:
         self.held += symbol
@@ -206,16 +283,47 @@ class Transducer:
         text = "".join(symbols)
         if self.waiting or not 0 < len(text) <= self.bound:
             return [*self.push(text), *self.finish()]
-        place, last, places, out, given = self._place, [""], [0], [], 0
-        for upto in range(1, len(text)):
-            found, places = place(text, upto, last, places)
-            last.append(found)
-            if places[0] > given and (stable := self._common(last, places)) > given:
-                out += self._before(last, stable, given)
-                given = stable
-        last.append(place(text, len(text), last, places, self.merges.suffix)[0])
-        out += self._before(last, len(text), given)
-        out[-1] += self.merges.suffix
+        state, out = self.first, []
+        for symbol in text[:-1]:
+            step = state.on.get(symbol) or self._step(state, symbol)
+            state = step[0]
+            if step[1]:
+                out += step[1]
+        return out + (state.ends.get(text[-1]) or self._end(state, text[-1]))
+
+    def _keep(self, n: int) -> None:
+        self.kept += n + STATE_COST
+        if self.kept > STATE_SYMBOLS:
+            self._forget()
+
+    def _step(self, state: State, symbol: str) -> tuple[State, Sequence[str]]:
+        """The state after one more symbol, and the tokens that are stable by then."""
+        held, given = state.held + symbol, ()
+        found, places = self._place(held, len(held), state.last, state.open)
+        last = [*state.last, found]
+        if places[0]:
+            if place := self._common(last, places):
+                given = self._before(last, place)
+                held, last, places = held[place:], last[place:], [p - place for p in places]
+        after = self.states.get((last[0], held))
+        if after is None:
+            self._keep(len(held))
+            after = self.states[last[0], held] = State(held, last, places)
+        step = state.on[symbol] = after, given
+        return step
+
+    def _end(self, state: State, symbol: str) -> list[str]:
+        """The rest of a word's tokens if the symbol is its last one."""
+        held, last, suffix = state.held + symbol, state.last, self.merges.suffix
+        kinds, together, final = self.merges.kinds.get, self.merges.together, len(held) - 1
+        for p in state.open:  # the longest token that may end the word
+            t = held[p:]
+            if (p == final or kinds(t + suffix, 0) > 1) and together[last[p], t, suffix != ""]:
+                break
+        out = self._before(last, p)
+        out.append(t + suffix)
+        self._keep(len(out))
+        state.ends[symbol] = out
         return out
 
 
@@ -266,16 +374,18 @@ class WordBpe:
         self.raw = {i: t.encode() for t, i in [*self.ids.items(), *self.special.items()]}
         self.raw_text = {str(i): t for i, t in self.raw.items()}
         self.transducer = Transducer(self.merges)
-        self.runs, self.spelled = Cache(self.spell_run, 200_000), Cache(self.spell, 60_000)
+        self.runs, self.spelled = Recent(self.spell_run, 200_000), Recent(self.spell, 200_000)
 
     def spell(self, word: str) -> str:
         """The ids of a word, joined by blanks."""
-        letters = self.letters
-        return " ".join([self.number[t] for t in self.transducer.word([letters[b] for b in word.encode("utf-8", "surrogatepass")])])
+        symbols = word if word.isascii() and word.isprintable() else word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
+        return " ".join([self.number[t] for t in self.transducer.word(symbols)])
 
     def spell_run(self, run: str) -> str:
         """The ids of a short run without white space."""
-        return " ".join(map(self.spell, self.words.findall(run)))
+        if run.isalpha():  # one word
+            return self.spelled[run]
+        return " ".join(map(self.spelled.__getitem__, self.words.findall(run)))
 
     def tokens(self, word: str) -> Iterator[str]:
         """A word's tokens as they become stable."""
@@ -350,6 +460,7 @@ def encoder(path: str) -> WordBpe:
     """One encoder a worker process."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordBpe(path)
+        gc.freeze()  # the vocabulary and merges stay; they need not be walked through each time
     return _ENCODERS[path]
 
 
