@@ -693,6 +693,23 @@ def test_saved_models(spark, tmp_path):
     assert embedding.embedded(df, F.col("subject"), str(tmp_path / "cache")).count() == 200 and spark.read.parquet(str(tmp_path / "cache")).count() == 2
 
 
+def test_router_reads_its_rows_once(spark):
+    """Labels and texts are made once for all fits, and nothing stays cached."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(t):
+        seen.add(1)
+        return t
+
+    rows = [(i, "vpn network down" if i % 3 else "printer paper jam", ["net", "print", "net", "mail"][i % 4]) for i in range(240)]
+    df = spark.createDataFrame(rows, "id int, subject string, grp string").repartition(2).withColumn("subject", told("subject"))
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    router = models.train_router(df, "grp", F.col("subject"), features=256)
+    assert seen.value == 240 and spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    assert len(router["names"]) == len(router["machines"]) == len(router["sigmoid"]) == 3
+
+
 def test_routing_evaluation(spark):
     rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), (f"vpn network down in room {i}" if i % 2 else f"printer paper jam on floor {i}"), "net" if i % 2 else "print") for i in range(200)]
     df = spark.createDataFrame(rows, "id int, ts timestamp_ntz, subject string, grp string")

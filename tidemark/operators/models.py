@@ -5,10 +5,12 @@ Features are hashed TF-IDF of character or word n-grams, counted by MLlib on the
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, StringIndexer, VectorAssembler
@@ -25,6 +27,8 @@ from tidemark.sources.storage import Store
 
 # Labelled rows from which a model is trained, and the size under which classes are folded.
 MIN_LABELLED, MIN_CLASS, OTHER = 100, 10, "__other__"
+#: Fits of a router that run at a time.
+FITS = 4
 
 
 @dataclass(frozen=True)
@@ -102,20 +106,23 @@ def impute(df: DataFrame, target: Target, model: PipelineModel | None, grams: st
 
 def train_router(df: DataFrame, label: str, text: Column, folds: int = 3, features: int = 1 << 15) -> dict:
     """A linear support vector machine a class, with a Platt sigmoid fitted on margins of held-out folds."""
-    rows = with_features(df, text).select(F.col(label).cast("string").alias("__label_in"), "__grams", F.pmod(F.xxhash64(text), F.lit(folds)).alias("__fold"))
-    rows = balanced(rows, "__label_in")
+    # the rows' labels and texts are read once; all fits below start from them
+    kept = df.select(F.col(label).cast("string").alias("__label_in"), text.alias("__text"), F.pmod(F.xxhash64(text), F.lit(folds)).alias("__fold")).persist()
+    rows = balanced(with_features(kept, F.col("__text")).drop("__text"), "__label_in")
     prepare = Pipeline(stages=_stages("__label_in", features)).fit(rows)
     ready = prepare.transform(rows).select("__x", "__y", "__weight", "__fold").persist()
     names = _labels(prepare)
-    margins = reduce(DataFrame.unionByName, [_margins(ready.where(F.col("__fold") == f), _machines(ready.where(F.col("__fold") != f), len(names))).select("__m", "__y") for f in range(folds)]).persist()
-    sigmoid = []
-    for i in range(len(names)):
+    *held_out, machines = _machines([ready.where(F.col("__fold") != f) for f in range(folds)] + [ready], len(names))
+    margins = reduce(DataFrame.unionByName, [_margins(ready.where(F.col("__fold") == f), m).select("__m", "__y") for f, m in enumerate(held_out)]).persist()
+
+    def platt(i: int) -> tuple[float, float]:
         one = VectorAssembler(inputCols=["m"], outputCol="f").transform(margins.select(F.get("__m", F.lit(i)).alias("m"), (F.col("__y") == i).cast("double").alias("y")))
         fit = LogisticRegression(featuresCol="f", labelCol="y", maxIter=50, regParam=1e-6).fit(one)
-        sigmoid.append((float(fit.coefficients[0]), float(fit.intercept)))
-    machines = _machines(ready, len(names))
-    margins.unpersist()
-    ready.unpersist()
+        return float(fit.coefficients[0]), float(fit.intercept)
+
+    sigmoid = _together(platt, range(len(names)))
+    for cached in (margins, ready, kept):
+        cached.unpersist()
     return {"prepare": prepare, "machines": machines, "names": names, "sigmoid": sigmoid}
 
 
@@ -189,17 +196,25 @@ def evaluate_router(df: DataFrame, label: str, time: str, key: str, texts: Seque
     return {"router": router, "report": report, "routed": out.drop("__folded"), "acceptance": acceptance(report, top, least), "top": top, "macro": macro_f1(report)}
 
 
-def _machines(ready: DataFrame, classes: int) -> list:
-    """A linear support vector machine for each class against the rest; None where the rows have only one side."""
-    there = {int(r["__y"]) for r in ready.select("__y").distinct().collect()}  # as many rows as classes
-    out = []
-    for i in range(classes):
-        if i not in there or len(there) < 2:
-            out.append(None)
-            continue
+def _together(fit: Callable, over: Iterable) -> list:
+    """Fits that don't depend on each other, ``FITS`` at a time, in their order."""
+    with ThreadPool(FITS) as pool:
+        return pool.map(inheritable_thread_target(SparkSession.active())(fit), over)
+
+
+def _machines(sets: list[DataFrame], classes: int) -> list[list]:
+    """For each set of rows a linear support vector machine for each class against the rest; None where the rows have only one side."""
+    there = _together(lambda rows: {int(r["__y"]) for r in rows.select("__y").distinct().collect()}, sets)  # as many rows as classes
+
+    def fit(which: tuple[int, int]):
+        k, i = which
+        if i not in there[k] or len(there[k]) < 2:
+            return None
         svm = LinearSVC(featuresCol="__x", labelCol="__one", weightCol="__weight", rawPredictionCol=f"__raw{i}", predictionCol=f"__pred{i}", maxIter=8, regParam=1e-3)
-        out.append(svm.fit(ready.withColumn("__one", (F.col("__y") == i).cast("double"))))
-    return out
+        return svm.fit(sets[k].withColumn("__one", (F.col("__y") == i).cast("double")))
+
+    made = _together(fit, [(k, i) for k in range(len(sets)) for i in range(classes)])
+    return [made[k * classes : (k + 1) * classes] for k in range(len(sets))]
 
 
 def _margins(df: DataFrame, machines: list) -> DataFrame:
