@@ -449,6 +449,28 @@ def test_links_keep_components(spark, group_rows):
     assert {f: got.get(f, f) for f in signed} == root
 
 
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(simhash, "checkpoint", lambda df, own=simhash.checkpoint: kept.append(df) or own(df))
+    links = [(5, 1), (1, 7), (9, 1), (20, 30), (5, 1), (4, 4)]
+    got = {x.node: x.root for x in simhash.components(spark.createDataFrame(links, "u long, v long")).collect()}
+    assert got == {5: 1, 7: 1, 9: 1, 30: 20} and len(kept) == 1
+    chain = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(70 + i, 69) for i in range(300)], "u long, v long")
+    got = {x.node: x.root for x in simhash.components(chain).collect()}
+    assert got == {i: 0 for i in range(1, 61)} | {70 + i: 69 for i in range(300)}
+    assert not simhash.stars(spark.createDataFrame([(2, 1), (3, 2)], "u long, v long")) and not simhash.stars(spark.createDataFrame([(3, 1), (3, 2)], "u long, v long"))
+
+
+def test_hot_and_even_keys_join_alike(spark):
+    from tidemark.llm.common import join_hot
+
+    for n in (3, 400):  # the most frequent key has all but a few of the rows, or none has more than the others
+        rows = spark.range(1200).selectExpr("if(id < 800 or {0} > 3, id % {0}, 0) key".format(n), "id")
+        by_key = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("id").alias("last"))
+        want = sorted(tuple(x) for x in rows.join(by_key, "key").select("key", "id", "last").collect())
+        assert sorted(tuple(x) for x in join_hot(rows, by_key, "key", "n").select("key", "id", "last").collect()) == want
+
+
 def test_simhash_rows(spark, odd, empty):
     def fp(t):
         w = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower())

@@ -27,14 +27,19 @@ def bounded(rows: DataFrame, label: str, bounds: Iterable[tuple[int, int]]) -> D
 
 #: Keys with the most rows that are joined by broadcast; what then is left of any key is at most 1 / HOT_KEYS of the rows.
 HOT_KEYS = 1000
+#: Where no key has more than 1 / EVEN of the rows, none is joined by broadcast.
+EVEN = 200
 
 
 def join_hot(rows: DataFrame, by_key: DataFrame, key: str, n: str) -> DataFrame:
     """``rows.join(by_key, key)`` for a table of one row a key, whose column ``n`` counts the key's rows.
 
-    The rows of the most frequent keys stay where they are; only the others are dealt by key. Both
-    tables should be checkpoints.
+    The rows of the most frequent keys stay where they are; only the others are dealt by key. Where no key
+    has more than 1 / EVEN of the rows, all are dealt. Both tables should be checkpoints.
     """
+    most, total = by_key.agg(F.max(n), F.sum(n)).first()
+    if (most or 0) * EVEN <= (total or 0):
+        return rows.join(by_key, key).drop(n)
     hot = F.broadcast(by_key.orderBy(F.desc(n), key).limit(HOT_KEYS))
     rest = rows.join(hot.select(key), key, "left_anti").join(by_key, key)
     return rows.join(hot, key).unionByName(rest).drop(n)

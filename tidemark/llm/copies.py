@@ -379,7 +379,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     roots = components(first)
     marks = sets.select("t", "y", "z").join(roots.withColumnRenamed("node", "t"), "t", "left").select("t", F.coalesce("root", "t").alias("root"), "y", "z")
     chains = checkpoint(map_arrow(sort(dealt(shared, marks), "g"), _chains, "u long, v long").distinct())
-    found = first.unionByName(linked(chains, sets, marks, texts, group_rows * ROW_SHINGLES))
+    found = roots.toDF("u", "v").unionByName(linked(chains, sets, marks, texts, group_rows * ROW_SHINGLES))
     final = components(found).withColumnRenamed("node", "t")
     named = checkpoint(counted.join(final, "t", "left").select("t", "copies", F.coalesce("root", "t").alias("root")))
     return join_hot(rows.select("k", "doc_id", "t"), named, "t", "copies").select("k", "doc_id", "root")

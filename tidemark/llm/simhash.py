@@ -243,19 +243,19 @@ def links(fps: DataFrame, budget: int = BUDGET, group_rows: int = GROUP_ROWS) ->
     return map_arrow(grouped, _join_groups(budget), "u long, v long").distinct()
 
 
+def stars(edges: DataFrame) -> bool:
+    """Whether the different links (u, v), u > v, are stars around their v: no node has two links down, or one down and one up."""
+    ends = edges.select("u", F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(edges.select(F.col("v").alias("u"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    return ends.groupBy("u").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where(F.col("down") + F.col("up") > 1).isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for the nodes of links (u, v): root is the smallest node of the connected component.
 
-    Alternating large and small stars; each round is a checkpoint, and rounds end once the links stay.
+    Alternating large and small stars; each round is a checkpoint, and rounds end once the links are stars.
     """
-
-    def signature(e):
-        r = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        return tuple(r)
-
     edges = checkpoint(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    before = signature(edges)
-    while True:
+    while not stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = checkpoint(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n")))
         large = join_hot(both, least, "u", "n").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -264,10 +264,6 @@ def components(edges: DataFrame) -> DataFrame:
         least = checkpoint(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")))
         lesser = join_hot(large, least, "u", "n").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = checkpoint(lesser.unionByName(least.select("u", F.col("m").alias("v"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
-        now = signature(edges)
-        if now == before:
-            break
-        before = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
