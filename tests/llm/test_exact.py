@@ -449,6 +449,29 @@ def test_links_keep_components(spark, group_rows):
     assert {f: got.get(f, f) for f in signed} == root
 
 
+def test_batches_run_without_a_search_for_cycles(spark):
+    import gc
+
+    from tidemark.llm.common import map_rows, uncollected
+
+    df = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
+    got = map_rows(df, lambda b: {"doc_id": b.column(0), "on": [gc.isenabled()] * b.num_rows}, "doc_id long, on boolean").collect()
+    assert len(got) == 2 and not any(r.on for r in got)
+    with pytest.raises(KeyError), uncollected():
+        raise KeyError
+    assert gc.isenabled()
+
+
+def test_forgotten_states_hold_no_others():
+    one = stream_bpe.Transducer(stream_bpe.MergeList([("a", "b"), ("ab", "c"), ("b", "c")]))
+    words = ["abcabc", "bcab", "cabcabcb", "aabbcc"]
+    want = [one.word(w) for w in words]
+    states = list(one.states.values())
+    assert any(s.on for s in states)
+    one._forget()
+    assert not any(s.on for s in states) and [one.word(w) for w in words] == want
+
+
 def test_components_of_stars_take_no_round(spark, monkeypatch):
     kept = []
     monkeypatch.setattr(simhash, "checkpoint", lambda df, own=simhash.checkpoint: kept.append(df) or own(df))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import pyarrow as pa
@@ -61,6 +63,18 @@ def chunks(batches: Iterable[pa.RecordBatch], text: int | None = 1, most: int =
         yield b.slice(start)
 
 
+@contextmanager
+def uncollected():
+    """No search for cyclic garbage meanwhile: it walks through all that a worker keeps, again and again. For a bounded batch."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """``df.mapInArrow`` with this package at hand on the executors."""
     ship(df.sparkSession)
@@ -76,7 +90,8 @@ def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | dict
 
     def run(batches):
         for b in chunks(batches, text):
-            out = fn(b)
+            with uncollected():
+                out = fn(b)
             if isinstance(out, dict):
                 out = pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
             yield out

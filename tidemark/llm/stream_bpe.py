@@ -201,10 +201,13 @@ class Transducer:
     def __init__(self, merges: MergeList):
         self.merges = merges
         self.bound = merges.lookahead + 2 * merges.longest
+        self.states: dict[tuple[str, str], State] = {}
         self._forget()
         self._start()
 
     def _forget(self) -> None:
+        for state in self.states.values():  # they go at once, also those on a way back to themselves
+            state.on.clear()
         self.first = State("", [""], [0])
         self.states, self.kept = {("", ""): self.first}, 0
 
@@ -280,7 +283,7 @@ class Transducer:
 
     def word(self, symbols: Iterable[str]) -> list[str]:
         """All tokens of a word that is here as a whole; one within the bound keeps its symbols to its end."""
-        text = "".join(symbols)
+        text = symbols if isinstance(symbols, str) else "".join(symbols)
         if self.waiting or not 0 < len(text) <= self.bound:
             return [*self.push(text), *self.finish()]
         state, out = self.first, []
@@ -298,9 +301,19 @@ class Transducer:
 
     def _step(self, state: State, symbol: str) -> tuple[State, Sequence[str]]:
         """The state after one more symbol, and the tokens that are stable by then."""
-        held, given = state.held + symbol, ()
-        found, places = self._place(held, len(held), state.last, state.open)
-        last = [*state.last, found]
+        held, given, last, places, found = state.held + symbol, (), state.last, [], None
+        kinds, together, final, left = self.merges.kinds.get, self.merges.together, len(held) - 1, iter(state.open)
+        for p in left:  # as in ``_place``
+            t = held[p:]
+            kind = kinds(t, 0)
+            if kind & 1:
+                places.append(p)
+            if (kind > 1 or p == final) and together[last[p], t, False]:
+                found = t
+                break
+        places += [p for p in left if kinds(held[p:], 0) & 1]
+        places.append(final + 1)
+        last = [*last, found]
         if places[0]:
             if place := self._common(last, places):
                 given = self._before(last, place)
