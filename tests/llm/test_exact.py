@@ -474,12 +474,14 @@ def test_forgotten_states_hold_no_others():
 
 def test_components_of_stars_take_no_round(spark, monkeypatch):
     kept = []
-    monkeypatch.setattr(simhash, "checkpoint", lambda df, own=simhash.checkpoint: kept.append(df) or own(df))
+    monkeypatch.setattr(simhash, "settled", lambda df, own=simhash.settled: kept.append(df) or own(df))
     links = [(5, 1), (1, 7), (9, 1), (20, 30), (5, 1), (4, 4)]
     got = {x.node: x.root for x in simhash.components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == {5: 1, 7: 1, 9: 1, 30: 20} and len(kept) == 1
     chain = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(70 + i, 69) for i in range(300)], "u long, v long")
-    got = {x.node: x.root for x in simhash.components(chain).collect()}
+    df = simhash.components(chain)
+    got = {x.node: x.root for x in df.collect()}
+    assert df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 60  # the planner's guess
     assert got == {i: 0 for i in range(1, 61)} | {70 + i: 69 for i in range(300)}
     assert not simhash.stars(spark.createDataFrame([(2, 1), (3, 2)], "u long, v long")) and not simhash.stars(spark.createDataFrame([(3, 1), (3, 2)], "u long, v long"))
 

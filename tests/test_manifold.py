@@ -121,6 +121,16 @@ def test_density_clusters_of_a_sparse_graph(spark):
     assert density.density_clusters(rows.where("false"), "id", "v").count() == 0
 
 
+def test_rounds_leave_the_planner_a_small_guess(spark):
+    """Joins multiply the guesses at sizes that checkpoints keep."""
+    r = np.random.default_rng(5)
+    edges = spark.createDataFrame([(int(a), int(a) + 1 + int(b), float(d)) for a, b, d in zip(range(300), r.integers(0, 4, 300), r.random(300))], "u long, v long, d double")
+    near = neighbours.nearest(rows_of(spark, r.normal(size=(150, 4))), 5)
+    tree, labels = density.spanning_forest(edges)
+    for df in (near, tree, labels):
+        assert df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 60
+
+
 def test_roots_by_joins_and_in_a_task(spark):
     r = np.random.default_rng(3)
     links = [(0, 1), (1, 0), *((i, int(r.integers(0, i))) for i in range(2, 60)), (100, 101), (101, 100), (102, 101)]

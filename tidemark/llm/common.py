@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.runtime import checkpoint, shared_path, shared_root, ship, small  # noqa: F401  for the operators
+from tidemark.runtime import checkpoint, settled, shared_path, shared_root, ship, small  # noqa: F401  for the operators
 
 #: Working sets in a Python worker are rebuilt once they hold this many bytes of text.
 CHUNK_BYTES = 4 << 20

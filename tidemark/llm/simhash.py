@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpoint, join_hot, map_arrow, map_rows, small, table
+from tidemark.llm.common import checkpoint, join_hot, map_arrow, map_rows, settled, small, table
 
 QUERY = "op8_simhash_dedup"
 WORDS = 4
@@ -252,9 +252,9 @@ def stars(edges: DataFrame) -> bool:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for the nodes of links (u, v): root is the smallest node of the connected component.
 
-    Alternating large and small stars; each round is a checkpoint, and rounds end once the links are stars.
+    Alternating large and small stars; each round's links are written, and rounds end once the links are stars.
     """
-    edges = checkpoint(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    edges = settled(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     while not stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = checkpoint(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n")))
@@ -263,7 +263,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = checkpoint(large)
         least = checkpoint(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")))
         lesser = join_hot(large, least, "u", "n").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = checkpoint(lesser.unionByName(least.select("u", F.col("m").alias("v"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
+        edges = settled(lesser.unionByName(least.select("u", F.col("m").alias("v"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.neighbours import nearest, points_of
-from tidemark.runtime import BROADCAST_ROWS, checkpoint, ship, small
+from tidemark.runtime import BROADCAST_ROWS, checkpoint, settled, ship, small
 
 #: The least distance, so that its inverse is a number.
 LEAST = 1e-12
@@ -68,24 +68,24 @@ def _roots(links: DataFrame, few: bool) -> DataFrame:
 
 def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """((u, v, d) of a least spanning forest, (id, component) of its points); the edges (u, v, d) are ordered by d, u and v."""
-    edges = checkpoint(edges)
+    edges = settled(edges)
     labels = edges.select(F.explode(F.array("u", "v")).alias("id")).distinct().select("id", F.col("id").alias("component"))
     tree = edges.limit(0)
     left = edges.select("u", "v", "d", F.col("u").alias("cu"), F.col("v").alias("cv"))
     while not left.isEmpty():
         edge = F.struct("d", "u", "v")
         sides = left.select(F.explode(F.array(F.struct(F.col("cu").alias("c"), F.col("cv").alias("to")), F.struct(F.col("cv").alias("c"), F.col("cu").alias("to")))).alias("s"), edge.alias("e"))
-        taken = checkpoint(sides.groupBy("s.c").agg(F.min(F.struct("e", "s.to")).alias("least")).select("c", "least.to", "least.e"))
+        taken = settled(sides.groupBy("s.c").agg(F.min(F.struct("e", "s.to")).alias("least")).select("c", "least.to", "least.e"))
         n = taken.count()
         tree = tree.unionByName(taken.select("e.u", "e.v", "e.d").distinct())
         roots = _roots(taken.select("c", "to"), n <= BROADCAST_ROWS)
         roots = F.broadcast(roots) if n <= BROADCAST_ROWS else roots
-        labels = checkpoint(labels.join(roots, F.col("component") == F.col("c"), "left").select("id", F.coalesce("root", "component").alias("component")))
+        labels = settled(labels.join(roots, F.col("component") == F.col("c"), "left").select("id", F.coalesce("root", "component").alias("component")))
         moved = left.join(roots.toDF("cu", "ru"), "cu").join(roots.toDF("cv", "rv"), "cv").where("ru <> rv")
         # of the edges between two components only the least can be taken
         a, b = F.least("ru", "rv").alias("cu"), F.greatest("ru", "rv").alias("cv")
-        left = checkpoint(moved.groupBy(a, b).agg(F.min(edge).alias("e")).select("e.u", "e.v", "e.d", "cu", "cv"))
-    return checkpoint(tree), labels
+        left = settled(moved.groupBy(a, b).agg(F.min(edge).alias("e")).select("e.u", "e.v", "e.d", "cu", "cv"))
+    return settled(tree), labels
 
 
 def condense(u: np.ndarray, v: np.ndarray, d: np.ndarray, ids: np.ndarray, n: np.ndarray, least: int, whole: bool) -> np.ndarray:
@@ -169,8 +169,8 @@ def density_clusters(df: DataFrame, key: str, vector: str, min_size: int = 20, m
     ``neighbours`` nearest of each point make the graph; with as many as there are points the result is that of all pairs.
     """
     ship(df.sparkSession)
-    points = checkpoint(points_of(df, key, vector))
-    near = checkpoint(nearest(points, max(neighbours, min_samples), rounds=rounds))
+    points = settled(points_of(df, key, vector))
+    near = settled(nearest(points, max(neighbours, min_samples), rounds=rounds))
     tree, labels = spanning_forest(reachability(near, core_distances(points, near, min_samples)))
     weighed = checkpoint(points.select("id", "n").join(labels, "id", "left").select("id", "n", F.coalesce("component", "id").alias("component")))
     several = weighed.groupBy("component").agg(F.sum("n").alias("n")).where(F.col("n") >= min_size).limit(2).count() > 1

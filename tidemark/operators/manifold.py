@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.vector import normalize
 from tidemark.operators.density import numbered
 from tidemark.operators.neighbours import nearest, points_of
-from tidemark.runtime import BROADCAST_ROWS, checkpoint, ship
+from tidemark.runtime import BROADCAST_ROWS, checkpoint, settled, ship
 
 #: The curve 1 / (1 + A d ** (2 B)) that says how near ends of an edge should be, and the farthest a step may pull.
 A, B, FARTHEST = 1.577, 0.895, 4.0
@@ -79,10 +79,10 @@ def layout(edges: DataFrame, start: DataFrame, dimensions: int, rounds: int = RO
     edges = edges.join(few(ends.toDF("u", "a")), "u").join(few(ends.toDF("v", "b")), "v")
     top = edges.agg(F.max("w")).first()[0] or 1.0
     pair = F.explode(F.array(F.struct(F.col("a"), F.col("b")), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
-    both = checkpoint(edges.select("w", pair.alias("e")).select("e.a", "e.b", "w"))
+    both = settled(edges.select("w", pair.alias("e")).select("e.a", "e.b", "w"))
     spread = at.agg(*[F.stddev(x).alias(x) for x in names]).first()  # a number a dimension
     scale = SPREAD / max([s for s in spread if s] or [1.0])
-    at = checkpoint(at.select("id", "i", *[(F.col(x) * scale).alias(x) for x in names]))
+    at = settled(at.select("id", "i", *[(F.col(x) * scale).alias(x) for x in names]))
     for step in range(rounds):
         rate = 1.0 - step / rounds
         chosen = both.where(F.pmod(F.xxhash64("a", "b", F.lit(step + 1000 * seed)), F.lit(1 << 20)) < F.col("w") / top * (1 << 20))
@@ -99,7 +99,7 @@ def layout(edges: DataFrame, start: DataFrame, dimensions: int, rounds: int = RO
         move = lambda x: F.greatest(F.lit(-FARTHEST), F.least(F.lit(FARTHEST), F.col("f") * F.col(x)))
         moves = met.select("a", "pull", F.when(F.col("pull"), pull).otherwise(push).alias("f"), *names).select("a", "pull", *[move(x).alias(x) for x in names])
         mean = moves.groupBy("a").agg(*[(F.coalesce(F.avg(F.when(F.col("pull"), F.col(x))), F.lit(0.0)) + F.coalesce(F.avg(F.when(~F.col("pull"), F.col(x))), F.lit(0.0))).alias(f"m{x}") for x in names])
-        at = checkpoint(at.join(few(mean), at["i"] == mean["a"], "left").select("id", "i", *[(F.col(x) + rate * F.coalesce(f"m{x}", F.lit(0.0))).alias(x) for x in names]))
+        at = settled(at.join(few(mean), at["i"] == mean["a"], "left").select("id", "i", *[(F.col(x) + rate * F.coalesce(f"m{x}", F.lit(0.0))).alias(x) for x in names]))
     return at.select("id", F.array(*names).alias("v"))
 
 

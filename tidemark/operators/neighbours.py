@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.vector import normalize
-from tidemark.runtime import BROADCAST_ROWS, checkpoint, ship
+from tidemark.runtime import BROADCAST_ROWS, settled, ship
 
 #: Rows of a block whose pairs are compared at the start, orders of rows by planes, and planes of an order.
 LEAF, TREES, PLANES = 64, 4, 24
@@ -115,11 +115,11 @@ def nearest(points: DataFrame, k: int = 15, sample: int = 24, rounds: int = ROUN
     """
     spark = points.sparkSession
     ship(spark)
-    points = checkpoint(points.select("id", "v"))
+    points = settled(points.select("id", "v"))
     n = points.count()
     if n < 2:
         return spark.createDataFrame([], "u long, v long, d double")
-    edges = checkpoint(_best(_start(points, k, seed).withColumn("new", F.lit(True)), k))
+    edges = settled(_best(_start(points, k, seed).withColumn("new", F.lit(True)), k))
     few = F.broadcast if n <= BROADCAST_ROWS // 8 else (lambda df: df)  # of some hundred numbers each
     for step in range(rounds):
         far = edges.groupBy("u").agg(F.max("d").alias("far"), F.count("*").alias("n")).select(F.col("u").alias("id"), F.when(F.col("n") < k, float("inf")).otherwise(F.col("far")).alias("far"))
@@ -131,7 +131,7 @@ def nearest(points: DataFrame, k: int = 15, sample: int = 24, rounds: int = ROUN
         # at most ``sample`` vectors a row
         lists = some.join(known, "id").groupBy("node").agg(F.collect_list(F.struct("id", "far", "new", "v")).alias("c")).select("c")
         found = lists.mapInArrow(_proposed, "u long, v long, d double").withColumn("new", F.lit(True))
-        edges = checkpoint(_best(edges.withColumn("new", F.lit(False)).unionByName(found), k))
+        edges = settled(_best(edges.withColumn("new", F.lit(False)).unionByName(found), k))
         if edges.where("new").count() < CHANGED * n * k:
             break
     return edges.select("u", "v", "d")
