@@ -11,9 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import copies, decontaminate, pii, stream_bpe, toxicity
-from tidemark.llm.common import checkpoint, shared_path, table
+from tidemark.llm.common import checkpoint, shared_path, small, table
 from tidemark.sources.storage import Store
 
+#: Keys of rows that go which may be broadcast once they have been counted.
+BROADCAST_KEYS = 1_000_000
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose score is below the operator's threshold."""
@@ -28,7 +31,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     groups = checkpoint(copies.near_copies(docs))
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k")
     kept = groups.groupBy("root").agg(F.min(order).alias("least")).select(F.col("least.k").alias("__key"))
-    out = docs.withColumn("__key", copies.row_key()).join(kept, "__key", "left_semi")
+    # those that go are mostly few: then the texts stay where they are
+    gone = small(checkpoint(groups.select(F.col("k").alias("__key")).distinct().join(kept, "__key", "left_anti")), BROADCAST_KEYS)
+    out = docs.withColumn("__key", copies.row_key()).join(gone, "__key", "left_anti")
     if not groups.groupBy("k").count().where("count > 1").isEmpty():
         out = out.dropDuplicates(["__key"])
     return out.select(*docs.columns)

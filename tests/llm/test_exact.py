@@ -583,6 +583,36 @@ def test_pairs_of_one_shingle_lose_no_similar_pair():
     assert want <= got and len(got) < 4 * len(want)
 
 
+def test_large_sets_of_one_shingle_are_told_apart_before_they_are_dealt():
+    """Large sets with only one shingle in common make no pairs, in sizes whose sketches have to be folded too; no similar pair is lost."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tidemark.llm import copies
+
+    rng, sets = np.random.default_rng(6), []
+    for size in (120, 135, 250, 265, 500, 530, 2000, 2100):
+        base = rng.integers(1, 2**63, size).astype(np.uint64)
+        for share in (0, 0.01, 0.03, 0.05, 0.08, 0.2):
+            own = base.copy()
+            change = rng.random(len(own)) < share
+            own[change] = rng.integers(1, 2**63, change.sum()).astype(np.uint64)
+            sets.append(np.unique(np.r_[np.uint64(0), own[: size - rng.integers(8)]]))
+    k = np.arange(len(sets))
+    both = np.array([[len(np.intersect1d(a, b)) for a in sets] for b in sets])
+    sizes = np.array([len(s) for s in sets])
+    want = {(a, b) for a, b in np.argwhere(both >= copies.SIMILAR * (sizes[:, None] + sizes - both)).tolist() if a < b}
+    x = [copies.parities(s) for s in sets]
+    brief = np.array([np.bitwise_xor.reduce(c.reshape(-1, 2)) for c in x])
+    cells = pa.array([copies.sketch(c, n) for c, n in zip(x, sizes.tolist())], pa.list_(pa.int64()))
+    cols = [0 * k, k, sizes, 0 * k, k, brief[:, 0], brief[:, 1], 0 * k]
+    rows = pa.RecordBatch.from_arrays([*map(pa.array, cols), cells], names=list("gtniryzsx"))
+    read = lambda rows: {(int(u), int(v)) for out in copies._pairs(rows) for u, v in zip(*map(lambda c: c.to_numpy(), out.columns))}
+    got, without = read([rows.slice(0, 20), rows.slice(20)]), read([rows.select(list("gtniryzs"))])
+    assert len(want) > 50 and want <= got and len(got) < 2 * len(want)
+    assert len({(a, b) for a, b in without if a // 6 != b // 6}) > 50 and not {(a, b) for a, b in got if a // 6 != b // 6}
+
+
 def test_near_copies_of_one_group_write_fewer_links_than_rows():
     """Sets whose pairs are as many as their square: what tasks write stays below their number and connects what all pairs do."""
     import numpy as np

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Cache, checkpoint, join_hot, map_arrow, map_rows, small
+from tidemark.llm.common import Cache, checkpoint, join_hot, map_arrow, map_rows, released, small
 from tidemark.llm.simhash import BUDGET, components, links, majority, ones_by_bit
 
 WORDS, SIMILAR = 5, 0.8
@@ -38,7 +38,8 @@ WORDS, SIMILAR = 5, 0.8
 APART = (1 - SIMILAR) / (1 + SIMILAR) + 1e-9
 #: Cells of a set's parities: a power of two, at least so many and at least twice the set's size.
 PARITIES = 512
-#: Cells of the parities that go with each first shingle, two longs, and rows of one shingle that meet in a task.
+#: Cells of the parities that go with each first shingle, two longs (a larger set's have a cell for each member besides), and
+#: rows of one shingle that meet in a task.
 SKETCH, GROUP_ROWS = 128, 8192
 #: Shingles of a part of sets that are compared in full, for each row of GROUP_ROWS.
 ROW_SHINGLES = 128
@@ -106,9 +107,14 @@ def folded(x: Column, size: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.aggregate(F.sequence(F.lit(0), (F.size(x) / size).cast("int") - 1), F.lit(0).cast("long"), lambda s, j: s.bitwiseXOR(F.get(x, i + j * size))))
 
 
+def sketch(x: np.ndarray, n: int) -> np.ndarray:
+    """The parities ``x`` of a set of n in a power of two of cells, at least n; none of a set for which SKETCH cells do."""
+    return np.bitwise_xor.reduce(x.reshape(-1, (1 << (n - 1).bit_length()) // 64)) if n > SKETCH else x[:0]
+
+
 def prefixes(docs: DataFrame, id_col: str, text_col: str, frequent: np.ndarray) -> DataFrame:
-    """(k, doc_id, t, n, fp, p, x, y, z): the row's key, a hash of its shingle set, the set's size, fingerprint, first shingles,
-    parities, and these in SKETCH cells."""
+    """(k, doc_id, t, n, fp, p, x, y, z, w): the row's key, a hash of its shingle set, the set's size, fingerprint, first shingles,
+    parities, these in SKETCH cells, and a larger set's ``sketch``."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def batch(b):
@@ -127,10 +133,10 @@ def prefixes(docs: DataFrame, id_col: str, text_col: str, frequent: np.ndarray)
                 s = np.concatenate([s[~common], s[common]])
             p.append(s[: len(s) - needed(len(s)) + 1].view(np.int64))
         brief = np.array([np.bitwise_xor.reduce(c.reshape(-1, SKETCH // 64)) for c in x], np.int64).reshape(-1, SKETCH // 64)
-        return {"k": b.column(2), "doc_id": b.column(0), "t": pa.array(np.array(t, np.uint64).view(np.int64)), "n": n, "fp": pa.array(np.array(fp, np.uint64).view(np.int64)), "p": pa.array(p, pa.list_(pa.int64())), "x": pa.array(x, pa.list_(pa.int64())), "y": brief[:, 0], "z": brief[:, 1]}
+        return {"k": b.column(2), "doc_id": b.column(0), "t": pa.array(np.array(t, np.uint64).view(np.int64)), "n": n, "fp": pa.array(np.array(fp, np.uint64).view(np.int64)), "p": pa.array(p, pa.list_(pa.int64())), "x": pa.array(x, pa.list_(pa.int64())), "y": brief[:, 0], "z": brief[:, 1], "w": pa.array(list(map(sketch, x, n)), pa.list_(pa.int64()))}
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("k"))
-    return map_rows(rows, batch, "k long, doc_id long, t long, n int, fp long, p array<long>, x array<long>, y long, z long")
+    return map_rows(rows, batch, "k long, doc_id long, t long, n int, fp long, p array<long>, x array<long>, y long, z long, w array<long>")
 
 
 def _groups(batches):
@@ -201,7 +207,7 @@ def _shared(group_rows: int):
 
 
 def dealt(shared: DataFrame, marks: DataFrame) -> DataFrame:
-    """(g, t, n, i, root, y, z, side) of shared first shingles and of marks (t, root, y, z): the rows that are compared meet in one g.
+    """(g, t, n, i, root, y, z, side, x) of shared first shingles and of marks (t, root, y, z, x): the rows that are compared meet in one g.
 
     A group of several parts meets part by part: g for each two of them, in which only rows of different ``side`` are
     compared, and for each part itself, whose rows have side 0. So no task holds more than two parts of a group.
@@ -212,7 +218,47 @@ def dealt(shared: DataFrame, marks: DataFrame) -> DataFrame:
     low, high = F.least("part", "other"), F.greatest("part", "other")
     g = F.when(F.col("parts").isNull(), F.col("h")).otherwise(F.xxhash64("h", low, high))
     side = F.when(low == high, 0).when(F.col("part") == low, 1).otherwise(2).cast("long")
-    return rows.withColumn("other", F.explode(others)).select(g.alias("g"), "t", "n", "i", "root", "y", "z", side.alias("side"))
+    return rows.withColumn("other", F.explode(others)).select(g.alias("g"), "t", "n", "i", "root", "y", "z", side.alias("side"), "x")
+
+
+def _numbered(batches, held: list):
+    """The batches with the running number of each row in place of its sketch; the sketches go to ``held``."""
+    at = 0
+    for b in batches:
+        if b.num_columns == 8:
+            yield b
+            continue
+        flat, ends = b.column(8).flatten().to_numpy().view(np.uint64), b.column(8).offsets.to_numpy()
+        ends = (ends - ends[0]).tolist()
+        held.extend(map(flat.__getitem__, map(slice, ends[:-1], ends[1:])))
+        yield pa.RecordBatch.from_arrays([*b.columns[:8], pa.array(np.arange(at, at + b.num_rows))], names=b.schema.names)
+        at += b.num_rows
+
+
+class _Sketches:
+    """The sketches of a group's rows, which come by size: ``differ(k, j)`` counts the cells in which those of rows j differ from k's.
+
+    The sketch of a row after k has as many cells as k's or twice as many, if they may be similar, and is folded then. Rows without a sketch differ in none.
+    """
+
+    def __init__(self, x: list[np.ndarray]):
+        self.longs, self.at = np.array([len(c) for c in x]), np.zeros(len(x), np.int64)
+        self.own, self.half = {}, {}
+        for size in np.unique(self.longs[self.longs > 0]).tolist():
+            rows = np.flatnonzero(self.longs == size)
+            self.at[rows] = np.arange(len(rows))
+            self.own[size] = np.stack([x[r] for r in rows])
+            self.half[size // 2] = self.own[size][:, : size // 2] ^ self.own[size][:, size // 2 :]
+
+    def differ(self, k: int, j: np.ndarray) -> np.ndarray:
+        out, size = np.zeros(len(j), np.int64), int(self.longs[k])
+        if size:
+            mine = self.own[size][self.at[k]]
+            for others, longs in ((self.own, size), (self.half, 2 * size)):
+                some = np.flatnonzero(self.longs[j] == longs)
+                if len(some):
+                    out[some] = np.bitwise_count(others[size][self.at[j[some]]] ^ mine).sum(1, dtype=np.int64)
+        return out
 
 
 def _candidates(batches):
@@ -222,11 +268,18 @@ def _candidates(batches):
     ``i`` is the place of the shingle in the set's order. Of a similar pair's first common shingle that is early: what both have
     in common comes at it or later in both, and is at least SIMILAR / (1 + SIMILAR) of their sizes together. So sets in which a
     frequent shingle stands late make no pairs by it. ``y`` and ``z`` are the sets' parities in SKETCH cells, of which no more may
-    differ than members: this rules out small sets that have only a frequent passage in common before a pair is made.
+    differ than members: this rules out small sets that have only a frequent passage in common before a pair is made. ``x``, if it
+    is there, has the larger sets' parities in as many cells as they need for that.
     """
     share = SIMILAR / (1 + SIMILAR) - 1e-9
-    for t, n, i, root, y, z, side in _groups(batches):
+    held, gone = [], 0
+    for t, n, i, root, y, z, side, *number in _groups(_numbered(batches, held)):
         order = np.argsort(n, kind="stable")
+        sketches = _Sketches([held[r - gone] for r in number[0][order].tolist()]) if number else None
+        if number:  # what comes before the next group is not asked for again
+            last = int(number[0][-1]) + 1
+            del held[: last - gone]
+            gone = last
         t, n, i, root, y, z, side = (c[order] for c in (t, n, i, root, y, z, side))
         y, z = y.view(np.uint64), z.view(np.uint64)
         after = n - i
@@ -238,6 +291,8 @@ def _candidates(batches):
             j = np.flatnonzero((root[own] != root[k]) & (most[own] >= n[k]) & ((side[own] != side[k]) | (side[k] == 0))) + k + 1
             differ = np.bitwise_count(y[j] ^ y[k]).astype(np.int64) + np.bitwise_count(z[j] ^ z[k])
             j = j[differ <= APART * (n[j] + n[k])]
+            if sketches and len(j):
+                j = j[sketches.differ(k, j) <= APART * (n[j] + n[k])]
             if len(j):
                 yield t, k, j
 
@@ -368,17 +423,22 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = docs.select(row_key(id_col, text_col).alias("k"), F.col(text_col).alias("text"))
     # copies count once from here
     counted = checkpoint(rows.groupBy("t").agg(F.min("k").alias("k"), F.count("*").alias("copies")))
-    sets = checkpoint(rows.drop("doc_id").join(counted.select("t", "k"), ["t", "k"], "left_semi").dropDuplicates(["t"]))
+    # of each set one row, and repeated rows have both in common: what is dealt for the join is not dealt again
+    sets = checkpoint(rows.drop("doc_id").join(counted.select("t", "k"), ["t", "k"], "left_semi").dropDuplicates(["t", "k"]))
+    released(docs.sparkSession)
     firsts = sets.select(F.posexplode("p").alias("i", "h"), "t", "n").select("h", "t", "n", "i")
     sort = lambda df, *keys: df.repartition(keys[0]).sortWithinPartitions(*keys)
     shared = checkpoint(map_arrow(sort(firsts, "h", "t"), _shared(group_rows), "h long, t long, n long, i long, c long, cn long, part long"))
     close = F.greatest("n", "cn") * F.lit(SIMILAR - 1e-12) <= F.least("n", "cn")
     star = shared.where(close & (F.col("t") != F.col("c"))).select(F.col("t").alias("u"), F.col("c").alias("v"))
     both = star.unionByName(_by_fingerprint(sets)).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    released(docs.sparkSession)
     first = similar(both, sets, texts)
     roots = components(first)
-    marks = sets.select("t", "y", "z").join(roots.withColumnRenamed("node", "t"), "t", "left").select("t", F.coalesce("root", "t").alias("root"), "y", "z")
+    marks = sets.select("t", "y", "z", "w").join(roots.withColumnRenamed("node", "t"), "t", "left").select("t", F.coalesce("root", "t").alias("root"), "y", "z", F.col("w").alias("x"))
+    released(docs.sparkSession)
     chains = checkpoint(map_arrow(sort(dealt(shared, marks), "g"), _chains, "u long, v long").distinct())
+    released(docs.sparkSession)
     found = roots.toDF("u", "v").unionByName(linked(chains, sets, marks, texts, group_rows * ROW_SHINGLES))
     final = components(found).withColumnRenamed("node", "t")
     named = checkpoint(counted.join(final, "t", "left").select("t", "copies", F.coalesce("root", "t").alias("root")))
