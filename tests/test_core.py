@@ -724,3 +724,24 @@ def test_problem_metrics(spark):
     assert tuple(analytics.problem_metrics(p).first())[:2] == (3, 1) and analytics.problem_metrics(p.select("status").where("false")).first() == (0, 0, 0.0)
     shown = p.limit(1).select(*[analytics.shown(F.lit(v), f) for v, f in ((1234567, "count"), (12.4, "percent"), (1.25, "hours"))], analytics.shown(F.lit(None).cast("double"), "hours")).first()
     assert tuple(shown)[:2] == ("1,234,567", "12%") and shown[3] == "—"
+
+
+def test_char_gram_counts_are_those_of_the_column_function(spark, monkeypatch):
+    """Keys that are null, repeated and cut by pieces, letters of many scripts, separators that are no white space, and no piece of more than a few texts."""
+    from pyspark.sql import functions as F
+    from tidemark.functions import text as X
+    from tidemark.operators import retrieval as R
+
+    texts = ["a bb  ccc\u00a0Dddd eeeee", "", None, "\u2003x\u3000\u0130y 😀😀 ß", "a\x1cb c\x1fd\x85e", "".join(map(chr, range(0x4E00, 0x4E00 + 7000))), "a\0 \0b\0", "word " * 300]
+    rows = [(k, t) for k in (1, 1, 2, None, None, 3) for t in texts] + [(4, "one"), (5, None), (6, "  ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = R.term_counts(df, "doc_id", X.char_ngrams(F.col("text"))).collect()
+    assert sorted(map(repr, R.char_gram_counts(df, "doc_id", F.col("text")).collect())) == sorted(map(repr, want)) and len(want) > 100_000
+    import pyarrow as pa
+
+    monkeypatch.setattr(R, "PIECE_CHARS", 50)
+    rows = sorted((r for r in rows if r[1] is None or len(r[1]) < 2000), key=lambda r: (r[0] is not None, r[0]))
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in own], pa.int64()), pa.array([r[1] and r[1].lower() for r in own], pa.string())], names=["doc_id", "text"]) for own in (rows[:7], rows[7:8], rows[8:8], rows[8:])]
+    few = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted((tuple(r) for r in R.term_counts(few, "doc_id", X.char_ngrams(F.col("text"))).collect()), key=repr)
+    assert sorted(((r["doc_id"], *g.values()) for b in R._char_grams(batches, 2, 5) for r in b.to_pylist() for g in r["found"]), key=repr) == want
