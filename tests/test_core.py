@@ -745,3 +745,34 @@ def test_char_gram_counts_are_those_of_the_column_function(spark, monkeypatch):
     few = spark.createDataFrame(rows, "doc_id long, text string")
     want = sorted((tuple(r) for r in R.term_counts(few, "doc_id", X.char_ngrams(F.col("text"))).collect()), key=repr)
     assert sorted(((r["doc_id"], *g.values()) for b in R._char_grams(batches, 2, 5) for r in b.to_pylist() for g in r["found"]), key=repr) == want
+
+
+def test_vectors_move_no_counts(spark):
+    """Parts name their grams once and are told their frequencies: the same weights as by counts, with keys that are null, repeated or without a gram."""
+    import random
+
+    import numpy as np
+    from pyspark.sql import functions as F
+    from tidemark.functions import text as X
+    from tidemark.operators import retrieval as R
+
+    r = random.Random(4)
+    rows = [(i // 2 if i % 10 == 0 else i, " ".join(r.choices("ab cd ef gh ij kl mn op".split(), k=r.randrange(1, 700 if i % 50 == 0 else 9)))) for i in range(300)]
+    rows += [(None, "ab cd xx"), (None, "xx yy"), (500, None), (501, ""), (502, "a b"), (503, "only here")]
+    df, grams = spark.createDataFrame(rows, "doc_id long, text string"), X.word_ngrams(F.col("text"))
+    want = {}
+    for x in R.weights(R.term_counts(df, "doc_id", grams), "doc_id").select("doc_id", F.xxhash64("gram").alias("g"), "w").where("doc_id is not null").collect():
+        want.setdefault(x.doc_id, {})[x.g] = x.w
+    found = R.vectors(df, "doc_id", grams)
+    got = {x.doc_id: dict(zip(x.grams, x.w)) for x in found.collect()}
+    assert got.keys() == want.keys() and all(got[k].keys() == want[k].keys() and all(abs(w - want[k][g]) < 1e-12 for g, w in got[k].items()) for k in want)
+    some = {x.doc_id: dict(zip(x.grams, x.w)) for x in R.vectors(df, "doc_id", grams, asked=F.col("doc_id") % 100 == 3).collect()}
+    asked = {g for k in want if k % 100 == 3 for g in want[k]}
+    assert some.keys() == want.keys() and all(some[k].keys() == want[k].keys() & asked and all(abs(w - want[k][g]) < 1e-12 for g, w in some[k].items()) for k in want)
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 1000):
+        hashes, numbers = np.unique(rng.integers(-(2**63), 2**63, n)), rng.choice([0, 3, 254, 255, 256, 10**6], n)
+        hashes = np.sort(hashes)
+        own = [h for h in (hashes[hashes < 0], hashes[hashes >= 0])]
+        assert all((R._stepped(R._steps(h), len(h)) == h).all() for h in own) and (R._long(R._short(numbers), n) == numbers).all()

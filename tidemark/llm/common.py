@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.runtime import checkpoint, settled, shared_path, shared_root, ship, small  # noqa: F401  for the operators
+from tidemark.runtime import checkpoint, released, settled, shared_path, shared_root, ship, small  # noqa: F401  for the operators
 
 #: Working sets in a Python worker are rebuilt once they hold this many bytes of text.
 CHUNK_BYTES = 4 << 20
@@ -75,15 +75,6 @@ def uncollected():
             gc.enable()
 
 
-def released(spark: SparkSession) -> None:
-    """Let go of the shuffle files of plans that nobody holds any more: Spark deletes them once the driver's JVM finds the plans gone.
-
-    Left to itself it looks when its memory is full or in half an hour, and shuffles of long jobs add up on disk until then.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """``df.mapInArrow`` with this package at hand on the executors."""
     ship(df.sparkSession)
