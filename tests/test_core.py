@@ -776,3 +776,22 @@ def test_vectors_move_no_counts(spark):
         hashes = np.sort(hashes)
         own = [h for h in (hashes[hashes < 0], hashes[hashes >= 0])]
         assert all((R._stepped(R._steps(h), len(h)) == h).all() for h in own) and (R._long(R._short(numbers), n) == numbers).all()
+
+
+def test_index_of_all_grams_counts_no_strings(spark, tmp_path, monkeypatch):
+    """An index without a limit of grams is written without rows of counts, and answers as the search that has none; a limit above all grams changes nothing."""
+    from pyspark.sql import functions as F
+    from tidemark.functions import text as X
+    from tidemark.operators import retrieval as R
+
+    rows = [(i, f"word{i % 7} word{i % 5} common word{i % 3} other{i}") for i in range(60)]
+    df, grams = spark.createDataFrame(rows, "doc_id long, text string"), X.word_ngrams(F.col("text"))
+    v = R.vectors(df, "doc_id", grams)
+    want = sorted(tuple(r) for r in R.similar_vectors(v.where("doc_id % 10 = 0"), v, "doc_id").collect())
+    ask = lambda folder: sorted(tuple(r)[1::-1] + tuple(r)[2:] if r.__fields__[0] == "doc_id" else tuple(r) for r in R.query_index(df.where("doc_id % 10 = 0"), "doc_id", grams, folder, leave_one_out=True).collect())
+    R.build_index(df, "doc_id", grams, str(tmp_path / "limited"), max_features=10**6)
+    counted, real = [], R.term_counts
+    monkeypatch.setattr(R, "term_counts", lambda *a, **b: counted.append(1) or real(*a, **b))
+    R.build_index(df, "doc_id", grams, str(tmp_path / "all"), max_features=None)
+    assert not counted and len(want) == 30
+    assert ask(str(tmp_path / "all")) == ask(str(tmp_path / "limited")) == want
